@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import bpe_digest
+from .media import payload_digest
+from .packing import Capacity, pack
+from .pii import pii_digest
 from .sharding import interleave
+from .tokens import section_tokens
 from .urlrules import UrlRule, judge_urls
 
 RULES = (
@@ -17,10 +22,21 @@ RULES = (
 )
 
 
+def vocabulary(name: str) -> str:
+    """Where a vocabulary file is; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return payload_digest(table(spark, sf_dir, "documents"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = interleave(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
@@ -30,7 +46,24 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op6_url_filters)}
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per line of every document; a token across a line's end counts where most of its bytes are."""
+    return section_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), rule="most")
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), Capacity())
+
+
+QUERIES = {f.__name__: f for f in (op1_media, op3_sharding, op5_bpe, op6_url_filters, op7_token_counts, op9_pii, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filters": """
