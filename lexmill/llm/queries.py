@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_digest
 from .media import payload_digest
+from .neardup import near_duplicates
 from .packing import Capacity, pack
 from .pii import pii_digest
 from .sharding import interleave
@@ -37,6 +38,10 @@ def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payload_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = interleave(table(spark, sf_dir, "documents"), shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
@@ -63,7 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), Capacity())
 
 
-QUERIES = {f.__name__: f for f in (op1_media, op3_sharding, op5_bpe, op6_url_filters, op7_token_counts, op9_pii, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op5_bpe, op6_url_filters, op7_token_counts, op9_pii, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filters": """
