@@ -12,6 +12,7 @@ from .packing import Capacity, pack
 from .pii import pii_digest
 from .sharding import interleave
 from .tokens import section_tokens
+from .toxicity import toxicity_digest
 from .urlrules import UrlRule, judge_urls
 
 RULES = (
@@ -51,6 +52,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -68,7 +73,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), Capacity())
 
 
-QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op5_bpe, op6_url_filters, op7_token_counts, op9_pii, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op9_pii, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filters": """

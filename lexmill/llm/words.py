@@ -50,17 +50,27 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 def word_hashes(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the maximal runs of bytes that ``inside`` marks."""
+    starts, ends, hashes = word_prefixes(data, inside, ())
+    return starts, ends, hashes[0][1]
+
+
+def word_prefixes(data: np.ndarray, inside: np.ndarray, lengths: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """Starts and ends of the words, and for the whole words and then each length of prefix in bytes the words that have one, with its hash."""
     is_word = inside[data]
     edge = np.diff(is_word.view(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(starts):
-        return starts, ends, np.empty(0, np.uint64)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _powers(_STEP, len(data)), out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * _powers(_STEP_INVERSE, len(data))[starts]
+    inverse = np.empty(0, np.uint64)
+    if len(starts):
+        np.cumsum(_BYTE[data] * _powers(_STEP, len(data)), out=sums[1:])
+        inverse = _powers(_STEP_INVERSE, len(data))[starts]
     if len(data) > 2 * CHUNK_BYTES:
         _POWERS.clear()
-    return starts, ends, mix(raw + (ends - starts).astype(np.uint64))
+    found = [(np.arange(len(starts)), mix((sums[ends] - sums[starts]) * inverse + (ends - starts).astype(np.uint64)))]
+    for n in lengths:
+        long = np.flatnonzero(ends - starts >= n)
+        found.append((long, mix((sums[starts[long] + n] - sums[starts[long]]) * inverse[long] + np.uint64((1 << 40) + n))))
+    return starts, ends, found
 
 
 def grouped(texts: list[bytes], most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
