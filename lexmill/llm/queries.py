@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_digest
+from .hnsw import near_vectors
 from .media import payload_digest
 from .neardup import near_duplicates
 from .packing import Capacity, pack
@@ -65,6 +66,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return section_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), rule="most")
 
 
+def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(table(spark, sf_dir, "documents"))
 
@@ -73,7 +78,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), Capacity())
 
 
-QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op9_pii, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op8_hnsw, op9_pii, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_url_filters": """
