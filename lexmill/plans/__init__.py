@@ -32,4 +32,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return corpus.tag_filter_size(spark, sf_dir)
+
+
+from . import corpus, scalars, tables  # noqa: E402, F401  the modules register their queries

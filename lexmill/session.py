@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings for scale; a cluster's own values for memory and parallelism stay as they are.
 SETTINGS = {
@@ -24,6 +24,14 @@ def session(name: str = "lexmill", master: str | None = None, **conf: str) -> Sp
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage at a checkpoint in the cluster's shared folder; a private one only where none is configured."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lexmill-"))
+    return df.checkpoint()
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once per application, so that its Python functions load there."""
     sc = spark.sparkContext
