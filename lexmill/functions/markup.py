@@ -264,12 +264,15 @@ def page_fields(spec: dict[str, dict]) -> Callable[[Column], Column]:
 
     kind = ", ".join(f"{n}: {'array<string>' if r.get('all') else 'string'}" for n, r in spec.items())
 
-    @F.pandas_udf(f"struct<{kind}>")
-    def run(pages: pd.Series) -> pd.DataFrame:
-        rows = [{n: None for n in spec} if p is None else read(p) for p in pages]
-        return pd.DataFrame(rows, columns=list(spec), dtype=object)
+    def parser(page: Column) -> Column:
+        @F.pandas_udf(f"struct<{kind}>")
+        def run(pages: pd.Series) -> pd.DataFrame:
+            rows = [{n: None for n in spec} if p is None else read(p) for p in pages]
+            return pd.DataFrame(rows, columns=list(spec), dtype=object)
 
-    return run
+        return run(page)
+
+    return parser
 
 
 #: Page templates of some sites: fields and where they stand.

@@ -156,7 +156,7 @@ def proposal_created(text: Column) -> Column:
 def proposal_authors(text: Column) -> Column:
     """Sorted names of the author field, without addresses."""
     block = F.regexp_extract(text, r"(?ms)^Author: (.*?)^[^\n]*?:", 1)
-    names = F.transform(F.split(F.regexp_replace(block, r"(?s)<.*?>", ""), ","), strip)
+    names = F.transform(F.split(F.regexp_replace(block, r"(?s)<.*?>", ""), ","), lambda x: strip(x))
     return F.sort_array(F.filter(names, lambda x: x != ""))
 
 
@@ -171,7 +171,7 @@ def clean_author(text: Column) -> Column:
     out = text
     for lead in (r"^[Aa]uthors?:?\b", r"^[Bb]y:?\b", r"^(?i:Written by)", r"^STORY:", r"[-.]$"):
         out = strip(F.regexp_replace(out, lead, ""))
-    scholars = F.filter(F.transform(F.regexp_extract_all(out, F.lit(r"(.*?),.*?University.*?(?:;| and)?"), F.lit(1)), strip), lambda x: x != "")
+    scholars = F.filter(F.transform(F.regexp_extract_all(out, F.lit(r"(.*?),.*?University.*?(?:;| and)?"), F.lit(1)), lambda x: strip(x)), lambda x: x != "")
     out = F.when(F.size(scholars) > 0, F.array_join(scholars, ", ")).otherwise(out)
     out = strip(F.split(strip(F.split(out, "\n")[0]), "\t")[0])
     return strip(F.regexp_replace(F.regexp_replace(out, r" Contributor$", ""), f"{SPACE}+", " "))

@@ -75,8 +75,9 @@ def compacted(df: DataFrame, order: str, size: Column, most: int, file_col: str,
     """Rows with their new shard, and for each shard its files in order, first and last id and rows."""
     rows = even_shards(df, order, size, most)
     files = F.transform(F.array_sort(F.collect_list("_file")), lambda x: x["file"])
-    per_file = rows.groupBy("shard", F.col(file_col).alias("file")).agg(F.min(order).alias("at"), F.count(F.lit(1)).alias("n"), F.min(F.struct(order, id_col)).alias("_first"), F.max(F.struct(order, id_col)).alias("_last"))
-    shards = per_file.withColumn("_file", F.struct("at", "file")).groupBy("shard").agg(files.alias("files"), F.min("_first")[id_col].alias("first_id"), F.max("_last")[id_col].alias("last_id"), F.sum("n").alias("rows"))
+    place = F.struct(F.col(order).alias("at"), F.col(id_col).alias("id"))
+    per_file = rows.groupBy("shard", F.col(file_col).alias("file")).agg(F.min(order).alias("at"), F.count(F.lit(1)).alias("n"), F.min(place).alias("_first"), F.max(place).alias("_last"))
+    shards = per_file.withColumn("_file", F.struct("at", "file")).groupBy("shard").agg(files.alias("files"), F.min("_first")["id"].alias("first_id"), F.max("_last")["id"].alias("last_id"), F.sum("n").alias("rows"))
     return rows, shards
 
 

@@ -53,7 +53,7 @@ def item_key(uri: Column, digits: int = 6) -> Column:
 
 def licensed_items(index: DataFrame, licenses: list[str]) -> DataFrame:
     """Keys of the items under the given licenses. index: license, uris."""
-    return index.filter(F.col("license").isin(licenses)).select(item_key(F.explode("uris")).alias("item")).distinct()
+    return index.filter(F.col("license").isin(licenses)).select(F.explode("uris").alias("uri")).select(item_key(F.col("uri")).alias("item")).distinct()
 
 
 def upsert(index: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:

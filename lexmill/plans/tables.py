@@ -191,7 +191,7 @@ def id_to_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.shard_of_ids(docs, "doc_id", "file")
 
 
-@query("SELECT (max(doc_id // 100) + 1)::INT AS next, round(avg(n), 6) AS mean FROM (SELECT doc_id // 100 AS doc_id, count(*) OVER (PARTITION BY doc_id // 100) AS n FROM documents)")
+@query("SELECT (max(s) + 1)::INT AS next, round(avg(n), 6) AS mean FROM (SELECT doc_id // 100 AS s, count(*) OVER (PARTITION BY doc_id // 100) AS n FROM documents)")
 def next_shard_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = read(spark, sf_dir, "documents").groupBy(layout.shard_name(F.expr("doc_id div 100"), "a.jsonl.gz").alias("file")).agg(F.count(F.lit(1)).alias("n"))
     return shards.agg(layout.next_shard(shards, "file").alias("next"), F.round(F.sum(F.col("n") * F.col("n")) / F.sum("n"), 6).alias("mean"))
