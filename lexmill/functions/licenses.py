@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import SPACE, strip
+from .text import SPACE, let, strip
 
 _BY = "Creative Commons - Attribution - https://creativecommons.org/licenses/by"
 _SA = "Creative Commons - Attribution Share-Alike - https://creativecommons.org/licenses/by-sa"
@@ -150,7 +150,7 @@ def states_license(text: Column, statements: tuple[str, ...] = STATEMENTS, share
     rows = F.split(text, "\n")
     n = F.greatest(F.floor(F.size(rows) / share).cast("int"), F.lit(least))
     ends = F.concat_ws("\n", F.array_join(F.slice(rows, F.lit(1), n), "\n"), F.array_join(F.slice(rows, F.greatest(F.size(rows) - n + 1, F.lit(1)), n), "\n"))
-    return F.exists(F.lit(list(statements)), lambda s: F.contains(ends, s))
+    return let(ends, lambda e: F.exists(F.lit(list(statements)), lambda s: F.contains(e, s)))
 
 
 #: The expression that finds license marks in raw HTML.

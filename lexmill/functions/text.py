@@ -16,6 +16,11 @@ def quoted(literal: str) -> str:
     return re.sub(r"([^\w\s])", r"\\\1", literal)
 
 
+def let(value: Column, body) -> Column:
+    """body(value) with the value computed once: inside a lambda an expression is evaluated for every element, a variable is not."""
+    return F.get(F.transform(F.array(value), lambda x: body(x)), F.lit(0))
+
+
 def strip(text: Column, space: str = SPACE) -> Column:
     return F.regexp_replace(text, f"^{space}+|{space}+$", "")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import lines, words
+from ..functions.text import let, lines, words
 from . import spans as S
 
 
@@ -28,8 +28,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def shingles(own: Column, n: int) -> Column:
     """All runs of n words, as texts; none for fewer words."""
-    starts = F.when(F.size(own) >= n, F.sequence(F.lit(1), F.size(own) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda k: F.array_join(F.slice(own, k, n), " "))
+
+    def of(w: Column) -> Column:
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda k: F.array_join(F.slice(w, k, n), " "))
+
+    return let(own, of)
 
 
 def ngram_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:

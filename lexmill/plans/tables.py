@@ -171,8 +171,8 @@ def greedy_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH s AS (SELECT doc_id, 'f' || (doc_id // 100) AS file, ((coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) // 100000)::INT AS shard FROM documents),
-  f AS (SELECT shard, file, min(doc_id) AS at FROM s GROUP BY shard, file) SELECT s.shard, min(s.doc_id) AS first_id, max(s.doc_id) AS last_id, count(*) AS rows, any_value(x.files) AS files
-  FROM s JOIN (SELECT shard, list(file ORDER BY at) AS files FROM f GROUP BY shard) x USING (shard) GROUP BY s.shard""")
+  f AS (SELECT shard, file, min(doc_id) AS pos FROM s GROUP BY shard, file) SELECT s.shard, min(s.doc_id) AS first_id, max(s.doc_id) AS last_id, count(*) AS rows, any_value(x.files) AS files
+  FROM s JOIN (SELECT shard, list(file ORDER BY pos) AS files FROM f GROUP BY shard) x USING (shard) GROUP BY s.shard""")
 def compaction_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "n_chars", F.concat(F.lit("f"), F.expr("cast(doc_id div 100 as string)")).alias("file"))
     return layout.compacted(docs, "doc_id", F.col("n_chars"), 100_000, "file", "doc_id")[1]
