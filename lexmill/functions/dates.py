@@ -41,6 +41,6 @@ def version_parts(text: Column) -> Column:
 
 def partial_date(dates: Column, kinds: tuple[str, ...] = ("pub", "epub", "pmc-release", "ppub")) -> Column:
     """Of structs (kind, year, month, day) the first kind in order that has a year; months and days default to 1."""
-    of = lambda kind: F.element_at(F.filter(dates, lambda d: (d.kind == kind) & d.year.isNotNull()), 1)
+    of = lambda kind: F.get(F.filter(dates, lambda d: (d.kind == kind) & d.year.isNotNull()), F.lit(0))
     best = F.coalesce(*[of(k) for k in kinds])
     return F.make_date(best["year"].cast("int"), F.coalesce(best["month"].cast("int"), F.lit(1)), F.coalesce(best["day"].cast("int"), F.lit(1)))

@@ -115,7 +115,7 @@ def listed_by(df: DataFrame, by: str, value: str) -> DataFrame:
 
 def last_pair(entries: Column) -> Column:
     """Of entries (kind, value) up to the first that completes a pair, the last uri and the license."""
-    return F.struct(F.element_at(F.filter(entries, lambda e: e.kind == "uri"), 1)["value"].alias("uri"), F.element_at(F.filter(entries, lambda e: e.kind == "license"), 1)["value"].alias("license"))
+    return F.struct(F.get(F.filter(entries, lambda e: e.kind == "uri"), F.lit(0))["value"].alias("uri"), F.get(F.filter(entries, lambda e: e.kind == "license"), F.lit(0))["value"].alias("license"))
 
 
 def largest_edition(pages: DataFrame, title: str, edition: str, content: str, order: str) -> DataFrame:

@@ -39,11 +39,10 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType = DOCUME
     return rows.withColumn("file", F.col("_metadata.file_path")).filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
-def bad_lines(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT, pattern: str = "*.jsonl.gz") -> DataFrame:
-    """What :func:`read_documents` leaves out, with its file."""
-    extra = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(extra).option("mode", "PERMISSIVE").json(input_path(spark, path, pattern))
-    return rows.select(F.col("_metadata.file_path").alias("file"), *[c.name for c in extra]).filter(F.col("_corrupt_record").isNotNull()).select("file", F.col("_corrupt_record").alias("line"))
+def bad_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl.gz") -> DataFrame:
+    """What :func:`read_documents` leaves out: file and line."""
+    rows = spark.read.text(input_path(spark, path, pattern)).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    return rows.filter(F.try_parse_json("line").isNull() | (F.trim("line") == "null"))
 
 
 def write_documents(docs: DataFrame, path: str, name: str, order: str | None = None, shard_bytes: int = GIGABYTE, overwrite: bool = False) -> None:

@@ -28,7 +28,7 @@ def read_attribute_rows(spark: SparkSession, path: str, fields: list[str]) -> Da
 
 def read_texts(spark: SparkSession, glob: str) -> DataFrame:
     """A row per file: file and text."""
-    return spark.read.option("wholetext", "true").text(glob).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
+    return spark.read.text(glob, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
 def path_parts(file: Column, pattern: str, names: list[str]) -> list[Column]:
