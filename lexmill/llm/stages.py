@@ -13,25 +13,38 @@ from pyspark.sql import functions as F
 
 from .neardup import near_duplicates
 from .pii import find_pii
+from .staging import maybe_in, staged
 from .toxicity import score_toxicity, train
 
 
+def _aside(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list]:
+    """The table with columns of the given names renamed, and the columns that bring it back."""
+    for name in names:
+        docs = docs.withColumnRenamed(name, f"_own_{name}")
+    return docs, [F.col(c).alias(c[5:]) if c.startswith("_own_") and c[5:] in names else F.col(c) for c in docs.columns]
+
+
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows with a toxicity below the threshold, by a model trained on the labelled ones among them."""
-    columns = docs.columns
-    scored = score_toxicity(docs, train(docs, labels), "text")
-    return scored.filter(F.col("toxicity") < threshold).select(columns)
+    model = train(docs, labels)
+    rows, back = _aside(docs, ("toxicity", "toxic_sentences"))
+    return score_toxicity(rows, model, "text").filter(F.col("toxicity") < threshold).select(back)
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group: the one with the least id."""
-    kept = near_duplicates(docs.select("doc_id", "text"), width, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(docs.columns)
+    judged = near_duplicates(docs.select("doc_id", "text"), width, percent).select(F.col("doc_id").alias("_gone"), "kept")
+    gone = staged(judged.groupBy("_gone").agg(F.max("kept").alias("kept")).filter(~F.col("kept")), "removed")
+    # most rows are seen to stay without a shuffle of their texts
+    stay = maybe_in(docs, "doc_id", gone, "_gone", invert=True)
+    rest = maybe_in(docs, "doc_id", gone, "_gone").join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    return stay.unionByName(rest.select(docs.columns))
 
 
 def redact_pii(docs: DataFrame) -> DataFrame:
     """Personal data in the text gives way to <KIND>; n_chars follows, where there is one."""
-    out = find_pii(docs, "text", "text").drop("pii")
+    rows, back = _aside(docs, ("pii",))
+    out = find_pii(rows, "text", "text")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out.select(back)

@@ -1,0 +1,248 @@
+"""Media, toxicity, BPE, token counts and personal data against plain statements of their rules."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+import io
+import random
+import re
+import struct
+import zipfile
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lexmill.llm import bpe, media, pii, stages, tokens, toxicity
+from lexmill.llm.queries import vocabulary
+
+TEXTS = [None, "", " ", "a", "Hello World's  end\r\n\tçé 12½ <|endoftext|>x", "  é́ ΑΣ Σİ", "😀" * 40, "ab" * 60_000, "line\nline\nline", "P5 1 1 255\nx RIFF BM %PDF-1 PK\x03\x04"]
+
+
+def rows(spark, texts=TEXTS):
+    df = spark.createDataFrame([(k, t, "clash") for k, t in enumerate([*texts, *texts[:3]])], "doc_id long, text string, ids string")
+    return df.withColumnRenamed("ids", "feature")
+
+
+# media
+
+
+def png(size=3):
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", size, size, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"\0" * (size * (size + 1)))) + chunk(b"IEND", b"")
+
+
+def made_zip():
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("a", "b" * 50)
+    return out.getvalue()
+
+
+GIF = b"GIF89a\x01\0\x01\0\x80\0\0\0\0\0\xff\xff\xff!\xf9\x04\0\0\0\0\0,\0\0\0\0\x01\0\x01\0\0\x02\x02D\x01\0;"
+JPEG = b"\xff\xd8\xff\xe0\0\x04ab\xff\xda\0\x04cd\x12\xff\0\x34\xff\xd9"
+BMP = b"BM" + struct.pack("<IHHI", 58, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 1, 1, 1, 24, 0, 4, 0, 0, 0, 0) + b"\1\2\3\0"
+MEDIA = {"image/png": png(), "image/gif": GIF, "image/jpeg": JPEG, "image/bmp": BMP, "audio/wav": media.wav_of(b"abcd"), "application/gzip": gzip.compress(b"hi" * 40), "application/zip": made_zip(), "image/x-portable-graymap": b"P5\n2 2\n255\nabcd", "application/pdf": b"%PDF-1.4\nx\nstartxref\n9\n%%EOF"}
+
+
+@pytest.mark.parametrize("kind", MEDIA)
+def test_sniffed_whole_cut_and_embedded(kind):
+    machine, data = media.automaton(), MEDIA[kind]
+    assert media.sniff(data, machine) == [(kind, 0, len(data))]
+    assert media.sniff(b"xx" + data + b"yy" + data, machine) == [(kind, 2, len(data)), (kind, 4 + len(data), len(data))] or kind in ("application/pdf", "application/zip")
+    assert media.sniff(data[:-1], machine) == []
+
+
+def test_no_media_in_noise():
+    rng = random.Random(4)
+    noise = bytes(rng.randrange(256) for _ in range(200_000)) + b"RIFF\xff\xff\xff\xffWAVE" + b"BM" * 50 + b"GIF89a" * 20 + b"\x1f\x8b\x08\0" * 20 + b"\x89PNG\r\n\x1a\n\0\0"
+    assert [s for s in media.sniff(noise, media.automaton()) if s[2] > 64] == []
+
+
+def test_correct_and_carve(spark):
+    content = b"lead" + MEDIA["image/png"] + b"mid" + GIF
+    df = spark.createDataFrame([(1, bytearray(MEDIA["image/png"]), "image/jpeg"), (2, bytearray(content), "text/plain"), (3, None, "x"), (4, bytearray(b""), None)], "k int, c binary, said string")
+    found = media.sniff_media(df, "c", "said")
+    assert [(r["k"], r["media_type"], r["corrected"], len(r["embedded"])) for r in found.orderBy("k").collect()] == [(1, "image/png", True, 0), (2, "text/plain", False, 2), (3, "x", False, 0), (4, None, False, 0)]
+    assert [bytes(r["carved"]) for r in media.carve_media(found, "c").orderBy("offset").collect()] == [MEDIA["image/png"], GIF]
+
+
+def test_payload_digest(spark):
+    got = {}
+    for r in media.payload_digest(rows(spark)).collect():
+        raw = ([*TEXTS, *TEXTS[:3]][r["doc_id"]] or "").encode()
+        payload = raw + b"\0" * ((-len(raw)) % 64 if raw else 64)
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        stored = media.wav_of(payload)
+        assert (r["media_bytes"], r["media_sha256"]) == (len(stored), hashlib.sha256(stored).hexdigest()) and media.wav_samples(stored) == payload
+        assert got.setdefault(raw, r["feature"]) == r["feature"]
+
+
+# word BPE
+
+
+@pytest.fixture(scope="module")
+def word_file():
+    pytest.importorskip("public_tokenizers")
+    return vocabulary("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def byte_file():
+    pytest.importorskip("public_tokenizers")
+    return vocabulary("byte_bpe_50k.json")
+
+
+def test_bpe_is_the_librarys(spark, word_file):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(word_file)
+    for r in bpe.bpe_digest(rows(spark), word_file).collect():
+        e = library.encode([*TEXTS, *TEXTS[:3]][r["doc_id"]] or "", add_special_tokens=False)
+        assert r["n_tokens"] == len(e.ids)
+        assert r["ids_sha256"] == hashlib.sha256(np.array(e.ids, "<u4").tobytes()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(e.ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_bpe_on_random_texts(word_file):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    alphabet = "aabbee's tT're\n\x85\x1c​ 　éÉßΣςİ12٣½中😀<|>.,౜꟎"
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000)] + ["aaaa" * 9, "ababa" * 7, "<|startoftext|>a<|endoftext|>"]
+    mine = [np.frombuffer(raw, "<u4").tolist() for raw, _ in bpe.WordBpe(word_file).encode(texts)]
+    assert mine == [e.ids for e in Tokenizer.from_file(word_file).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_encode_then_decode(spark, word_file):
+    out = bpe.decode_words(bpe.encode_words(rows(spark).drop("feature").filter("doc_id < 5"), word_file), word_file)
+    assert {r["doc_id"]: r["decoded"] for r in out.collect()}[3] == "a</w>"
+
+
+# token counts
+
+
+@pytest.mark.parametrize("rule", tokens.RULES)
+def test_section_counts(spark, byte_file, rule):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(byte_file)
+    by_doc = {}
+    for r in tokens.section_tokens(rows(spark), byte_file, rule).collect():
+        by_doc.setdefault(r["doc_id"], []).append(r)
+    for k, t in enumerate([*TEXTS, *TEXTS[:3]]):
+        t = t or ""
+        own = sorted(by_doc[k], key=lambda r: r["section"])
+        assert [r["section"] for r in own] == list(range(len(own)))
+        assert "".join(t[r["start"] : r["end"]] for r in own) == t and all("\n" not in t[r["start"] : r["end"] - 1] for r in own)
+        assert sum(r["n_tokens"] for r in own) == len(library.encode(t, add_special_tokens=False).ids)
+
+
+def test_rules_of_crossing_tokens():
+    lengths, starts = np.array([2, 3, 1]), np.array([0, 3, 5])
+    assert [tokens.attribute(lengths, starts, r)[0].tolist() for r in tokens.RULES] == [[2, 0, 1], [1, 1, 1], [1, 1, 1]]
+    assert tokens.attribute(np.array([2]), np.array([0, 1]), "most")[0].tolist() == [1, 0]
+
+
+def test_fields(spark, byte_file):
+    df = spark.createDataFrame([(1, "one two", None, "three"), (2, None, None, None)], "doc_id long, a string, b string, c string")
+    got = {(r["doc_id"], r["field"]): r["n_tokens"] for r in tokens.field_tokens(df, byte_file, ["a", "b", "c"]).collect()}
+    assert got[1, "c"] >= 1 and got[1, "a"] >= 2 and sum(v for (i, _), v in got.items() if i == 1) == len(tokens.ByteBpe(byte_file).ids("one two\n\nthree"))
+
+
+# personal data
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            odd = sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(digits)))
+            if {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")), "card": 13 <= len(digits) <= 19 and odd % 10 == 0, "phone": 9 <= len(digits) <= 15}[kind]:
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+PERSONAL = ["mail a.b@c.de, call +49 (30) 123-4567!", "4111 1111 1111 1111 and 1.2.3.4.5.6.7.8", "😀 x@y.z card 4111-1111-1111-1112", "IBAN DE89 3704 0044 0532 0130 00", "ssn 123-45-6789", "9" * 50_000, "a" * 50_000 + "@", "1.1.1.256", None, ""]
+
+
+def test_pii_digest(spark):
+    rng = random.Random(6)
+    texts = PERSONAL + ["".join(rng.choice("a@.-1+ ()49é") for _ in range(rng.randint(0, 60))) for _ in range(500)]
+    df = spark.createDataFrame([(k, t, "clash") for k, t in enumerate(texts)], "doc_id long, text string, pii string")
+    for r in pii.pii_digest(df).collect():
+        own = base_spans(texts[r["doc_id"]] or "")
+        assert r["base_sha256"] == hashlib.sha256(",".join(own).encode()).hexdigest(), texts[r["doc_id"]]
+        assert [r[f"n_{k}"] for k in PATTERNS] == [sum(x.startswith(k + ":") for x in own) for k in PATTERNS]
+        assert set(own) <= set(r["spans"].split(",") if r["spans"] else [])
+
+
+def test_checks_and_context():
+    assert [s[0] for s in pii.find_spans("IBAN DE89 3704 0044 0532 0130 00")][-1] == "iban"
+    assert all(s[0] != "iban" for s in pii.find_spans("IBAN DE89 3704 0044 0532 0130 01"))
+    assert [s[0] for s in pii.find_spans("ssn 123-45-6789")] == ["ssn"] and pii.find_spans("nr 123-45-6789") == []
+    near, far = pii.find_spans("call +4930123456")[0], pii.find_spans("x +4930123456")[0]
+    assert near[3] > far[3]
+
+
+def test_redaction_stage(spark):
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(PERSONAL)], "doc_id long, text string, pii string").withColumn("n_chars", F.length("text").cast("long"))
+    out = {r["doc_id"]: r for r in stages.redact_pii(docs).collect()}
+    assert out[0]["text"] == "mail <EMAIL>, call <PHONE>!" and out[0]["n_chars"] == len(out[0]["text"]) and out[8]["text"] is None and out[0]["pii"] == "x"
+
+
+# toxicity
+
+
+def labelled(spark, n=600, seed=8):
+    rng = random.Random(seed)
+    calm, bad = [f"word{k}" for k in range(60)], ["vile", "nasty", "grim"]
+    docs, marks = [], []
+    for k in range(n):
+        sentences = [" ".join(rng.choice(calm) for _ in range(6)) for _ in range(rng.randint(1, 8))]
+        toxic = rng.random() < 0.3
+        if toxic:
+            at = rng.randrange(len(sentences))
+            sentences[at] += f" {rng.choice(bad)} {rng.choice(bad)}"
+        docs.append((k, ". ".join(sentences) + "."))
+        marks.append((k, int(toxic)))
+    docs += [(10_000, None), (10_001, ""), (10_002, "?!"), (10_003, "word1 " * 30_000)]
+    return spark.createDataFrame([(i, t, "c") for i, t in docs], "doc_id long, text string, toxicity string"), spark.createDataFrame(marks, "doc_id long, toxic int"), dict(marks)
+
+
+def test_toxicity_held_out(spark):
+    docs, labels, truth = labelled(spark)
+    got = {r["doc_id"]: r for r in toxicity.toxicity_digest(docs, labels.union(labels.limit(3))).collect()}
+    assert len(got) == 604 and all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got.values())
+    held = [r for r in got.values() if r["held_out"] and r["doc_id"] in truth]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got.values())
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) >= 0.97 * len(held)
+    assert [got[k]["score"] for k in (10_000, 10_001, 10_002)] == [0, 0, 0] and got[10_003]["predicted"] == 0
+
+
+def test_offending_sentences_are_located(spark):
+    docs, labels, _ = labelled(spark)
+    text = "Word1 word2 é. This is vile and nasty! word3"
+    scored = toxicity.score_toxicity(spark.createDataFrame([(1, text)], "doc_id int, text string"), toxicity.train(docs, labels)).first()
+    (s,) = scored["toxic_sentences"]
+    assert text[s["start"] : s["end"]] == "This is vile and nasty"
+
+
+def test_without_labels_nothing_is_toxic(spark):
+    docs, labels, _ = labelled(spark, 20)
+    assert {r["score"] for r in toxicity.toxicity_digest(docs, labels.limit(0)).collect()} == {0.0}
+    assert toxicity.toxicity_digest(docs.limit(0), labels).count() == 0
+
+
+def test_toxic_stage(spark):
+    docs, labels, truth = labelled(spark)
+    out = stages.drop_toxic(docs, labels)
+    assert out.columns == docs.columns
+    kept = {r["doc_id"]: r["toxicity"] for r in out.collect()}
+    assert set(kept.values()) == {"c"} and 10_000 in kept
+    assert sum(truth.get(i, 0) for i in kept) <= 0.03 * len(truth)
