@@ -1,22 +1,29 @@
 """MinHash near-duplicates by an inverted join of signature coordinates.
 
 1. Every text becomes the set of its word shingles (64-bit hashes) and a
-   signature of K minima. Equal sets form one class, whatever their number.
-2. Each class is posted under each of its K coordinate-value pairs. Two sets of
-   similarity s agree in a binomial number of coordinates (K, s); those with
-   fewer than T common ones are given up. With K = 64, T = 36 that loses 4 links
-   of similarity 0.8 in a million, and none that matter above.
+   signature of K coordinates, each a hash of R minima, and a sketch of four bits
+   for each of the 128 minima. Equal sets form one class, whatever their number.
+2. Each class is posted under each of its K coordinate-value pairs. Sets of
+   similarity s agree in a binomial number of coordinates (K, s^R); those with
+   fewer than T common ones are given up: with K = 32, R = 4, T = 2 one link of
+   similarity 0.8 in a million, and fewer above. R keeps the posting lists short
+   and should grow with the logarithm of the corpus.
 3. Skip: a class that has fewer than T pairs in common with others, with any at
    all, can be nobody's partner and leaves, and its postings with it, which may
    make others leave.
 4. Leaders: under every pair the posted classes meet one leader, not each other.
-   Each class is verified against the leader that it met most often, and links
-   join into components; a few rounds with other leaders shrink large groups to
-   a few components at a cost that grows with the postings alone.
+   Each class is verified against the leader whose sketch agrees most, and
+   links join into components; a few rounds with other leaders shrink large
+   groups to a few components at a cost that grows with the postings alone.
 5. Prefix: what is left are links between components. A class that has m pairs
    in common with other components shares, with each partner, one of its
-   m - T + 1 rarest at least; only those are joined. Candidates with T common
-   coordinates or more are verified.
+   m - T + 1 rarest at least; only those are joined. Pairs whose sketches agree
+   in the match threshold of places are retained and verified. A similarity of
+   0.8 falls below 82 of 128 once in a million times; in step 4, which compares
+   two bits of 64 minima, below 38 of 64 once in ten million times. A map of
+   1,024 parities then rules pairs out for certain: the places in which two maps
+   differ are no more than the shingles in one set alone, of which a link allows
+   (100 - percent) / (100 + percent) of both sizes at most.
 
 Links are verified on the full sets: 100 * intersection >= percent * union.
 No list of links, partners or candidates is cut short.
@@ -35,67 +42,96 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .staging import staged
-from .words import shingle_sets
-
-COORDINATES, MATCHES = 64, 36
-#: Rounds of leaders at most, and the share of classes a round must link for another one.
-ROUNDS, WORTH = 4, 0.02
+from .staging import maybe_in, staged
+from .words import mix, shingle_sets
+
+#: K, R and T of the signature.
+COORDINATES, MINIMA, MATCHES = 32, 4, 2
+#: Words of the sketch: bit planes of the first and the second 64 minima. The short sketch is the first two.
+PLANES = (("low", "high", "plane2", "plane3"), ("plane4", "plane5", "plane6", "plane7"))
+SHORT = (("low", "high"),)
+#: How many minima must agree, in the short and the whole sketch.
+AGREED, AGREED_WHOLE = 38, 82
+#: Rounds of leaders at most, and the share of all links so far that a round must add for another one.
+ROUNDS, WORTH = 10, 0.01
+PARITIES = 1024
+WORDS = tuple(w for group in PLANES for w in group)
 _BLOCK = 4096
+_BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
 class MinHash:
-    def __init__(self, coordinates: int) -> None:
+    def __init__(self) -> None:
         rng = np.random.Generator(np.random.PCG64(977))
-        self.factors = rng.integers(1, 2**64, coordinates, np.uint64, endpoint=False) | np.uint64(1)
-        self.terms = rng.integers(0, 2**64, coordinates, np.uint64, endpoint=False)
+        self.factors = rng.integers(1, 2**64, COORDINATES * MINIMA, np.uint64, endpoint=False) | np.uint64(1)
+        self.terms = rng.integers(0, 2**64, COORDINATES * MINIMA, np.uint64, endpoint=False)
+        self.weights = rng.integers(1, 2**64, MINIMA, np.uint64, endpoint=False) | np.uint64(1)
 
-    def signature(self, values: np.ndarray) -> np.ndarray:
-        """The least value under each function, as 32 bits."""
+    def signature(self, values: np.ndarray) -> tuple:
+        """The coordinates as 32 bits, and the words of the sketch."""
         least = np.full(len(self.factors), np.iinfo(np.uint64).max)
         for k in range(0, len(values), _BLOCK):
             table = values[k : k + _BLOCK, None] * self.factors + self.terms
             table ^= table >> np.uint64(32)
             np.minimum(least, (table * np.uint64(0x9E3779B97F4A7C15)).min(axis=0), out=least)
-        return (least >> np.uint64(16)).astype(np.uint32).view(np.int32)
+        least = mix(least)
+        joined = mix((least.reshape(COORDINATES, MINIMA) * self.weights).sum(axis=1, dtype=np.uint64))
+        words = [int(((least[64 * g : 64 * g + 64] >> np.uint64(k) & np.uint64(1)) * _BITS).sum(dtype=np.uint64).view(np.int64)) for g in (0, 1) for k in range(4)]
+        return (joined >> np.uint64(32)).astype(np.uint32).view(np.int32), *words
+
 
+def parities(values: np.ndarray) -> np.ndarray:
+    """For each of the places that hashes fall on, whether an odd number does, as 64-bit words."""
+    odd = np.bincount((values & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
-def shingled(docs: DataFrame, width: int, coordinates: int, id_col: str, text_col: str, sets: bool = False) -> DataFrame:
-    """Id, n_shingles, digest (of the whole set) and signature; with ``sets``, the set too."""
+
+def shingled(docs: DataFrame, width: int, id_col: str, text_col: str, sets: bool = False) -> DataFrame:
+    """Id, n_shingles, digest (of the whole set), signature and sketch; with ``sets``, the set in their place."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = MinHash(coordinates)
+        hashes = MinHash()
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                sizes, digests, rest = [], [], []
+                sizes, digests, rest = [], [], [[] for _ in range(1 + len(WORDS))]
+                odd = []
                 for values in shingle_sets([(t or "").encode() for t in part.column(1).to_pylist()], width):
                     sizes.append(len(values))
                     digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
                     if sets:
-                        rest.append(values.view(np.int64))
-                    else:
-                        rest.append(hashes.signature(values) if len(values) else np.empty(0, np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(rest, pa.list_(pa.int64() if sets else pa.int32()))],
-                    names=["id", "n_shingles", "digest", "shingles" if sets else "signature"],
-                )
-
-    last = "shingles array<long>" if sets else "signature array<int>"
+                        rest[0].append(values.view(np.int64))
+                        continue
+                    own = hashes.signature(values) if len(values) else (np.empty(0, np.int32), *[0] * len(WORDS))
+                    odd.append(parities(values))
+                    for x, column in zip(own, rest):
+                        column.append(x)
+                columns = [part.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())]
+                names = ["id", "n_shingles", "digest"]
+                if sets:
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(rest[0], pa.list_(pa.int64()))], names=[*names, "shingles"])
+                else:
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(rest[0], pa.list_(pa.int32())), *[pa.array(x, pa.int64()) for x in rest[1:]], pa.array(odd, pa.list_(pa.int64()))], names=[*names, "signature", *WORDS, "parity"])
+
+    last = "shingles array<long>" if sets else f"signature array<int>, {', '.join(f'{w} long' for w in WORDS)}, parity array<long>"
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string")).mapInArrow(run, f"id {kind}, n_shingles long, digest binary, {last}")
 
 
-def _common(postings: DataFrame, matches: int) -> DataFrame:
-    """The postings under pairs that others have too, of the nodes with enough of them."""
-    shared = postings.groupBy("pair").agg(F.count(F.lit(1)).alias("posted")).filter(F.col("posted") > 1).select("pair")
-    kept = postings.join(shared, "pair")
-    enough = kept.groupBy("node").agg(F.collect_list("pair").alias("pairs")).filter(F.size("pairs") >= matches)
-    return enough
+#: What goes with a posting: the short sketch and the size of the set; in the last join, the whole sketch.
+KNOWN = ("low", "high", "n_shingles")
+ALL_KNOWN = (*WORDS, "n_shingles", "parity")
+
+
+def _common(nodes: DataFrame, matches: int) -> DataFrame:
+    """The nodes, with the pairs that others have too, as far as there are enough of them."""
+    shared = _post(nodes).groupBy("pair").agg(F.count(F.lit(1)).alias("posted")).filter(F.col("posted") > 1).select("pair")
+    kept = _post(nodes).join(shared, "pair")
+    return kept.groupBy("node").agg(F.collect_list("pair").alias("pairs")).filter(F.size("pairs") >= matches)
 
 
 def _post(nodes: DataFrame) -> DataFrame:
@@ -112,13 +148,40 @@ def _verified(candidates: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return both.filter((100 * small >= percent * large) & (100 * same >= percent * union)).select("a", "b")
 
 
-def _leaders(posted: DataFrame, turn: int) -> DataFrame:
-    """For each node the leader of another component that it meets under most pairs. posted: node, label, pair."""
+def _agreed(a: str, b: str, planes: tuple = SHORT) -> Column:
+    """Minima in which two sketches agree."""
+    total = F.lit(0)
+    for group in planes:
+        differ = F.lit(0).cast("long")
+        for word in group:
+            differ = differ.bitwiseOR(F.col(f"{a}{word}").bitwiseXOR(F.col(f"{b}{word}")))
+        total = total + 64 - F.bit_count(differ)
+    return total
+
+
+def _may_link(a: str, b: str, percent: int, planes: tuple = SHORT, least: int = AGREED) -> Column:
+    """Whether sketches and sizes allow a link."""
+    sizes = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+    return (_agreed(a, b, planes) >= least) & (100 * F.least(*sizes) >= percent * F.greatest(*sizes))
+
+
+def _may_overlap(a: str, b: str, percent: int) -> Column:
+    """Whether the maps of parities allow a link; never false for one."""
+    differ = F.aggregate(F.zip_with(F.col(f"{a}parity"), F.col(f"{b}parity"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    return differ * (100 + percent) <= (100 - percent) * (F.col(f"{a}n_shingles") + F.col(f"{b}n_shingles"))
+
+
+def _leaders(posted: DataFrame, turn: int, percent: int) -> DataFrame:
+    """For each node the leader of another component that it agrees with most, where a link is possible.
+
+    Every pair has two leaders, the least and the greatest in an order that
+    changes with the turn. posted: pair, node, label and KNOWN.
+    """
     order = F.xxhash64(F.lit(turn), "node")
-    lead = posted.groupBy("pair").agg(F.min(F.struct(order.alias("order"), "node", "label")).alias("lead"))
-    met = posted.join(lead, "pair").filter(F.col("label") != F.col("lead.label"))
-    often = met.groupBy("node", F.col("lead.node").alias("leader")).agg(F.count(F.lit(1)).alias("times"))
-    best = often.groupBy("node").agg(F.max(F.struct("times", F.xxhash64("leader"), "leader")).alias("best"))
+    ends = F.struct(order.alias("order"), "node", "label", *KNOWN)
+    lead = posted.groupBy("pair").agg(F.min(ends).alias("least"), F.max(ends).alias("most")).select("pair", F.explode(F.array("least", "most")).alias("lead"))
+    met = posted.join(lead, "pair").filter((F.col("label") != F.col("lead.label")) & _may_link("", "lead.", percent))
+    best = met.groupBy("node").agg(F.max(F.struct(_agreed("", "lead."), F.xxhash64("lead.node", F.lit(turn)), F.col("lead.node").alias("leader"))).alias("best"))
     return best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
 
 
@@ -133,41 +196,41 @@ def _mixed(nodes: DataFrame, labels: DataFrame, matches: int) -> DataFrame:
 def near_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, matches: int) -> DataFrame:
     """Node and label (of its component) for the classes that may have a link.
 
-    docs: id, text. classes: node, least (an id of the class), digest, n_shingles, signature.
+    docs: id, text. classes: node, least (an id of the class), digest, signature and ALL_KNOWN.
     """
     spark = classes.sparkSession
     pair = lambda x, k: F.shiftleft(k.cast("long"), 32).bitwiseOR(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    nodes = classes.select("node", F.transform("signature", pair).alias("pairs"))
-    nodes = staged(_common(_post(nodes), matches), "postings")
+    nodes = staged(_common(classes.select("node", F.transform("signature", pair).alias("pairs")), matches), "postings")
     left = nodes.count()
     while left:  # skip: those left may have shared pairs only with those that went
-        again = staged(_common(_post(nodes), matches), "postings")
-        nodes, before, left = again, left, again.count()
+        nodes, before = staged(_common(nodes, matches), "postings"), left
+        left = nodes.count()
         if left > 0.9 * before:
             break
     if not left:
         return spark.createDataFrame([], "node long, label long")
-    found = classes.join(nodes.select("node"), "node").select("node", "least", "digest")
-    texts = docs.join(found.select("least").distinct(), F.col("id").eqNullSafe(F.col("least")), "left_semi")
-    own = shingled(texts, width, 0, "id", "text", sets=True).join(found, "digest")
+    nodes = staged(nodes.join(classes.select("node", "least", "digest", *ALL_KNOWN), "node"), "postings")
+    found = nodes.select("node", "least", "digest")
+    texts = maybe_in(docs, "id", found, "least")
+    own = shingled(texts, width, "id", "text", sets=True).join(found.select("node", "digest"), "digest")
     sets = staged(own.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
     labels = staged(nodes.select("node", F.col("node").alias("label")), "labels")
+    total = 0
     for turn in range(ROUNDS):
-        posted = _post(nodes).join(labels, "node")
-        links = staged(_verified(_leaders(posted, turn), sets, percent), "links")
+        posted = nodes.join(labels, "node").select("node", "label", *KNOWN, F.explode("pairs").alias("pair"))
+        links = staged(_verified(_leaders(posted, turn, percent), sets, percent), "links")
         n = links.count()
-        labels = _joined(labels, links)
-        if n <= WORTH * left:
+        total += n
+        if n:
+            labels = _joined(labels, links)
+        if n <= WORTH * total:
             break
-    cross = staged(_mixed(nodes, labels, matches), "postings")
-    ranked = F.slice(F.sort_array("listed"), 1, F.size("listed") - (matches - 1))
-    rare = cross.select("node", "label", F.explode(F.transform(ranked, lambda x: x.pair)).alias("pair")).join(classes.select("node", "n_shingles"), "node")
-    a, b = (rare.select("pair", *[F.col(c).alias(f"{c}_{x}") for c in ("node", "label", "n_shingles")]) for x in "ab")
-    sized = 100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")
-    met = a.join(b, "pair").filter((F.col("label_a") != F.col("label_b")) & (F.col("node_a") < F.col("node_b")) & sized).groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.count(F.lit(1)).alias("met"))
-    of = lambda x: classes.select(F.col("node").alias(x), F.col("signature").alias(f"of_{x}"))
-    equal = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    candidates = met.select("a", "b").join(of("a"), "a").join(of("b"), "b").filter(equal >= matches).select("a", "b")
+    cross = _mixed(nodes, labels, matches)
+    rare = F.slice(F.sort_array("listed"), 1, F.size("listed") - (matches - 1))
+    posted = staged(cross.join(nodes.select("node", *ALL_KNOWN), "node").select("node", "label", *ALL_KNOWN, F.explode(F.transform(rare, lambda x: x.pair)).alias("pair")), "postings")
+    a, b = (posted.select("pair", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "label", *ALL_KNOWN)]) for x in "ab")
+    met = a.join(b, (a["pair"] == b["pair"]) & (F.col("a_label") != F.col("b_label")) & (F.col("a_node") < F.col("b_node")) & _may_link("a_", "b_", percent, PLANES, AGREED_WHOLE) & _may_overlap("a_", "b_", percent))
+    candidates = met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
     return _joined(labels, staged(_verified(candidates, sets, percent), "links"))
 
 
@@ -179,13 +242,14 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return staged(labels.join(now, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", coordinates: int = COORDINATES, matches: int = MATCHES
-) -> DataFrame:
-    """Return id, n_shingles, component_id (the least id reachable) and kept (whether that is its own)."""
-    rows = staged(shingled(docs, width, coordinates, id_col, text_col), "shingled")
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", matches: int = MATCHES) -> DataFrame:
+    """Return id, n_shingles, component_id (the least id reachable) and kept (whether that is its own).
+
+    The sketch and the signature are made for similarities of 80 percent and more.
+    """
+    rows = staged(shingled(docs, width, id_col, text_col), "shingled")
     full = rows.filter(F.col("n_shingles") > 0)
-    grouped = full.groupBy("digest").agg(F.min("id").alias("least"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    grouped = full.groupBy("digest").agg(F.min("id").alias("least"), F.first("signature").alias("signature"), *[F.first(c).alias(c) for c in ALL_KNOWN])
     classes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
     labels = near_links(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), classes, width, percent, matches)
     known = classes.select("digest", "node", "least").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

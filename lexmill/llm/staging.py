@@ -62,3 +62,22 @@ def exact_rank(df: DataFrame, by: list[str], bucket: Column, order: list, out: s
         .withColumn(out, F.col("_number").cast("long") - 1 + F.col("_offset"))
         .drop("_bucket", "_number", "_offset")
     )
+
+
+#: Bits of the filter of :func:`maybe_in`: 65,536 words of 64 bits at most are broadcast.
+FILTER_BITS = 1 << 22
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame, keys_key: str, invert: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys``, and some others: a bitmap of hashes, so that no other row needs a shuffle.
+
+    The bitmap has a fixed number of bits, whatever the keys; the fuller it
+    is, the more other rows pass. inverted: the rows that do not pass.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    words = keys.select((slot(F.col(keys_key)) / 64).cast("int").alias("_word"), F.expr("shiftleft(1L, cast(pmod(xxhash64(`%s`), 64) as int))" % keys_key).alias("_bit"))
+    words = words.groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    placed = df.withColumn("_word", (slot(F.col(key)) / 64).cast("int")).withColumn("_bit", F.expr("shiftleft(1L, cast(pmod(xxhash64(`%s`), 64) as int))" % key))
+    hit = F.coalesce(F.col("_bit").bitwiseAND(F.col("_bits")) != 0, F.lit(False))
+    out = placed.join(F.broadcast(words), "_word", "left").filter(~hit if invert else hit)
+    return out.select(df.columns)
