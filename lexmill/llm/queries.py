@@ -81,6 +81,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op8_hnsw, op9_pii, op10_packing)}
 
 ORACLE_SQL: dict[str, str] = {
+    # crc32 byte by byte: a table of 256 remainders, then a fold
+    "op3_sharding": """
+WITH remainders AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t
+), raw AS (
+  SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+  SELECT doc_id, source, coalesce('+' || source, '-') AS stratum, length(h) // 2 + 16 AS size, md5('interleave-1:' || coalesce(doc_id::VARCHAR, '')) AS key,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2), lambda k: ('0x' || substr(h, k, 2))::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)::BIGINT AS text_crc32
+  FROM raw, remainders
+), ranked AS (
+  SELECT *, (2 * (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 1) + 1) / (2 * count(*) OVER (PARTITION BY stratum)) AS fraction FROM sized
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, stratum, key, doc_id, text_crc32, size) - 1 AS position, count(*) OVER () AS n FROM ranked
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (position * 40 // n)::INT AS shard, (position - ((position * 40 // n) * n + 39) // 40)::BIGINT AS slot, NULL::INT AS grown_shard, source FROM placed
+""",
     "op6_url_filters": """
 WITH cut AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
