@@ -70,6 +70,33 @@ for _name, _pattern in PII.items():
     register(f"pii_{_name}", lambda t, own=_pattern: S.of_pattern(t, own))
 
 
+def register_document_model(name: str, score: Callable[[str], float]) -> None:
+    """A model of whole texts (language, quality) as a tagger: one span with its score."""
+
+    def run(text: Column) -> Column:
+        @F.pandas_udf("double")
+        def scored(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: float(score(t or "")))
+
+        return S.whole(text, scored(text))
+
+    register(name, run)
+
+
+def register_sentence_model(name: str, score: Callable[[str], float], ends: str = r"[^.!?\n]+[.!?\n]*") -> None:
+    """A model of sentences (toxic, unsafe) as a tagger: a span for each with its score."""
+    sentence = re.compile(ends)
+
+    def run(text: Column) -> Column:
+        @F.pandas_udf(S.SPANS)
+        def scored(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: [{"start": m.start(), "end": m.end(), "score": float(score(m[0]))} for m in sentence.finditer(t or "")])
+
+        return scored(text)
+
+    register(name, run)
+
+
 def code_stats(text: Column) -> Column:
     """Longest and mean line, share of letters and digits, letters per token (a token is a run without white space)."""
     rows, size = lines(text), F.length(text)

@@ -9,6 +9,7 @@ from . import query
 from .corpus import read
 from ..functions import dates, licenses as L, markup, text as X, urls as U
 from ..operators import relational as R
+from ..sources import ingest as I
 
 WS = r"[ \t\n\x0B\f\r]"
 
@@ -39,9 +40,18 @@ def license_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return literal(spark, URLS, "k int, u string").select("k", L.parse_license(F.col("u")).alias("license"))
 
 
-@query("SELECT page_id, nullif(lower(regexp_extract(html, '(?i)(creativecommons\\.org/(?:licenses/by(?:-sa|-nc|-nd)*|publicdomain/(?:zero|mark))/\\d\\.\\d)', 1)), '') AS license FROM pages")
+LINKS = ("by/4.0", "by-sa/3.0", "by-nc/4.0", "none")
+
+
+def linked_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a license link of every kind at their end, by id."""
+    link = F.element_at(F.lit(list(LINKS)), (F.col("page_id") % 4 + 1).cast("int"))
+    return read(spark, sf_dir, "pages").withColumn("html", F.concat("html", F.lit('<a href="HTTPS://CreativeCommons.org/licenses/'), link, F.lit('">')))
+
+
+@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'creativecommons.org/licenses/by/4.0' WHEN 1 THEN 'creativecommons.org/licenses/by-sa/3.0' WHEN 2 THEN 'creativecommons.org/licenses/by-nc/4.0' END AS license FROM pages")
 def license_in_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select("page_id", L.html_license(F.col("html")).alias("license"))
+    return linked_pages(spark, sf_dir).select("page_id", L.html_license(F.col("html")).alias("license"))
 
 
 @query("SELECT doc_id, regexp_matches(text, 'Apache License') AS stated FROM documents")
@@ -252,3 +262,48 @@ def proposal_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pretokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").withColumn("text", F.replace(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("'"), F.lit("")))
     return docs.filter(~F.col("text").rlike(r"\s\s|\s$")).select("doc_id", F.size(X.pretokens(F.col("text"), "gpt2")).cast("long").alias("n"))
+
+
+RDF = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:p="http://p/" xmlns:d="http://d/"><p:ebook rdf:about="ebooks/{k}"><d:title>T{k}</d:title><d:rights>{r}</d:rights><d:language><v>en</v></d:language>
+<p:file rdf:about="f{k}.zip"><d:format><v>text/plain</v></d:format></p:file><p:file rdf:about="f{k}-0.txt"><d:format><v>text/plain; charset=utf-8</v></d:format></p:file><p:file rdf:about="f{k}.txt"><d:format><v>text/plain; charset=us-ascii</v></d:format></p:file></p:ebook></rdf:RDF>"""
+BOOK_FILES = [(RDF.format(k=1, r="Public domain in the USA."),), (RDF.format(k=2, r="Copyrighted."),), ("<broken",), (None,)]
+
+
+@query("SELECT * FROM (VALUES ('1', 'T1', 'f1-0.txt')) t(id, title, file)")
+def book_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.public_books(I.catalogue_rows(literal(spark, BOOK_FILES, "text string"))).select("id", "title", "file")
+
+
+@query("SELECT doc_id, lang AS language FROM documents WHERE lang = 'en' AND n_chars >= 1500")
+def catalogue_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    books = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("lang") == "en", "English").otherwise(F.col("lang")).alias("language"), F.col("n_chars").alias("year"))
+    return I.old_english_books(books).select("doc_id", F.lit("en").alias("language"))
+
+
+@query("SELECT d.doc_id, [n.r, 'x'] AS license, 'u2' AS license_url FROM documents d JOIN (SELECT DISTINCT source, 'L-' || source AS r FROM documents) n USING (source)")
+def dimension_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("dataset_id"))
+    entry = lambda name, url: F.struct(name.alias("name"), F.lit(url).alias("url"))
+    sets = docs.select("dataset_id").distinct().select("dataset_id", F.array(entry(F.concat(F.lit("L-"), "dataset_id"), "u1"), entry(F.lit("x"), "u2")).alias("licenses"), F.array(F.lit("en")).alias("languages"), F.lit("d").alias("url"))
+    return I.with_dimensions(docs, sets).select("doc_id", "license", "license_url")
+
+
+@query("SELECT doc_id, quality = 1 AS good, quality IS NOT NULL AS tagged FROM documents LEFT JOIN labels USING (doc_id)")
+def attribute_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import spans as S
+
+    side = read(spark, sf_dir, "labels").select("doc_id", F.create_map(F.lit("quality"), F.array(S.span(F.lit(0), F.lit(1), F.col("quality").cast("double")))).alias("attributes"))
+    joined = I.with_attributes(read(spark, sf_dir, "documents"), [side], "doc_id")
+    score = S.first_score(F.try_element_at("attributes", F.lit("quality")))
+    return joined.select("doc_id", (score == 1).alias("good"), score.isNotNull().alias("tagged"))
+
+
+@query("SELECT url FROM pages WHERE page_id % 4 < 2 GROUP BY url")
+def licensed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return I.licensed_pages(linked_pages(spark, sf_dir)).select("url")
+
+
+@query("SELECT doc_id::VARCHAR AS id, 'chats' AS source FROM documents")
+def chat_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "documents").select("text", *[F.lit(None).cast("string").alias(c) for c in ("year", "month", "day")], F.col("doc_id").cast("string").alias("channel"))
+    return I.format_chats(rows, F.lit("2024-01-01")).select(F.replace("id", F.lit("#"), F.lit("")).alias("id"), "source")

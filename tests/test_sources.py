@@ -9,9 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill import streaming
+from lexmill.operators import taggers
 from lexmill.operators.mix import MixSpec, Replacement, recipe
 from lexmill.sources import documents as D
-from lexmill.sources import files
+from lexmill.sources import files, ingest
 
 
 def test_document_shards(spark, tmp_path):
@@ -127,3 +128,38 @@ def test_stream_windows(spark, tmp_path):
     query = streaming.write_stream(streaming.size_by_window(docs, "ts", "k"), str(tmp_path / "wo"), str(tmp_path / "ws"))
     query.awaitTermination(60)
     assert [(r["documents"], r["characters"]) for r in spark.read.parquet(str(tmp_path / "wo")).collect()] in ([(2, 4)], [])
+
+
+def test_web_archives(spark):
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<a href='http://creativecommons.org/licenses/by/4.0'>x</a>"
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://a/\r\nContent-Length: " + str(len(body)).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    other = b"WARC/1.0\r\nWARC-Type: request\r\nContent-Length: 2\r\n\r\nxx\r\n\r\n"
+    df = spark.createDataFrame([("f", bytearray(gzip.compress(other) + gzip.compress(record) + gzip.compress(record))), ("g", bytearray(other + record))], "file string, content binary")
+    pages = ingest.archive_pages(df)
+    assert [r["url"] for r in pages.collect()] == ["http://a/"] * 3
+    assert sorted((r["file"], r["license"]) for r in ingest.licensed_pages(pages).collect()) == [("f", "creativecommons.org/licenses/by/4.0"), ("g", "creativecommons.org/licenses/by/4.0")]
+
+
+def test_unknown_data_set(spark):
+    sets = spark.createDataFrame([("a", [("L", "u")], ["en"], "d")], "dataset_id string, licenses array<struct<name:string,url:string>>, languages array<string>, url string")
+    with pytest.raises(Exception, match="no such data set"):
+        ingest.with_dimensions(spark.createDataFrame([("b",)], "dataset_id string"), sets).collect()
+
+
+def test_document_formats(spark):
+    added = F.lit("2024-01-01")
+    page = spark.createDataFrame([("1", "2", "3", "t", "L")], "item_id string, page_id string, page_num string, text string, license string")
+    assert ingest.format_pages(page, added).first().asDict(True) == {"id": "2", "text": "t", "source": "scans", "added": "2024-01-01", "created": None, "metadata": {"license": "L", "url": "page/2", "item_id": "1", "page_num": "3"}, "item_id": "1", "page_num": 3}
+    proposals = spark.createDataFrame([("1", "a :pep:`8`"), ("2", "Copyright\n=========\nOpen Publication License\n")], "number string, text string")
+    assert [(r["id"], r["text"]) for r in ingest.format_proposals(proposals, added).collect()] == [("1", "a PEP 8")]
+    code = spark.createDataFrame([("1", "x", ["MIT"], "Python", "p"), ("2", "y", ["GPL"], "C", "q"), ("3", "z", None, "C", "r")], "blob_id string, content string, detected_licenses array<string>, language string, path string")
+    assert [r["id"] for r in ingest.format_code(code, added, ["MIT"]).collect()] == ["1"]
+
+
+def test_models_as_taggers(spark):
+    taggers.register_document_model("test-model", len)
+    taggers.register_sentence_model("test_sentences", lambda s: float("bad" in s))
+    df = spark.createDataFrame([("a bad one. fine",), (None,)], "text string")
+    tagged = taggers.tag(df, ["test_model", "test_sentences"]).collect()
+    assert [tuple(s) for s in tagged[0]["attributes"]["test_sentences"]] == [(0, 10, 1.0), (10, 15, 0.0)]
+    assert tagged[0]["attributes"]["test_model"][0]["score"] == 15 and tagged[1]["attributes"]["test_sentences"] == []
