@@ -37,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_digest(table(spark, sf_dir, "documents"))
+    return payload_digest(table(spark, sf_dir, "documents")).drop("n_embedded")
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,17 +80,64 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op8_hnsw, op9_pii, op10_packing)}
 
+#: CRC-32 in SQL, byte by byte: a table of 256 remainders, then a fold over the bytes of a hex string.
+CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t"
+
+
+def _bytes(hexed: str) -> str:
+    return f"list_transform(range(1, length({hexed}), 2), lambda k: ('0x' || substr({hexed}, k, 2))::BIGINT)"
+
+
+def _crc(hexed: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {_bytes(hexed)}), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)::BIGINT"
+
+
+def _little(number: str) -> str:
+    """Four bytes of a number, the lowest first, in hex."""
+    return " || ".join(f"printf('%02X', (({number}) >> {8 * k}) & 255)" for k in range(4))
+
+
 ORACLE_SQL: dict[str, str] = {
-    # crc32 byte by byte: a table of 256 remainders, then a fold
-    "op3_sharding": """
-WITH remainders AS (
-  SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t
-), raw AS (
+    "op1_media": f"""
+WITH remainders AS ({CRC_TABLE}), raw AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), padded AS (
+  SELECT doc_id, length(h) // 2 AS n_bytes, h || repeat('00', CASE WHEN h = '' THEN 64 ELSE (64 - (length(h) // 2) % 64) % 64 END) AS p FROM raw
+), stored AS (
+  SELECT *, length(p) // 2 AS n, {_bytes("p")} AS samples, '52494646' || {_little("36 + length(p) // 2")} || '57415645666D74201000000001000100401F0000401F0000' || '01000800' || '64617461' || {_little("length(p) // 2")} || p AS m FROM padded
+)
+SELECT doc_id, n_bytes::BIGINT AS n_bytes, n::BIGINT AS payload_bytes, sha256(unhex(p)) AS payload_sha256, {_crc("right(p, 128)")} AS tail_crc32, (length(m) // 2)::BIGINT AS media_bytes, sha256(unhex(m)) AS media_sha256,
+       'audio/wav' AS media_type, true AS corrected,
+       'samples=' || n || ';sum=' || list_sum(samples) || ';max=' || list_max(samples) || ';kinds=' || len(list_distinct(samples)) AS feature
+FROM stored, remainders
+""",
+    "op2_minhash": """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) ELSE w END)) AS s FROM words
+), classes AS (
+  SELECT s, min(doc_id) AS c, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), grams AS (
+  SELECT c, n, unnest(s) AS g FROM classes
+), links AS (
+  SELECT a.c AS x, b.c AS y FROM grams a JOIN grams b ON a.g = b.g AND a.c < b.c AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), paths AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  SELECT c, c AS r FROM classes UNION SELECT reach.c, paths.y FROM reach JOIN paths ON reach.r = paths.x
+), least AS (
+  SELECT c, min(r) AS component_id FROM reach GROUP BY c
+)
+SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM sets LEFT JOIN classes USING (s) LEFT JOIN least USING (c)
+""",
+    "op3_sharding": f"""
+WITH remainders AS ({CRC_TABLE}), raw AS (
   SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), sized AS (
-  SELECT doc_id, source, coalesce('+' || source, '-') AS stratum, length(h) // 2 + 16 AS size, md5('interleave-1:' || coalesce(doc_id::VARCHAR, '')) AS key,
-         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(h), 2), lambda k: ('0x' || substr(h, k, 2))::BIGINT)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT)::BIGINT AS text_crc32
-  FROM raw, remainders
+  SELECT doc_id, source, coalesce('+' || source, '-') AS stratum, length(h) // 2 + 16 AS size, md5('interleave-1:' || coalesce(doc_id::VARCHAR, '')) AS key, {_crc("h")} AS text_crc32 FROM raw, remainders
 ), ranked AS (
   SELECT *, (2 * (row_number() OVER (PARTITION BY stratum ORDER BY key, doc_id, text_crc32, size) - 1) + 1) / (2 * count(*) OVER (PARTITION BY stratum)) AS fraction FROM sized
 ), placed AS (
@@ -112,5 +159,19 @@ WITH cut AS (
   FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
 )
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM hits WHERE rn = 1
+""",
+    "op8_hnsw": """
+WITH RECURSIVE good AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding) AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS c, vec_id AS r FROM embeddings UNION SELECT reach.c, links.y FROM reach JOIN links ON reach.r = links.x
+), least AS (
+  SELECT c, min(r) AS component_id FROM reach GROUP BY c
+), counts AS (
+  SELECT x, count(*) AS n FROM links GROUP BY x
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, component_id = vec_id AS kept FROM embeddings LEFT JOIN counts ON x = vec_id JOIN least ON c = vec_id
 """,
 }

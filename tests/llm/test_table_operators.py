@@ -226,7 +226,7 @@ def test_sql_of_the_queries(spark, sf_dir):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     for name, sql in ORACLE_SQL.items():
         mine, other = QUERIES[name](spark, sf_dir), c.sql(sql)
