@@ -26,14 +26,30 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return keyed.join(first, "digest", "left").select(id_col, F.when(F.col("digest").isNull(), 0.0).otherwise((F.col(id_col) > F.col("_first")).cast("double")).alias("score"))
 
 
-def shingles(own: Column, n: int) -> Column:
-    """All runs of n words, as texts; none for fewer words."""
+def shingles(own: Column, n: int, exact: bool = True) -> Column:
+    """All runs of n words, as texts or as 64-bit hashes of the words' hashes; none for fewer words."""
+    one = (lambda w, k: F.array_join(F.slice(w, k, n), " ")) if exact else (lambda w, k: F.xxhash64(F.slice(w, k, n)))
 
     def of(w: Column) -> Column:
         starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda k: F.array_join(F.slice(w, k, n), " "))
+        return F.transform(starts, lambda k: one(w, k))
 
-    return let(own, of)
+    return let(own if exact else F.transform(own, lambda x: F.xxhash64(x)), of)
+
+
+def _overlap(units: DataFrame, key: list[str], n: int, exact: bool) -> DataFrame:
+    """Key, n_ngrams and the share of its n-grams that a unit of a lower key holds. units: key and line.
+
+    Sizes come from the texts themselves. Only n-grams that several units hold
+    are joined back; two shuffles of n-grams in all.
+    """
+    grams = shingles(words(F.col("line")), n, exact)
+    held = units.select(*key, grams.alias("grams")).filter(F.size("grams") > 0)
+    rows = held.select(F.struct(*key).alias("unit"), F.explode("grams").alias("gram"))
+    shared = rows.groupBy("gram").agg(F.min("unit").alias("first"), F.max("unit").alias("last")).filter(F.col("first") < F.col("last"))
+    seen = rows.join(shared.select("gram", "first"), "gram").filter(F.col("first") < F.col("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("seen")).select("unit.*", "seen")
+    sized = held.select(*key, F.size("grams").cast("long").alias("n_ngrams"))
+    return sized.join(seen, key, "left").select(*key, "n_ngrams", (F.coalesce("seen", F.lit(0)) / F.col("n_ngrams")).alias("overlap"))
 
 
 def ngram_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
@@ -43,25 +59,13 @@ def ngram_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col
     whatever becomes of it later, so one aggregation by n-gram decides: the
     least id that holds it. N-grams are compared by 64-bit hashes, or as texts.
     """
-    grams = shingles(words(F.col(text_col)), n)
-    grams = grams if exact else F.transform(grams, lambda g: F.xxhash64(g))
-    held = docs.select(F.col(id_col).alias("id"), F.explode(grams).alias("gram")).groupBy("gram", "id").agg(F.count(F.lit(1)).alias("times"))
-    first = held.groupBy("gram").agg(F.min("id").alias("first"))
-    seen = held.join(first, "gram")
-    return seen.groupBy("id").agg(F.sum("times").alias("n_ngrams"), (F.sum(F.when(F.col("first") < F.col("id"), F.col("times")).otherwise(0)) / F.sum("times")).alias("overlap")).withColumnRenamed("id", id_col)
+    return _overlap(docs.select(F.col(id_col), F.col(text_col).alias("line")), [id_col], n, exact)
 
 
 def paragraph_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
     """Id, paragraph (from 0) and overlap with earlier paragraphs, of this document or another; empty and short ones have no row."""
-    rows = docs.select(F.col(id_col).alias("id"), F.posexplode(lines(F.col(text_col))).alias("paragraph", "line"))
-    grams = shingles(words(F.col("line")), n)
-    grams = grams if exact else F.transform(grams, lambda g: F.xxhash64(g))
-    held = rows.select("id", "paragraph", F.explode(grams).alias("gram")).groupBy("gram", "id", "paragraph").agg(F.count(F.lit(1)).alias("times"))
-    first = held.groupBy("gram").agg(F.min(F.struct("id", "paragraph")).alias("first"))
-    seen = held.join(first, "gram")
-    earlier = F.col("first") < F.struct("id", "paragraph")
-    out = seen.groupBy("id", "paragraph").agg((F.sum(F.when(earlier, F.col("times")).otherwise(0)) / F.sum("times")).alias("overlap"))
-    return out.withColumnRenamed("id", id_col)
+    rows = docs.select(F.col(id_col), F.posexplode(lines(F.col(text_col))).alias("paragraph", "line"))
+    return _overlap(rows, [id_col, "paragraph"], n, exact).drop("n_ngrams")
 
 
 def duplicate_spans(docs: DataFrame, least: float = 0.5, n: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
