@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
+#: Rows and bytes that go to Python at once: small, as texts may be long and executors hold several workers.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 _shipped: set[str] = set()
 
 
@@ -33,8 +35,10 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per application, so that its Python functions load there."""
+    """Send this package to the executors once per application, so that its Python functions load there, and set the size of batches."""
     sc = spark.sparkContext
+    for key, value in BATCHES.items():
+        spark.conf.set(key, value)
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parent
         target = os.path.join(tempfile.mkdtemp(prefix="lexmill-"), f"{root.name}.zip")

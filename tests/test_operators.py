@@ -184,3 +184,36 @@ def test_special_ids_and_ranks(tmp_path):
     assert tokenize.special_ids(str(path)) == {"<e>": 2}
     assert tokenize.mergeable_ranks(str(path)) == {b"a": 0, b" ": 1}
     assert tokenize.split_pattern(spec) == "x"
+
+
+def test_latest_revision(spark):
+    df = spark.createDataFrame([([{"text": "a", "date": "1", "author": "x"}, {"text": "b", "date": "2", "author": "w"}],), ([],)], "r array<struct<text:string,date:string,author:string>>")
+    every, last = (df.select(R.latest_revision(F.col("r"), e).alias("v")).collect() for e in (True, False))
+    assert every[0]["v"]["text"] == "b" and every[0]["v"]["authors"] == ["w", "x"] and last[0]["v"]["authors"] == ["w"] and every[1]["v"]["text"] is None
+
+
+def test_pairs_and_pages(spark):
+    entries = spark.createDataFrame([([{"kind": "license", "value": "L"}, {"kind": "uri", "value": "U"}, {"kind": "uri", "value": "V"}],), ([],)], "e array<struct<kind:string,value:string>>")
+    assert [tuple(r["p"]) for r in entries.select(R.last_pair(F.col("e")).alias("p")).collect()] == [("U", "L"), (None, None)]
+    pages = spark.createDataFrame([("ok", "t"), ("ok", ""), ("User:BeywheelzLetItRip/fonts.css", "t"), (None, "t")], "title string, text string")
+    assert pages.filter(R.parseable(F.col("title"), F.col("text"))).count() == 2
+
+
+def test_rows_of_workers(spark):
+    df = spark.createDataFrame([(k,) for k in range(10)], "k int")
+    parts = [[r["k"] for r in R.rows_of(df, w, 3, "k").orderBy("k").collect()] for w in range(3)]
+    assert parts == [[0, 3, 6, 9], [1, 4, 7], [2, 5, 8]]
+
+
+def test_budget_emits_the_batch_that_passes_it(spark):
+    df = spark.createDataFrame([(1, 5), (2, 5), (3, 5)], "b int, n int")
+    assert [r["b"] for r in R.within_budget(df, "b", "n", 5).collect()] == [1, 2]
+
+
+def test_replayed_shards_follow_the_ids(spark):
+    rows = [(k, f"id{k:02}", 10, f"f{k // 4}") for k in range(12)]
+    old = spark.createDataFrame(rows, "at long, id string, n int, file string")
+    moved, shards = layout.compacted(old, "at", F.col("n"), 50, "file", "id")
+    other = old.filter("at % 5 <> 2")
+    first = {r["id"]: r["shard"] for r in moved.collect()}
+    assert {r["id"]: r["shard"] for r in layout.replay(other, shards, "at", "file", "id").collect()} == {i: first[i] for i in (r["id"] for r in other.collect())}

@@ -103,3 +103,18 @@ def test_markup(spark):
     assert one(spark, "<b>x</b>" * 20, lambda c: markup.strip_wiki_tags(c)) == "x" * 20
     assert one(spark, "<dl><dt>A:</dt><dd>b</dd></dl>", markup.definitions) == {"A": "b"}
     assert one(spark, "<d><major-heading>H</major-heading><speech speakername='S'><p>hi</p></speech><speech><table/></speech></d>", markup.debate_text) == "H\nS: hi"
+
+
+def test_sections_and_leads(spark):
+    assert [s["text"] for s in one(spark, "a\n# b\n# c", X.sections, "string")] == ["a", "b", "c"]
+    assert one(spark, "x " * 40 + "\n# References y\n# " + "z " * 30, lambda c: F.size(X.useful_sections(X.sections(c)))) == 2
+    assert one(spark, "a\n1 . One 2 . Two", X.numbered_claims) == "a\n1 . One\n2. Two"
+
+
+def test_comments_and_books(spark):
+    from lexmill.sources import ingest
+
+    df = spark.createDataFrame([("[...] a",), ("a [...]",), ("a",)], "text string")
+    assert [r["text"] for r in ingest.full_comments(df).collect()] == ["a"]
+    books = spark.createDataFrame([("http://creativecommons.org/licenses/by/4.0", "English; French", "u"), ("x", "English", "u"), ("http://creativecommons.org/licenses/by-sa/3.0", "English", None)], "license string, language string, url string")
+    assert ingest.open_books(books).count() == 1
