@@ -19,6 +19,7 @@ columns are passed through, the result's names win.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -135,7 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             bags += zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2))
         slots, sentences = ([np.asarray(x[k].values) for x in bags] for k in (1, 2))
-        order = sorted(range(len(bags)), key=lambda k: (bags[k][0], slots[k].tobytes()))  # sums don't depend on the order of arrival
+        order = sorted(range(len(bags)), key=lambda k: (bags[k][0], len(slots[k]), zlib.crc32(slots[k])))  # sums don't depend on the order of arrival
         model = fit(np.array([bags[k][0] for k in order], np.float64), [slots[k] for k in order], [sentences[k] for k in order])
         yield pa.RecordBatch.from_arrays([pa.array([model.bias]), pa.array([model.slots.tobytes()], pa.binary()), pa.array([model.weights.tobytes()], pa.binary())], names=["bias", "slots", "weights"])
 

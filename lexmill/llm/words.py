@@ -20,7 +20,7 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 SPACED = np.array([not (b == 32 or 9 <= b <= 13) for b in range(256)])
 #: Letters and digits of ASCII, and all bytes of other characters.
 ALNUM = np.array([chr(b).isalnum() if b < 128 else True for b in range(256)])
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
