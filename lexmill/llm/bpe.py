@@ -20,8 +20,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -55,12 +56,28 @@ def newer_characters() -> tuple[str, dict[int, str]]:
     return "".join(c for c in known if c not in taken), lower | {0x3A3: "\u03c3"}  # a final sigma is lower-cased like any other
 
 
+def _ranges(codes: Iterable[int]) -> str:
+    """Characters as the inside of a class."""
+    codes = sorted(codes)
+    edges = [k for k in range(len(codes)) if k == 0 or codes[k] != codes[k - 1] + 1]
+    return "".join(f"\\U{codes[a]:08x}-\\U{codes[z - 1]:08x}" for a, z in zip(edges, [*edges[1:], len(codes)]))
+
+
+#: Fixed value: the pattern of the vocabulary, for texts without newer characters.
+PLAIN = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+
+
+@lru_cache(maxsize=1)
+def special_characters() -> re.Pattern:
+    """Finds what needs :func:`word_pattern` or its own lower case."""
+    odd, lower = newer_characters()
+    return re.compile(f"[{_ranges({*map(ord, odd), *lower})}]")
+
+
 @lru_cache(maxsize=1)
 def word_pattern() -> regex.Pattern:
     """Fixed value: the pattern of the vocabulary, on the library's edition of Unicode."""
-    codes = sorted(map(ord, newer_characters()[0]))
-    edges = [k for k in range(len(codes)) if k == 0 or codes[k] != codes[k - 1] + 1]
-    spans = "".join(f"\\U{codes[a]:08x}-\\U{codes[z - 1]:08x}" for a, z in zip(edges, [*edges[1:], len(codes)]))
+    spans = _ranges(map(ord, newer_characters()[0]))
     letter, number = (rf"[\p{{{x}}}--[{spans}]]" if spans else rf"\p{{{x}}}" for x in "LN")
     return regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|[^{SPACE}{letter}{number}]+")
 
@@ -85,7 +102,7 @@ class WordBpe:
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made[order]
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.word = word_pattern()
-        self.lower = newer_characters()[1]
+        self.lower, self.odd = newer_characters()[1], special_characters()
         self.ids: dict[str, bytes] = {}
         self.texts: dict[str, str] = {}
         self.held = 0
@@ -104,8 +121,12 @@ class WordBpe:
             if k & 1:
                 out.append(piece)
             elif piece:
-                piece = piece if piece.isascii() else unicodedata.normalize("NFC", piece).translate(self.lower)
-                out += self.word.findall(piece.lower())
+                pattern = PLAIN
+                if not piece.isascii():
+                    piece = unicodedata.normalize("NFC", piece)
+                    if self.odd.search(piece):
+                        piece, pattern = piece.translate(self.lower), self.word
+                out += pattern.findall(piece.lower())
         return out
 
     def merged(self, words: list[str]) -> list[np.ndarray]:
