@@ -9,13 +9,15 @@ from . import query
 from ..functions import text as X
 from ..operators import dedupe, relational as R, spans as S, taggers
 from ..operators.mix import Condition, MixSpec, Replacement, mix, recipe
+from ..session import spread
 
 WS = r"[ \t\n\x0B\f\r]"
 WORDS = rf"list_filter(string_split_regex(text, '{WS}+'), lambda x: x <> '')"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in ("documents", "pages") else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def size_stats_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT count(*) AS documents, sum(len({WORDS}))::BIGINT AS tokens, sum(length(text))::BIGINT AS characters,
   sum(octet_length(encode(text)))::BIGINT AS bytes, 1::BIGINT AS shards FROM documents""")
 def size_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("text", F.regexp_extract(F.col("_metadata.file_path"), r"documents\.parquet", 0).alias("file"))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", F.regexp_extract(F.col("_metadata.file_path"), r"documents\.parquet", 0).alias("file"))
     return R.size_stats(docs, file_col="file")
 
 

@@ -34,6 +34,17 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table in fewer partitions than there are cores, dealt over all of them; larger ones stay where they are.
+
+    Such a table is small, and its few row groups would keep most cores idle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once per application, so that its Python functions load there, and set the size of batches."""
     sc = spark.sparkContext
