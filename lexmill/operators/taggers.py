@@ -248,18 +248,17 @@ def repetitions(text: Column) -> Column:
 def unigram_table(counts: DataFrame, word_col: str = "word", count_col: str = "count") -> DataFrame:
     """Word and log2 probability, with the one of unknown words beside it; rows whose count is no number are left out."""
     known = counts.select(F.col(word_col).alias("word"), F.col(count_col).cast("string").try_cast("double").alias("n")).dropna()
-    sums = known.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    return known.join(F.broadcast(sums)).select(
-        "word", (F.log2("n") - F.log2("total")).alias("logp"), (F.log2(F.sqrt("kinds") + 1) - F.log2("total")).alias("unknown")
-    )
+    sums = known.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).first()
+    total = F.log2(F.lit(sums["total"] or 1.0))
+    return known.select("word", (F.log2("n") - total).alias("logp"), (F.log2(F.sqrt(F.lit(float(sums["kinds"]))) + 1) - total).alias("unknown"))
 
 
 def mean_log_probability(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and the mean log2 probability of its lower-cased words; 0 without words. One shuffle by word, one by id."""
     counted = docs.select(F.col(id_col).alias("id"), F.explode_outer(words(F.lower(text_col))).alias("word")).groupBy("id", "word").agg(F.count("word").alias("n"))
-    other = table.agg(F.max("unknown").alias("unknown"))
-    scored = counted.join(table.select("word", "logp"), "word", "left").join(F.broadcast(other))
-    total = F.sum(F.col("n") * F.coalesce("logp", "unknown"))
+    unknown = F.lit(table.agg(F.max("unknown")).first()[0]).cast("double")
+    scored = counted.join(table.select("word", "logp"), "word", "left")
+    total = F.sum(F.col("n") * F.coalesce(F.col("logp"), unknown))
     return scored.groupBy("id").agg(F.coalesce(F.try_divide(total, F.sum("n")), F.lit(0.0)).alias("logprob")).withColumnRenamed("id", id_col)
 
 
