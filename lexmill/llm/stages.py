@@ -2,8 +2,8 @@
 
 Every stage but a packing returns the columns of its input, whatever they are;
 ``doc_id`` and ``text`` are needed. Rows are documents by their id: rows that
-repeat a kept id stay, and rows without an id stay only where no row of their
-group has one.
+repeat a kept id stay, and rows without an id, which nothing tells apart, stay
+if one of them does.
 """
 
 from __future__ import annotations
