@@ -228,7 +228,7 @@ def wiki_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 TEMPLATES = [(1, "a {{math|x}} b {{ Sqrt |2}}"), (2, "{{math|y}} {{cite\n|u}}"), (3, None)]
 
 
-@query("SELECT * FROM (VALUES ('math', 2), ('sqrt', 1), ('cite', 1)) t(template, n)")
+@query("SELECT template, n::BIGINT AS n FROM (VALUES ('math', 2), ('sqrt', 1), ('cite', 1)) t(template, n)")
 def template_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return literal(spark, TEMPLATES, "k int, t string").select(F.explode(markup.template_names(F.col("t"))).alias("template")).groupBy("template").agg(F.count(F.lit(1)).alias("n"))
 
