@@ -64,22 +64,22 @@ def features(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[np.nd
 
 
 def featured(labelled: DataFrame, text_col: str, label_col: str) -> DataFrame:
-    """Label, feature slots, and the sentence that each feature is in, from 0."""
+    """Label, feature slots in the order of their sentences, and how many each sentence has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, places = [], []
+            own, sizes = [], []
             for text in batch.column(0):
                 _, _, found, sentences = features(np.frombuffer((text.as_py() or "").encode().translate(LOWER), np.uint8))
-                _, numbers = np.unique(sentences, return_inverse=True)
-                own.append(np.concatenate([s for _, s in found]))
-                places.append(np.concatenate([numbers[w] for w, _ in found]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(places, pa.list_(pa.int32()))], names=["label", "slots", "sentences"])
+                at = np.concatenate([sentences[w] for w, _ in found])
+                own.append(np.concatenate([s for _, s in found])[np.argsort(at, kind="stable")])
+                sizes.append(np.unique(at, return_counts=True)[1].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32())), pa.array(sizes, pa.list_(pa.int32()))], names=["label", "slots", "sizes"])
 
-    return labelled.select(F.col(text_col).cast("string"), F.col(label_col).cast("double")).mapInArrow(run, "label double, slots array<int>, sentences array<int>")
+    return labelled.select(F.col(text_col).cast("string"), F.col(label_col).cast("double")).mapInArrow(run, "label double, slots array<int>, sizes array<int>")
 
 
-def fit(labels: np.ndarray, slots: list[np.ndarray], sentences: list[np.ndarray], passes: int = PASSES) -> Model:
+def fit(labels: np.ndarray, slots: list[np.ndarray], features_in: list[np.ndarray], passes: int = PASSES) -> Model:
     """Adam over all bags at once; bags without words take no part."""
     used = [k for k in range(len(labels)) if len(slots[k])]
     y = labels[used] > 0.5
@@ -95,11 +95,11 @@ def fit(labels: np.ndarray, slots: list[np.ndarray], sentences: list[np.ndarray]
     live = (seen >= LEAST_DOCUMENTS) & (z >= LEAST_Z)
     kinds = np.flatnonzero(live)
     place = np.cumsum(live) - 1
-    sizes = np.array([int(sentences[k].max()) + 1 for k in used])
+    sizes = np.array([len(features_in[k]) for k in used])
     bags = np.r_[0, np.cumsum(sizes)]
     kept = [live[slots[k]] for k in used]
     which = np.concatenate([place[slots[k][m]] for k, m in zip(used, kept)])
-    where = np.concatenate([sentences[k][m] + first for k, m, first in zip(used, kept, bags)])
+    where = np.concatenate([np.repeat(np.arange(len(features_in[k])), features_in[k])[m] + first for k, m, first in zip(used, kept, bags)])
     w, b = np.zeros(len(kinds)), -6.0
     mean, var, mean_b, var_b = np.zeros(len(kinds)), np.zeros(len(kinds)), 0.0, 0.0
     for t in range(1, passes + 1):
@@ -135,9 +135,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         bags: list[tuple] = []
         for batch in batches:
             bags += zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2))
-        slots, sentences = ([np.asarray(x[k].values) for x in bags] for k in (1, 2))
+        slots, sizes = ([np.asarray(x[k].values) for x in bags] for k in (1, 2))
         order = sorted(range(len(bags)), key=lambda k: (bags[k][0], len(slots[k]), zlib.crc32(slots[k])))  # sums don't depend on the order of arrival
-        model = fit(np.array([bags[k][0] for k in order], np.float64), [slots[k] for k in order], [sentences[k] for k in order])
+        model = fit(np.array([bags[k][0] for k in order], np.float64), [slots[k] for k in order], [sizes[k] for k in order])
         yield pa.RecordBatch.from_arrays([pa.array([model.bias]), pa.array([model.slots.tobytes()], pa.binary()), pa.array([model.weights.tobytes()], pa.binary())], names=["bias", "slots", "weights"])
 
     bags = staged(featured(rows, "_text", "_label"), "toxicity")
