@@ -19,7 +19,6 @@ columns are passed through, the result's names win.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -79,33 +78,37 @@ def featured(labelled: DataFrame, text_col: str, label_col: str) -> DataFrame:
     return labelled.select(F.col(text_col).cast("string"), F.col(label_col).cast("double")).mapInArrow(run, "label double, slots array<int>, sizes array<int>")
 
 
-def fit(labels: np.ndarray, slots: list[np.ndarray], features_in: list[np.ndarray], passes: int = PASSES) -> Model:
-    """Adam over all bags at once; bags without words take no part."""
-    used = [k for k in range(len(labels)) if len(slots[k])]
-    y = labels[used] > 0.5
+def telling(batches: Iterator[tuple[np.ndarray, list[np.ndarray]]]) -> np.ndarray:
+    """Slots of the features that are in enough documents and in toxic ones significantly more often. batches: labels, slots."""
+    seen, toxic, documents, hot = np.zeros(1 << BITS), np.zeros(1 << BITS), 0, 0
+    for labels, slots in batches:
+        for y, own in zip(labels > 0.5, slots):
+            if len(own):
+                own = np.unique(own)
+                seen[own] += 1
+                toxic[own] += y
+                documents, hot = documents + 1, hot + int(y)
+    if not 0 < hot < documents:
+        return np.empty(0, np.int32)
+    share = hot / documents
+    z = (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1e-9)
+    return np.flatnonzero((seen >= LEAST_DOCUMENTS) & (z >= LEAST_Z)).astype(np.int32)
+
+
+def fit(y: np.ndarray, kinds: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray, int]], passes: int = PASSES) -> Model:
+    """Adam over all bags at once. bags: places of the features among ``kinds``, the sentence of each, and the number of sentences."""
     if not y.any() or y.all():
         return NONE
-    seen, toxic = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    for k, hot in zip(used, y):
-        own = np.unique(slots[k])
-        seen[own] += 1
-        toxic[own] += hot
-    expected = seen * y.mean()
-    z = (toxic - expected) / np.sqrt(expected * (1 - y.mean()) + 1e-9)
-    live = (seen >= LEAST_DOCUMENTS) & (z >= LEAST_Z)
-    kinds = np.flatnonzero(live)
-    place = np.cumsum(live) - 1
-    sizes = np.array([len(features_in[k]) for k in used])
-    bags = np.r_[0, np.cumsum(sizes)]
-    kept = [live[slots[k]] for k in used]
-    which = np.concatenate([place[slots[k][m]] for k, m in zip(used, kept)])
-    where = np.concatenate([np.repeat(np.arange(len(features_in[k])), features_in[k])[m] + first for k, m, first in zip(used, kept, bags)])
+    sizes = np.array([n for _, _, n in bags])
+    ends = np.r_[0, np.cumsum(sizes)]
+    which = np.concatenate([w for w, _, _ in bags])
+    where = np.concatenate([s + first for (_, s, _), first in zip(bags, ends)])
     w, b = np.zeros(len(kinds)), -6.0
     mean, var, mean_b, var_b = np.zeros(len(kinds)), np.zeros(len(kinds)), 0.0, 0.0
     for t in range(1, passes + 1):
-        z = b + np.bincount(where, w[which], bags[-1])
+        z = b + np.bincount(where, w[which], ends[-1])
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        total = np.add.reduceat(np.logaddexp(0, z), bags[:-1])  # -log of the chance that no sentence is toxic
+        total = np.add.reduceat(np.logaddexp(0, z), ends[:-1])  # -log of the chance that no sentence is toxic
         pull = np.where(y, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-9), 1.0)
         g = p * np.repeat(pull, sizes) / len(y)
         gw = np.bincount(which, g[where], len(kinds)) + DECAY * w
@@ -131,18 +134,41 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = known.filter(F.pmod(F.xxhash64("_id", F.lit(4)), F.lit(1_000_000)) < int(rate * 1_000_000))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags: list[tuple] = []
-        for batch in batches:
-            bags += zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2))
-        slots, sizes = ([np.asarray(x[k].values) for x in bags] for k in (1, 2))
-        order = sorted(range(len(bags)), key=lambda k: (bags[k][0], len(slots[k]), zlib.crc32(slots[k])))  # sums don't depend on the order of arrival
-        model = fit(np.array([bags[k][0] for k in order], np.float64), [slots[k] for k in order], [sizes[k] for k in order])
-        yield pa.RecordBatch.from_arrays([pa.array([model.bias]), pa.array([model.slots.tobytes()], pa.binary()), pa.array([model.weights.tobytes()], pa.binary())], names=["bias", "slots", "weights"])
+    arrays = lambda column: [np.asarray(x.values) for x in column]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = telling((b.column(0).to_numpy(), arrays(b.column(1))) for b in batches)
+        yield pa.RecordBatch.from_arrays([pa.array([kinds.tobytes()], pa.binary())], names=["kinds"])
 
     bags = staged(featured(rows, "_text", "_label"), "toxicity")
-    fitted = bags.repartition(1).mapInArrow(run, "bias double, slots binary, weights binary").first()
-    return Model(fitted["bias"], np.frombuffer(fitted["slots"], np.int32), np.frombuffer(fitted["weights"], np.float64))
+    kinds = np.frombuffer(bags.repartition(1).mapInArrow(choose, "kinds binary").first()["kinds"], np.int32)
+    if not len(kinds):
+        return NONE
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(1 << BITS, -1, np.int32)
+        place[kinds] = np.arange(len(kinds))
+        for b in batches:
+            which, where, sizes = [], [], []
+            for slots, inside in zip(arrays(b.column(1)), arrays(b.column(2))):
+                own = place[slots]
+                which.append(own[own >= 0])
+                where.append(np.repeat(np.arange(len(inside), dtype=np.int32), inside)[own >= 0])
+                sizes.append(len(inside))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(which, pa.list_(pa.int32())), pa.array(where, pa.list_(pa.int32())), pa.array(sizes, pa.int32())], names=["label", "which", "where", "n"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: list[tuple] = []
+        for b in batches:
+            own += [x for x in zip(b.column(0).to_pylist(), arrays(b.column(1)), arrays(b.column(2)), b.column(3).to_pylist()) if x[3]]
+        own.sort(key=lambda x: (x[0], x[3], x[1].tobytes(), x[2].tobytes()))  # sums don't depend on the order of arrival
+        model = fit(np.array([x[0] for x in own]) > 0.5, kinds, [x[1:] for x in own])
+        yield pa.RecordBatch.from_arrays([pa.array([model.bias]), pa.array([model.weights.tobytes()], pa.binary())], names=["bias", "weights"])
+
+    small = bags.mapInArrow(reduce, "label double, which array<int>, where array<int>, n int")
+    fitted = small.repartition(1).mapInArrow(learn, "bias double, weights binary").first()
+    weights = np.frombuffer(fitted["weights"], np.float64)
+    return Model(fitted["bias"], kinds, weights) if len(weights) else NONE
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", least: float = 0.5, keep: list[str] | None = None) -> DataFrame:
