@@ -190,6 +190,20 @@ def test_checks_and_context():
     assert near[3] > far[3]
 
 
+def test_ibans_before_other_words():
+    de, gb, own = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"
+    found = lambda text: [text[a:z] for a, z in pii.ibans(text)]
+    for text in (f"IBAN {de} BIC COBADEFF", f"{de} 2024-01-02", f"{de}.", f"{de} and", f"AB12 {de} EUR 50", f"RATE 50 {de}"):
+        assert found(text) == [de], text
+    assert found(f"{own} EUR 50") == [own] and found(f"{de} {gb} {own}") == [de, gb, own]
+    # of two valid ends the one of the country's length; a country without one has the longest
+    tail = next(f"{n:04}" for n in range(10_000) if pii.mod97(own + f"{n:04}"))
+    assert found(f"{de} {tail}") == [de] and found(f"x{de}") == [] and found(f"{de}A") == [] and found(de[:-1] + "1 BIC") == []
+    other = next(c for n in range(100) if pii.mod97(c := f"ZZ{n:02}12345678901234"))
+    assert found(f"{other} 5") == [other]
+    assert pii.redact(f"IBAN {de} BIC X", pii.find_spans(f"IBAN {de} BIC X")).startswith("IBAN <IBAN> BIC")
+
+
 def test_redaction_stage(spark):
     docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(PERSONAL)], "doc_id long, text string, pii string").withColumn("n_chars", F.length("text").cast("long"))
     out = {r["doc_id"]: r for r in stages.redact_pii(docs).collect()}
