@@ -23,13 +23,13 @@ def running_size(df: DataFrame, order: str, size: Column, out: str = "size_befor
     """Add the total size of the rows before each in an order, without sorting all in one task.
 
     Rows are cut into ranges of the order (a number); totals of the ranges, a
-    small table, are summed up first.
+    small table, are summed up first. Rows without an order come last.
     """
     bounds = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
     low, high, n = bounds[0] or 0, bounds[1] or 0, bounds[2]
     blocks = max(1, min(65_536, n // BLOCK_ROWS + 1))
     step = max(1, -(-(high - low + 1) // blocks))
-    placed = df.withColumn("_size", size.cast("long")).withColumn("_block", F.floor((F.col(order) - low) / step))
+    placed = df.withColumn("_size", size.cast("long")).withColumn("_block", F.coalesce(F.floor((F.col(order) - low) / step), F.lit(blocks).cast("long")))
     totals = placed.groupBy("_block").agg(F.sum("_size").alias("_total"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
@@ -71,28 +71,36 @@ def greedy_shards(df: DataFrame, order: str, size: Column, most: int, first: int
     return df.join(folded, order)
 
 
+def _place(order: str) -> Column:
+    """Something to compare places by: rows without an order come last."""
+    return F.struct(F.col(order).isNull().alias("none"), F.col(order).alias("at"))
+
+
 def compacted(df: DataFrame, order: str, size: Column, most: int, file_col: str, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows with their new shard, and for each shard its files in order, first and last id and rows."""
+    """Rows with their new shard, and for each shard its files in order, first and last id, the places where it begins and ends, and rows."""
     rows = even_shards(df, order, size, most)
     files = F.transform(F.array_sort(F.collect_list("_file")), lambda x: x["file"])
-    place = F.struct(F.col(order).alias("at"), F.col(id_col).alias("id"))
-    per_file = rows.groupBy("shard", F.col(file_col).alias("file")).agg(F.min(order).alias("at"), F.count(F.lit(1)).alias("n"), F.min(place).alias("_first"), F.max(place).alias("_last"))
-    shards = per_file.withColumn("_file", F.struct("at", "file")).groupBy("shard").agg(files.alias("files"), F.min("_first")["id"].alias("first_id"), F.max("_last")["id"].alias("last_id"), F.sum("n").alias("rows"))
+    known = F.when(F.col(order).isNotNull(), F.struct(F.col(order).alias("at"), F.col(id_col).alias("id")))
+    per_file = rows.groupBy("shard", F.col(file_col).alias("file")).agg(F.min(_place(order)).alias("first_at"), F.max(_place(order)).alias("last_at"), F.count(F.lit(1)).alias("n"), F.min(known).alias("_first"), F.max(known).alias("_last"))
+    per_shard = per_file.withColumn("_file", F.struct("first_at", "file")).groupBy("shard")
+    shards = per_shard.agg(files.alias("files"), F.min("_first")["id"].alias("first_id"), F.max("_last")["id"].alias("last_id"), F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), F.sum("n").alias("rows"))
     return rows, shards
 
 
 def replay(df: DataFrame, shards: DataFrame, order: str, file_col: str, id_col: str) -> DataFrame:
     """Give the rows of another version the shards of a compaction: those of its files, from its first id to its last.
 
-    Ids that the other version lacks take the place of the next one there is.
+    An id that the other version lacks is where it was when the shards were
+    made, so the order must mean the same in both versions. Rows without an
+    order come last; where they are in several shards, nothing tells which.
     """
-    edges = shards.select("shard", F.posexplode("files").alias("k", "_f"), F.size("files").alias("_n"), "first_id", "last_id")
-    place = df.select(F.col(id_col).alias("_id"), F.col(order).alias("_at"))
-    begin = edges.filter("k = 0").join(place, F.col("_id") == F.col("first_id"), "left").select("shard", F.col("_at").alias("_from"))
-    end = edges.filter("k = _n - 1").join(place, F.col("_id") == F.col("last_id"), "left").select("shard", F.col("_at").alias("_to"))
+    edges = shards.select("shard", F.posexplode("files").alias("k", "_f"), F.size("files").alias("_n"), "first_id", "last_id", "first_at", "last_at")
+    place = df.filter(F.col(order).isNotNull()).select(F.col(id_col).alias("_id"), _place(order).alias("_at"))
+    begin = edges.filter("k = 0").join(place, F.col("_id") == F.col("first_id"), "left").select("shard", F.coalesce("_at", "first_at").alias("_from"))
+    end = edges.filter("k = _n - 1").join(place, F.col("_id") == F.col("last_id"), "left").select("shard", F.when(F.col("last_at.none"), F.col("last_at")).otherwise(F.coalesce("_at", "last_at")).alias("_to"))
     spans = edges.join(begin, "shard").join(end, "shard").select("shard", "_f", "k", "_n", "_from", "_to")
-    inside = ((F.col("k") > 0) | F.col("_from").isNull() | (F.col(order) >= F.col("_from"))) & ((F.col("k") < F.col("_n") - 1) | F.col("_to").isNull() | (F.col(order) <= F.col("_to")))
-    return df.join(spans, (F.col(file_col) == F.col("_f")) & inside).drop("_f", "k", "_n", "_from", "_to")
+    inside = ((F.col("k") > 0) | (_place(order) >= F.col("_from"))) & ((F.col("k") < F.col("_n") - 1) | (_place(order) <= F.col("_to")))
+    return df.join(spans, F.col(file_col).eqNullSafe(F.col("_f")) & inside).drop("_f", "k", "_n", "_from", "_to")
 
 
 def shard_of_ids(df: DataFrame, id_col: str, file_col: str) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +218,32 @@ def test_replayed_shards_follow_the_ids(spark):
     other = old.filter("at % 5 <> 2")
     first = {r["id"]: r["shard"] for r in moved.collect()}
     assert {r["id"]: r["shard"] for r in layout.replay(other, shards, "at", "file", "id").collect()} == {i: first[i] for i in (r["id"] for r in other.collect())}
+
+
+@pytest.mark.parametrize("lacks", ["false", "at % 3 = 1", "at in (4, 5)", "at in (0, 9, 10, 11)", "at is null"])
+def test_replay_gives_every_row_one_shard(spark, lacks):
+    rows = [(k, f"id{k:02}", 10, f"f{k // 4}") for k in range(12)] + [(None, None, 10, None)]
+    old = spark.createDataFrame(rows, "at long, id string, n int, file string")
+    moved, shards = layout.compacted(old, "at", F.col("n"), 50, "file", "id")
+    first = {r["at"]: r["shard"] for r in moved.collect()}
+    assert first == {k: k // 5 for k in range(12)} | {None: 2}
+    other = old.filter(f"NOT coalesce({lacks}, false)")
+    left = [r["at"] for r in other.collect()]
+    found = [(r["at"], r["shard"]) for r in layout.replay(other, shards, "at", "file", "id").collect()]
+    assert sorted(found, key=str) == sorted(((k, first[k]) for k in left), key=str)
+
+
+def test_replay_of_the_whole_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "n_chars", F.concat(F.lit("f"), F.expr("cast(doc_id div 100 as string)")).alias("file"))
+    shards = layout.compacted(docs, "doc_id", F.col("n_chars"), 100_000, "file", "doc_id")[1]
+    sql = f"SELECT doc_id, ((coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) // 100000)::INT AS shard FROM '{sf_dir}/documents.parquet'"
+    for lacks in (-1, 1):  # all rows, then without a third of the ids
+        found = layout.replay(docs.filter(F.col("doc_id") % 3 != lacks), shards, "doc_id", "file", "doc_id").select("doc_id", "shard")
+        assert sorted(map(tuple, found.collect())) == sorted(r for r in duckdb.sql(sql).fetchall() if r[0] % 3 != lacks)
+
+
+def test_upsert_holds_every_key(spark):
+    index = spark.createDataFrame([(k, f"f{k}") for k in range(12) if k % 4 != 3], "id long, file string")
+    new = spark.createDataFrame([(k, "new") for k in range(12) if k % 2], "id long, file string")
+    found = {r["id"]: r["file"] for r in R.upsert(index, new, "id", "file").collect()}
+    assert found == {k: "new" if k % 2 else f"f{k}" for k in range(12)}
