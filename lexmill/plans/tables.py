@@ -245,7 +245,7 @@ def page_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crawl_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     links = docs.select(F.col("doc_id").alias("page"), F.explode(F.array((F.col("doc_id") * 2) % 97, (F.col("doc_id") + 5) % 89)).alias("to")).distinct()
-    return files.crawl(spark.createDataFrame([(1,)], "page long"), links, most=60)
+    return files.crawl(spark.createDataFrame([(1,)], "page long"), links)
 
 
 @query("""SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(replace(text, chr(10), ' '), '[^\\r\\n\\pL\\pN]?\\pL+|\\pN{1,3}| ?[^\\s\\pL\\pN]+[\\r\\n]*|\\s+')) AS word FROM documents) WHERE regexp_matches(word, '^ \\pL+$') GROUP BY word HAVING count(*) >= 2""")

@@ -154,15 +154,21 @@ def page_list(urls: DataFrame, url_col: str = "url", skip: int = 0) -> DataFrame
     return numbered.filter(F.col("idx") >= 0)
 
 
-def crawl(frontier: DataFrame, links: DataFrame, most: int = 20) -> DataFrame:
-    """Pages reachable from the frontier (page) over links (page, to), by rounds that leave out what was seen."""
+def crawl(frontier: DataFrame, links: DataFrame, most: int | None = None) -> DataFrame:
+    """Pages reachable from the frontier (page) over links (page, to), by rounds that leave out what was seen, until a round finds none.
+
+    most: rounds after which pages still to follow are an error.
+    """
     seen = edge = durable(frontier.select("page").distinct())
-    for _ in range(most):
+    rounds = 0
+    while True:
         edge = durable(edge.join(links, "page").select(F.col("to").alias("page")).distinct().join(seen, "page", "left_anti"))
         if edge.isEmpty():
-            break
+            return seen
+        if rounds == most:
+            raise RuntimeError(f"pages are left to follow after {most} rounds")
+        rounds += 1
         seen = durable(seen.union(edge))
-    return seen
 
 
 def fetch_pages(pages: DataFrame, fetch, url_col: str = "url") -> DataFrame:

@@ -163,3 +163,12 @@ def test_models_as_taggers(spark):
     tagged = taggers.tag(df, ["test_model", "test_sentences"]).collect()
     assert [tuple(s) for s in tagged[0]["attributes"]["test_sentences"]] == [(0, 10, 1.0), (10, 15, 0.0)]
     assert tagged[0]["attributes"]["test_model"][0]["score"] == 15 and tagged[1]["attributes"]["test_sentences"] == []
+
+
+def test_crawl_follows_links_to_the_end(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(24)] + [(24, 3), (90, 91)], "page long, to long")
+    start = spark.createDataFrame([(0,)], "page long")
+    assert sorted(r["page"] for r in files.crawl(start, chain).collect()) == list(range(25))
+    assert files.crawl(start, chain, most=24).count() == 25
+    with pytest.raises(RuntimeError):
+        files.crawl(start, chain, most=5)
