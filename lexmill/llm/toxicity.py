@@ -7,12 +7,17 @@ document has the noisy-or 1 - prod(1 - p). Weights are fitted to the document
 labels by the gradient of that likelihood, so that blame falls on the sentences
 that tell toxic documents from others; those are then located. Only features
 that toxic documents have significantly more often than others take part.
+Where those miss most of the toxic documents, as on small labelled tables, less
+significant and rarer features do, by steps down to a z-score of 2 and two
+documents.
 
 The model is fitted on a sample of labelled documents of some ``sample`` rows
 (a hash of the id below a rate), in one task; scoring reads every text whole.
 
 Defined cases: a null or empty text, or one without words, has score 0; without
-labelled rows of both classes every score is 0; of several labels for an id the
+labelled rows of both classes, or with too few for any feature to pass the last
+step (one row of each, say), every score is 0; the fewer the labelled rows, the
+more features are there by chance and the less scores can be relied on; of several labels for an id the
 highest holds, null labels and ids are none; repeated rows score alike; extra
 columns are passed through, the result's names win.
 """
@@ -33,8 +38,8 @@ from .words import ALNUM, LOWER, grouped, word_prefixes
 BITS = 20
 PREFIXES = (3, 4, 5, 6, 7, 8)
 ENDS = np.array([chr(b) in ".!?\n" for b in range(256)])
-#: Labelled rows of the sample; documents that a feature must be in, and its z-score; passes, step and decay of the fit.
-SAMPLE, LEAST_DOCUMENTS, LEAST_Z = 8000, 5, 5.0
+#: Labelled rows of the sample; documents that a feature must be in, and its z-score, by steps; share of the toxic documents that features must reach, or else the next step is taken; passes, step and decay of the fit.
+SAMPLE, LEAST, REACHED = 8000, ((5, 5.0), (4, 4.0), (3, 3.0), (2, 2.0)), 0.5
 PASSES, STEP, DECAY = 200, 0.1, 2e-5
 
 
@@ -79,8 +84,9 @@ def featured(labelled: DataFrame, text_col: str, label_col: str) -> DataFrame:
 
 
 def telling(batches: Iterator[tuple[np.ndarray, list[np.ndarray]]]) -> np.ndarray:
-    """Slots of the features that are in enough documents and in toxic ones significantly more often. batches: labels, slots."""
+    """Slots of the features that are in enough documents and in toxic ones significantly more often, at the first step where they reach enough toxic ones. batches: labels, slots."""
     seen, toxic, documents, hot = np.zeros(1 << BITS), np.zeros(1 << BITS), 0, 0
+    bad: list[np.ndarray] = []
     for labels, slots in batches:
         for y, own in zip(labels > 0.5, slots):
             if len(own):
@@ -88,11 +94,17 @@ def telling(batches: Iterator[tuple[np.ndarray, list[np.ndarray]]]) -> np.ndarra
                 seen[own] += 1
                 toxic[own] += y
                 documents, hot = documents + 1, hot + int(y)
+                if y:
+                    bad.append(own)
     if not 0 < hot < documents:
         return np.empty(0, np.int32)
     share = hot / documents
     z = (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1e-9)
-    return np.flatnonzero((seen >= LEAST_DOCUMENTS) & (z >= LEAST_Z)).astype(np.int32)
+    for least, score in LEAST:
+        told = (seen >= least) & (z >= score)
+        if sum(told[own].any() for own in bad) >= REACHED * hot:
+            break
+    return np.flatnonzero(told).astype(np.int32)
 
 
 def fit(y: np.ndarray, kinds: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray, int]], passes: int = PASSES) -> Model:

@@ -253,6 +253,18 @@ def test_without_labels_nothing_is_toxic(spark):
     assert toxicity.toxicity_digest(docs.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("n", [24, 40])
+def test_small_labelled_tables_are_learned(spark, n):
+    rng = random.Random(n)
+    calm = [f"{a}{b}" for a in "bcdfghjk" for b in ("alen", "orim", "udos", "ibet")]
+    texts = [" ".join(rng.choice(calm) for _ in range(6)) + (". vile nasty." if k % 4 == 0 else ".") for k in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(n)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity_digest(docs, labels).collect()}
+    assert all(got[k] for k in range(0, n, 4)) and sum(got.values()) <= 0.3 * n
+    assert stages.drop_toxic(docs, labels).count() == n - sum(got.values())
+
+
 def test_toxic_stage(spark):
     docs, labels, truth = labelled(spark)
     out = stages.drop_toxic(docs, labels)
