@@ -80,6 +80,17 @@ def test_payload_digest(spark):
         assert got.setdefault(raw, r["feature"]) == r["feature"]
 
 
+def test_embedded_media_are_returned(spark, tmp_path):
+    import __spark_entry__
+
+    pgm, pdf = (MEDIA[k].decode() for k in ("image/x-portable-graymap", "application/pdf"))
+    texts = [None, "", "plain", pgm, f"lead {pgm} and {pgm}", f"{pgm}\n{pdf}", "P5\n9 9\n255\nab"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["n_embedded"], r["payload_sha256"]) for r in __spark_entry__.queries()["media_embedded"](spark, str(tmp_path)).collect()}
+    assert [got[k][0] for k in range(len(texts))] == [(t or "").count(pgm) + (t or "").count(pdf) for t in texts]
+    assert all(got[k][1] == hashlib.sha256(media.padded((t or "").encode())).hexdigest() for k, t in enumerate(texts))
+
+
 # word BPE
 
 
