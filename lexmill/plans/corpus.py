@@ -9,15 +9,15 @@ from . import query
 from ..functions import text as X
 from ..operators import dedupe, relational as R, spans as S, taggers
 from ..operators.mix import Condition, MixSpec, Replacement, mix, recipe
-from ..session import spread
+from ..session import read_dealt
 
 WS = r"[ \t\n\x0B\f\r]"
 WORDS = rf"list_filter(string_split_regex(text, '{WS}+'), lambda x: x <> '')"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in ("documents", "pages") else df
+    path = f"{sf_dir}/{name}.parquet"
+    return read_dealt(spark, path) if name in ("documents", "pages") else spark.read.parquet(path)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings for scale; a cluster's own values for memory and parallelism stay as they are.
 SETTINGS = {
@@ -18,6 +20,10 @@ SETTINGS = {
 }
 #: Rows and bytes that go to Python at once: small, as texts may be long and executors hold several workers.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+#: Spark's own values of these.
+DEFAULTS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.execution.arrow.maxBytesPerBatch": "67108864b"}
+#: Files of a table that :func:`read_dealt` moves at most.
+SMALL_BYTES = 32 << 20
 _shipped: set[str] = set()
 
 
@@ -26,30 +32,42 @@ def session(name: str = "lexmill", master: str | None = None, **conf: str) -> Sp
     return (builder.master(master) if master else builder).getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder that the cluster names. A private one is made only in local mode, where nobody else must read it."""
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lexmill-"))
+        named = sc.getCheckpointDir()
+    return named.rstrip("/")
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage at a checkpoint in the cluster's shared folder; a private one only where none is configured."""
-    sc = df.sparkSession.sparkContext
+    """Cut the lineage at a checkpoint in the cluster's shared folder."""
+    sc, folder = df.sparkSession.sparkContext, shared_folder(df.sparkSession)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lexmill-"))
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A table in fewer partitions than there are cores, dealt over all of them; larger ones stay where they are.
+def read_dealt(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table; one of up to SMALL_BYTES of files is dealt over the cores, as it may be a single row group.
 
-    Such a table is small, and its few row groups would keep most cores idle.
+    No more than SMALL_BYTES are ever moved for that, whatever the cluster's size; larger tables stay as they lie.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    df = spark.read.parquet(path)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
+    return df.repartition(spark.sparkContext.defaultParallelism) if size <= SMALL_BYTES else df
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once per application, so that its Python functions load there, and set the size of batches."""
     sc = spark.sparkContext
     for key, value in BATCHES.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key) == DEFAULTS[key]:  # a user's own sizes stay
+            spark.conf.set(key, value)
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parent
         target = os.path.join(tempfile.mkdtemp(prefix="lexmill-"), f"{root.name}.zip")

@@ -1,16 +1,36 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
 from pyspark.sql import functions as F
 
-from lexmill.session import durable, ship, spread
+from lexmill import session
+from lexmill.session import durable, read_dealt, shared_folder, ship
+
+
+def test_small_tables_are_dealt_over_all_cores(spark, tmp_path, monkeypatch):
+    path, cores = str(tmp_path / "t.parquet"), spark.sparkContext.defaultParallelism
+    spark.range(100).coalesce(1).write.parquet(path)
+    assert read_dealt(spark, path).rdd.getNumPartitions() == cores and read_dealt(spark, path).count() == 100
+    monkeypatch.setattr(session, "SMALL_BYTES", 10)
+    assert "Exchange" not in read_dealt(spark, path)._jdf.queryExecution().toString()
+
+
+def test_no_private_folder_on_a_cluster():
+    conf = SimpleNamespace(get=lambda key: None)
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        sc = SimpleNamespace(getConf=lambda: conf, getCheckpointDir=lambda: None, master=master)
+        with pytest.raises(RuntimeError):
+            shared_folder(SimpleNamespace(sparkContext=sc))
 
 
-def test_small_tables_are_dealt_over_all_cores(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(100).coalesce(1)
-    assert spread(few).rdd.getNumPartitions() == cores and spread(few).count() == 100
-    many = spark.range(100).repartition(cores + 3)
-    assert spread(many) is many
+def test_a_users_batch_sizes_stay(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "123")
+    assert ship(spark).conf.get(key) == "123"
+    spark.conf.set(key, before)
 
 
 def test_shipping_twice_changes_nothing(spark):
