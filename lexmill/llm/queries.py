@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import read_dealt
 from .bpe import bpe_digest
 from .hnsw import near_vectors
 from .media import payload_digest
@@ -34,7 +34,7 @@ def vocabulary(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return read_dealt(spark, f"{sf_dir}/{name}.parquet")
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:

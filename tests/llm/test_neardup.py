@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexmill.llm import words
 from lexmill.llm.components import components
-from lexmill.llm.neardup import near_duplicates
+from lexmill.llm.neardup import COORDINATES, LOSS, least_agreed, near_duplicates, signature_form
 from lexmill.llm.stages import drop_near_duplicates
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,6 +81,38 @@ def test_a_large_group_and_repeated_rows(spark):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute(rows, 2)
 
 
+def test_exact_form_at_a_lower_similarity(spark):
+    rows = made(2, 40) + ODD
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 40, exact=True)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == brute(rows, 2, 40)
+
+
+def pairs_of(similarity, n, seed, size=120):
+    """n pairs of texts of the given similarity in words, apart from all others."""
+    rng = random.Random(seed)
+    rows = []
+    for k in range(n):
+        shared = round(2 * size * similarity / (1 + similarity))
+        own = [f"p{k}x{j}" for j in range(2 * size - shared)]
+        a, b = own[:size], own[:shared] + own[size:]
+        rng.shuffle(a)
+        rng.shuffle(b)
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    return rows
+
+
+def test_thresholds_follow_the_similarity(spark):
+    assert least_agreed(48, 0.512) == 9 and least_agreed(10, 1.0) == 10 and least_agreed(10, 0.0) == 0
+    for percent in (40, 60, 80, 95, 100):
+        minima, matches, _ = signature_form(percent)
+        assert matches == least_agreed(COORDINATES, (percent / 100) ** minima, LOSS) >= 5
+    with pytest.raises(ValueError):
+        signature_form(10)
+    rows = pairs_of(0.56, 40, 1)
+    got = {r["doc_id"]: r["component_id"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, 50).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}
+
+
 def test_null_ids_and_an_empty_table(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (5, "a b c d e f"), (None, "q r"), (None, None)], "doc_id long, text string")
     got = sorted(map(str, [(r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(df, 2).collect()]))
@@ -90,10 +122,11 @@ def test_null_ids_and_an_empty_table(spark):
 
 def test_stage_keeps_one_of_each_group(spark):
     rows = made(5)
-    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, kept string")
+    docs = spark.createDataFrame([(i, t, "en", 88, 6, None, -1) for i, t in rows], "doc_id long, text string, kept string, _word int, _bit int, _gone string, row long")
     out = drop_near_duplicates(docs)
     assert out.columns == docs.columns
     assert sorted(r["doc_id"] for r in out.collect()) == sorted({c for _, _, c in brute(rows, 5)})
+    assert {tuple(r)[2:] for r in out.collect()} == {("en", 88, 6, None, -1)}
 
 
 def test_hashes_of_words_do_not_depend_on_their_place():
