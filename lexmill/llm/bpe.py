@@ -5,7 +5,10 @@ neighbouring pair up by binary search over the sorted pair keys, takes the
 lowest rank of each word and merges all its places at once; words without a
 mergeable pair leave the array. Merging every place of a word's lowest pair is
 the same as one place at a time, as a pair with the new symbol always ranks
-later. Distinct words are encoded once and kept in a bounded cache.
+later. A long word would need a round for each of its ranks, each over all its
+symbols: its places wait under their rank instead, and a round looks only at
+the lowest rank's places and their neighbours, so that its time grows with its length
+and not with the square. Distinct words are encoded once and kept in a bounded cache.
 
 The vocabulary file (tokenizers' JSON, with an end-of-word suffix, a
 normaliser of NFC, white space and lower case, and special tokens that are
@@ -13,12 +16,14 @@ recognised in the text) is a parameter that every executor can open.
 
 Defined cases: null is an empty text; an empty text has no ids and decodes to
 an empty text; repeated rows give equal results; words may be as long as the
-text.
+text; of places that overlap the leftmost is merged; an empty table gives an
+empty one; other columns are passed through, but for one of the result's name.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 import unicodedata
@@ -37,6 +42,8 @@ SPACE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 NO_RANK = np.iinfo(np.int64).max
 #: Words and their characters that the cache holds, and characters of text encoded together.
 CACHE_WORDS, CACHE_CHARS, CHUNK_CHARS = 400_000, 20_000_000, 2_000_000
+#: Bytes from which on a word is merged on its own.
+LONG = 1024
 
 
 def byte_alphabet() -> list[str]:
@@ -129,9 +136,71 @@ class WordBpe:
                 out += pattern.findall(piece.lower())
         return out
 
+    def ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rank of each pair (NO_RANK: none) and its place among the keys."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.ranks[at], NO_RANK), at
+
+    def merged_long(self, raw: bytes) -> np.ndarray:
+        """The ids of one long word: rounds by rank, from a heap of the ranks that wait."""
+        flat = np.frombuffer(raw, np.uint8)
+        n = len(flat)
+        symbols = self.inner[flat]
+        symbols[-1] = self.last[flat[-1]]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        alive = np.ones(n, bool)
+        rank = np.full(n, NO_RANK)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def wait(places: np.ndarray) -> None:
+            """Rank the pairs that start at the places, and put them under their ranks."""
+            places = places[after[places] < n]
+            own, _ = self.ranked(symbols[places], symbols[after[places]])
+            rank[places] = own
+            places, own = places[own != NO_RANK], own[own != NO_RANK]
+            order = np.argsort(own, kind="stable")
+            places, own = places[order], own[order]
+            cuts = np.flatnonzero(np.diff(own, prepend=-1))
+            for a, z in zip(cuts, [*cuts[1:], len(own)]):
+                r = int(own[a])
+                if r not in waiting:
+                    heapq.heappush(heap, r)
+                    waiting[r] = []
+                waiting[r].append(places[a:z])
+
+        wait(np.arange(n))
+        while heap:
+            r = heapq.heappop(heap)
+            places = np.unique(np.concatenate(waiting.pop(r)))
+            places = places[alive[places] & (rank[places] == r)]
+            # of a run of places that overlap, as in "aaa", every other one from the left
+            count = np.arange(len(places))
+            first = np.r_[True, after[places[:-1]] != places[1:]] if len(places) else np.empty(0, bool)
+            places = places[(count - np.maximum.accumulate(np.where(first, count, 0))) % 2 == 0]
+            if not len(places):
+                continue
+            gone = after[places]
+            _, at = self.ranked(symbols[places], symbols[gone])
+            symbols[places] = self.made[at]
+            alive[gone] = False
+            rank[gone] = rank[places] = NO_RANK
+            after[places] = after[gone]
+            inside = after[places] < n
+            before[after[places][inside]] = places[inside]
+            lead = before[places]
+            wait(np.unique(np.r_[places, lead[lead >= 0]]))
+        return symbols[alive]
+
     def merged(self, words: list[str]) -> list[np.ndarray]:
         """The ids of each word."""
         raw = [w.encode() for w in words]
+        long = {k: self.merged_long(b) for k, b in enumerate(raw) if len(b) >= LONG}
+        if long:
+            short = [k for k in range(len(raw)) if k not in long]
+            rest = self.merged([words[k] for k in short]) if short else []
+            return [x for _, x in sorted([*long.items(), *zip(short, rest)], key=lambda x: x[0])]
         lengths = np.array([len(b) for b in raw], np.int64)
         flat = np.frombuffer(b"".join(raw), np.uint8)
         symbols = self.inner[flat]
@@ -140,10 +209,9 @@ class WordBpe:
         owner = np.repeat(np.arange(len(words)), lengths)
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(words)
         while len(symbols):
-            keys = symbols[:-1] << 32 | symbols[1:]
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
             ranks = np.full(len(symbols), NO_RANK)
-            ranks[:-1] = np.where((self.keys[at] == keys) & (owner[:-1] == owner[1:]), self.ranks[at], NO_RANK)
+            own, at = self.ranked(symbols[:-1], symbols[1:])
+            ranks[:-1] = np.where(owner[:-1] == owner[1:], own, NO_RANK)
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             sizes = np.diff(np.r_[starts, len(symbols)])
             least = np.minimum.reduceat(ranks, starts)
