@@ -12,14 +12,19 @@ significant and rarer features do, by steps down to a z-score of 2 and two
 documents.
 
 The model is fitted on a sample of labelled documents of some ``sample`` rows
-(a hash of the id below a rate), in one task; scoring reads every text whole.
+(a hash of the id below a rate). In how many documents each of the 2^20 feature
+slots occurs is counted by every task for itself and then summed by slot; only
+the places of the chosen features go to the one task that fits, as all other
+sentences of a document are alike and count as a number. Scoring reads every text
+whole, however long.
 
 Defined cases: a null or empty text, or one without words, has score 0; without
 labelled rows of both classes, or with too few for any feature to pass the last
 step (one row of each, say), every score is 0; the fewer the labelled rows, the
 more features are there by chance and the less scores can be relied on; of several labels for an id the
-highest holds, null labels and ids are none; repeated rows score alike; extra
-columns are passed through, the result's names win.
+highest holds, null labels and ids are none; repeated rows score alike; an empty
+table gives an empty one; extra columns are passed through, the result's names
+win.
 """
 
 from __future__ import annotations
@@ -83,48 +88,81 @@ def featured(labelled: DataFrame, text_col: str, label_col: str) -> DataFrame:
     return labelled.select(F.col(text_col).cast("string"), F.col(label_col).cast("double")).mapInArrow(run, "label double, slots array<int>, sizes array<int>")
 
 
-def telling(batches: Iterator[tuple[np.ndarray, list[np.ndarray]]]) -> np.ndarray:
-    """Slots of the features that are in enough documents and in toxic ones significantly more often, at the first step where they reach enough toxic ones. batches: labels, slots."""
-    seen, toxic, documents, hot = np.zeros(1 << BITS), np.zeros(1 << BITS), 0, 0
-    bad: list[np.ndarray] = []
-    for labels, slots in batches:
-        for y, own in zip(labels > 0.5, slots):
-            if len(own):
-                own = np.unique(own)
-                seen[own] += 1
-                toxic[own] += y
-                documents, hot = documents + 1, hot + int(y)
-                if y:
-                    bad.append(own)
-    if not 0 < hot < documents:
-        return np.empty(0, np.int32)
+def significance(seen: np.ndarray, toxic: np.ndarray, documents: int, hot: int) -> np.ndarray:
+    """z-score of the number of toxic documents among those that have a feature."""
     share = hot / documents
-    z = (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1e-9)
-    for least, score in LEAST:
-        told = (seen >= least) & (z >= score)
-        if sum(told[own].any() for own in bad) >= REACHED * hot:
-            break
-    return np.flatnonzero(told).astype(np.int32)
+    return (toxic - seen * share) / np.sqrt(seen * share * (1 - share) + 1e-9)
+
+
+def counted(bags: DataFrame) -> DataFrame:
+    """Slot, seen and toxic: in how many documents, and toxic ones, a feature is. Slot -1 stands for all documents with words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, toxic = np.zeros(1 + (1 << BITS), np.int64), np.zeros(1 + (1 << BITS), np.int64)
+        for batch in batches:
+            for y, own in zip(batch.column(0).to_numpy() > 0.5, arrays(batch.column(1))):
+                if len(own):
+                    own = np.r_[np.unique(own), -1]
+                    seen[own] += 1
+                    toxic[own] += y
+        used = np.flatnonzero(seen)
+        slots = np.where(used == 1 << BITS, -1, used).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(seen[used]), pa.array(toxic[used])], names=["slot", "seen", "toxic"])
+
+    return bags.mapInArrow(run, "slot int, seen long, toxic long").groupBy("slot").agg(F.sum("seen").alias("seen"), F.sum("toxic").alias("toxic"))
+
+
+def arrays(column: pa.Array) -> list[np.ndarray]:
+    return [np.asarray(x.values) for x in column]
+
 
+def telling(bags: DataFrame) -> np.ndarray:
+    """Slots of the features that are in enough documents and in toxic ones significantly more often, at the first step where they reach enough toxic ones."""
+    counts = staged(counted(bags), "toxicity")
+    total = counts.filter("slot = -1").first()
+    if total is None or not 0 < total["toxic"] < total["seen"]:
+        return np.empty(0, np.int32)
+    least, score = LEAST[-1]
+    share = total["toxic"] / total["seen"]
+    z = (F.col("toxic") - F.col("seen") * share) / F.sqrt(F.col("seen") * share * (1 - share) + 1e-9)
+    # features that pass the last step: a slot each of 2^20 at most
+    some = counts.filter((F.col("slot") >= 0) & (F.col("seen") >= least) & (z >= score - 1e-6)).toArrow()
+    slots, seen, toxic = (some.column(k).to_numpy() for k in range(3))
+    order = np.argsort(slots)
+    slots, seen, toxic = slots[order], seen[order], toxic[order]
+    z = significance(seen, toxic, total["seen"], total["toxic"])
+    steps = [np.sort(slots[(seen >= n) & (z >= s)]) for n, s in LEAST]
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.zeros((len(steps), 1 << BITS), bool)
+        for k, told in enumerate(steps):
+            marks[k, told] = True
+        hits = np.zeros(len(steps), np.int64)
+        for batch in batches:
+            for own in arrays(batch.column(1)):
+                if len(own):
+                    hits += marks[:, own].any(axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(steps))), pa.array(hits)], names=["step", "hits"])
+
+    hits = {r["step"]: r["hits"] for r in bags.filter("label > 0.5").mapInArrow(reached, "step long, hits long").groupBy("step").agg(F.sum("hits").alias("hits")).collect()}
+    enough = [k for k in range(len(steps)) if hits.get(k, 0) >= REACHED * total["toxic"]]
+    return steps[enough[0] if enough else -1].astype(np.int32)
 
-def fit(y: np.ndarray, kinds: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray, int]], passes: int = PASSES) -> Model:
-    """Adam over all bags at once. bags: places of the features among ``kinds``, the sentence of each, and the number of sentences."""
+
+def fit(y: np.ndarray, kinds: np.ndarray, bags: list[tuple[np.ndarray, np.ndarray, int, int]], passes: int = PASSES) -> Model:
+    """Adam over all bags at once. bags: places of the features among ``kinds``, the sentence of each, the number of sentences with a feature, and that of all others."""
     if not y.any() or y.all():
         return NONE
-    sizes = np.array([n for _, _, n in bags])
+    sizes, plain = np.array([n for _, _, n, _ in bags]), np.array([n for _, _, _, n in bags])
     ends = np.r_[0, np.cumsum(sizes)]
-    which = np.concatenate([w for w, _, _ in bags])
-    where = np.concatenate([s + first for (_, s, _), first in zip(bags, ends)])
+    which = np.concatenate([w for w, _, _, _ in bags])
+    where = np.concatenate([s + first for (_, s, _, _), first in zip(bags, ends)])
+    owner = np.repeat(np.arange(len(bags)), sizes)
     w, b = np.zeros(len(kinds)), -6.0
     mean, var, mean_b, var_b = np.zeros(len(kinds)), np.zeros(len(kinds)), 0.0, 0.0
     for t in range(1, passes + 1):
-        z = b + np.bincount(where, w[which], ends[-1])
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        total = np.add.reduceat(np.logaddexp(0, z), ends[:-1])  # -log of the chance that no sentence is toxic
-        pull = np.where(y, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-9), 1.0)
-        g = p * np.repeat(pull, sizes) / len(y)
-        gw = np.bincount(which, g[where], len(kinds)) + DECAY * w
-        gb = g.sum()
+        gw, gb = gradient(w, b, y, which, where, owner, plain)
+        gw += DECAY * w
         mean, var = 0.9 * mean + 0.1 * gw, 0.99 * var + 0.01 * gw * gw
         mean_b, var_b = 0.9 * mean_b + 0.1 * gb, 0.99 * var_b + 0.01 * gb * gb
         one, two = 1 - 0.9**t, 1 - 0.99**t
@@ -133,6 +171,21 @@ def fit(y: np.ndarray, kinds: np.ndarray, bags: list[tuple[np.ndarray, np.ndarra
     return Model(float(b), kinds.astype(np.int32), w)
 
 
+def gradient(w: np.ndarray, b: float, y: np.ndarray, which: np.ndarray, where: np.ndarray, owner: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, float]:
+    """Of the mean loss -log P(label) of noisy-or bags, by the weights and the bias.
+
+    which, where: features and their sentences. owner: the bag of each sentence
+    with a feature. plain: the sentences of each bag that have none.
+    """
+    z = b + np.bincount(where, w[which], len(owner))
+    p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    p_plain = 1 / (1 + np.exp(-np.clip(b, -40, 40)))
+    total = np.bincount(owner, np.logaddexp(0, z), len(y)) + plain * np.logaddexp(0, b)  # -log of the chance that no sentence is toxic
+    pull = np.where(y, -1 / np.maximum(np.expm1(np.minimum(total, 50)), 1e-9), 1.0) / len(y)
+    g = p * pull[owner]
+    return np.bincount(which, g[where], len(w)), float(g.sum() + (pull * plain).sum() * p_plain)
+
+
 def held_out(id_col: str) -> Column:
     """Rows that training must not see: crc32 of the id as text, mod 5, is 0."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
@@ -142,18 +195,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on the labelled documents that are not held out."""
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("double").alias("_label")).dropna().filter(~held_out("_id"))
     known = known.groupBy("_id").agg(F.max("_label").alias("_label"))
-    rate = min(1.0, sample / max(1, known.count()))
-    chosen = known.filter(F.pmod(F.xxhash64("_id", F.lit(4)), F.lit(1_000_000)) < int(rate * 1_000_000))
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
-
-    arrays = lambda column: [np.asarray(x.values) for x in column]
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = telling((b.column(0).to_numpy(), arrays(b.column(1))) for b in batches)
-        yield pa.RecordBatch.from_arrays([pa.array([kinds.tobytes()], pa.binary())], names=["kinds"])
-
+    rate = sample / max(1, known.count())
+    if rate < 1:  # the lowest part of the 64-bit hashes
+        known = known.filter(F.xxhash64("_id", F.lit(4)) < int(rate * 2**64) - 2**63)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id")
     bags = staged(featured(rows, "_text", "_label"), "toxicity")
-    kinds = np.frombuffer(bags.repartition(1).mapInArrow(choose, "kinds binary").first()["kinds"], np.int32)
+    kinds = telling(bags)
     if not len(kinds):
         return NONE
 
@@ -161,23 +208,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         place = np.full(1 << BITS, -1, np.int32)
         place[kinds] = np.arange(len(kinds))
         for b in batches:
-            which, where, sizes = [], [], []
+            which, where, sizes, plain = [], [], [], []
             for slots, inside in zip(arrays(b.column(1)), arrays(b.column(2))):
                 own = place[slots]
+                of = np.repeat(np.arange(len(inside)), inside)[own >= 0]
+                used, at = np.unique(of, return_inverse=True)
                 which.append(own[own >= 0])
-                where.append(np.repeat(np.arange(len(inside), dtype=np.int32), inside)[own >= 0])
-                sizes.append(len(inside))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(which, pa.list_(pa.int32())), pa.array(where, pa.list_(pa.int32())), pa.array(sizes, pa.int32())], names=["label", "which", "where", "n"])
+                where.append(at.astype(np.int32))
+                sizes.append(len(used))
+                plain.append(len(inside) - len(used))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(which, pa.list_(pa.int32())), pa.array(where, pa.list_(pa.int32())), pa.array(sizes, pa.int32()), pa.array(plain, pa.int32())], names=["label", "which", "where", "n", "plain"])
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: list[tuple] = []
         for b in batches:
-            own += [x for x in zip(b.column(0).to_pylist(), arrays(b.column(1)), arrays(b.column(2)), b.column(3).to_pylist()) if x[3]]
-        own.sort(key=lambda x: (x[0], x[3], x[1].tobytes(), x[2].tobytes()))  # sums don't depend on the order of arrival
+            own += [x for x in zip(b.column(0).to_pylist(), arrays(b.column(1)), arrays(b.column(2)), b.column(3).to_pylist(), b.column(4).to_pylist()) if x[3] + x[4]]
+        own.sort(key=lambda x: (x[0], x[3], x[4], x[1].tobytes(), x[2].tobytes()))  # sums don't depend on the order of arrival
         model = fit(np.array([x[0] for x in own]) > 0.5, kinds, [x[1:] for x in own])
         yield pa.RecordBatch.from_arrays([pa.array([model.bias]), pa.array([model.weights.tobytes()], pa.binary())], names=["bias", "weights"])
 
-    small = bags.mapInArrow(reduce, "label double, which array<int>, where array<int>, n int")
+    small = bags.mapInArrow(reduce, "label double, which array<int>, where array<int>, n int, plain int")
     fitted = small.repartition(1).mapInArrow(learn, "bias double, weights binary").first()
     weights = np.frombuffer(fitted["weights"], np.float64)
     return Model(fitted["bias"], kinds, weights) if len(weights) else NONE
