@@ -1,25 +1,33 @@
 """Near-duplicate vectors by hierarchical navigable small-world graphs, one per shard.
 
-Equal vectors form one class. The classes are dealt over shards; a task builds
-the graph of a shard, layer by layer from the sparsest, and streams all queries
-through it, many in lock step. A query's beam is widened until its worst member
-lies below the threshold, so that groups of any size are found whole. A sample
-of each block of queries is audited against all vectors of the shard, and the
-block's beams are widened until the audit's recall passes; a beam as wide as
-the shard is exact. Cosines of hits are verified in double precision.
-
-A task returns the edges that join what it found into components, at most one
-for each query or vector. After their union every component's links are
-counted exactly, between blocks of its members, so that counts are symmetric.
+Equal vectors form one class. The classes are dealt over shards, as large as a
+task's memory allows; a task builds the graph of a shard, layer by layer from
+the sparsest, and streams all queries through it, many in lock step. A query's
+beam is widened until its worst member lies below the threshold, so that groups
+of any size are found whole.
+
+Before any query is answered, the shard's beam is audited against all its
+vectors and widened until the audit passes; a beam as wide as the shard is
+exact. The audit asks two kinds of query: planted ones, at a cosine just above
+the threshold from a vector of the shard, so that every audit holds true hits of
+the hardest kind, and a sample of the real ones. Recall is taken for each query
+that has a hit other than itself and then averaged, so that the many hits of a
+large group can't hide the few of a small one.
+
+Cosines of hits are verified in double precision. A task returns, for each
+query, the number of its verified links, and the edges that join what it found
+into components, at most one for each query or vector.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or a
 non-finite component link with nothing and are their own component; vectors of
 another length are never compared; equal vectors link; rows that repeat an id
-are rows of their own that share it; labels and other columns are ignored.
+are rows of their own that share it; an empty table gives an empty one; labels
+and other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .staging import staged
+from .staging import cleared, kept, spread_join, staged
 
+LOG = logging.getLogger(__name__)
 #: Classes to a shard, and shards at least; links per node, twice as many in the lowest layer.
-SHARD_CLASSES, SHARDS, LINKS = 50_000, 6, 12
-#: Beams while building and at first while searching; queries in lock step; audited queries of a block and their recall.
-BUILD_BEAM, BEAM, BLOCK, AUDITED, RECALL = 40, 48, 512, 16, 0.995
+SHARD_CLASSES, SHARDS, LINKS = 200_000, 6, 12
+#: Beams while building and at first while searching; queries in lock step.
+BUILD_BEAM, BEAM, BLOCK = 40, 64, 512
+#: Planted queries of an audit, sampled real ones, and the mean recall that it must show.
+PLANTED, SAMPLED, RECALL = 256, 512, 0.999
 MARGIN = 1e-5  # of single precision
-COUNT_BLOCK = 4096
 
 
 def _best(sims: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,16 +195,25 @@ class Graph:
             sims[live], ids[live], opened[live] = (np.take_along_axis(a, order, 1) for a in (all_sims, all_ids, all_open))
         return sims, ids
 
+    def step(self) -> int:
+        """Queries whose cosines with all vectors fit into some 120 MB."""
+        return max(1, 30_000_000 // max(1, len(self.x)))
+
+    def dense(self, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """Query and node of every pair at ``threshold`` or above, by all cosines."""
+        starts = range(0, len(queries), self.step())
+        found = [np.nonzero(queries[k : k + self.step()] @ self.x.T >= threshold) for k in starts]
+        return tuple(np.concatenate([np.empty(0, np.int64), *x]) for x in ([k + q for k, (q, _) in zip(starts, found)], [n for _, n in found]))
+
     def within(self, queries: np.ndarray, threshold: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Query and node of every pair found at ``threshold`` or above; beams widen while their worst member is."""
+        """Query and node of every pair found at ``threshold`` or above; beams widen while their worst member is, in the end to the whole shard."""
         found_q, found_n = [], []
-        rest = np.arange(len(queries))
+        rest, widened = np.arange(len(queries)), False
         while len(rest):
-            if width >= len(self.x):
-                for k in range(0, len(rest), BLOCK):
-                    q, n = np.nonzero(queries[rest[k : k + BLOCK]] @ self.x.T >= threshold)
-                    found_q.append(rest[k + q])
-                    found_n.append(n)
+            if width * (4 if widened else 1) >= len(self.x):
+                q, n = self.dense(queries[rest], threshold)
+                found_q.append(rest[q])
+                found_n.append(n)
                 break
             again = []
             most = max(1, min(BLOCK, 60_000_000 // max(len(self.x), 40 * width)))
@@ -206,22 +225,36 @@ class Graph:
                 q, c = np.nonzero((sims >= threshold) & ~full[:, None])
                 found_q.append(part[q])
                 found_n.append(ids[q, c])
-            rest = np.concatenate(again)
+            rest, widened = np.concatenate(again), True
             width *= 4
-        return (np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (found_q, found_n))
+        return tuple(np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (found_q, found_n))
 
-    def audited(self, queries: np.ndarray, threshold: float, width: int, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray, int]:
-        """:meth:`within` at the least width from ``width`` on whose audit passes; and that width."""
-        sample = np.unique(np.linspace(0, len(queries) - 1, min(AUDITED, len(queries))).astype(int))
-        true = queries[sample] @ self.x.T >= threshold + MARGIN
+    def planted(self, threshold: float, seed: int = 11) -> np.ndarray:
+        """Queries at a cosine just above the threshold from vectors of the shard."""
+        rng = np.random.Generator(np.random.PCG64(seed))
+        base = self.x[rng.choice(len(self.x), min(PLANTED, len(self.x)), replace=False)].astype(np.float64)
+        aside = rng.standard_normal(base.shape)
+        aside -= (aside * base).sum(axis=1, keepdims=True) * base
+        length = np.sqrt((aside * aside).sum(axis=1, keepdims=True))
+        cosine = np.minimum(1.0, threshold + 10 * MARGIN + rng.random((len(base), 1)) * 0.02 * (1 - threshold))
+        cosine = np.where(length > 1e-9, cosine, 1.0)  # in one dimension nothing is aside
+        return (cosine * base + np.sqrt(1 - cosine * cosine) * aside / np.maximum(length, 1e-12)).astype(np.float32)
+
+    def audit(self, queries: np.ndarray, own: np.ndarray, threshold: float, width: int, recall: float = RECALL) -> tuple[int, float, int]:
+        """The least width from ``width`` on at which the queries' recall passes, that recall, and how many queries had a hit. own: a query's node, or -1."""
         while True:
-            q, n = self.within(queries, threshold, width)
-            got = np.zeros(true.shape, bool)
-            at = np.searchsorted(sample, q)
-            hit = (at < len(sample)) & (sample[np.minimum(at, len(sample) - 1)] == q)
-            got[at[hit], n[hit]] = True
-            if width >= len(self.x) or (true & got).sum() >= recall * true.sum():
-                return q, n, width
+            many, got = np.zeros(len(queries)), np.zeros(len(queries))
+            for k in range(0, len(queries), self.step()):
+                part, mine = queries[k : k + self.step()], own[k : k + self.step()]
+                true = part @ self.x.T >= threshold + MARGIN
+                true[np.flatnonzero(mine >= 0), mine[mine >= 0]] = False
+                q, n = self.within(part, threshold, width)
+                many[k : k + len(part)] = true.sum(axis=1)
+                got[k : k + len(part)] = np.bincount(q, true[q, n], len(part))
+            telling = many > 0
+            mean = float((got[telling] / many[telling]).mean()) if telling.any() else 1.0
+            if width >= len(self.x) or mean >= recall:
+                return width, mean, int(telling.sum())
             width *= 2
 
 
@@ -252,118 +285,121 @@ class Forest:
             yield uid, int(self.uids[labels[0]])
 
 
+#: What a task returns: an edge (0) of two uids, the links (1) of a uid, an audit (2) of a shard: its width, recall and telling queries.
+FOUND = ("kind", "a", "b", "recall", "queries")
+
+
 def _search(threshold: float, beam: int):
-    """Over rows in order of (size, shard, role): a shard's vectors, then all queries."""
+    """Over rows in order of (size, shard, role): a shard's vectors (0), a sample of the queries (1), then all of them (2)."""
+
+    class Shard:
+        def __init__(self) -> None:
+            self.uids, self.many, self.vectors, self.sample, self.sampled = [], [], [], [], []
+            self.graph: Graph | None = None
+
+        def ready(self) -> tuple:
+            """Build the graph and audit its beam."""
+            self.uids, self.many, self.vectors = (np.concatenate(x) for x in (self.uids, self.many, self.vectors))
+            self.graph, self.forest = Graph(self.vectors), Forest(self.uids)
+            self.order = np.argsort(self.uids)
+            planted = self.graph.planted(threshold)
+            queries = np.concatenate([planted, *[x.astype(np.float32) for x in self.sample]])
+            own = np.concatenate([np.full(len(planted), -1), *map(self.nodes, self.sampled)])
+            self.width, recall, telling = self.graph.audit(queries, own, threshold - MARGIN, beam)
+            self.sample, self.sampled = [], []
+            return self.width, recall, telling
+
+        def nodes(self, uids: np.ndarray) -> np.ndarray:
+            """The node of each uid, -1 where it is in another shard."""
+            at = self.order[np.minimum(np.searchsorted(self.uids, uids, sorter=self.order), len(self.uids) - 1)]
+            return np.where(self.uids[at] == uids, at, -1)
+
+        def answer(self, uids: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
+            q, n = self.graph.within(x.astype(np.float32), threshold - MARGIN, self.width)
+            own = self.nodes(uids)
+            sure = (np.einsum("ij,ij->i", x[q], self.vectors[n]) >= threshold) & (n != own[q])
+            q, n = q[sure], n[sure]
+            order = np.argsort(q, kind="stable")
+            q, n = q[order], n[order]
+            heads = np.flatnonzero(np.diff(q, prepend=-1))
+            for h, t in zip(heads, [*heads[1:], len(q)]):
+                uid = int(uids[q[h]])
+                yield 1, uid, int(self.many[n[h:t]].sum()), None, None
+                for a, b in self.forest.join(uid, n[h:t]):
+                    yield 0, a, b, None, None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, uids, vectors, graph, forest, width = None, [], [], None, None, beam
+        key, shard = None, Shard()
         for batch in batches:
             if not batch.num_rows:
                 continue
             codes = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
             cuts = np.flatnonzero((np.diff(codes, axis=0) != 0).any(1)) + 1
-            edges: list[tuple[int, int]] = []
+            found: list[tuple] = []
             for a, z in zip([0, *cuts], [*cuts, batch.num_rows]):
                 part = batch.slice(a, z - a)
-                size, shard, role = codes[a]
-                if key != (size, shard):
-                    key, uids, vectors, graph, width = (size, shard), [], [], None, beam
-                own, x = part.column(3).to_numpy(), unit(matrix(part.column(4)))
+                if key != tuple(codes[a][:2]):
+                    key, shard = tuple(codes[a][:2]), Shard()
+                role, own, x = codes[a][2], part.column(3).to_numpy(), unit(matrix(part.column(5)))
                 if role == 0:
-                    uids.append(own)
-                    vectors.append(x)
-                    continue
-                if graph is None:
-                    if not vectors:
-                        continue
-                    uids, vectors = np.concatenate(uids), np.concatenate(vectors)
-                    graph, forest = Graph(vectors), Forest(uids)
-                for k in range(0, len(own), 2 * BLOCK):
-                    block = x[k : k + 2 * BLOCK]
-                    q, n, width = graph.audited(block.astype(np.float32), threshold - MARGIN, width)
-                    sure = np.einsum("ij,ij->i", block[q], vectors[n]) >= threshold
-                    q, n = q[sure], n[sure]
-                    order = np.argsort(q, kind="stable")
-                    q, n = q[order], n[order]
-                    heads = np.flatnonzero(np.diff(q, prepend=-1))
-                    for h, t in zip(heads, [*heads[1:], len(q)]):
-                        edges += forest.join(int(own[k + q[h]]), n[h:t])
-            flat = np.array(edges, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], names=["a", "b"])
-
-    return run
-
-
-def _count(threshold: float):
-    """Over rows in order of (label, i, j, role): members of block j (0), then of block i (1), whose links into j are counted."""
-
-    def flush(base: list, asked: list) -> tuple[np.ndarray, np.ndarray]:
-        x, many = unit(matrix(pa.concat_arrays([p.column(5) for p in base]))), np.concatenate([p.column(6).to_numpy() for p in base])
-        uid, y = np.concatenate([p.column(4).to_numpy() for p in asked]), unit(matrix(pa.concat_arrays([p.column(5) for p in asked])))
-        counts = [(y[k : k + BLOCK] @ x.T >= threshold) @ many for k in range(0, len(y), BLOCK)]
-        return uid, np.concatenate(counts).astype(np.int64)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, base, asked = None, [], []
-        done: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def out() -> pa.RecordBatch:
-            uid, n = (np.concatenate(x).astype(np.int64) if done else np.empty(0, np.int64) for x in (zip(*done) if done else ((), ())))
-            done.clear()
-            return pa.RecordBatch.from_arrays([pa.array(uid), pa.array(n)], names=["uid", "found"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            codes = np.stack([batch.column(k).to_numpy() for k in range(4)], 1)
-            cuts = np.flatnonzero((np.diff(codes, axis=0) != 0).any(1)) + 1
-            for a, z in zip([0, *cuts], [*cuts, batch.num_rows]):
-                if key != tuple(codes[a][:3]):
-                    if asked:
-                        done.append(flush(base, asked))
-                    key, base, asked = tuple(codes[a][:3]), [], []
-                (asked if codes[a][3] else base).append(batch.slice(a, z - a))
-            if done:
-                yield out()
-        if asked:
-            done.append(flush(base, asked))
-        yield _empty() if not done else out()
-
-    def _empty() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64())], names=["uid", "found"])
+                    shard.uids.append(own)
+                    shard.many.append(part.column(4).to_numpy())
+                    shard.vectors.append(x)
+                elif role == 1:
+                    shard.sampled.append(own)
+                    shard.sample.append(x)
+                elif len(shard.vectors):
+                    if shard.graph is None:
+                        width, recall, telling = shard.ready()
+                        found.append((2, int(key[1]), width, recall, telling))
+                    for k in range(0, len(own), 2 * BLOCK):
+                        found += shard.answer(own[k : k + 2 * BLOCK], x[k : k + 2 * BLOCK])
+            columns = list(zip(*found)) if found else [()] * 5
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=list(FOUND))
 
     return run
 
 
-def near_vectors(
+def audited_near_vectors(
     vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", shards: int = SHARDS, shard_classes: int = SHARD_CLASSES, beam: int = BEAM
-) -> DataFrame:
-    """Return id, n_links (other vectors linked directly), component_id (the least id reachable) and kept."""
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-    finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    good = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False))
-    rows = staged(rows.withColumn("good", good), "vectors")
-    grouped = rows.filter("good").groupBy("vector").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("many"))
-    classes = staged(grouped.withColumn("uid", F.monotonically_increasing_id()).withColumn("size", F.size("vector")), "classes")
-    n = max(shards, -(-classes.count() // shard_classes))
-    shard = F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
-    index = classes.select("size", shard.alias("shard"), F.lit(0).alias("role"), "uid", "vector")
-    asked = classes.select("size", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"), F.lit(1).alias("role"), "uid", "vector")
-    dealt = index.union(asked).repartitionByRange(n, "size", "shard").sortWithinPartitions("size", "shard", "role", "uid")
-    links = staged(dealt.mapInArrow(_search(threshold, beam), "a long, b long"), "links")
-    labels = staged(components(links), "labels").withColumnRenamed("node", "uid")
-    members = labels.join(classes.select("uid", "vector", "many", "least"), "uid")
-    totals = members.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
-    placed = members.join(totals, "label").withColumn("blocks", F.ceil(F.col("members") / COUNT_BLOCK).cast("int"))
-    placed = staged(placed.withColumn("block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int")), "members")
-    to = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    base = placed.select("label", to.alias("i"), F.col("block").alias("j"), F.lit(0).alias("role"), "uid", "vector", "many")
-    ask = placed.select("label", F.col("block").alias("i"), to.alias("j"), F.lit(1).alias("role"), "uid", "vector", "many")
-    order = ["label", "i", "j"]
-    found = base.union(ask).repartition(*order).sortWithinPartitions(*order, "role", "uid").mapInArrow(_count(threshold), "uid long, found long")
-    counts = found.groupBy("uid").agg(F.sum("found").alias("found"))
-    known = classes.select("uid", "vector", "many", "least").join(placed.select("uid", "component_id"), "uid", "left").join(counts, "uid", "left")
-    known = known.select("vector", (F.coalesce("found", "many") - 1).alias("n_links"), F.coalesce("component_id", "least").alias("component_id"))
-    linked = rows.filter("good").select("id", "vector").join(known, "vector").select("id", "n_links", "component_id")
-    alone = rows.filter(~F.col("good")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return linked.union(alone).select(F.col("id").alias(id_col), "n_links", "component_id", F.col("component_id").eqNullSafe(F.col("id")).alias("kept"))
+) -> tuple[DataFrame, DataFrame]:
+    """The result of :func:`near_vectors`, and shard, beam, recall and queries of every shard's audit."""
+
+    def make() -> DataFrame:
+        rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+        finite = F.forall("vector", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+        good = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False))
+        rows = staged(rows.withColumn("good", good), "vectors")
+        grouped = rows.filter("good").groupBy("vector").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("many"))
+        classes = staged(grouped.withColumn("uid", F.monotonically_increasing_id()).withColumn("size", F.size("vector")), "classes")
+        count = classes.count()
+        n = max(shards, -(-count // shard_classes))
+        shard = F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
+        index = classes.select("size", shard.alias("shard"), F.lit(0).alias("role"), "uid", "many", "vector")
+        sampled = F.pmod(F.xxhash64("uid", F.lit(17)), F.lit(max(1, count // SAMPLED))) == 0
+        roles = F.explode(F.when(sampled, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2))))
+        asked = classes.select("size", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"), "uid", "many", "vector").select("size", "shard", roles.alias("role"), "uid", "many", "vector")
+        dealt = index.union(asked).repartitionById(n, F.col("shard")).sortWithinPartitions("size", "shard", "role", "uid")
+        found = staged(dealt.mapInArrow(_search(threshold, beam), "kind int, a long, b long, recall double, queries long"), "found")
+        audits.append(kept(found.filter("kind = 2").select(F.col("a").cast("int").alias("shard"), F.col("b").alias("beam"), "recall", "queries"), "audits"))
+        counts = found.filter("kind = 1").groupBy(F.col("a").alias("uid")).agg(F.sum("b").alias("found"))
+        labels = components(found.filter("kind = 0").select("a", "b")).withColumnRenamed("node", "uid")
+        known = classes.select("uid", "vector", "many", "least").join(labels, "uid", "left").join(counts, "uid", "left")
+        known = staged(known.withColumn("label", F.coalesce("label", "uid")), "labels")
+        least = known.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_many"))
+        placed = spread_join(known, least, "label", count, "_many").select("vector", "many", (F.col("many") - 1 + F.coalesce("found", F.lit(0))).alias("n_links"), "component_id")
+        linked = spread_join(rows.filter("good").select("id", "vector"), staged(placed, "members"), "vector", rows.count(), "many").select("id", "n_links", "component_id")
+        alone = rows.filter(~F.col("good")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+        return linked.union(alone).select(F.col("id").alias(id_col), "n_links", "component_id", F.col("component_id").eqNullSafe(F.col("id")).alias("kept"))
+
+    audits: list[DataFrame] = []
+    return cleared(vectors.sparkSession, "near-vectors", make), audits[0]
+
+
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", shards: int = SHARDS, shard_classes: int = SHARD_CLASSES, beam: int = BEAM) -> DataFrame:
+    """Return id, n_links (other vectors linked directly), component_id (the least id reachable) and kept. The audits' recall goes to the log."""
+    result, audits = audited_near_vectors(vectors, threshold, id_col, vector_col, shards, shard_classes, beam)
+    seen = audits.agg(F.count(F.lit(1)).alias("n"), F.min("recall").alias("least"), F.max("beam").alias("beam")).first()
+    LOG.info("audits of %s shards: recall %s at least, beams up to %s", seen["n"], seen["least"], seen["beam"])
+    return result

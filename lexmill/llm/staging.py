@@ -58,6 +58,15 @@ def cleared(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> Da
             files.delete(hadoop, True)
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """A staged table that outlives :func:`cleared`."""
+    token = _scope.set(None)
+    try:
+        return staged(df, name)
+    finally:
+        _scope.reset(token)
+
+
 #: A key of more than one in so many rows is hot; there can be no more such keys than this.
 HOT = 1000
 
