@@ -6,17 +6,26 @@ from there and gives the true length, or rejects the place. A hit at offset 0
 corrects the declared type; hits behind it are embedded media, which can be
 carved out. Spans inside a longer accepted one are its own parts and dropped.
 
+Validators look terminators up in lists that are made once per payload, and
+remember the places from which a walk has failed, so that a payload full of
+headers costs no more than a few passes; only gzip streams that never end are
+read again from each of their headers.
+
 Defined cases: null content has no type and nothing embedded; empty content
 likewise, and both keep the declared type; a declared type is kept where the
-start is not recognised; equal content gives equal results on every row; extra
-columns are passed through, the result's names win.
+start is not recognised; long content is read whole; of two formats at one
+offset the first of the list that is valid holds; equal content gives equal
+results on every row; an empty table gives an empty one; extra columns are
+passed through, the result's names win.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import ahocorasick
@@ -29,6 +38,24 @@ PAD = 64
 WAV_RATE = 8000
 
 
+class Payload(bytes):
+    """Bytes with what validators have learnt about them."""
+
+    def __init__(self, *_) -> None:
+        self.places: dict[bytes, list[int]] = {}
+        self.failed: dict[str, set[int]] = {}
+
+    def all(self, mark: bytes) -> list[int]:
+        """The offsets of a mark that can't overlap itself, in order; found once."""
+        if mark not in self.places:
+            self.places[mark] = [m.start() for m in re.finditer(re.escape(mark), self)]
+        return self.places[mark]
+
+    def walked(self, kind: str) -> set[int]:
+        """Places from which a walk of this kind has failed."""
+        return self.failed.setdefault(kind, set())
+
+
 def _u(fmt: str, data: bytes, at: int) -> int:
     return struct.unpack_from(fmt, data, at)[0]
 
@@ -47,25 +74,33 @@ def _png(d: bytes, at: int) -> int:
     return 0
 
 
-def _gif(d: bytes, at: int) -> int:
-    i = at + 13
-    if i > len(d):
+def _gif(d: Payload, at: int) -> int:
+    """Blocks from the colour table to the trailer, an image among them at least."""
+    i, image = at + 13, False
+    if i > len(d) or not (_u("<H", d, at + 6) and _u("<H", d, at + 8)):
         return 0
     if d[at + 10] & 0x80:
         i += 3 << ((d[at + 10] & 7) + 1)
-    while i < len(d):
+    bad, path = d.walked("gif"), []
+    while i < len(d) and i not in bad:
+        path.append(i)
         kind = d[i]
         if kind == 0x3B:
-            return i + 1 - at
+            return i + 1 - at if image else 0
         if kind == 0x21:
             i += 2
         elif kind == 0x2C and i + 10 <= len(d):
+            image = True
             i += 11 + ((3 << ((d[i + 9] & 7) + 1)) if d[i + 9] & 0x80 else 0)
         else:
-            return 0
-        while i < len(d) and d[i]:
+            break
+        while i < len(d) and d[i] and i not in bad:
+            path.append(i)
             i += d[i] + 1
+        if i < len(d) and d[i]:
+            break
         i += 1
+    bad.update(path)
     return 0
 
 
@@ -135,28 +170,38 @@ def _riff(d: bytes, at: int) -> int:
     return size
 
 
-def _pdf(d: bytes, at: int) -> int:
-    end = d.find(b"%%EOF", at)
-    if end < 0 or d.find(b"startxref", at, end) < 0 or not d[at + 5 : at + 6].isdigit():
+def _pdf(d: Payload, at: int) -> int:
+    """To the last end mark before the next file's header, with a cross-reference before it."""
+    heads, ends, refs = d.all(b"%PDF-"), d.all(b"%%EOF"), d.all(b"startxref")
+    k = bisect_right(heads, at)
+    limit = heads[k] if k < len(heads) else len(d)
+    last = bisect_left(ends, limit) - 1
+    if last < 0 or ends[last] < at or not d[at + 5 : at + 6].isdigit():
         return 0
-    follow = d.find(b"%PDF-", at + 5)
-    while (later := d.find(b"%%EOF", end + 5, follow if follow > 0 else len(d))) > 0:
-        end = later
-    return end + 5 - at
-
-
-def _zip(d: bytes, at: int) -> int:
-    i = d.find(b"PK\5\6", at)
-    while i >= 0 and i + 22 <= len(d):
-        size, start = _u("<I", d, i + 12), _u("<I", d, i + 16)
-        if at + start + size == i and (size == 0 or d[at + start : at + start + 4] == b"PK\1\2") and i + 22 + _u("<H", d, i + 20) <= len(d):
-            return i + 22 + _u("<H", d, i + 20) - at
-        i = d.find(b"PK\5\6", i + 4)
-    return 0
+    ref = bisect_left(refs, at)
+    return ends[last] + 5 - at if ref < len(refs) and refs[ref] < ends[last] else 0
+
+
+def _zip_ends(d: Payload) -> dict[int, list[int]]:
+    """For each start that an end record speaks of, the ends of the files, in order."""
+    found: dict[int, list[int]] = {}
+    for i in d.all(b"PK\5\6"):
+        if i + 22 <= len(d):
+            size, start, end = _u("<I", d, i + 12), _u("<I", d, i + 16), i + 22 + _u("<H", d, i + 20)
+            if end <= len(d) and (size == 0 or d[i - size : i - size + 4] == b"PK\1\2"):
+                found.setdefault(i - size - start, []).append(end)
+    return found
 
 
-def _gzip(d: bytes, at: int) -> int:
-    if at + 18 > len(d) or d[at + 3] & 0xE0:
+def _zip(d: Payload, at: int) -> int:
+    if b"zip" not in d.places:
+        d.places[b"zip"] = _zip_ends(d)
+    ends = [x for x in d.places[b"zip"].get(at, ())[:1]]
+    return ends[0] - at if ends and ends[0] > at else 0
+
+
+def _gzip(d: Payload, at: int) -> int:
+    if at + 18 > len(d) or d[at + 3] & 0xE0 or d[at + 8] not in (0, 2, 4) or 13 < d[at + 9] < 255:
         return 0
     machine, view, i = zlib.decompressobj(31), memoryview(d), at
     try:
@@ -168,16 +213,19 @@ def _gzip(d: bytes, at: int) -> int:
     return min(i, len(d)) - len(machine.unused_data) - at if machine.eof else 0
 
 
-def _ogg(d: bytes, at: int) -> int:
-    i, last = at, False
-    while d[i : i + 5] == b"OggS\0" and i + 27 <= len(d):
+def _ogg(d: Payload, at: int) -> int:
+    """Pages up to one that is marked as the last."""
+    i, bad, path = at, d.walked("ogg"), []
+    while d[i : i + 5] == b"OggS\0" and i + 27 <= len(d) and i not in bad:
+        path.append(i)
         n = d[i + 26]
         end = i + 27 + n + sum(d[i + 27 : i + 27 + n])
         if end > len(d):
-            return 0
-        last, i = bool(d[i + 5] & 4), end
-        if last:
-            return i - at
+            break
+        if d[i + 5] & 4:
+            return end - at
+        i = end
+    bad.update(path)
     return 0
 
 
@@ -246,7 +294,7 @@ def _tiff(d: bytes, at: int) -> int:
 
 
 #: Fixed values of the formats: magic bytes, their offset in the file, media type, validator.
-SIGNATURES: tuple[tuple[bytes, int, str, Callable[[bytes, int], int]], ...] = (
+SIGNATURES: tuple[tuple[bytes, int, str, Callable[[Payload, int], int]], ...] = (
     (b"\x89PNG\r\n\x1a\n", 0, "image/png", _png),
     (b"GIF87a", 0, "image/gif", _gif),
     (b"GIF89a", 0, "image/gif", _gif),
@@ -276,16 +324,20 @@ def automaton() -> ahocorasick.Automaton:
     return found
 
 
-def sniff(data: bytes, machine: ahocorasick.Automaton) -> list[tuple[str, int, int]]:
-    """The outermost media in ``data``: type, offset, length, by offset."""
+def proposals(data: bytes, machine: ahocorasick.Automaton) -> list[tuple[int, int]]:
+    """Where a file may start, and which signature says so, in order."""
+    return sorted((end + 1 - n - SIGNATURES[k][1], k) for end, (k, n) in machine.iter(data.decode("latin-1")))
+
+
+def sniff(data: bytes, machine: ahocorasick.Automaton, hits: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int]]:
+    """The outermost media in ``data``: type, offset, length, by offset. hits: the proposals, where they are known."""
     found: list[tuple[str, int, int]] = []
-    inside = 0
-    hits = sorted((end + 1 - n - SIGNATURES[k][1], k) for end, (k, n) in machine.iter(data.decode("latin-1")))
-    for at, k in hits:
+    inside, payload = 0, Payload(data)
+    for at, k in proposals(data, machine) if hits is None else hits:
         if at < inside or at < 0:
             continue
         try:
-            n = SIGNATURES[k][3](data, at)
+            n = SIGNATURES[k][3](payload, at)
         except (struct.error, IndexError):  # cut short
             n = 0
         if n:
@@ -365,9 +417,19 @@ def _feature(samples: bytes) -> str:
     return f"samples={len(samples)};sum={int(np.dot(np.arange(256), counts))};max={int(used[-1])};kinds={len(used)}"
 
 
-def payload_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Store every text as a WAV declared as plain bytes, sniff it, read the samples back and digest them."""
-    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, media_type string, corrected boolean, n_embedded long, feature string"
+#: What a text's stored form is declared as.
+DECLARED = "text/plain"
+
+
+def payload_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", declared: str = DECLARED) -> DataFrame:
+    """Store every text as a WAV under its declared type, sniff it, read the samples back from where the sniffer found them and digest them.
+
+    media_type and corrected come from the comparison of the declared type with
+    what was found. n_magic counts the places in the payload where a magic
+    number proposes a file, n_embedded the media that validators confirm there,
+    and embedded names them (type:offset:length).
+    """
+    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, media_type string, corrected boolean, n_magic long, n_embedded long, embedded string, feature string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton()
@@ -379,14 +441,17 @@ def payload_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 spans = sniff(stored, machine)
                 if not spans or spans[0][:2] != ("audio/wav", 0):
                     raise ValueError("the stored form is not recognised")
-                payload = wav_samples(stored)
-                inner = sniff(payload, machine)
-                rows.append((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-PAD:]), len(stored), hashlib.sha256(stored).hexdigest(), spans[0][0], True, len(inner), _feature(payload)))
-            columns = list(zip(*rows)) if rows else [()] * 10
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.string()]
+                kind, at, length = spans[0]
+                payload = wav_samples(stored[at : at + length])
+                hits = proposals(payload, machine)
+                inner = sniff(payload, machine, hits)
+                named = ",".join(f"{t}:{a}:{n}" for t, a, n in inner)
+                rows.append((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-PAD:]), len(stored), hashlib.sha256(stored).hexdigest(), kind, kind != declared, len(hits), len(inner), named, _feature(payload)))
+            columns = list(zip(*rows)) if rows else [()] * 12
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
-                names=[id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "media_type", "corrected", "n_embedded", "feature"],
+                names=[id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "media_type", "corrected", "n_magic", "n_embedded", "embedded", "feature"],
             )
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)

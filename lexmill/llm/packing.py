@@ -4,7 +4,8 @@ A bin has three capacities: tokens, documents, and attention cost (the sum of
 squared lengths). Pieces are taken by falling length; each goes to the open bin
 that the rule prefers among those with room in every dimension: the least
 weighted norm of what would be left (``norm``), or the largest weighted
-dot-product of need and residual (``dot``).
+dot-product of need and residual (``dot``); of equal scores, the bin with the
+least tokens left, then documents, then cost.
 
 Pieces of equal length are equal needs, and bins with equal residuals are
 equal choices, so the packing is planned over the counts of the lengths: a
@@ -12,9 +13,16 @@ table of at most ``tokens`` rows, whatever the corpus. The plan is a list of
 runs (so many pieces of a length into so many neighbouring bins). Each piece
 then finds its run by its rank among the pieces of its length.
 
+Under ``norm`` the bin that took a piece is preferred by the next piece of its
+length for as long as it fits, so that a run fills a bin. Under ``dot`` each
+piece makes its bin less preferred, so that a run puts one into each of the
+equal bins and the choice is made anew.
+
 Defined cases: null is an empty text, and an empty text has its end token
-alone; only documents longer than a sequence are cut, the shorter piece first;
-repeated rows are packed each on its own; an empty table has no piece.
+alone; only documents longer than a sequence (or than the piece that is named)
+are cut, the shorter piece first, however long; repeated rows are packed each on
+its own; an empty table has no piece; other columns are ignored, whatever their
+names.
 """
 
 from __future__ import annotations
@@ -38,13 +46,22 @@ BROADCAST_RUNS = 50_000
 
 @dataclass(frozen=True)
 class Capacity:
-    """What a sequence holds, and the weight of each dimension in the choice of a bin."""
+    """What a sequence holds, the weight of each dimension in the choice of a bin, and the longest piece (0: as long as a sequence)."""
 
     tokens: int = TOKENS
     documents: int = TOKENS
     cost: int = TOKENS * TOKENS
     weights: tuple[float, float, float] = (1.0, 0.01, 0.01)
     rule: str = "norm"
+    piece: int = 0
+
+
+def scores(left: np.ndarray, need: np.ndarray, tops: np.ndarray, weights: np.ndarray, rule: str) -> np.ndarray:
+    """Of bins by what is left in them: the lower, the better for the need."""
+    if rule == "norm":
+        over = (left - need) / tops * weights
+        return (over * over).sum(axis=1)
+    return -(left / tops * (need / tops) * weights).sum(axis=1)
 
 
 def plan(counts: dict[int, int], capacity: Capacity) -> tuple[list[tuple[int, int, int, int, int, int]], int]:
@@ -69,16 +86,14 @@ def plan(counts: dict[int, int], capacity: Capacity) -> tuple[list[tuple[int, in
         while rest:
             fits = np.flatnonzero((left >= need).all(axis=1))
             if len(fits):
-                if capacity.rule == "norm":
-                    over = (left[fits] - need) / tops * weights
-                    k = fits[np.argmin((over * over).sum(axis=1))]
-                else:
-                    k = fits[np.argmax((left[fits] / tops * (need / tops) * weights).sum(axis=1))]
+                score = scores(left[fits], need, tops, weights, capacity.rule)
+                best = fits[score == score.min()]
+                k = best[np.lexsort(left[best].T[::-1])[0]]
             else:  # bins that are not there yet: as many as the rest can need
                 k = len(first)
                 first, size, left = np.r_[first, bins], np.r_[size, rest], np.vstack([left, tops])
                 bins += rest
-            copies = int(min(rest, (left[k] // need).min()))
+            copies = int(min(rest, (left[k] // need).min())) if capacity.rule == "norm" or not len(fits) else 1
             own = min(int(size[k]), rest // copies)
             used = own * copies
             runs.append((n, rank, used, int(first[k]), int(capacity.tokens - left[k][0]), copies))
@@ -127,7 +142,7 @@ def pieces_of(docs: DataFrame, path: str, tokens: int = TOKENS, end_id: int = EN
 def pack(docs: DataFrame, path: str, capacity: Capacity = Capacity(), end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per piece: id, piece, start, length, ids_crc32, sequence_id and offset."""
     spark = docs.sparkSession
-    pieces = staged(pieces_of(docs, path, capacity.tokens, end_id, id_col, text_col), "packing")
+    pieces = staged(pieces_of(docs, path, capacity.piece or capacity.tokens, end_id, id_col, text_col), "packing")
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs, _ = plan(counts, capacity)
     buckets = rank_buckets(sum(counts.values()))

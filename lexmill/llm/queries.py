@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..session import read_dealt
 from .bpe import bpe_digest
 from .hnsw import near_vectors
-from .media import payload_digest
+from .media import SIGNATURES, payload_digest
 from .neardup import near_duplicates
 from .packing import Capacity, pack
 from .pii import pii_digest
@@ -17,6 +17,8 @@ from .tokens import section_tokens
 from .toxicity import toxicity_digest
 from .urlrules import UrlRule, judge_urls
 
+#: Capacities that all bind. A whole sequence in one piece would cost 1,024 squared, so that pieces have 800 tokens at most.
+BOUNDED = Capacity(tokens=1024, documents=6, cost=800 * 800, weights=(1.0, 0.5, 0.5), piece=800)
 RULES = (
     UrlRule("allow", "org"),
     UrlRule("block", "example.org", "/es/"),
@@ -38,12 +40,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_digest(table(spark, sf_dir, "documents")).drop("n_embedded")
+    return payload_digest(table(spark, sf_dir, "documents")).drop("embedded")
 
 
 def media_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many media every stored text holds. No SQL can say that, so that it stands beside op1."""
-    return payload_digest(table(spark, sf_dir, "documents")).select("doc_id", "payload_sha256", "n_embedded")
+    """The media that every stored text holds, by type, offset and length. No SQL can say that, so that it stands beside op1."""
+    return payload_digest(table(spark, sf_dir, "documents")).select("doc_id", "payload_sha256", "n_embedded", "embedded")
+
+
+def packing_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packing where all three capacities bind: 1,024 tokens, 6 documents, and an attention cost of two thirds of a whole sequence's square."""
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), BOUNDED)
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +94,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op8_hnsw, op9_pii, op10_packing)}
 
 #: Queries beside the ten, one per operator at most.
-BESIDE = {f.__name__: f for f in (media_embedded,)}
+BESIDE = {f.__name__: f for f in (media_embedded, packing_bounded)}
 
 #: CRC-32 in SQL, byte by byte: a table of 256 remainders, then a fold over the bytes of a hex string.
 CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)) AS t"
@@ -106,17 +113,32 @@ def _little(number: str) -> str:
     return " || ".join(f"printf('%02X', (({number}) >> {8 * k}) & 255)" for k in range(4))
 
 
+def _magic() -> list[str]:
+    """Magic bytes as the SQL writes bytes: two digits and a full stop each."""
+    return sorted({"".join(f"{b:02X}." for b in magic) for magic, *_ in SIGNATURES})
+
+
+#: Header of a binary grey or colour map. It and PDF are the only formats of the list that UTF-8 text without NUL characters can hold (up to 16 MB); the SQL of op1 takes none to lie inside another.
+PNM = r"P[56][ \t\r\n]+([0-9]{1,10})[ \t\r\n]+([0-9]{1,10})[ \t\r\n]+([0-9]{1,10})[ \t\r\n]"
+
 ORACLE_SQL: dict[str, str] = {
     "op1_media": f"""
 WITH remainders AS ({CRC_TABLE}), raw AS (
-  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+  SELECT doc_id, coalesce(text, '') AS txt, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), padded AS (
-  SELECT doc_id, length(h) // 2 AS n_bytes, h || repeat('00', CASE WHEN h = '' THEN 64 ELSE (64 - (length(h) // 2) % 64) % 64 END) AS p FROM raw
+  SELECT doc_id, txt, string_split_regex(txt, '{PNM}') AS pieces, regexp_extract_all(txt, '{PNM}') AS heads, length(h) // 2 AS n_bytes, h || repeat('00', CASE WHEN h = '' THEN 64 ELSE (64 - (length(h) // 2) % 64) % 64 END) AS p FROM raw
 ), stored AS (
-  SELECT *, length(p) // 2 AS n, {_bytes("p")} AS samples, '52494646' || {_little("36 + length(p) // 2")} || '57415645666D74201000000001000100401F0000401F0000' || '01000800' || '64617461' || {_little("length(p) // 2")} || p AS m FROM padded
+  SELECT *, regexp_replace(p, '(..)', '\\1.', 'g') AS b,
+    list_transform(range(1, len(heads) + 1), lambda k: {{
+      'start': list_sum(list_transform(pieces[:k], lambda x: octet_length(encode(x)))) + list_sum(list_transform(heads[:k], lambda x: octet_length(encode(x)))),
+      'need': CASE WHEN regexp_extract(heads[k], '{PNM}', 3)::DOUBLE BETWEEN 1 AND 65535 THEN regexp_extract(heads[k], '{PNM}', 1)::DOUBLE * regexp_extract(heads[k], '{PNM}', 2)::DOUBLE
+        * CASE WHEN heads[k][2] = '6' THEN 3 ELSE 1 END * CASE WHEN regexp_extract(heads[k], '{PNM}', 3)::DOUBLE > 255 THEN 2 ELSE 1 END ELSE 0 END}}) AS maps,
+    length(p) // 2 AS n, {_bytes("p")} AS samples, '52494646' || {_little("36 + length(p) // 2")} || '57415645666D74201000000001000100401F0000401F0000' || '01000800' || '64617461' || {_little("length(p) // 2")} || p AS m FROM padded
 )
 SELECT doc_id, n_bytes::BIGINT AS n_bytes, n::BIGINT AS payload_bytes, sha256(unhex(p)) AS payload_sha256, {_crc("right(p, 128)")} AS tail_crc32, (length(m) // 2)::BIGINT AS media_bytes, sha256(unhex(m)) AS media_sha256,
-       'audio/wav' AS media_type, true AS corrected,
+       'audio/wav' AS media_type, 'audio/wav' <> 'text/plain' AS corrected,
+       {" + ".join(f"(length(b) - length(replace(b, '{m}', ''))) // {len(m)}" for m in _magic())} AS n_magic,
+       (len(list_filter(string_split(txt, '%PDF-')[2:], lambda x: regexp_matches(x, '^[0-9](?s:.)*startxref(?s:.)*%%EOF'))) + len(list_filter(maps, lambda x: x.need > 0 AND x.need <= n - x.start)))::BIGINT AS n_embedded,
        'samples=' || n || ';sum=' || list_sum(samples) || ';max=' || list_max(samples) || ';kinds=' || len(list_distinct(samples)) AS feature
 FROM stored, remainders
 """,
