@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .staging import exact_rank, hash_bucket, rank_buckets, staged
+from .staging import exact_rank, hash_bucket, rank_buckets, spread_join, staged
 
 SEED = "interleave-1"
 
@@ -48,7 +48,7 @@ def interleave(
     ranked = exact_rank(rows, ["stratum"], hash_bucket(F.col("key"), buckets), ties, "rank")
     sizes = rows.groupBy("stratum").agg(F.count(F.lit(1)).alias("_n"))
     placed = staged(
-        ranked.join(sizes, "stratum").select(
+        spread_join(ranked, sizes, "stratum", n, "_n").select(
             "id", "source", "stratum", "size", "text_crc32", "key", ((2 * F.col("rank") + 1) / (2 * F.col("_n"))).alias("fraction")
         ),
         "sharding",

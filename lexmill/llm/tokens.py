@@ -9,8 +9,9 @@ to the one that holds most of its bytes, the earlier of equals (``most``).
 
 Defined cases: null is an empty text; an empty text has no token and one empty
 section; a section ends after its line feed, the last at the end of the text;
-text in a special token's form is encoded as that token; repeated rows give
-equal results.
+text in a special token's form is encoded as that token; long texts are encoded
+whole; repeated rows give equal results; an empty table gives an empty one; other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

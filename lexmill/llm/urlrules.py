@@ -10,7 +10,8 @@ longest rule that matches wins.
 Defined cases: a null url, or one without ``://``, has an empty host and path
 and no rule; the default action holds without a rule; equal rules count once,
 rules of the same length are decided by their text; repeated rows each get
-their verdict; other columns are kept out of the way and dropped.
+their verdict; long urls are read whole; an empty table gives an empty one;
+other columns are kept out of the way and dropped.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Up to so many rules the index is a literal of the plan; beyond it, a table that is joined.
 LITERAL_RULES = 1000
+#: Up to so many rules (some 40 MB) that table is broadcast, so that urls with a frequent token stay where they are.
+BROADCAST_RULES = 200_000
 
 
 @dataclass(frozen=True)
@@ -91,6 +94,7 @@ def judge_urls(pages: DataFrame, rules: Iterable[UrlRule], id_col: str = "page_i
     else:
         spark = pages.sparkSession
         table = spark.createDataFrame([(t, k, ranked[k].pattern) for t, places in index.items() for k in places], "token string, place int, pattern string")
+        table = F.broadcast(table) if len(ranked) <= BROADCAST_RULES else table
         texts = rows.select("_host", "_path").distinct()
         hits = texts.withColumn("token", F.explode(url_tokens())).join(table, "token").filter(F.rlike(whole, F.col("pattern")))
         best = rows.join(hits.groupBy("_host", "_path").agg(F.min("place").alias("_best")), ["_host", "_path"], "left")
