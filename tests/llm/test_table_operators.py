@@ -10,8 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.llm.hnsw import Graph, matrix, near_vectors, unit
-from lexmill.llm.packing import Capacity, pack, plan
+from lexmill.llm.hnsw import Graph, audited_near_vectors, matrix, near_vectors, unit
+from lexmill.llm.packing import Capacity, pack, plan, scores
 from lexmill.llm.queries import ORACLE_SQL, QUERIES, RULES, vocabulary
 from lexmill.llm.sharding import interleave
 from lexmill.llm.urlrules import UrlRule, judge_urls, token_index
@@ -134,14 +134,53 @@ def test_repeated_ids_and_no_vectors(spark):
     assert near_vectors(df.limit(0)).collect() == []
 
 
-def test_recall_of_the_graph():
-    x = unit(vectors(3, 3000, 40).astype(np.float64))
-    g = Graph(x)
-    q, n, _ = g.audited(x[:1024].astype(np.float32), 0.9, 16)
-    true = x[:1024] @ x.T >= 0.9
+def recall(graph, queries, threshold, width):
+    q, n = graph.within(queries, threshold, width)
+    true = queries @ graph.x.T >= threshold
     got = np.zeros_like(true)
     got[q, n] = True
-    assert (got & true).sum() >= 0.99 * true.sum()
+    return (got & true).sum() / max(1, true.sum())
+
+
+def test_audits_hold_true_hits_and_widen():
+    rng = np.random.default_rng(3)
+    x = unit(rng.normal(size=(3000, 64)))  # no vector has a partner
+    g = Graph(x)
+    planted = g.planted(0.9)
+    cosines = planted @ g.x.T
+    assert ((cosines >= 0.9).sum(axis=1) >= 1).all() and cosines.max() < 0.91
+    width, mean, telling = g.audit(planted, np.full(len(planted), -1), 0.9, 2)
+    assert telling == len(planted) and width > 2 and mean >= 0.999
+    assert recall(g, planted, 0.9, width) >= 0.999
+    own = np.arange(100)
+    assert g.audit(x[:100].astype(np.float32), own, 0.9, 4)[2] == 0  # a query's own vector is no hit
+
+
+def test_few_links_beside_a_hot_group():
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=64)
+    hot, rest = centre + 0.1 * rng.normal(size=(1000, 64)), rng.normal(size=(2000, 64))
+    rest[1000:] = rest[:1000] + 0.3 * rng.normal(size=(1000, 64))
+    x = unit(np.concatenate([hot, rest]))
+    g = Graph(x)
+    width, mean, _ = g.audit(np.concatenate([g.planted(0.9), x[::6].astype(np.float32)]), np.r_[np.full(256, -1), np.arange(0, 3000, 6)], 0.9, 8)
+    assert mean >= 0.999 and recall(g, x[1000:].astype(np.float32), 0.9, width) >= 0.999
+
+
+def test_dense_search_of_a_wide_group():
+    x = unit(np.random.default_rng(5).normal(size=(700, 8)))
+    g = Graph(x)
+    q, n = g.dense(x[:20].astype(np.float32), 0.5)
+    assert set(zip(q.tolist(), n.tolist())) == {(a, b) for a, b in zip(*np.nonzero(x[:20].astype(np.float32) @ g.x.T >= 0.5))}
+    assert recall(g, x[:50].astype(np.float32), -1.0, 16) == 1.0
+
+
+def test_every_shard_is_audited(spark):
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors(2))], "vec_id long, embedding array<float>")
+    result, audits = audited_near_vectors(df, shards=3)
+    rows = audits.collect()
+    assert sorted(r["shard"] for r in rows) == [0, 1, 2] and all(r["recall"] >= 0.999 and r["queries"] >= 100 for r in rows)
+    assert result.count() == 400
 
 
 def test_matrix():
@@ -176,6 +215,48 @@ def test_plans_keep_every_capacity(rule):
             assert end <= capacity.tokens and len(v) <= capacity.documents and sum(x * x for _, x in v) <= capacity.cost
 
 
+def one_by_one(counts, capacity):
+    """Every piece by itself: the contents of the bins."""
+    tops, weights = np.array([capacity.tokens, capacity.documents, capacity.cost], np.int64), np.array(capacity.weights)
+    bins = []
+    for n in sorted(counts, reverse=True):
+        need = np.array([n, 1, n * n], np.int64)
+        for _ in range(counts[n]):
+            fits = [(float(scores(left[None], need, tops, weights, capacity.rule)[0]), tuple(left), k) for k, (left, _) in enumerate(bins) if (left >= need).all()]
+            if not fits:
+                bins.append([tops.copy(), []])
+            k = min(fits)[2] if fits else len(bins) - 1
+            bins[k][0] = bins[k][0] - need
+            bins[k][1].append(n)
+    return sorted(sorted(x) for _, x in bins)
+
+
+@pytest.mark.parametrize("rule", ["norm", "dot"])
+def test_plans_place_as_piece_by_piece(rule):
+    rng = random.Random(18)
+    for _ in range(150):
+        capacity = Capacity(tokens=rng.choice([8, 16, 50]), documents=rng.choice([2, 4, 50]), cost=rng.choice([64, 300, 3000]), rule=rule, weights=rng.choice([(1.0, 0.01, 0.01), (1.0, 1.0, 1.0), (0.2, 1.0, 0.7)]))
+        most = min(capacity.tokens, int(capacity.cost**0.5))
+        counts = {rng.randint(1, most): rng.randint(1, 40) for _ in range(rng.randint(0, 10))}
+        bins = defaultdict(list)
+        for length, _, pieces, first, _, copies in plan(counts, capacity)[0]:
+            for k in range(pieces):
+                bins[first + k // copies].append(length)
+        assert sorted(sorted(x) for x in bins.values()) == one_by_one(counts, capacity)
+
+
+def test_bounds_that_bind(spark, sf_dir):
+    pytest.importorskip("public_tokenizers")
+    from lexmill.llm.queries import BOUNDED, packing_bounded
+
+    bins = defaultdict(list)
+    for r in packing_bounded(spark, sf_dir).collect():
+        bins[r["sequence_id"]].append(r["length"])
+    full = [sum(v) == 1024 for v in bins.values()], [len(v) == BOUNDED.documents for v in bins.values()], [sum(x * x for x in v) > 0.9 * BOUNDED.cost for v in bins.values()]
+    assert all(sum(v) <= 1024 and len(v) <= BOUNDED.documents and sum(x * x for x in v) <= BOUNDED.cost and max(v) <= BOUNDED.piece for v in bins.values())
+    assert all(any(x) for x in full)
+
+
 def test_packing_is_tight():
     rng = np.random.default_rng(6)
     counts = Counter(np.clip(rng.lognormal(5, 1, 50_000), 1, 1024).astype(int).tolist())
