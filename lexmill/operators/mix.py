@@ -139,7 +139,7 @@ def mix(docs: DataFrame, spec: MixSpec, text_col: str = "text", attributes_col:
         kept = kept.filter(either)
     if spec.replace:
         edits = F.concat(*[S.edits(attribute(r.span), r.text, r.min_score, r.max_score) for r in spec.replace])
-        kept = kept.withColumn(text_col, S.replace(F.col(text_col), edits))
+        kept = S.rewritten(kept, text_col, edits)
     return kept
 
 

@@ -1,15 +1,20 @@
 """Span algebra: arrays of (start, end, score) over the code points of a text, half open.
 
-Everything here compiles to higher-order functions. A fold visits each line or
-span once and grows its result only where something matches.
+Spans are found by higher-order functions; where lines and matches start comes
+from running sums of lengths, in blocks, so that no fold copies a long array at
+every step. Edits are applied in one pass over the text in Arrow batches, to which
+only texts that have any are sent.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import itertools
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE, paragraphs, strip
+from ..functions.text import SPACE, let, paragraphs, strip
 
 SPANS = "array<struct<start:int,end:int,score:double>>"
 
@@ -28,15 +33,43 @@ def whole(text: Column, score: Column) -> Column:
     return F.array(span(F.lit(0), F.length(text), score))
 
 
+#: Numbers that :func:`running` adds up in one fold.
+FOLD = 64
+
+
+def _folded(sizes: Column) -> Column:
+    """Running sums by a fold, which copies its array at every step."""
+    last = lambda x: F.coalesce(F.get(x, F.size(x) - 1), F.lit(0))
+    return F.aggregate(sizes, F.array().cast("array<int>"), lambda done, x: F.concat(done, F.array(last(done) + x)))
+
+
+def _in_blocks(sizes: Column, sums_of_blocks) -> Column:
+    """Running sums within blocks of FOLD, raised by those of the blocks before."""
+    many = F.floor((F.size(sizes) + FOLD - 1) / FOLD).cast("int")
+    starts = F.when(F.size(sizes) > 0, F.sequence(F.lit(0), many - 1)).otherwise(F.array().cast("array<int>"))
+    last = lambda x: F.get(x, F.size(x) - 1)
+
+    def raised(parts: Column) -> Column:
+        sums = sums_of_blocks(F.transform(parts, last))
+        return F.flatten(F.zip_with(parts, sums, lambda part, end: let(end - last(part), lambda more: F.transform(part, lambda x: x + more))))
+
+    return let(F.transform(starts, lambda k: _folded(F.slice(sizes, k * FOLD + 1, FOLD))), raised)
+
+
+def running(sizes: Column) -> Column:
+    """Running sums of an array of integers, each with its own: blocks, and blocks of blocks, so that no fold is long."""
+    return let(sizes, lambda x: _in_blocks(x, lambda ends: let(ends, lambda y: _in_blocks(y, _folded))))
+
+
 def of_paragraphs(text: Column, matches) -> Column:
     """Spans of the lines, with their line feed, for which matches(line) holds."""
-    start = F.struct(F.lit(0).alias("at"), no_spans().alias("spans"))
 
-    def step(state, line):
-        end = state.at + F.length(line)
-        return F.struct(end.alias("at"), F.when(matches(line), F.concat(state.spans, F.array(span(state.at, end)))).otherwise(state.spans).alias("spans"))
+    def found(rows: Column) -> Column:
+        ends = running(F.transform(rows, F.length))
+        placed = F.zip_with(rows, ends, lambda line, end: F.when(matches(line), span(end - F.length(line), end)))
+        return F.filter(placed, lambda s: s.isNotNull())
 
-    return F.aggregate(paragraphs(F.coalesce(text, F.lit(""))), start, step, lambda s: s.spans)
+    return let(paragraphs(F.coalesce(text, F.lit(""))), found)
 
 
 def of_lines(text: Column, lines: list[str]) -> Column:
@@ -55,32 +88,43 @@ def of_pattern(text: Column, pattern: str) -> Column:
     """Spans of all matches, from the lengths of the pieces between them."""
     text = F.coalesce(text, F.lit(""))
     found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern)
-    start = F.struct(F.lit(0).alias("at"), no_spans().alias("spans"))
 
-    def step(state, pair):
-        first = state.at + F.length(pair.gap)
-        last = first + F.length(pair.found)
-        return F.struct(last.alias("at"), F.concat(state.spans, F.array(span(first, last))).alias("spans"))
+    def placed(sizes: Column) -> Column:
+        ends = running(F.transform(sizes, lambda s: s.gap + s.found))
+        return F.zip_with(sizes, ends, lambda s, end: span(end - s.found, end))
+
+    def measured(pieces: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern), F.lit(1), F.size(pieces))
+        return F.zip_with(gaps, pieces, lambda g, f: F.struct(F.length(g).alias("gap"), F.length(f).alias("found")))
+
+    return let(let(found, measured), placed)
+
 
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), found, lambda g, f: F.struct(g.alias("gap"), f.alias("found")))
-    return F.aggregate(pairs, start, step, lambda s: s.spans)
+def edited(text: str, edits: list) -> str:
+    """The text after its edits (start, end, text), in one pass."""
+    out, at = [], 0
+    for e in sorted(edits, key=lambda e: (e["start"], -e["end"])):
+        if e["start"] >= at:
+            out += [text[at : e["start"]], e["text"]]
+            at = e["end"]
+    return "".join([*out, text[at:]])
 
 
-def replace(text: Column, edits: Column) -> Column:
-    """Apply edits (start, end, text), given on the original offsets, from left to right.
+def rewritten(df: DataFrame, text_col: str, edits: Column) -> DataFrame:
+    """Apply edits (start, end, text), given on the original offsets, to a column of texts, from left to right.
 
     Of edits that overlap the one that starts first stays, of those the longest.
+    Edits are computed once, in a column of their own; texts without any stay in the JVM.
     """
-    ordered = F.array_sort(edits, lambda a, b: F.when(a.start != b.start, a.start - b.start).otherwise(b.end - a.end).cast("int"))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(state, e):
-        piece = F.array(F.substr(text, state.at + 1, e.start - state.at), e.text)
-        return F.when(e.start >= state.at, F.struct(e.end.alias("at"), F.concat(state.out, piece).alias("out"))).otherwise(state)
+    @F.pandas_udf("string")
+    def run(texts: pd.Series, edits: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else edited(t, e) for t, e in zip(texts, edits)], dtype="object")
 
-    done = lambda s: F.concat(F.array_join(s.out, ""), F.substr(text, s.at + 1))
-    return F.when(F.size(edits) > 0, F.aggregate(ordered, begin, step, done)).otherwise(text)
+    free = next(name for k in itertools.count() if (name := f"edits{k}") not in df.columns)
+    some = F.size(free) > 0
+    out = df.withColumn(free, edits)
+    return out.withColumn(text_col, F.coalesce(run(F.when(some, F.col(text_col)), F.when(some, F.col(free))), F.col(text_col))).drop(free)
 
 
 def edits(spans: Column, text: str, min_score: float | None = None, max_score: float | None = None) -> Column:
@@ -104,4 +148,4 @@ def first_score(spans: Column) -> Column:
     return F.get(spans, F.lit(0))["score"]
 
 
-__all__ = ["SPACE", "SPANS", "coverage", "edits", "first_score", "no_spans", "of_line_pattern", "of_lines", "of_paragraphs", "of_pattern", "replace", "span", "whole"]
+__all__ = ["SPACE", "SPANS", "coverage", "edited", "edits", "first_score", "no_spans", "of_line_pattern", "of_lines", "of_paragraphs", "of_pattern", "rewritten", "running", "span", "whole"]

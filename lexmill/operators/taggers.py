@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, lines, quoted, strip, word_count, words
+from . import chunks
 from . import spans as S
 from .line_lists import LINES
 
@@ -262,91 +263,9 @@ def mean_log_probability(docs: DataFrame, table: DataFrame, id_col: str = "doc_i
     return scored.groupBy("id").agg(F.coalesce(F.try_divide(total, F.sum("n")), F.lit(0.0)).alias("logprob")).withColumnRenamed("id", id_col)
 
 
-CHUNKS = "array<struct<kind:string,start:int,end:int,score:double>>"
-
-
-def _similar(a: str, b: str) -> float:
-    """100 * twice the longest common subsequence over both lengths."""
-    if not a or not b:
-        return 100.0 if a == b else 0.0
-    row = [0] * (len(b) + 1)
-    for c in a:
-        last = 0
-        for k, d in enumerate(b, 1):
-            last, row[k] = row[k], last + 1 if c == d else max(row[k], row[k - 1])
-    return 200.0 * row[-1] / (len(a) + len(b))
-
-
-def chunk_lines(text: str, long: int = 30, alike: float = 70.0) -> list[tuple[str, int, int, float]]:
-    """Spans that put scanned pages back into paragraphs.
-
-    Text blocks are runs of long lines, three to start with, and a short line
-    that ends them. Other lines are noise, but for a header that is new and
-    stands before a block. Spans name the lines and the white space between them.
-    """
-    rows = text.split("\n")
-    bare = [r.strip() for r in rows]
-    starts = [0]
-    for r in rows:
-        starts.append(starts[-1] + len(r) + 1)
-    valid = [len(b) > long for b in bare]
-    block = [False] * len(rows)
-    k = 0
-    while k < len(rows):
-        if not all(valid[k : k + 3]):
-            k += 1
-            continue
-        while k < len(rows) and valid[k]:
-            block[k] = True
-            k += 1
-        if k < len(rows) and bare[k]:
-            block[k] = True
-            k += 1
-    headers: list[str] = []
-    out = []
-    for k, row in enumerate(rows):
-        last = k == len(rows) - 1
-        end = min(starts[k + 1], len(text))
-        if block[k]:
-            out.append(("paragraph_chunk", starts[k], end, 1.0))
-            if not last and block[k + 1]:
-                kept = len(row.rstrip())
-                if row.rstrip().endswith("-"):
-                    out.append(("terminal_newline", starts[k] + kept - 1, end, 1.0))
-                else:
-                    out.append(("terminal_newline_with_space", starts[k] + kept, end, 1.0))
-            elif not last:
-                out.append(("paragraph_terminal_newline", end - 1, end, 1.0))
-            continue
-        score = 0.0
-        if len(bare[k]) > 5 and re.fullmatch(r"[0-9A-Za-z\s.,:]+", bare[k]) and not any(_similar(bare[k].lower(), h.lower()) >= alike for h in headers):
-            after = next((j for j in range(k + 1, len(rows)) if bare[j]), None)
-            if after is not None and block[after]:
-                score = 1.0
-                headers.append(bare[k])
-        if end > starts[k]:
-            out.append(("paragraph_chunk", starts[k], end, score))
-    return out
-
-
-def paragraph_chunks(text: Column) -> Column:
-    """:func:`chunk_lines` of each text, as structs with the kind of span."""
-
-    @F.pandas_udf(CHUNKS)
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [dict(zip(("kind", "start", "end", "score"), s)) for s in chunk_lines(t)] if t is not None else None)
-
-    return run(text)
-
-
-def of_kind(chunks: Column, kind: str) -> Column:
-    """The spans of one kind."""
-    return F.transform(F.filter(chunks, lambda s: s.kind == kind), lambda s: S.span(s.start, s.end, s.score))
-
-
-CHUNK_KINDS = ("paragraph_chunk", "terminal_newline", "terminal_newline_with_space", "paragraph_terminal_newline")
+CHUNK_KINDS = chunks.KINDS
 for _name in CHUNK_KINDS:
-    register(_name, lambda t, own=_name: of_kind(paragraph_chunks(t), own))
+    register(_name, lambda t, own=_name: chunks.of_kind(chunks.paragraph_chunks(t), own))
 
 
 def line_pattern(known: list[str]) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import query
 from ..functions import text as X
-from ..operators import dedupe, relational as R, spans as S, taggers
+from ..operators import chunks, dedupe, relational as R, spans as S, taggers
 from ..operators.mix import Condition, MixSpec, Replacement, mix, recipe
 from ..session import read_dealt
 
@@ -209,15 +209,15 @@ def unigram_log_probability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def paragraph_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", F.explode(taggers.paragraph_chunks(F.col("text"))).alias("s")).select("doc_id", "s.kind", "s.start", "s.end", "s.score")
+    return read(spark, sf_dir, "documents").select("doc_id", F.explode(chunks.paragraph_chunks(F.col("text"))).alias("s")).select("doc_id", "s.kind", "s.start", "s.end", "s.score")
 
 
 @query()
 def paragraph_reflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks are found once and all four kinds of span taken from them."""
-    docs = read(spark, sf_dir, "documents").withColumn("_chunks", taggers.paragraph_chunks(F.col("text")))
-    for name in taggers.CHUNK_KINDS:
-        docs = docs.withColumn(name, taggers.of_kind(F.col("_chunks"), name))
+    docs = read(spark, sf_dir, "documents").withColumn("_chunks", chunks.paragraph_chunks(F.col("text")))
+    for name in chunks.KINDS:
+        docs = docs.withColumn(name, chunks.of_kind(F.col("_chunks"), name))
     return mix(docs, recipe("q", duplicate=False, edits=(Replacement("paragraph_chunk", "", max_score=0.1), Replacement("terminal_newline", "", 0.1), Replacement("terminal_newline_with_space", " ", 0.1), Replacement("paragraph_terminal_newline", "\n\n", 0.1)))).select("doc_id", "text")
 
 

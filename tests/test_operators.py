@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import itertools
 import random
+import re
+import time
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.operators import dedupe, layout, mix as M, relational as R, spans as S, taggers, threads, tokenize
+from lexmill.operators import chunks, dedupe, layout, mix as M, relational as R, spans as S, taggers, threads, tokenize
 
 
 def texts(spark, *values):
@@ -27,7 +30,7 @@ def test_pattern_spans_and_replace(spark):
     rng = random.Random(2)
     values = ["".join(rng.choice("a  b\n\n😀") for _ in range(rng.randint(0, 30))) for _ in range(200)]
     df = texts(spark, *values).withColumn("s", S.of_pattern(F.col("text"), "  "))
-    df = df.withColumn("r", S.replace(F.col("text"), S.edits(F.col("s"), " ", 0.1)))
+    df = S.rewritten(df.withColumn("r", F.col("text")), "r", S.edits(F.col("s"), " ", 0.1))
     for r in df.collect():
         assert all(r["text"][s["start"] : s["end"]] == "  " for s in r["s"])
         assert r["r"] == r["text"].replace("  ", " ")
@@ -35,8 +38,8 @@ def test_pattern_spans_and_replace(spark):
 
 def test_overlapping_edits(spark):
     edit = lambda *e: F.array(*[F.struct(F.lit(a).alias("start"), F.lit(z).alias("end"), F.lit(t).alias("text")) for a, z, t in e])
-    df = texts(spark, "abcdef").select(S.replace(F.col("text"), edit((2, 4, "X"), (1, 3, "Y"), (1, 2, "Z"), (5, 6, ""))).alias("r"))
-    assert df.first()["r"] == "aYde"
+    df = S.rewritten(texts(spark, "abcdef", None), "text", edit((2, 4, "X"), (1, 3, "Y"), (1, 2, "Z"), (5, 6, "")))
+    assert [r["text"] for r in df.collect()] == ["aYde", None]
 
 
 def test_coverage(spark):
@@ -82,14 +85,85 @@ def test_recipes_name_known_taggers():
         assert set(spec.needed()) - outside <= set(taggers.names())
 
 
-def test_chunks():
-    long = "x" * 40
-    spans = taggers.chunk_lines(f"7\nA Title\n\n{long}-\n{long} \n{long}\nend\n\nnoise")
-    kinds = [(k, s) for k, _, _, s in spans]
-    assert ("terminal_newline", 1.0) in kinds and ("terminal_newline_with_space", 1.0) in kinds and ("paragraph_terminal_newline", 1.0) in kinds
-    text = f"7\nA Title\n\n{long}-\n{long} \n{long}\nend\n\nnoise"
-    scores = {text[a:z].strip(): s for k, a, z, s in spans if k == "paragraph_chunk"}
-    assert scores["A Title"] == 1.0 and scores["7"] == 0.0 and scores["noise"] == 0.0 and scores["end"] == 1.0
+def common(a, b):
+    """Length of the longest common subsequence."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, j in itertools.product(range(len(a)), range(len(b))):
+        table[i + 1][j + 1] = table[i][j] + 1 if a[i] == b[j] else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+def brute_chunks(text):
+    """The rule line by line, each question asked of the whole page."""
+    rows = text.split("\n")
+    sizes, n = [len(r.strip()) for r in rows], len(rows)
+    block, k = set(), 0
+    while k < n:
+        run = next((j for j in range(k, n) if sizes[j] <= 30), n)
+        if run - k >= min(3, n - k) and run > k:
+            block |= {*range(k, run)} | ({run} if run < n and sizes[run] else set())
+            k = max(block)
+        k += 1
+    out, at, seen = [], 0, []
+    for k, r in enumerate(rows):
+        end = min(at + len(r) + 1, len(text))
+        if k in block:
+            out.append(("paragraph_chunk", at, end, 1.0))
+            if k + 1 in block:
+                bare = len(r.rstrip())
+                out.append(("terminal_newline", at + bare - 1, end, 1.0) if r.rstrip().endswith("-") else ("terminal_newline_with_space", at + bare, end, 1.0))
+            elif k + 1 < n:
+                out.append(("paragraph_terminal_newline", end - 1, end, 1.0))
+        elif end > at:
+            name, after = r.strip().lower(), [j for j in range(k + 1, n) if sizes[j]]
+            plain = len(name) > 5 and re.fullmatch(r"[0-9a-z\s.,:]+", name) and after and after[0] in block
+            new = bool(plain) and not any(200 * common(name, x) >= 70 * (len(name) + len(x)) for x in seen)
+            seen += [name] if new else []
+            out.append(("paragraph_chunk", at, end, float(new)))
+        at += len(r) + 1
+    return out
+
+
+def test_chunks(spark):
+    rng, long = random.Random(3), "x" * 40
+    parts = [long, long + "-", "  " + long + " \t", long + "!", "", " ", "end", "Chapter 1", "Chapter 2", "CHAPTER 11: on", "Of whales.", "Of Snails", "7", "a title: of some 31 letters, long", "A title of forty letters, " + "y" * 50, "é" * 35, "Wörter und", "  Spaced out  "]
+    pages = [f"7\nA Title\n\n{long}-\n{long} \n{long}\nend\n\nnoise", "", "\n", long, f"{long}\n{long}", f"{long}\n{long}\nend", f"{long}\n{long}\n"]
+    pages += ["\n".join(rng.choice(parts[:3] if rng.random() < 0.5 else parts) for _ in range(rng.randint(1, 25))) for _ in range(300)]
+    got = {r["doc_id"]: r["s"] for r in texts(spark, *pages, None).select("doc_id", chunks.paragraph_chunks(F.col("text")).alias("s")).collect()}
+    for k, page in enumerate(pages):
+        assert [tuple(x) for x in got[k]] == brute_chunks(page), page
+    assert got[len(pages)] is None
+
+
+def test_headings_are_compared_at_once():
+    rng = random.Random(4)
+    names = ["".join(rng.choice("abc de") for _ in range(rng.choice((6, 20, 64, 65, 90)))) for _ in range(60)]
+    seen, want = [], []
+    for x in names:
+        want.append(not any(200 * common(x, y) >= 70 * (len(x) + len(y)) for y in seen))
+        seen += [x] if want[-1] else []
+    assert chunks.new_headings(names) == want
+    many = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40)) for _ in range(3000)]
+    start = time.perf_counter()
+    chunks.new_headings(many)
+    assert time.perf_counter() - start < 30
+
+
+def test_many_edits_and_lines_take_time_in_proportion(spark):
+    page, n = "a  b\n", 200_000
+    df = texts(spark, page * n).withColumn("s", S.of_pattern(F.col("text"), "  "))
+    df = S.rewritten(df.withColumn("l", S.of_lines(F.col("text"), ["a  b"])), "text", S.edits(F.col("s"), " ", 0.1))
+    start = time.perf_counter()
+    row = df.select(F.size("s").alias("n"), (F.col("text") == F.repeat(F.lit("a b\n"), n)).alias("same"), F.size("l").alias("lines"), F.element_at("l", -1).alias("last")).first()
+    assert (row["n"], row["same"], row["lines"], tuple(row["last"])) == (n, True, n, (5 * (n - 1), 5 * n, 1.0))
+    assert time.perf_counter() - start < 60
+
+
+def test_running_sums(spark):
+    rng = random.Random(5)
+    values = [[rng.randint(0, 9) for _ in range(n)] for n in (0, 1, 2, 63, 64, 65, 128, 1000, 4096, 4097, 9000)]
+    df = spark.createDataFrame([(v,) for v in values], "v array<int>").select("v", S.running(F.col("v")).alias("s"))
+    assert all(list(itertools.accumulate(r["v"])) == r["s"] for r in df.collect())
 
 
 def test_repetition():
