@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import wikimath
+
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 HIDDEN = frozenset(("script", "style", "template", "noscript"))
 
@@ -161,9 +163,8 @@ def strip_wiki_tags(text: Column, max_removals: int | None = None) -> Column:
 
 
 def math_to_tex(text: Column) -> Column:
-    """<math> as $...$, with display="block" as $$...$$."""
-    block = F.regexp_replace(text, r'(?is)<math\b[^>]*display\s*=\s*"?block"?[^>]*>(.*?)</math>', r"\$\$$1\$\$")
-    return F.regexp_replace(block, r"(?is)<math\b[^>]*>(.*?)</math>", r"\$$1\$")
+    """:func:`.wikimath.math_tags` of each text."""
+    return _each(wikimath.math_tags, "string")(text)
 
 
 def _scope_end(text: str, at: int, opening: str, closing: str) -> int:
@@ -214,30 +215,9 @@ def template_names(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(r"\{\{\s*([^|{}\n]+?)\s*[|}\n]"), F.lit(1)), F.lower)
 
 
-#: Wikitext math that has a TeX form: template to macro, and symbols.
-MATH_MACROS = {"sqrt": r"\sqrt{%s}", "sup": "^{%s}", "sub": "_{%s}", "overline": r"\overline{%s}", "mvar": "%s", "math": "%s", "abs": r"\left|%s\right|", "norm": r"\left\|%s\right\|", "vec": r"\vec{%s}", "hat": r"\hat{%s}"}
-MATH_SYMBOLS = {"×": r"\times", "÷": r"\div", "±": r"\pm", "≤": r"\leq", "≥": r"\geq", "≠": r"\neq", "≈": r"\approx", "∞": r"\infty", "π": r"\pi", "∑": r"\sum", "∫": r"\int", "√": r"\sqrt", "→": r"\to", "∈": r"\in", "∂": r"\partial"}
-
-
-def _math(text: str) -> str:
-    """Innermost templates first, so that arguments are done when they are wrapped."""
-    wrapped = re.compile(r"\{\{\s*(" + "|".join(MATH_MACROS) + r")\s*\|\s*(?:1\s*=\s*)?([^{}]*)\}\}", re.I)
-    fraction = re.compile(r"\{\{\s*(?:frac|sfrac)\s*\|([^{}|]*)\|([^{}|]*)\}\}", re.I)
-    while True:
-        new = fraction.sub(lambda m: rf"\frac(({m[1].strip()}))(({m[2].strip()}))", text)
-        new = wrapped.sub(lambda m: (MATH_MACROS[m[1].lower()] % m[2].strip()).replace("{", "((").replace("}", "))"), new)
-        if new == text:
-            break
-        text = new
-    text = text.replace("((", "{").replace("))", "}")
-    for symbol, macro in MATH_SYMBOLS.items():
-        text = text.replace(symbol, macro + " ")
-    return text.strip()
-
-
 def wiki_math(text: Column) -> Column:
     """Math templates and symbols of wikitext as TeX; other templates stay."""
-    return _each(_math, "string")(text)
+    return _each(wikimath.to_tex, "string")(text)
 
 
 def wiki_sections(text: Column) -> Column:

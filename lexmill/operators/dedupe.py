@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import let, lines, words
+from ..session import durable
 from . import spans as S
 
 
@@ -27,39 +28,76 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def shingles(own: Column, n: int, exact: bool = True) -> Column:
-    """All runs of n words, as texts or as 64-bit hashes of the words' hashes; none for fewer words."""
-    one = (lambda w, k: F.array_join(F.slice(w, k, n), " ")) if exact else (lambda w, k: F.xxhash64(F.slice(w, k, n)))
+    """All runs of n words, as texts or as 64-bit hashes; none for fewer words.
 
-    def of(w: Column) -> Column:
-        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda k: one(w, k))
+    A hash of a run joins those of two shorter runs, twice as long at every step,
+    so that a text takes some log n passes over its words and not n.
+    """
+    if exact:
+        starts = lambda w: F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return let(own, lambda w: F.transform(starts(w), lambda k: F.array_join(F.slice(w, k, n), " ")))
+
+    def joined(left: Column, right: Column, ahead: int) -> Column:
+        """Runs of left, each with the run of right that starts ``ahead`` words later."""
+        many = F.greatest(F.size(right) - ahead, F.lit(0))
+        return F.zip_with(F.slice(left, F.lit(1), many), F.slice(right, F.lit(ahead + 1), many), lambda a, b: F.xxhash64(a, b))
+
+    def of(doubled: Column, length: int, whole: Column | None, done: int) -> Column:
+        """doubled: runs of ``length`` words; whole: those of the ``done`` words that lower bits of n stand for."""
+        if n & length:
+            whole, done = (doubled, length) if whole is None else (joined(whole, doubled, done), done + length)
+        if length * 2 > n:
+            return whole
+        if whole is None:
+            return let(joined(doubled, doubled, length), lambda x: of(x, length * 2, None, 0))
+        both = F.struct(joined(doubled, doubled, length).alias("doubled"), whole.alias("whole"))
+        return let(both, lambda x: of(x["doubled"], length * 2, x["whole"], done))
+
+    return let(F.transform(own, lambda x: F.xxhash64(x)), lambda one: of(one, 1, None, 0))
 
-    return let(own if exact else F.transform(own, lambda x: F.xxhash64(x)), of)
 
+#: A gram that more than one in so many rows have is hot; there can be no more of them.
+HOT = 1000
 
-def _overlap(units: DataFrame, key: list[str], n: int, exact: bool) -> DataFrame:
-    """Key, n_ngrams and the share of its n-grams that a unit of a lower key holds. units: key and line.
 
-    Sizes come from the texts themselves. Only n-grams that several units hold
-    are joined back; two shuffles of n-grams in all.
+def _overlap(units: DataFrame, key: list[str], n: int, exact: bool, before: DataFrame | None = None) -> DataFrame:
+    """Key, n_ngrams and the share of its n-grams that a unit of a lower key holds, or ``before`` (gram). units: key and line.
+
+    Sizes come from the texts themselves. Grams that one unit alone holds, nearly
+    all, end with the first aggregation; rows of the few hot grams meet theirs by a
+    broadcast, and only the others' are joined back.
     """
     grams = shingles(words(F.col("line")), n, exact)
     held = units.select(*key, grams.alias("grams")).filter(F.size("grams") > 0)
     rows = held.select(F.struct(*key).alias("unit"), F.explode("grams").alias("gram"))
-    shared = rows.groupBy("gram").agg(F.min("unit").alias("first"), F.max("unit").alias("last")).filter(F.col("first") < F.col("last"))
-    seen = rows.join(shared.select("gram", "first"), "gram").filter(F.col("first") < F.col("unit")).groupBy("unit").agg(F.count(F.lit(1)).alias("seen")).select("unit.*", "seen")
+    kinds = rows.groupBy("gram").agg(F.min("unit").alias("first"), F.max("unit").alias("last"), F.count(F.lit(1)).alias("many"))
+    if before is not None:
+        kinds = kinds.join(before.select("gram", F.lit(True).alias("known")).distinct(), "gram", "left")
+        shared = kinds.filter(F.col("known") | (F.col("first") < F.col("last"))).withColumn("known", F.coalesce("known", F.lit(False)))
+    else:
+        shared = kinds.filter(F.col("first") < F.col("last")).withColumn("known", F.lit(False))
+    shared = durable(shared.drop("last"))
+    total = held.agg(F.sum(F.size("grams").cast("long"))).first()[0] or 0
+    hot, cold = shared.filter(F.col("many") * HOT > total), shared.filter(F.col("many") * HOT <= total)
+    met = rows.join(F.broadcast(hot), "gram").unionByName(rows.join(F.broadcast(hot.select("gram")), "gram", "left_anti").join(cold, "gram"))
+    seen = met.filter(F.col("known") | (F.col("first") < F.col("unit"))).groupBy("unit").agg(F.count(F.lit(1)).alias("seen")).select("unit.*", "seen")
     sized = held.select(*key, F.size("grams").cast("long").alias("n_ngrams"))
     return sized.join(seen, key, "left").select(*key, "n_ngrams", (F.coalesce("seen", F.lit(0)) / F.col("n_ngrams")).alias("overlap"))
 
 
-def ngram_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
-    """Id, n_ngrams and overlap: the share of its n-grams that an earlier document holds.
+def grams_of(docs: DataFrame, n: int = 20, text_col: str = "text", exact: bool = False) -> DataFrame:
+    """The distinct n-grams of a corpus (gram): what :func:`ngram_overlap` of a later run takes as seen before. Write it, and add to it run by run."""
+    return docs.select(F.explode(shingles(words(F.col(text_col)), n, exact)).alias("gram")).distinct()
+
+
+def ngram_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", exact: bool = False, before: DataFrame | None = None) -> DataFrame:
+    """Id, n_ngrams and overlap: the share of its n-grams that an earlier document holds, or an earlier run (:func:`grams_of`).
 
     Documents of fewer words have no row. Every document adds its n-grams,
     whatever becomes of it later, so one aggregation by n-gram decides: the
     least id that holds it. N-grams are compared by 64-bit hashes, or as texts.
     """
-    return _overlap(docs.select(F.col(id_col), F.col(text_col).alias("line")), [id_col], n, exact)
+    return _overlap(docs.select(F.col(id_col), F.col(text_col).alias("line")), [id_col], n, exact, before)
 
 
 def paragraph_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:

@@ -5,12 +5,32 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 GIGABYTE = 1_000_000_000
-#: Rows to a block of the running sums.
-BLOCK_ROWS = 50_000
+#: Rows to a block of the running sums, and blocks at most.
+BLOCK_ROWS, BLOCKS = 50_000, 4096
+
+
+def even_bounds(df: DataFrame, col: str, rows: int, most: int) -> list[float]:
+    """Values of a number that part it into ranges of some ``rows`` rows, ``most`` at most: quantiles, so that clustered values are parted as well."""
+    n = max(1, min(most, -(-df.count() // rows)))
+    if n == 1:
+        return []
+    found = df.select(F.col(col).cast("double").alias("x")).approxQuantile("x", [k / n for k in range(1, n)], 1 / (4 * n))
+    return sorted(set(found))
+
+
+def cell_of(df: DataFrame, col: str, bounds: list[float], out: str) -> DataFrame:
+    """Add the range that a number falls in, from 0; it never falls where the number rises, and nulls come last."""
+    at = F.col(col).cast("double")
+    if not bounds:
+        return df.withColumn(out, F.when(at.isNull(), 1).otherwise(0))
+    split = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol=f"{out}_of", outputCol=f"{out}_at", handleInvalid="keep")
+    placed = split.transform(df.withColumn(f"{out}_of", F.coalesce(at, F.lit(float("nan")))))
+    return placed.withColumn(out, F.col(f"{out}_at").cast("int")).drop(f"{out}_of", f"{out}_at")
 
 
 def shard_name(shard: Column, name: str, digits: int = 5) -> Column:
@@ -22,20 +42,20 @@ def shard_name(shard: Column, name: str, digits: int = 5) -> Column:
 def running_size(df: DataFrame, order: str, size: Column, out: str = "size_before") -> DataFrame:
     """Add the total size of the rows before each in an order, without sorting all in one task.
 
-    Rows are cut into ranges of the order (a number); totals of the ranges, a
-    small table, are summed up first. Rows without an order come last.
+    Rows are cut into ranges of the order (a number) with about as many rows
+    each; totals of the ranges, a table of BLOCKS rows at most, are summed up
+    first. Rows of equal order follow by a hash of their values, rows without an
+    order come last.
     """
-    bounds = df.agg(F.min(order), F.max(order), F.count(F.lit(1))).first()
-    low, high, n = bounds[0] or 0, bounds[1] or 0, bounds[2]
-    blocks = max(1, min(65_536, n // BLOCK_ROWS + 1))
-    step = max(1, -(-(high - low + 1) // blocks))
-    placed = df.withColumn("_size", size.cast("long")).withColumn("_block", F.coalesce(F.floor((F.col(order) - low) / step), F.lit(blocks).cast("long")))
+    bounds = even_bounds(df, order, BLOCK_ROWS, BLOCKS)
+    ties = F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))])
+    placed = cell_of(df.withColumn("_size", size.cast("long")).withColumn("_tie", ties), order, bounds, "_block")
     totals = placed.groupBy("_block").agg(F.sum("_size").alias("_total"))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_block", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_block").orderBy(F.col(order).asc_nulls_last(), "_tie").rowsBetween(Window.unboundedPreceding, -1)
     summed = placed.withColumn("_before", F.coalesce(F.sum("_size").over(inside), F.lit(0)))
-    return summed.join(offsets, "_block").withColumn(out, F.col("_before") + F.col("_offset")).drop("_block", "_before", "_offset", "_size")
+    return summed.join(F.broadcast(offsets), "_block").withColumn(out, F.col("_before") + F.col("_offset")).drop("_block", "_before", "_offset", "_size", "_tie")
 
 
 def even_shards(df: DataFrame, order: str, size: Column, most: int, first: int = 0) -> DataFrame:

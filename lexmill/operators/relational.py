@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE, words
+from ..functions.text import SPACE, word_count
+from .layout import cell_of, even_bounds
 
 
 def size_stats(docs: DataFrame, by: list[str] | None = None, text_col: str = "text", file_col: str | None = None, space: str = SPACE) -> DataFrame:
@@ -13,7 +14,7 @@ def size_stats(docs: DataFrame, by: list[str] | None = None, text_col: str = "te
     text = F.col(text_col)
     sums = [
         F.count(F.lit(1)).alias("documents"),
-        F.coalesce(F.sum(F.size(words(text, space)).cast("long")), F.lit(0)).cast("long").alias("tokens"),
+        F.coalesce(F.sum(word_count(text, space)), F.lit(0)).cast("long").alias("tokens"),
         F.coalesce(F.sum(F.length(text).cast("long")), F.lit(0)).cast("long").alias("characters"),
         F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0)).cast("long").alias("bytes"),
     ]
@@ -82,26 +83,29 @@ def range_lookup(ids: DataFrame, shards: DataFrame, id_col: str = "id", width: i
     return held.drop("_cell", "start", "end")
 
 
+#: Rows to a range that :func:`as_of` sorts, and ranges at most.
+RANGE_ROWS, RANGES = 50_000, 4096
+
+
 def as_of(ids: DataFrame, starts: DataFrame, id_col: str = "id", shard_col: str = "shard", start_col: str = "start") -> DataFrame:
     """The shard with the greatest start that is not above the id; null before the first.
 
-    Both sides are sorted together within ranges of the id, and the starts that
-    open a range are carried over from the ranges before it.
+    Both sides are sorted together within ranges of the id that hold about as
+    many rows each, by quantiles, and the starts that open a range are carried
+    over from the ranges before it: a table of RANGES rows at most.
     """
-    parts = 200
-    bounds = starts.agg(F.min(start_col), F.max(start_col)).first()
-    low, step = bounds[0] or 0, max(1, ((bounds[1] or 0) - (bounds[0] or 0)) // parts + 1)
-    cell = lambda c: F.least(F.greatest(F.floor((F.col(c) - low) / step), F.lit(-1)), F.lit(parts)).cast("int")
-    known = starts.select(F.col(start_col).alias("_at"), F.lit(0).alias("_side"), F.col(shard_col).alias("_shard"), cell(start_col).alias("_cell"))
-    last = known.groupBy("_cell").agg(F.max(F.struct("_at", "_shard")).alias("_last"))  # 202 rows at most
-    grid = starts.sparkSession.range(-1, parts + 1).select(F.col("id").cast("int").alias("_cell"))
+    asked = ids.select(F.col(id_col).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(starts.schema[shard_col].dataType).alias("_shard"), F.struct(*ids.columns).alias("_row"))
+    known = starts.select(F.col(start_col).alias("_at"), F.lit(0).alias("_side"), F.col(shard_col).alias("_shard"))
+    both = asked.unionByName(known, allowMissingColumns=True)
+    bounds = even_bounds(both.select("_at"), "_at", RANGE_ROWS, RANGES)
+    cut = lambda df: cell_of(df, "_at", bounds, "_cell")
+    last = cut(known).groupBy("_cell").agg(F.max(F.struct("_at", "_shard")).alias("_last"))
+    grid = starts.sparkSession.range(0, len(bounds) + 2).select(F.col("id").cast("int").alias("_cell"))
     before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     carried = grid.join(F.broadcast(last), "_cell", "left").select("_cell", F.last("_last", ignorenulls=True).over(before)["_shard"].alias("_carried"))
-    asked = ids.select(F.col(id_col).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(starts.schema[shard_col].dataType).alias("_shard"), cell(id_col).alias("_cell"), F.struct(*ids.columns).alias("_row"))
-    both = asked.unionByName(known, allowMissingColumns=True)
     own = Window.partitionBy("_cell").orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_found", F.last("_shard", ignorenulls=True).over(own)).filter("_side = 1").join(F.broadcast(carried), "_cell", "left")
-    return found.select("_row.*", F.coalesce("_found", "_carried").alias(shard_col))
+    found = cut(both).withColumn("_found", F.last("_shard", ignorenulls=True).over(own)).filter("_side = 1").join(F.broadcast(carried), "_cell", "left")
+    return found.select("_row.*", F.when(F.col("_at").isNotNull(), F.coalesce("_found", "_carried")).alias(shard_col))
 
 
 def histogram(df: DataFrame, col: str) -> DataFrame:
@@ -113,9 +117,13 @@ def listed_by(df: DataFrame, by: str, value: str) -> DataFrame:
     return df.groupBy(by).agg(F.sort_array(F.collect_list(value)).alias(f"{value}s"))
 
 
-def last_pair(entries: Column) -> Column:
-    """Of entries (kind, value) up to the first that completes a pair, the last uri and the license."""
-    return F.struct(F.get(F.filter(entries, lambda e: e.kind == "uri"), F.lit(0))["value"].alias("uri"), F.get(F.filter(entries, lambda e: e.kind == "license"), F.lit(0))["value"].alias("license"))
+def first_pair(entries: Column) -> Column:
+    """Of entries (kind, value) read until there are a uri and a license: the last uri so far, and that license (the last one, where it came first)."""
+    place = lambda kind: F.array_position(F.transform(entries, lambda e: e.kind), F.lit(kind))
+    there = (place("uri") > 0) & (place("license") > 0)
+    read = F.when(there, F.slice(entries, F.lit(1), F.greatest(place("uri"), place("license")).cast("int"))).otherwise(entries)
+    last = lambda kind: F.try_element_at(F.filter(read, lambda e: e.kind == kind), F.lit(-1))["value"]
+    return F.struct(last("uri").alias("uri"), last("license").alias("license"))
 
 
 def largest_edition(pages: DataFrame, title: str, edition: str, content: str, order: str) -> DataFrame:
@@ -153,7 +161,7 @@ def text_type_rank(kind: Column) -> Column:
 
 
 def dump_rank(name: Column, ident: Column) -> Column:
-    """Which kind of dump a file name says it is, the best first; null for other files."""
+    """Which kind of dump a file name says it is, the best first; null for other files. The names are fixed values."""
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
     bare = F.regexp_replace(ident, "^[wW]iki-", "")
     kinds = [

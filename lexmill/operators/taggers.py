@@ -254,11 +254,23 @@ def unigram_table(counts: DataFrame, word_col: str = "word", count_col: str = "c
     return known.select("word", (F.log2("n") - total).alias("logp"), (F.log2(F.sqrt(F.lit(float(sums["kinds"]))) + 1) - total).alias("unknown"))
 
 
+#: Words of a table that are broadcast: some 100 bytes each.
+BROADCAST_WORDS = 1_000_000
+
+
 def mean_log_probability(docs: DataFrame, table: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Id and the mean log2 probability of its lower-cased words; 0 without words. One shuffle by word, one by id."""
-    counted = docs.select(F.col(id_col).alias("id"), F.explode_outer(words(F.lower(text_col))).alias("word")).groupBy("id", "word").agg(F.count("word").alias("n"))
-    unknown = F.lit(table.agg(F.max("unknown")).first()[0]).cast("double")
-    scored = counted.join(table.select("word", "logp"), "word", "left")
+    """Id and the mean log2 probability of its lower-cased words; 0 without words.
+
+    A table of up to BROADCAST_WORDS words meets the words where they are, and
+    only sums by id are shuffled; a larger one is joined by word.
+    """
+    facts = table.agg(F.max("unknown"), F.count(F.lit(1))).first()
+    unknown, known = F.lit(facts[0]).cast("double"), table.select("word", "logp")
+    own = docs.select(F.col(id_col).alias("id"), F.explode_outer(words(F.lower(text_col))).alias("word"))
+    if facts[1] <= BROADCAST_WORDS:
+        scored = own.withColumn("n", F.when(F.col("word").isNotNull(), 1).otherwise(0)).join(F.broadcast(known), "word", "left")
+    else:
+        scored = own.groupBy("id", "word").agg(F.count("word").alias("n")).join(known, "word", "left")
     total = F.sum(F.col("n") * F.coalesce(F.col("logp"), unknown))
     return scored.groupBy("id").agg(F.coalesce(F.try_divide(total, F.sum("n")), F.lit(0.0)).alias("logprob")).withColumnRenamed("id", id_col)
 

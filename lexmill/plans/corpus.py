@@ -34,8 +34,8 @@ def size_stats_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT count(*) AS documents, sum(len({WORDS}))::BIGINT AS tokens, sum(length(text))::BIGINT AS characters,
   sum(octet_length(encode(text)))::BIGINT AS bytes, 1::BIGINT AS shards FROM documents""")
 def size_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("text", F.regexp_extract(F.col("_metadata.file_path"), r"documents\.parquet", 0).alias("file"))
-    return R.size_stats(docs, file_col="file")
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"documents\.parquet", 0).alias("file")
+    return R.size_stats(read_dealt(spark, f"{sf_dir}/documents.parquet", F.col("text"), file), file_col="file")
 
 
 def _filter(spark: SparkSession, sf_dir: str, **rules) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Settings for scale; a cluster's own values for memory and parallelism stay as they are.
@@ -44,6 +45,14 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, which goes when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage at a checkpoint in the cluster's shared folder."""
     sc, folder = df.sparkSession.sparkContext, shared_folder(df.sparkSession)
@@ -52,12 +61,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def read_dealt(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; one of up to SMALL_BYTES of files is dealt over the cores, as it may be a single row group.
+def read_dealt(spark: SparkSession, path: str, *columns: Column) -> DataFrame:
+    """A Parquet table, or the named columns of it; one of up to SMALL_BYTES of files is dealt over the cores, as it may be a single row group.
 
     No more than SMALL_BYTES are ever moved for that, whatever the cluster's size; larger tables stay as they lie.
     """
     df = spark.read.parquet(path)
+    df = df.select(*columns) if columns else df
     size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
     return df.repartition(spark.sparkContext.defaultParallelism) if size <= SMALL_BYTES else df
 

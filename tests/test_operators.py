@@ -269,7 +269,7 @@ def test_latest_revision(spark):
 
 def test_pairs_and_pages(spark):
     entries = spark.createDataFrame([([{"kind": "license", "value": "L"}, {"kind": "uri", "value": "U"}, {"kind": "uri", "value": "V"}],), ([],)], "e array<struct<kind:string,value:string>>")
-    assert [tuple(r["p"]) for r in entries.select(R.last_pair(F.col("e")).alias("p")).collect()] == [("U", "L"), (None, None)]
+    assert [tuple(r["p"]) for r in entries.select(R.first_pair(F.col("e")).alias("p")).collect()] == [("U", "L"), (None, None)]
     pages = spark.createDataFrame([("ok", "t"), ("ok", ""), ("User:BeywheelzLetItRip/fonts.css", "t"), (None, "t")], "title string, text string")
     assert pages.filter(R.parseable(F.col("title"), F.col("text"))).count() == 2
 

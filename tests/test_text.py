@@ -97,7 +97,7 @@ def test_markup(spark):
     assert one(spark, "<p>a &amp; b<script>x</script></p>", markup.page_text) == "a & b"
     assert one(spark, None, markup.page_text) is None
     assert one(spark, "a<pre>x &lt; y</pre>", markup.preformatted) == "x < y"
-    assert one(spark, "<math>x</math><math display=block>y</math>", markup.math_to_tex) == "$x$$$y$$"
+    assert one(spark, '<math>x</math><math display=inline>y</math>z <math display="block">u<math>v</math></math> <math>w', markup.math_to_tex) == "$$x$$$y$ z $$u<math>v</math>$$ <math>w"
     assert one(spark, "a{{b|{{c}}}}d", markup.strip_templates) == "ad"
     assert one(spark, "{{sqrt|{{frac|1|2}}}} ×", markup.wiki_math) == r"\sqrt{\frac{1}{2}} \times"
     assert one(spark, "<b>x</b>" * 20, lambda c: markup.strip_wiki_tags(c)) == "x" * 20
