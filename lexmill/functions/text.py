@@ -191,6 +191,11 @@ def tag_map(tags: Column) -> Column:
     return F.aggregate(pairs, F.create_map().cast("map<string,string>"), lambda m, x: F.map_concat(F.map_filter(m, lambda k, _: k != F.split(x, ":")[0]), F.create_map(F.split(x, ":")[0], F.split(x, ":")[1])))
 
 
+def wrapped(text: Column, width: int) -> Column:
+    """Lines of at most ``width`` characters, broken at spaces; longer words are cut."""
+    return F.regexp_replace(text, rf"([^\n]{{1,{width}}})(?: |(\n)|$)", "$1\n")
+
+
 def newline_token(text: Column, token: str = "<n>") -> Column:
     """One line per document, for trainers that read lines."""
     return F.regexp_replace(text, "\n", token)

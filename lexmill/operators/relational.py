@@ -216,8 +216,10 @@ SKIP_TITLES = (
 )
 
 
-def parseable(title: Column, text: Column) -> Column:
-    return ~F.coalesce(title, F.lit("")).isin(*SKIP_TITLES) & (F.coalesce(F.length(text), F.lit(0)) > 0)
+def parseable(title: Column, text: Column, redirect: Column | None = None) -> Column:
+    """Pages with a text, under a title that is not on the list, that don't send elsewhere."""
+    kept = ~F.coalesce(title, F.lit("")).isin(*SKIP_TITLES) & (F.coalesce(F.length(text), F.lit(0)) > 0)
+    return kept if redirect is None else kept & redirect.isNull()
 
 
 def slice_of(name: Column, n: int, k: int) -> Column:
