@@ -82,6 +82,7 @@ def site_page(site: Column, ident: Column, collection: str = "questions") -> Col
 
 def crawl_route(original: Column) -> Column:
     """Where a wiki's dump comes from: its farm, the public dumps, or the archive."""
+    # fixed values: the sites whose dumps are public
     farms = r"(?i)(wikipedia|wikisource|wiktionary|wikibooks|wikiversity|wikimedia|wikispecies|wikiquote|wikinews|wikidata|wikivoyage)\.org"
     return F.when(original.isNull(), "archive").when(netloc(original).endswith("fandom.com"), "fandom").when(original.rlike(farms), "wikimedia").otherwise("archive")
 

@@ -170,7 +170,7 @@ RECIPES: dict[str, MixSpec] = {
     for s in (
         recipe("article_abstracts", pii="E"),
         recipe("article_papers", english=True, pii="E"),
-        recipe("heritage_library", english=True, chars=100, tokens=20, logprob=True, lines=("line_heritage_library",), edits=(Replacement("double_newline", "\n", 0.1), *_REFLOW)),
+        recipe("heritage_library", english=True, chars=100, tokens=20, logprob=True, lines=("line_biodiversity_heritage_library",), edits=(Replacement("double_newline", "\n", 0.1), *_REFLOW)),
         recipe("caselaw", chars=100, tokens=20, pii="EPI", toxic=True),
         recipe("open_crawl", english=True, chars=100, tokens=20, quality=True, pii="EPI", toxic=True),
         recipe("instruction_data"),
@@ -182,21 +182,21 @@ RECIPES: dict[str, MixSpec] = {
         recipe("news", english=True, chars=100, tokens=20, pii="EPI", lines=("line_news",)),
         recipe("courses", english=True, chars=300, pii="EPI", toxic=True),
         recipe("paper_corpus", pii="E"),
-        recipe("old_books", logprob=True, toxic=True, lines=("page_numbers", "line_old_books"), edits=(Replacement("double_space", " ", 0.1), *_REFLOW)),
+        recipe("old_books", logprob=True, toxic=True, lines=("page_numbers", "line_public_library_1929"), edits=(Replacement("double_space", " ", 0.1), *_REFLOW)),
         recipe("textbooks", english=True, chars=600, pii="EPI", toxic=True),
-        recipe("ebooks", english=True, logprob=True, lines=("line_ebooks",)),
-        recipe("essays", chars=100, tokens=20, pii="EPI", lines=("line_essays",)),
-        recipe("medical_articles", english=True, chars=100, tokens=20, pii="EPI", lines=("lines_with_too_few_words", "line_medical_articles")),
+        recipe("ebooks", english=True, logprob=True, lines=("line_project_gutenberg",)),
+        recipe("essays", chars=100, tokens=20, pii="EPI", lines=("line_public_domain_review",)),
+        recipe("medical_articles", english=True, chars=100, tokens=20, pii="EPI", lines=("lines_with_too_few_words", "line_licensed_pubmed")),
         recipe("proposals", pii="EPI"),
         recipe("regulations", chars=100, tokens=20, pii="EPI", lines=("line_regulations", "page_regulations")),
         recipe("code_markdown", english=True, chars=100, pii="EPI", toxic=True),
         recipe("code_educational", code=True),
-        recipe("question_sites", english=True, pii="EPI", lines=("line_question_sites",)),
+        recipe("question_sites", english=True, pii="EPI", lines=("line_stackexchange",)),
         recipe("code", code=True, more=(Condition("metadata", "language", "in", ("CSV", "TSV", "Public Key", "Checksums", "Go Checksums", "SVG", "Unity3D Asset", "Raw token data", "SubRip Text", "Gemfile.lock", "Pickle", "JSON")),)),
         recipe("code_html", english=True, chars=100, pii="EPI", toxic=True),
-        recipe("chats", english=True, chars=100, tokens=20, pii="EPI", toxic=True, lines=("line_chats",)),
-        recipe("uk_debates", english=True, pii="EPI", lines=("lines_with_too_few_words", "line_uk_debates")),
-        recipe("government", lines=("line_government", "page_government")),
+        recipe("chats", english=True, chars=100, tokens=20, pii="EPI", toxic=True, lines=("line_ubuntu_chat",)),
+        recipe("uk_debates", english=True, pii="EPI", lines=("lines_with_too_few_words", "line_uk_hansard")),
+        recipe("government", lines=("line_usgpo", "page_government")),
         recipe("patents", chars=100, tokens=20, logprob=True, duplicate=False, exact=True, pii="EPI"),
         recipe("encyclopedias", english=True, chars=100, tokens=20, pii="EPI", more=(Condition("metadata", "title", "startswith", "User talk"),)),
         recipe("wiki_archive", english=True, chars=700, tokens=20, pii="EPI", toxic=True, edits=(Replacement("duplicate_paragraphs", "", 0.8),)),

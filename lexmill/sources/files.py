@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import io
+import random
 import tarfile
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -171,19 +173,27 @@ def crawl(frontier: DataFrame, links: DataFrame, most: int | None = None) -> Dat
         seen = durable(seen.union(edge))
 
 
-def fetch_pages(pages: DataFrame, fetch, url_col: str = "url") -> DataFrame:
-    """Add content with a function of a URL that the caller brings; errors become null."""
-    rest = pages.drop("content")
+def fetched(fetch: Callable[[str], bytes], url: str, tries: int, wait: float, most: float, sleep: Callable[[float], None] = time.sleep) -> tuple[bytes | None, str | None, int]:
+    """Content, the last error and the number of tries. Between tries it waits a random time below a limit that doubles, from ``wait`` up to ``most`` seconds."""
+    error = None
+    for k in range(tries):
+        try:
+            return fetch(url), None, k + 1
+        except OSError as failure:
+            error = f"{type(failure).__name__}: {failure}"
+        if k + 1 < tries:
+            sleep(random.uniform(0, min(most, wait * 2**k)))
+    return None, error, tries
+
+
+def fetch_pages(pages: DataFrame, fetch: Callable[[str], bytes], url_col: str = "url", tries: int = 5, wait: float = 1.0, most: float = 60.0) -> DataFrame:
+    """Add content, error and tries with a function of a URL that the caller brings; an OSError is tried again, and after the last try content is null."""
+    rest = pages.drop("content", "error", "tries")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            def get(url):
-                try:
-                    return fetch(url)
-                except OSError:
-                    return None
-
-            yield pdf.assign(content=[get(u) for u in pdf[url_col]])
+            got = [fetched(fetch, u, tries, wait, most) for u in pdf[url_col]]
+            yield pdf.assign(content=[x[0] for x in got], error=[x[1] for x in got], tries=[x[2] for x in got])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
-    return rest.mapInPandas(run, f"{fields}, content binary")
+    return rest.mapInPandas(run, f"{fields}, content binary, error string, tries int")

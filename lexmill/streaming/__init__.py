@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.mix import MixSpec, mix
+from ..session import durable
 
 
 def watch(spark: SparkSession, path: str, schema: StructType, kind: str = "json", files_per_trigger: int = 64) -> DataFrame:
@@ -34,16 +35,30 @@ def size_by_window(docs: DataFrame, time_col: str, by: str, width: str = "1 hour
     return windowed.agg(F.count(F.lit(1)).alias("documents"), F.sum(F.length(text_col)).alias("characters"))
 
 
+#: Parts of the ids that a target keeps; a batch reads only those that its own ids fall into.
+ID_BUCKETS = 256
+
+
 def merge_new(docs: DataFrame, target: str, checkpoint: str, id_col: str = "id") -> StreamingQuery:
-    """Append the rows whose id the target does not have yet, each once."""
+    """Add the rows whose id the target does not have yet, each once, in a folder for each batch.
+
+    The target keeps the ids it has beside its rows, by a hash, so that a batch
+    reads the ids of its own buckets and never the rows. A batch that is done
+    again after a failure replaces what it had written.
+    """
+    ids = f"{target}/_ids"
 
     def add(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates([id_col])
-        where = spark._jvm.org.apache.hadoop.fs.Path(target)
+        bucket = F.pmod(F.xxhash64(F.col(id_col)), F.lit(ID_BUCKETS)).cast("int").alias("bucket")
+        fresh = durable(batch.dropDuplicates([id_col]))
+        where = spark._jvm.org.apache.hadoop.fs.Path(ids)
         if where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
-            fresh = fresh.join(spark.read.parquet(target).select(id_col), id_col, "left_anti")
-        fresh.write.mode("append").parquet(target)
+            own = [r["bucket"] for r in fresh.select(bucket).distinct().collect()]  # ID_BUCKETS at most
+            held = spark.read.parquet(ids).filter(F.col("bucket").isin(own) & (F.col("batch") != number))
+            fresh = fresh.join(held.select(id_col), id_col, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        fresh.select(id_col, bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{ids}/batch={number}")
 
     return docs.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

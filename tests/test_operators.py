@@ -17,7 +17,7 @@ def texts(spark, *values):
 
 
 def test_line_tagger(spark):
-    df = texts(spark, "  [Notices] \nrest", "x", None, "").select(taggers.tagger("line_government")(F.col("text")).alias("s"))
+    df = texts(spark, "  [Notices] \nrest", "x", None, "").select(taggers.tagger("line_usgpo")(F.col("text")).alias("s"))
     assert [[tuple(x) for x in r["s"]] for r in df.collect()] == [[(0, 13, 1.0)], [], [], []]
 
 

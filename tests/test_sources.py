@@ -8,8 +8,8 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill import streaming
-from lexmill.operators import taggers
+from lexmill import logs, streaming
+from lexmill.operators import models, taggers
 from lexmill.operators.mix import MixSpec, Replacement, recipe
 from lexmill.sources import documents as D
 from lexmill.sources import files, ingest
@@ -95,11 +95,26 @@ def test_archives_and_interpolation(spark):
 def test_fetch(spark):
     def get(url):
         if url == "b":
-            raise OSError
+            raise OSError("gone")
         return url.encode()
 
-    rows = files.fetch_pages(spark.createDataFrame([("a",), ("b",)], "url string"), get).collect()
-    assert [r["content"] for r in rows] == [bytearray(b"a"), None]
+    rows = files.fetch_pages(spark.createDataFrame([("a",), ("b",)], "url string"), get, tries=3, wait=0.001).collect()
+    assert [(r["content"], r["error"], r["tries"]) for r in rows] == [(bytearray(b"a"), None, 1), (None, "OSError: gone", 3)]
+
+
+def test_fetch_waits_longer_every_time_and_succeeds_late():
+    calls, waits = [], []
+
+    def get(url):
+        calls.append(url)
+        if len(calls) < 4:
+            raise ConnectionError("busy")
+        return b"x"
+
+    assert files.fetched(get, "u", 5, 1.0, 2.5, waits.append) == (b"x", None, 4)
+    assert len(waits) == 3 and all(0 <= w <= top for w, top in zip(waits, (1, 2, 2.5)))
+    with pytest.raises(KeyError):
+        files.fetched(lambda u: {}[u], "u", 5, 0, 0)
 
 
 def test_streams(spark, tmp_path):
@@ -172,3 +187,53 @@ def test_crawl_follows_links_to_the_end(spark):
     assert files.crawl(start, chain, most=24).count() == 25
     with pytest.raises(RuntimeError):
         files.crawl(start, chain, most=5)
+
+
+def test_merge_after_a_failure_adds_nothing_twice(spark, tmp_path):
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    schema = spark.createDataFrame([], "id string, text string").schema
+
+    def run(number, state):
+        (source / f"{number}.json").write_text("".join(json.dumps({"id": str(k), "text": f"t{number}"}) + "\n" for k in range(number, number + 5)))
+        streaming.merge_new(streaming.watch(spark, str(source), schema), str(out), str(tmp_path / state)).awaitTermination(60)
+        return sorted((int(r["id"]), r["text"]) for r in spark.read.parquet(str(out)).collect())
+
+    first = [(k, "t0") for k in range(5)]
+    assert run(0, "a") == first
+    assert run(3, "a") == first + [(k, "t3") for k in range(5, 8)]
+    assert {p.name for p in (out / "_ids").iterdir()} >= {"batch=0", "batch=1"}
+
+
+def test_models_tell_languages(spark):
+    parts = {"en": "the house and the garden were sleeping", "de": "das haus und der garten schliefen noch", "fr": "la maison et le jardin dormaient encore"}
+    rows = [(k, lang, " ".join(text.split()[j:] + text.split()[:j])) for k, (lang, text) in enumerate(parts.items()) for j in range(6)] + [(9, None, "zz")]
+    docs = spark.createDataFrame(rows, "k int, lang string, text string")
+    model = models.train(docs, "lang")
+    assert model.classes == ("de", "en", "fr") and len(models.train(docs, "lang", most=5).weights) == 5
+    got = models.predicted(spark.createDataFrame([("the sleeping garden",), ("der garten und das haus",), ("le jardin",), (None,), ("",)], "text string"), model).collect()
+    assert [r["predicted"] for r in got[:3]] == ["en", "de", "fr"] and got[3]["predicted_score"] == got[4]["predicted_score"] == pytest.approx(1 / 3)
+    native = {r["f"] for r in docs.limit(1).select(F.explode(models.features(F.col("text"))).alias("f")).collect()}
+    assert native == models.features_of(docs.first()["text"])
+    models.register_class("english_test", model, "en")
+    models.register_sentences("english_sentence_test", model, "en")
+    tagged = taggers.tag(spark.createDataFrame([("the house. das haus.",)], "text string"), ["english_test", "english_sentence_test"]).first()["attributes"]
+    assert [s["score"] > 0.5 for s in tagged["english_sentence_test"]] == [True, False]
+    with pytest.raises(ValueError):
+        models.train(docs.limit(0), "lang")
+
+
+def test_logs_are_json_with_their_context(spark):
+    out = io.StringIO()
+    log = logs.configure("lexmill.test", stream=out)
+    with logs.context(shard="a"), logs.context(step=1):
+        log.info("done %d", 3, extra={"rows": 5})
+    try:
+        raise KeyError("x")
+    except KeyError:
+        log.exception("failed")
+    first, second = (json.loads(x) for x in out.getvalue().splitlines())
+    assert first["message"] == "done 3" and (first["shard"], first["step"], first["rows"], first["level"]) == ("a", 1, 5, "INFO")
+    assert "shard" not in second and "KeyError" in second["error"]
+    docs, seen = logs.counted(spark.createDataFrame([("ab", "f"), (None, "g")], "text string, file string"), "read", "file")
+    assert docs.count() == 2 and seen.get == {"documents": 2, "characters": 2, "files": 2}
