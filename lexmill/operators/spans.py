@@ -100,6 +100,11 @@ def of_pattern(text: Column, pattern: str) -> Column:
     return let(let(found, measured), placed)
 
 
+def apart(column: Column) -> Column:
+    """A column that is computed once where it stands: the optimizer copies no expression with a partition's number into those that use it."""
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
 def edited(text: str, edits: list) -> str:
     """The text after its edits (start, end, text), in one pass."""
     out, at = [], 0
@@ -123,7 +128,7 @@ def rewritten(df: DataFrame, text_col: str, edits: Column) -> DataFrame:
 
     free = next(name for k in itertools.count() if (name := f"edits{k}") not in df.columns)
     some = F.size(free) > 0
-    out = df.withColumn(free, edits)
+    out = df.withColumn(free, apart(edits))
     return out.withColumn(text_col, F.coalesce(run(F.when(some, F.col(text_col)), F.when(some, F.col(free))), F.col(text_col))).drop(free)
 
 
@@ -148,4 +153,4 @@ def first_score(spans: Column) -> Column:
     return F.get(spans, F.lit(0))["score"]
 
 
-__all__ = ["SPACE", "SPANS", "coverage", "edited", "edits", "first_score", "no_spans", "of_line_pattern", "of_lines", "of_paragraphs", "of_pattern", "rewritten", "running", "span", "whole"]
+__all__ = ["SPACE", "SPANS", "apart", "coverage", "edited", "edits", "first_score", "no_spans", "of_line_pattern", "of_lines", "of_paragraphs", "of_pattern", "rewritten", "running", "span", "whole"]

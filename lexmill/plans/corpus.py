@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import query
 from ..functions import text as X
-from ..operators import chunks, dedupe, relational as R, spans as S, taggers
+from ..operators import chunks, dedupe, models, relational as R, spans as S, taggers
 from ..operators.mix import Condition, MixSpec, Replacement, mix, recipe
 from ..session import read_dealt
 
@@ -181,6 +181,14 @@ def gopher_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", g["word_count"].alias("word_count"), rounded("median_word_length"), g["required_words"].alias("required_words"), rounded("alpha_word_fraction"), rounded("duplicate_line_fraction"))
 
 
+@query()
+def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by a model of four fifths of them; the others are held out."""
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    model = models.train(docs.filter("not held_out"), "lang")
+    return models.predicted(docs, model).select("doc_id", "lang", "held_out", "predicted", F.round("predicted_score", 6).alias("score"))
+
+
 @query()
 def gopher_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = taggers.gopher_repeats(read(spark, sf_dir, "documents"))
@@ -215,7 +223,7 @@ def paragraph_chunk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def paragraph_reflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks are found once and all four kinds of span taken from them."""
-    docs = read(spark, sf_dir, "documents").withColumn("_chunks", chunks.paragraph_chunks(F.col("text")))
+    docs = read(spark, sf_dir, "documents").withColumn("_chunks", S.apart(chunks.paragraph_chunks(F.col("text"))))
     for name in chunks.KINDS:
         docs = docs.withColumn(name, chunks.of_kind(F.col("_chunks"), name))
     return mix(docs, recipe("q", duplicate=False, edits=(Replacement("paragraph_chunk", "", max_score=0.1), Replacement("terminal_newline", "", 0.1), Replacement("terminal_newline_with_space", " ", 0.1), Replacement("paragraph_terminal_newline", "\n\n", 0.1)))).select("doc_id", "text")
