@@ -327,3 +327,44 @@ def test_pipeline(spark, sf_dir):
     kept = {r["doc_id"] for r in out.select("doc_id").distinct().collect()}
     assert 0 < len(kept) < docs.count()
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    pytest.importorskip("public_tokenizers")
+    import corpus_pipeline as P
+
+    rng = random.Random(21)
+    calm = [f"w{k}x" for k in range(300)]
+    texts = {k: " ".join(rng.choice(calm) for _ in range(30)) + (" vile nasty vile." if k % 4 == 0 else ".") for k in range(60)}
+    copy = " ".join(rng.choice(calm) for _ in range(80))
+    odd = [(100, None), (101, ""), (102, copy), (103, copy), (104, copy + " more"), (105, "mail a@b.org now " + " ".join(calm[:40])), (106, "z " * 5000), (None, "no id " + " ".join(calm[50:90]))]
+    rows = [*texts.items(), *odd, (105, odd[5][1])]
+    extra = {"_word": 88, "_bit": 6, "_gone": 1, "_own_pii": 2, "pii": 3, "toxicity": 4, "toxic_sentences": 5, "kept": 6, "row": 7, "gone": 8, "id": 9, "length": 10}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({k: F.lit(v) for k, v in extra.items()}).withColumn("n_chars", F.length("text").cast("long"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, int(k % 4 == 0)) for k in texts], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    seen = docs
+    for name, stage in P.STAGES[:-1]:
+        seen = stage(spark, seen, str(tmp_path))
+        assert seen.columns == docs.columns, name
+        assert {tuple(r[k] for k in extra) for r in seen.collect()} == {tuple(extra.values())}, name
+    kept = [(r["doc_id"], r["text"]) for r in seen.collect()]
+    ids = Counter(i for i, _ in kept)
+    assert not {k for k in texts if k % 4 == 0} & set(ids) and ids[102] == 1 and not {103, 104} & set(ids)
+    assert {100, 101, 106, None} <= set(ids) and ids[105] == 2 and all("<EMAIL>" in t for i, t in kept if i == 105)
+    out = P.run(spark, str(tmp_path)).collect()
+    assert Counter(r["doc_id"] for r in out if r["piece"] == 0) == ids and [r["length"] for r in out if r["doc_id"] == 100] == [1]
+    for table in ("documents", "labels"):
+        spark.read.parquet(str(tmp_path / f"{table}.parquet")).limit(0).write.parquet(str(tmp_path / "none" / f"{table}.parquet"))
+    assert P.run(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_operators_on_empty_tables(spark):
+    pytest.importorskip("public_tokenizers")
+    from lexmill.llm import bpe, media, pii, stages, tokens
+
+    docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    assert media.payload_digest(docs).collect() == [] and pii.pii_digest(docs).collect() == []
+    assert bpe.bpe_digest(docs, vocabulary("word_bpe_49k.json")).collect() == [] and tokens.section_tokens(docs, vocabulary("byte_bpe_50k.json")).collect() == []
+    assert judge_urls(spark.createDataFrame([], "page_id long, url string"), RULES).collect() == []
+    assert stages.redact_pii(docs).collect() == [] and stages.drop_near_duplicates(docs).collect() == []
