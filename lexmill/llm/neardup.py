@@ -72,8 +72,8 @@ WORDS = (*PLACES, *SKETCH[0], *SKETCH[1])
 #: Rounds of leaders at most, and the share of all links so far that a round must add for another one.
 ROUNDS, WORTH = 10, 0.03
 PARITIES = 1024
-#: Postings of a list that are joined in one block, and shingles of a bucket of sets (32 MB).
-LIST_BLOCK, BUCKET_SHINGLES = 1024, 4_000_000
+#: Postings of a list that are joined in one block, and shingles (4 MB) and sets of a bucket.
+LIST_BLOCK, BUCKET_SHINGLES, BUCKET_SETS = 1024, 500_000, 256
 _BLOCK = 4096
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
@@ -88,10 +88,10 @@ def least_agreed(places: int, chance: float, loss: float = LOSS) -> int:
     return places
 
 
-def signature_form(percent: int) -> tuple[int, int, int]:
-    """R and T of the coordinates, and the agreement of the sketch, for a similarity of ``percent``."""
+def signature_form(percent: int, most: int = MINIMA) -> tuple[int, int, int]:
+    """R (``most``, or as many as leave a threshold) and T of the coordinates, and the agreement of the sketch, for a similarity of ``percent``."""
     s = percent / 100
-    for minima in range(MINIMA, 0, -1):
+    for minima in range(most, 0, -1):
         matches = least_agreed(COORDINATES, s**minima)
         if matches >= LEAST_MATCHES:
             return minima, matches, least_agreed(SKETCHED, s + (1 - s) / (1 << SKETCH_BITS))
@@ -201,9 +201,10 @@ def _common(nodes: DataFrame) -> DataFrame:
 def _housed(nodes: DataFrame) -> DataFrame:
     """Add bucket: nodes of one least minimum share a home, homes share a bucket, and full buckets are split by a hash."""
     total = nodes.agg(F.sum("n_shingles"), F.count(F.lit(1))).first()
-    homes = max(4, -(-(total[0] or 0) // BUCKET_SHINGLES))
+    homes = max(-(-(total[0] or 0) // BUCKET_SHINGLES), -(-total[1] // BUCKET_SETS), 1)
     placed = nodes.withColumn("house", F.pmod("home", F.lit(homes)))
-    loads = placed.groupBy("house").agg(F.ceil(F.sum("n_shingles") / BUCKET_SHINGLES).alias("rooms"), F.count(F.lit(1)).alias("_many"))
+    rooms = F.ceil(F.greatest(F.sum("n_shingles") / BUCKET_SHINGLES, F.count(F.lit(1)) / BUCKET_SETS))
+    loads = placed.groupBy("house").agg(rooms.alias("rooms"), F.count(F.lit(1)).alias("_many"))
     joined = spread_join(placed, loads, "house", total[1], "_many")
     return joined.withColumn("bucket", F.shiftleft("house", 24).bitwiseOR(F.pmod(F.xxhash64("node"), F.col("rooms")))).drop("house", "rooms", "_many", "home")
 
@@ -287,13 +288,13 @@ def _met(cross: DataFrame, nodes: DataFrame, percent: int, matches: int | None,
     return met.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), "a_bucket", "b_bucket")
 
 
-def near_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, exact: bool = False) -> DataFrame:
+def near_links(docs: DataFrame, classes: DataFrame, width: int, percent: int, exact: bool = False, most: int = MINIMA) -> DataFrame:
     """Node and label (of its component) for the classes that may have a link.
 
     docs: id, text. classes: node, least (an id of the class), digest, home, n_shingles, parity and, but for ``exact``, signature and WORDS.
     """
     spark = classes.sparkSession
-    minima, matches, agreed = (1, None, 0) if exact else signature_form(percent)
+    _, matches, agreed = (1, None, 0) if exact else signature_form(percent, most)
     pair = lambda x, k: F.shiftleft(k.cast("long"), 32).bitwiseOR(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
     if exact:
         every = _sets(docs, classes.select("node", "least", "digest"), width)
@@ -345,21 +346,24 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
     return staged(spread_join(labels, sizes, "label", labels.count(), "_many").select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", exact: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", exact: bool = False, most_minima: int = MINIMA) -> DataFrame:
     """Return id, n_shingles, component_id (the least id reachable) and kept (whether that is its own).
 
-    Without ``exact``, a pair of a similarity of ``percent`` is missed twice in a million times, more similar ones less.
+    Without ``exact``, a pair of a similarity of ``percent`` is missed twice in a
+    million times, more similar ones less. ``most_minima`` is R, for which three
+    serve some millions of documents and four some billions; the threshold
+    follows, and no link is lost by either.
     """
     if not 0 < percent <= 100:
         raise ValueError("percent must be above 0 and 100 at most")
-    minima = 1 if exact else signature_form(percent)[0]
+    minima = 1 if exact else signature_form(percent, most_minima)[0]
 
     def make() -> DataFrame:
         rows = staged(shingled(docs, width, minima, id_col, text_col), "shingled")
         full = rows.filter(F.col("n_shingles") > 0)
         grouped = full.groupBy("digest").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("many"), *[F.first(c).alias(c) for c in ("signature", "home", "n_shingles", "parity", *WORDS)])
         classes = staged(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
-        labels = near_links(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), classes, width, percent, exact)
+        labels = near_links(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), classes, width, percent, exact, most_minima)
         known = classes.select("digest", "node", "least", "many").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         known = staged(known, "labels")
         least = known.groupBy("label").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_many"))
