@@ -42,7 +42,7 @@ LOG = logging.getLogger(__name__)
 #: Classes to a shard, and shards at least; links per node, twice as many in the lowest layer.
 SHARD_CLASSES, SHARDS, LINKS = 200_000, 6, 12
 #: Beams while building and at first while searching; queries in lock step.
-BUILD_BEAM, BEAM, BLOCK = 40, 64, 512
+BUILD_BEAM, BEAM, BLOCK = 40, 48, 512
 #: Planted queries of an audit, sampled real ones, and the mean recall that it must show.
 PLANTED, SAMPLED, RECALL = 256, 512, 0.999
 MARGIN = 1e-5  # of single precision
