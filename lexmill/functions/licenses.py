@@ -45,7 +45,7 @@ BY_VERSION = {"4.0": ("CC_BY", "CC_BY_SA"), "3.0": ("CC_BY_3", "CC_BY_SA_3"), "2
 
 
 def parse_license(text: Column, strict: bool = False) -> Column:
-    """Short name of the license that a string means; null, or with ``strict`` an error, where none is known."""
+    """Short name of the license that a string means; null, or with ``strict`` an error, where none is known. The patterns are fixed values."""
     s = F.lower(strip(text))
     found = r"(?:/licenses/)?by(-sa)?/(\d.\d)/?"
     share, version = F.regexp_extract(s, found, 1) != "", F.regexp_extract(s, found, 2)

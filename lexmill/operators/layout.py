@@ -134,7 +134,20 @@ def next_shard(files: DataFrame, file_col: str) -> Column:
     return F.coalesce(F.max(F.regexp_extract(F.element_at(F.split(file_col, "/"), -1), r"^(\d+)_", 1).try_cast("int")) + 1, F.lit(0))
 
 
+#: Rows of a list that one task may number.
+LISTED = 10_000_000
+
+
+def bounded(rows: DataFrame, most: int = LISTED) -> DataFrame:
+    """A list that one task is to order; a longer one is an error."""
+    n = rows.count()
+    if n > most:
+        raise ValueError(f"{n} rows are more than one task should order ({most})")
+    return rows
+
+
 def renumbered(files: DataFrame, stem: str, counter: str) -> DataFrame:
-    """New five-digit numbers by stem and counter. files: one row per file."""
+    """New five-digit numbers by stem and counter. files: one row per file, LISTED at most."""
+    files = bounded(files)
     order = Window.orderBy(stem, counter)
     return files.withColumn("number", F.lpad((F.row_number().over(order) - 1).cast("string"), 5, "0"))

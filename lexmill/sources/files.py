@@ -9,10 +9,11 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.layout import bounded
 from ..session import durable
 
 
@@ -149,10 +150,8 @@ def tex_body(text: Column) -> Column:
 
 
 def page_list(urls: DataFrame, url_col: str = "url", skip: int = 0) -> DataFrame:
-    """Distinct pages of a site map in order, numbered from 0. A site's list is bounded."""
-    from pyspark.sql import Window
-
-    numbered = urls.select(url_col).distinct().withColumn("idx", F.row_number().over(Window.orderBy(url_col)) - 1 - skip)
+    """Distinct pages of a site map in order, numbered from 0. A site's list has layout.LISTED pages at most."""
+    numbered = bounded(urls.select(url_col).distinct()).withColumn("idx", F.row_number().over(Window.orderBy(url_col)) - 1 - skip)
     return numbered.filter(F.col("idx") >= 0)
 
 
