@@ -62,14 +62,17 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 def read_dealt(spark: SparkSession, path: str, *columns: Column) -> DataFrame:
-    """A Parquet table, or the named columns of it; one of up to SMALL_BYTES of files is dealt over the cores, as it may be a single row group.
+    """A Parquet table, or the named columns of it; one of up to SMALL_BYTES of files in fewer parts than cores is dealt over them, as it may be a single row group.
 
     No more than SMALL_BYTES are ever moved for that, whatever the cluster's size; larger tables stay as they lie.
     """
     df = spark.read.parquet(path)
     df = df.select(*columns) if columns else df
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
     size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-    return df.repartition(spark.sparkContext.defaultParallelism) if size <= SMALL_BYTES else df
+    return df.repartition(cores) if size <= SMALL_BYTES else df
 
 
 def ship(spark: SparkSession) -> SparkSession:

@@ -13,6 +13,9 @@ def test_small_tables_are_dealt_over_all_cores(spark, tmp_path, monkeypatch):
     path, cores = str(tmp_path / "t.parquet"), spark.sparkContext.defaultParallelism
     spark.range(100).coalesce(1).write.parquet(path)
     assert read_dealt(spark, path).rdd.getNumPartitions() == cores and read_dealt(spark, path).count() == 100
+    spark.range(100).repartition(cores + 3).write.parquet(str(tmp_path / "many.parquet"))
+    many = read_dealt(spark, str(tmp_path / "many.parquet"))
+    assert "Exchange" not in many._jdf.queryExecution().toString() or many.rdd.getNumPartitions() >= cores
     monkeypatch.setattr(session, "SMALL_BYTES", 10)
     assert "Exchange" not in read_dealt(spark, path)._jdf.queryExecution().toString()
 
