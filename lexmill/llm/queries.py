@@ -9,13 +9,16 @@ from ..session import read_dealt
 from .bpe import bpe_digest
 from .hnsw import near_vectors
 from .media import SIGNATURES, payload_digest
+from .namejoin import name_digest
 from .neardup import near_duplicates
 from .packing import Capacity, pack
 from .pii import pii_digest
 from .sharding import interleave
+from .templates import article_texts
 from .tokens import section_tokens
 from .toxicity import toxicity_digest
 from .urlrules import UrlRule, judge_urls
+from .whitening import whiten
 
 #: Capacities that all bind. A whole sequence in one piece would cost 1,024 squared, so that pieces have 800 tokens at most.
 BOUNDED = Capacity(tokens=1024, documents=6, cost=800 * 800, weights=(1.0, 0.5, 0.5), piece=800)
@@ -91,7 +94,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), Capacity())
 
 
-QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op8_hnsw, op9_pii, op10_packing)}
+def op11_name_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return name_digest(table(spark, sf_dir, "clients"), table(spark, sf_dir, "vendors"), most=1)
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return article_texts(table(spark, sf_dir, "pages"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations are long here; one beyond that is null."""
+    return whiten(table(spark, sf_dir, "embeddings"), components=8).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+QUERIES = {f.__name__: f for f in (op1_media, op2_minhash, op3_sharding, op4_toxicity, op5_bpe, op6_url_filters, op7_token_counts, op8_hnsw, op9_pii, op10_packing, op11_name_join, op12_html_extraction, op13_whitening)}
 
 #: Queries beside the ten, one per operator at most.
 BESIDE = {f.__name__: f for f in (media_embedded, packing_bounded)}
@@ -121,6 +137,16 @@ def _magic() -> list[str]:
 #: Header of a binary grey or colour map. It and PDF are the only formats of the list that UTF-8 text without NUL characters can hold (up to 16 MB); the SQL of op1 takes none to lie inside another.
 PNM = r"P[56][ \t\r\n]+([0-9]{1,10})[ \t\r\n]+([0-9]{1,10})[ \t\r\n]+([0-9]{1,10})[ \t\r\n]"
 
+def _plain(name: str) -> str:
+    """A to Z in lower case, without white space."""
+    return f"translate(regexp_replace({name}, '[\\x20\\x09-\\x0D]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _without(name: str) -> str:
+    """All that one deletion leaves."""
+    return f"list_transform(range(1, length({name}) + 1), lambda k: substr({name}, 1, k - 1) || substr({name}, k + 1))"
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_media": f"""
 WITH remainders AS ({CRC_TABLE}), raw AS (
@@ -190,6 +216,36 @@ WITH cut AS (
   FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
 )
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM hits WHERE rn = 1
+""",
+    "op11_name_join": f"""
+WITH remainders AS ({CRC_TABLE}), hashed AS (
+  SELECT vendor_id, name, length(name) AS n, {_crc("hex(encode(vendor_id::VARCHAR))")} AS h FROM vendors, remainders
+), misspelt AS (
+  SELECT vendor_id, CASE WHEN h % 2 = 0 AND n >= 2
+    THEN substr(name, 1, h % greatest(n - 1, 1)) || substr(name, h % greatest(n - 1, 1) + 2, 1) || substr(name, h % greatest(n - 1, 1) + 1, 1) || substr(name, h % greatest(n - 1, 1) + 3) ELSE name END AS name FROM hashed
+), own AS (
+  SELECT vendor_id, {_plain("name")} AS v FROM misspelt WHERE {_plain("name")} <> ''
+), others AS (
+  SELECT client_id, {_crc("hex(encode(client_id::VARCHAR))")} AS crc, {_plain("name")} AS c FROM clients, remainders WHERE {_plain("name")} <> ''
+), pairs AS (
+  SELECT v, c, CASE WHEN v = c THEN 0 ELSE 1 END AS distance FROM (SELECT DISTINCT v FROM own) JOIN (SELECT DISTINCT c FROM others) ON abs(length(v) - length(c)) <= 1
+  WHERE v = c
+    OR length(v) = length(c) + 1 AND list_contains({_without("v")}, c) OR length(c) = length(v) + 1 AND list_contains({_without("c")}, v)
+    OR length(v) = length(c) AND (len(list_filter(range(1, length(v) + 1), lambda k: substr(v, k, 1) <> substr(c, k, 1))) = 1
+      OR list_contains(list_transform(range(1, length(v)), lambda k: substr(v, 1, k - 1) || substr(v, k + 1, 1) || substr(v, k, 1) || substr(v, k + 2)), c))
+)
+SELECT vendor_id, distance::INT AS distance, count(*)::BIGINT AS n_clients, min(client_id) AS first_client_id, sum(crc)::BIGINT AS clients_crc
+FROM own JOIN pairs USING (v) JOIN others USING (c) GROUP BY vendor_id, distance
+""",
+    "op12_html_extraction": r"""
+WITH articles AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g') AS a FROM pages
+), plain AS (
+  SELECT page_id, url, list_transform(string_split_regex(a, '</?(p|h1)>'), lambda b: regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(b, '<[^>]*>', '', 'g'), '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g')) AS b FROM articles
+), blocks AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(b, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10) || chr(10)) AS text FROM plain
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM blocks
 """,
     "op8_hnsw": """
 WITH RECURSIVE good AS (
