@@ -69,8 +69,8 @@ _IBAN_LENGTHS = {
     ).split())
     for country in countries.split(".")
 }
-#: Runs of characters that keys are written in, 20 at least, and PEM blocks.
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=.-])(?:[A-Za-z0-9+/_-]++\.){0,2}[A-Za-z0-9+/_-]{16,}+={0,2}")
+#: Runs of characters that keys are written in, 20 at least, and PEM blocks. A run starts after any other character, as in KEY=value and key:"value"; = is part of it at its end only.
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]++\.){0,2}[A-Za-z0-9+/_-]{16,}+={0,2}")
 _PEM = re.compile(r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----")
 #: Fixed values of the formats.
 _HOSTED = re.compile(r"(?:gh[opsur]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})")
@@ -80,6 +80,8 @@ BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 SECRET_SIZES, HEX_BITS, OTHER_BITS = (20, 200), 2.8, 3.6
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _WORDS = {k: re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, v)) + r")(?!\w)", re.I) for k, v in CONTEXT.items()}
+#: Names of variables are words with _ between them.
+_WORDS["secret"] = re.compile(r"(?<![^\W_])(?:" + "|".join(map(re.escape, CONTEXT["secret"])) + r")(?![^\W_])", re.I)
 
 
 def luhn(digits: str) -> bool:
@@ -202,7 +204,9 @@ def secrets(text: str) -> Iterator[tuple[int, int, float]]:
             yield start, end, FORMED
             continue
         start, run = start + run.rfind(".") + 1, run[run.rfind(".") + 1 :]
-        if random_looking(run):
+        if hosted(run) or _CLOUD.fullmatch(run):
+            yield start, end, FORMED
+        elif random_looking(run):
             yield start, end, SCORES["secret"]
 
 

@@ -17,6 +17,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,6 +32,8 @@ from .bpe import byte_alphabet
 #: Fixed value: the pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RULES = ("first", "last", "most")
+#: White space from so many characters on is encoded on its own: the pattern backtracks over it, on a stack of bounded size. Unicode's white space.
+_LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
 class ByteBpe:
@@ -43,12 +46,25 @@ class ByteBpe:
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ranks = {bytes(bytes_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         self.encoding = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+        self.one_piece = tiktoken.Encoding(f"{path}:piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        self.special = tuple(special)
         self.lengths = np.zeros(1 + max([*ranks.values(), *special.values()]), np.int64)
         for token, i in [*ranks.items(), *((s.encode(), i) for s, i in special.items())]:
             self.lengths[i] = len(token)
 
     def ids(self, text: str) -> np.ndarray:
-        return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=()).astype(np.uint32, copy=False)
+        """Of the whole text. Long white space is one piece of the pattern, but for its last character where a word follows."""
+        parts, done = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            last = run.end() == len(text) or text.startswith(self.special, run.end())
+            end = run.end() if last else run.end() - 1
+            parts += [self._short(text[done : run.start()]), self.one_piece.encode_to_numpy(text[run.start() : end], disallowed_special=())]
+            done = end
+        parts.append(self._short(text[done:]))
+        return np.concatenate(parts).astype(np.uint32, copy=False)
+
+    def _short(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
 
 @lru_cache(maxsize=2)

@@ -300,14 +300,14 @@ def test_queries_are_registered():
 
     names = set(entry.queries())
     assert set(QUERIES) <= names and "pipeline" in names and set(ORACLE_SQL) <= set(QUERIES)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_sql_of_the_queries(spark, sf_dir):
     import duckdb
 
     c = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "clients", "vendors"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     for name, sql in ORACLE_SQL.items():
         mine, other = QUERIES[name](spark, sf_dir), c.sql(sql)
