@@ -22,7 +22,10 @@ def let(value: Column, body) -> Column:
 
 
 def strip(text: Column, space: str = SPACE) -> Column:
-    return F.regexp_replace(text, f"^{space}+|{space}+$", "")
+    """Without white space at both ends, read from the ends; by a pattern that starts once in every run, where it isn't ASCII's."""
+    if space == SPACE:
+        return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    return F.regexp_replace(text, f"^(?:{space})++|(?<!{space})(?:{space})++$", "")
 
 
 def words(text: Column, space: str = SPACE) -> Column:
@@ -71,7 +74,7 @@ def without_table_lines(text: Column) -> Column:
 
 def without_leading_list(text: Column) -> Column:
     """Drop the run of list items that the text starts with."""
-    return F.regexp_replace(text, r"^(- [^\n]*(\n|$))+", "")
+    return F.regexp_replace(text, r"^(?:- [^\n]*+(?:\n|$))++", "")
 
 
 def reflow(text: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 import pyarrow as pa
@@ -67,8 +68,59 @@ PII = {
     "PHONE_NUMBER": r"\+?(?:\([0-9]{3}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}",
     "IP_ADDRESS": r"(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])",
 }
-for _name, _pattern in PII.items():
-    register(f"pii_{_name}", lambda t, own=_pattern: S.of_pattern(t, own))
+for _name in ("PHONE_NUMBER", "IP_ADDRESS"):
+    register(f"pii_{_name}", lambda t, own=PII[_name]: S.of_pattern(t, own))
+
+_LOCAL = re.compile(r"[A-Za-z0-9._%+\-]+")
+_LABELS = re.compile(r"[A-Za-z0-9\-]++(?:\.[A-Za-z0-9\-]++)*+")
+_LAST_LABEL = re.compile(r"[A-Za-z]{2,}")
+
+
+def email_spans(text: str) -> list[tuple[int, int]]:
+    """Matches of the pattern, found from each @ outwards, so that every character is read a few times however long its run is."""
+    found: list[tuple[int, int]] = []
+    done, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > done and _LOCAL.match(text, start - 1, start):
+            start -= 1
+        labels = _LABELS.match(text, at + 1) if start < at else None
+        if labels:
+            # the last label that starts with two letters ends the address
+            dot = text.rfind(".", at, labels.end())
+            while dot > at and not _LAST_LABEL.match(text, dot + 1, labels.end()):
+                dot = text.rfind(".", at, dot)
+            if dot > at:
+                done = _LAST_LABEL.match(text, dot + 1, labels.end()).end()
+                found.append((start, done))
+        at = text.find("@", max(at + 1, done))
+    return found
+
+
+def emails(text: Column) -> Column:
+    """E-mail addresses; only texts with an @ leave the JVM."""
+
+    @F.pandas_udf(S.SPANS)
+    def spans(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"start": a, "end": z, "score": 1.0} for a, z in email_spans(t)] if t else [])
+
+    return F.coalesce(spans(F.when(F.contains(text, F.lit("@")), text)), S.no_spans())
+
+
+register("pii_EMAIL_ADDRESS", emails)
+
+
+@contextmanager
+def registered(**own: Tagger) -> Iterator[None]:
+    """Taggers that hold while plans are made inside, and no longer: one query's models are none of another's."""
+    before = dict(_REGISTRY)
+    try:
+        for name, f in own.items():
+            register(name, f)
+        yield
+    finally:
+        _REGISTRY.clear()
+        _REGISTRY.update(before)
 
 
 def register_document_model(name: str, score: Callable[[str], float]) -> None:
@@ -84,7 +136,7 @@ def register_document_model(name: str, score: Callable[[str], float]) -> None:
     register(name, run)
 
 
-def register_sentence_model(name: str, score: Callable[[str], float], ends: str = r"[^.!?\n]+[.!?\n]*") -> None:
+def sentence_model(score: Callable[[str], float], ends: str = r"[^.!?\n]+[.!?\n]*") -> Tagger:
     """A model of sentences (toxic, unsafe) as a tagger: a span for each with its score."""
     sentence = re.compile(ends)
 
@@ -95,7 +147,11 @@ def register_sentence_model(name: str, score: Callable[[str], float], ends: str
 
         return scored(text)
 
-    register(name, run)
+    return run
+
+
+def register_sentence_model(name: str, score: Callable[[str], float], ends: str = r"[^.!?\n]+[.!?\n]*") -> None:
+    register(name, sentence_model(score, ends))
 
 
 def code_stats(text: Column) -> Column:

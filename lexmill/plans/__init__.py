@@ -35,4 +35,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.tag_filter_size(spark, sf_dir)
 
 
-from . import corpus, inputs, scalars, streams, tables  # noqa: E402, F401  the modules register their queries
+from . import corpus, dedupes, inputs, scalars, streams, tables  # noqa: E402, F401  the modules register their queries

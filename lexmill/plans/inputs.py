@@ -364,9 +364,9 @@ SENTENCE = r"[^.!?\n]+[.!?\n]*"
 @query("SELECT doc_id, coalesce(array_to_string(list_filter(regexp_extract_all(text, '^[.!?\\n]+|[^.!?\\n]+[.!?\\n]*'), lambda x: NOT contains(x, 'the')), ''), '') AS text FROM documents")
 def toxic_sentences_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentences that a model scores are cut; this one's word is common, so that most texts lose some."""
-    taggers.register_sentence_model("toxic_sentence", lambda s: float("the" in s), SENTENCE)
-    taggers.register_sentence_model("nsfw_sentence", lambda s: 0.0, SENTENCE)
-    return mix(read(spark, sf_dir, "documents"), recipe("q", duplicate=False, toxic=True)).select("doc_id", "text")
+    word, none = taggers.sentence_model(lambda s: float("the" in s), SENTENCE), taggers.sentence_model(lambda s: 0.0, SENTENCE)
+    with taggers.registered(toxic_sentence=word, nsfw_sentence=none):
+        return mix(read(spark, sf_dir, "documents"), recipe("q", duplicate=False, toxic=True)).select("doc_id", "text")
 
 
 @query("""WITH p AS (SELECT doc_id, unnest(regexp_extract_all(text, '([^\\n]*\\n|[^\\n]+)')) AS line, generate_subscripts(regexp_extract_all(text, '([^\\n]*\\n|[^\\n]+)'), 1) AS k FROM documents)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import query
+from .corpus import WORDS
 from .. import streaming
 from ..operators.mix import Replacement, recipe
 from ..session import scratch
+from ..streaming.ngrams import ngram_overlap_stream
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,3 +53,23 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream(spark, sf_dir).withColumn("time", F.timestamp_seconds(F.col("doc_id") * 60))
     sizes = streaming.size_by_window(docs, "time", "lang", "1 hour", "1 hour")
     return written(sizes.select(F.unix_timestamp("window.start").alias("start"), "lang", "documents", "characters"), spark)
+
+
+@query(f"""WITH w AS (SELECT doc_id, {WORDS} AS ws FROM documents), g AS (SELECT doc_id, array_to_string(ws[k:k + 9], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 8)) AS k FROM w WHERE len(ws) >= 10)),
+  f AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY gram) < doc_id AS seen FROM g)
+  SELECT doc_id, count(*) AS n_ngrams, round(avg(seen::INT), 9) AS overlap FROM f GROUP BY doc_id""")
+def stream_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in order of their ids, in four batches; the stream is stopped after two of them and started again."""
+    source, target, state = scratch(spark, "batches"), scratch(spark, "overlap"), scratch(spark, "state")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    cuts = [int(x) for x in docs.agg(F.percentile("doc_id", [0.25, 0.5, 0.75])).first()[0]]
+    bounds = [None, *cuts, None]
+    for half in ((0, 1), (2, 3)):
+        for k in half:
+            low, high = bounds[k], bounds[k + 1]
+            part = docs.filter((F.lit(low is None) | (F.col("doc_id") > low)) & (F.lit(high is None) | (F.col("doc_id") <= high)))
+            part.coalesce(1).write.parquet(f"{source}/part={k}")
+        rows = streaming.watch(spark, f"{source}/*", docs.schema, "parquet", files_per_trigger=1)
+        ngram_overlap_stream(rows, target, state, 10, buckets=32).awaitTermination()
+    found = spark.read.schema("doc_id long, n_ngrams long, overlap double").parquet(target)
+    return found.select("doc_id", "n_ngrams", F.round("overlap", 9).alias("overlap"))
