@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import SPACE, word_count
-from .layout import cell_of, even_bounds
+from .layout import cell_of, even_bounds, numbered, running_size
 
 
 def size_stats(docs: DataFrame, by: list[str] | None = None, text_col: str = "text", file_col: str | None = None, space: str = SPACE) -> DataFrame:
@@ -53,8 +53,10 @@ def item_key(uri: Column, digits: int = 6) -> Column:
 
 
 def licensed_items(index: DataFrame, licenses: list[str]) -> DataFrame:
-    """Keys of the items under the given licenses. index: license, uris."""
-    return index.filter(F.col("license").isin(licenses)).select(F.explode("uris").alias("uri")).select(item_key(F.col("uri")).alias("item")).distinct()
+    """Keys of the items under the given licenses. index: license and uri, a row each, or uris as lists where it is read so."""
+    kept = index.filter(F.col("license").isin(licenses))
+    uris = kept.select(F.explode("uris").alias("uri")) if "uris" in index.columns else kept.select("uri")
+    return uris.select(item_key(F.col("uri")).alias("item")).distinct()
 
 
 def upsert(index: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
@@ -134,9 +136,8 @@ def largest_edition(pages: DataFrame, title: str, edition: str, content: str, or
 
 
 def within_budget(batches: DataFrame, order: str, size: str, budget: int) -> DataFrame:
-    """Batches up to and with the one that passes the budget. batches: one row each, a bounded number."""
-    before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return batches.withColumn("_before", F.coalesce(F.sum(size).over(before), F.lit(0))).filter(F.col("_before") <= budget).drop("_before")
+    """Batches up to and with the one that passes the budget, in the order of a number. Running sizes are made in blocks, no task sees all batches."""
+    return running_size(batches, order, F.col(size), "size_before_this").filter(F.col("size_before_this") <= budget).select(*batches.columns)
 
 
 def latest_revision(revisions: Column, every_author: bool = True) -> Column:
@@ -270,5 +271,5 @@ def patent_text(df: DataFrame) -> DataFrame:
 
 
 def rows_of(df: DataFrame, worker: int, workers: int, order: str) -> DataFrame:
-    """Every ``workers``-th row in an order, for a fetcher that shares the work. For lists of a bounded length."""
-    return df.withColumn("_n", F.row_number().over(Window.orderBy(order)) - 1).filter(F.pmod("_n", F.lit(workers)) == worker).drop("_n")
+    """Every ``workers``-th row in an order, for a fetcher that shares the work."""
+    return numbered(df, [order], "place_of_row").filter(F.pmod("place_of_row", F.lit(workers)) == worker).select(*df.columns)

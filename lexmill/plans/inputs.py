@@ -97,10 +97,23 @@ def texts_with_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT doc_id, text, text AS found FROM documents")
 def decoded_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts in UTF-8, or in Latin-1 where the id is odd, by fallback and by detection."""
+    """Texts in UTF-8, or in Latin-1 where the id is odd, by fallback; and in one of four encodings, by detection."""
     raw = F.when(F.col("doc_id") % 2 == 1, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
-    docs = read(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"))
-    return docs.select("doc_id", files.decoded(F.col("raw"), "ISO-8859-1").alias("text"), files.detected(F.col("raw")).alias("found"))
+    other = F.element_at(F.array(F.encode("text", "UTF-8"), F.encode("text", "ISO-8859-1"), F.encode("text", "UTF-16"), F.encode("text", "UTF-16LE")), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", raw.alias("raw"), other.alias("other"))
+    return docs.select("doc_id", files.decoded(F.col("raw"), "ISO-8859-1").alias("text"), files.detected(F.col("other")).alias("found"))
+
+
+@query("""SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS line_number, doc_id::VARCHAR AS id, regexp_replace(text, '[0-9]', '#', 'g') AS text, NOT regexp_matches(text, '[0-9]') AS unchanged FROM documents""")
+def line_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of each source, read back with the file and line that every row came from; digits are masked, and texts without any marked."""
+    path = scratch(spark, "origin")
+    line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"), "text", "source"))
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("folder"), line.alias("value"))
+    rows.repartition("folder").sortWithinPartitions("folder", "doc_id").select("value", "folder").write.partitionBy("folder").option("compression", "gzip").text(path)
+    found = D.read_with_origin(spark, f"{path}/*/*.gz")
+    masked = D.with_text(found, F.regexp_replace("text", "[0-9]", "#"))
+    return masked.select(F.regexp_extract("file", "folder=([^/]+)/", 1).alias("source"), "line_number", "id", "text", "unchanged")
 
 
 @query("SELECT n_nationkey, n_name FROM nation")

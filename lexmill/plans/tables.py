@@ -47,7 +47,7 @@ def anti_join_skip_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT DISTINCT CASE WHEN length(doc_id::VARCHAR) < 6 THEN lpad(doc_id::VARCHAR, 6, '0') ELSE doc_id::VARCHAR END AS item FROM documents WHERE lang IN ('en', 'fr')")
 def licensed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     uris = read(spark, sf_dir, "documents").select(F.col("lang").alias("license"), F.concat(F.lit("http://x/item/"), F.col("doc_id").cast("string")).alias("uri"))
-    return R.licensed_items(R.listed_by(uris, "license", "uri"), ["en", "fr"])
+    return R.licensed_items(uris, ["en", "fr"])
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'new' ELSE source END AS file FROM documents")
@@ -192,10 +192,13 @@ def id_to_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.shard_of_ids(docs, "doc_id", "file")
 
 
-@query("SELECT (max(s) + 1)::INT AS next, round(avg(n), 6) AS mean FROM (SELECT doc_id // 100 AS s, count(*) OVER (PARTITION BY doc_id // 100) AS n FROM documents)")
+@query("""WITH f AS (SELECT DISTINCT doc_id // 100 AS shard, source FROM documents), n AS (SELECT shard, count(*) AS files FROM f GROUP BY shard)
+  SELECT (SELECT max(doc_id // 100) + 1 FROM documents)::INT AS next, (SELECT round(avg(files), 6) FROM n) AS mean""")
 def next_shard_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shards = read(spark, sf_dir, "documents").groupBy(layout.shard_name(F.expr("doc_id div 100"), "a.jsonl.gz").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-    return shards.agg(layout.next_shard(shards, "file").alias("next"), F.round(F.sum(F.col("n") * F.col("n")) / F.sum("n"), 6).alias("mean"))
+    """The next free number, and how many source files went into a shard on average."""
+    docs = read(spark, sf_dir, "documents").select(layout.shard_name(F.expr("doc_id div 100"), "a.jsonl.gz").alias("file"), "source")
+    per_shard = docs.distinct().groupBy("file").agg(F.count(F.lit(1)).alias("files"))
+    return per_shard.agg(layout.next_shard(per_shard, "file").alias("next"), F.round(F.avg("files"), 6).alias("mean"))
 
 
 @query("SELECT source, lpad((row_number() OVER (ORDER BY lang, source) - 1)::VARCHAR, 5, '0') AS number, lang FROM (SELECT DISTINCT source, lang FROM documents)")

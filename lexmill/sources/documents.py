@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,33 @@ def bad_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl.gz") -> Da
     return rows.filter(F.try_parse_json("line").isNull() | (F.trim("line") == "null"))
 
 
+def read_lines(spark: SparkSession, path: str, pattern: str = "*.jsonl.gz") -> DataFrame:
+    """Lines of files with where they come from: file, line_number (from 0) and line; bad and blank ones count as well.
+
+    A file is read in splits. Lines are numbered within each by the order in which
+    they are read, and raised by the counts of the file's splits before it: a row per
+    split, joined by split.
+    """
+    where = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")]
+    rows = spark.read.text(input_path(spark, path, pattern)).select(*where, F.monotonically_increasing_id().alias("read"), F.col("value").alias("line"))
+    splits = rows.groupBy("file", "split").agg(F.min("read").alias("first"), F.count(F.lit(1)).alias("many"))
+    before = F.coalesce(F.sum("many").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    raised = splits.select("file", "split", (before - F.col("first")).alias("raise"))
+    return rows.join(raised, ["file", "split"]).select("file", (F.col("read") + F.col("raise")).alias("line_number"), "line")
+
+
+def read_with_origin(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT, pattern: str = "*.jsonl.gz") -> DataFrame:
+    """As :func:`read_documents`, with file and line_number of each row."""
+    parsed = read_lines(spark, path, pattern).filter(F.try_parse_json("line").isNotNull() & (F.trim("line") != "null"))
+    return parsed.select(F.from_json("line", schema).alias("row"), "file", "line_number").select("row.*", "file", "line_number")
+
+
+def with_text(docs: DataFrame, text: Column, text_col: str = "text", out: str = "unchanged") -> DataFrame:
+    """Give rows a new text, and mark those whose text it leaves as it was: a transform that changes nothing is likely not the one that was meant."""
+    both = docs.withColumn(out, text.eqNullSafe(F.col(text_col))).withColumn(text_col, text)
+    return both.select(*[c for c in docs.columns if c != out], out)
+
+
 def write_documents(docs: DataFrame, path: str, name: str, order: str | None = None, shard_bytes: int = GIGABYTE, overwrite: bool = False) -> None:
     """Write shards of some ``shard_bytes`` of JSON as gzip, a folder for each shard's name.
 

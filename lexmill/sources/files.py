@@ -9,11 +9,12 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.layout import bounded
+from ..functions.encodings import detected  # noqa: F401  beside the fallbacks of decoded
+from ..operators.layout import numbered
 from ..session import durable
 
 
@@ -51,31 +52,6 @@ def decoded(content: Column, *fallbacks: str) -> Column:
     return F.coalesce(*texts)
 
 
-def detected(content: Column) -> Column:
-    """Bytes as text by UTF-8, then Windows-1252, then what a detector says; null if none fits."""
-
-    @F.pandas_udf("string")
-    def run(parts: pd.Series) -> pd.Series:
-        def read(raw: bytes | None) -> str | None:
-            if raw is None:
-                return None
-            for name in ("utf-8", "windows-1252"):
-                try:
-                    return bytes(raw).decode(name)
-                except UnicodeDecodeError:
-                    continue
-            try:
-                from charset_normalizer import from_bytes
-            except ImportError:
-                return None
-            best = from_bytes(bytes(raw)).best()
-            return str(best) if best else None
-
-        return parts.map(read)
-
-    return run(content)
-
-
 def read_binary(spark: SparkSession, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").load(glob).select(F.col("path").alias("file"), "content")
 
@@ -150,9 +126,9 @@ def tex_body(text: Column) -> Column:
 
 
 def page_list(urls: DataFrame, url_col: str = "url", skip: int = 0) -> DataFrame:
-    """Distinct pages of a site map in order, numbered from 0. A site's list has layout.LISTED pages at most."""
-    numbered = bounded(urls.select(url_col).distinct()).withColumn("idx", F.row_number().over(Window.orderBy(url_col)) - 1 - skip)
-    return numbered.filter(F.col("idx") >= 0)
+    """Distinct pages of a site map in order, numbered from 0 after those to skip."""
+    listed = numbered(urls.select(url_col).distinct(), [url_col], "idx").withColumn("idx", (F.col("idx") - skip).cast("int"))
+    return listed.filter(F.col("idx") >= 0)
 
 
 def crawl(frontier: DataFrame, links: DataFrame, most: int | None = None) -> DataFrame:
