@@ -7,9 +7,10 @@ corrects the declared type; hits behind it are embedded media, which can be
 carved out. Spans inside a longer accepted one are its own parts and dropped.
 
 Validators look terminators up in lists that are made once per payload, and
-remember the places from which a walk has failed, so that a payload full of
-headers costs no more than a few passes; only gzip streams that never end are
-read again from each of their headers.
+remember the places from which a walk has failed, or where it leads, so that walks
+that meet cost no more than one. What is still read again from each header is a
+compressed stream (gzip) and a PNG chunk whose header lies on no other's way: their
+checksums tell only at their end.
 
 Defined cases: null content has no type and nothing embedded; empty content
 likewise, and both keep the declared type; a declared type is kept where the
@@ -44,6 +45,7 @@ class Payload(bytes):
     def __init__(self, *_) -> None:
         self.places: dict[bytes, list[int]] = {}
         self.failed: dict[str, set[int]] = {}
+        self.found: dict[str, object] = {}
 
     def all(self, mark: bytes) -> list[int]:
         """The offsets of a mark that can't overlap itself, in order; found once."""
@@ -60,17 +62,20 @@ def _u(fmt: str, data: bytes, at: int) -> int:
     return struct.unpack_from(fmt, data, at)[0]
 
 
-def _png(d: bytes, at: int) -> int:
-    i = at + 8
-    first = True
-    while i + 12 <= len(d):
+def _png(d: Payload, at: int) -> int:
+    """Chunks with right checksums, from the header to the end."""
+    i, first, bad, path = at + 8, True, d.walked("png"), []
+    while i + 12 <= len(d) and i not in bad:
         n, kind = _u(">I", d, i), d[i + 4 : i + 8]
         end = i + 12 + n
-        if end > len(d) or (first and (kind != b"IHDR" or n != 13)) or zlib.crc32(d[i + 4 : end - 4]) != _u(">I", d, end - 4):
-            return 0
+        if not first:
+            path.append(i)
+        if end > len(d) or (first and (kind != b"IHDR" or n != 13)) or zlib.crc32(memoryview(d)[i + 4 : end - 4]) != _u(">I", d, end - 4):
+            break
         if kind == b"IEND":
             return end - at
         i, first = end, False
+    bad.update(path)
     return 0
 
 
@@ -104,33 +109,41 @@ def _gif(d: Payload, at: int) -> int:
     return 0
 
 
-def _jpeg(d: bytes, at: int) -> int:
-    i = at + 2
-    while i + 4 <= len(d) and d[i] == 0xFF:
+def _jpeg(d: Payload, at: int) -> int:
+    """Segments by their lengths, and scans up to the next marker, to the end mark."""
+    bad, path, i = d.walked("jpeg"), [], at + 2
+    while i + 4 <= len(d) and d[i] == 0xFF and i not in bad:
+        path.append(i)
         kind = d[i + 1]
         if kind == 0xFF:
             i += 1
             continue
         if not 0xC0 <= kind <= 0xFE or 0xD0 <= kind <= 0xD8:
-            return 0
+            break
         n = _u(">H", d, i + 2)
         if n < 2:
-            return 0
+            break
         i += 2 + n
         if kind == 0xDA:
-            while True:
-                i = d.find(b"\xff", i)
-                if i < 0 or i + 1 >= len(d):
-                    return 0
-                if d[i + 1] == 0xD9:
-                    return i + 2 - at
-                if d[i + 1] == 0 or 0xD0 <= d[i + 1] <= 0xD7:
-                    i += 2
-                else:
-                    break
+            end, i = _scan_end(d, i)
+            if end:
+                return end - at
+    bad.update(path)
     return 0
 
 
+def _scan_end(d: Payload, i: int) -> tuple[int, int]:
+    """From within a scan: the end of the file, or 0 and the next marker, or 0 and the payload's end."""
+    if "jpeg marks" not in d.found:
+        # marks in scans are those that no stuffing or restart follows
+        d.found["jpeg marks"] = [m.start() for m in re.finditer(rb"\xff(?=[\x01-\xcf\xd8-\xff])", d)]
+    marks = d.found["jpeg marks"]
+    k = bisect_left(marks, i)
+    if k == len(marks):
+        return 0, len(d)
+    return (marks[k] + 2, marks[k]) if d[marks[k] + 1] == 0xD9 else (0, marks[k])
+
+
 def _bmp(d: bytes, at: int) -> int:
     if at + 30 > len(d):
         return 0
@@ -229,33 +242,57 @@ def _ogg(d: Payload, at: int) -> int:
     return 0
 
 
-def _flac(d: bytes, at: int) -> int:
+def _flac(d: Payload, at: int) -> int:
     """Metadata blocks; the frames after them run to the end."""
-    i, first = at + 4, True
-    while i + 4 <= len(d):
+    i, first, bad, path = at + 4, True, d.walked("flac"), []
+    while i + 4 <= len(d) and i not in bad:
         kind, n = d[i] & 0x7F, int.from_bytes(d[i + 1 : i + 4], "big")
+        if not first:
+            path.append(i)
         if (first and (kind, n) != (0, 34)) or i + 4 + n > len(d):
-            return 0
+            break
         if d[i] & 0x80:
-            return len(d) - at if i + 4 + n == len(d) or d[i + 4 + n] == 0xFF else 0
+            if i + 4 + n == len(d) or d[i + 4 + n] == 0xFF:
+                return len(d) - at
+            break
         i, first = i + 4 + n, False
+    bad.update(path)
     return 0
 
 
-def _boxes(d: bytes, at: int) -> int:
-    """ISO boxes from the one whose kind is at at + 4."""
-    i, kinds = at, []
-    while i + 8 <= len(d):
-        n, kind = _u(">I", d, i), d[i + 4 : i + 8]
-        if n == 1 and i + 16 <= len(d):
-            n = _u(">Q", d, i + 8)
-        if n < 8 or i + n > len(d) or not kind.isalnum():
-            break
-        if kind == b"ftyp" and kinds:
+def _box(d: Payload, i: int) -> tuple[int, bytes]:
+    """Length and kind of a box; no length where there is none."""
+    if i + 8 > len(d):
+        return 0, b""
+    n, kind = _u(">I", d, i), d[i + 4 : i + 8]
+    if n == 1 and i + 16 <= len(d):
+        n = _u(">Q", d, i + 8)
+    return (n, kind) if n >= 8 and i + n <= len(d) and kind.isalnum() else (0, b"")
+
+
+_MEDIA_BOXES = frozenset((b"moov", b"moof", b"mdat", b"meta"))
+
+
+def _boxes(d: Payload, at: int) -> int:
+    """ISO boxes from the one whose kind is at at + 4, up to the next file's first."""
+    known: dict[int, tuple[int, bool]] = d.found.setdefault("boxes", {})
+    n, kind = _box(d, at)
+    if not n:
+        return 0
+    # where the boxes behind it end, and whether there is a media box among them
+    path, i = [], at + n
+    while i not in known:
+        more, own = _box(d, i)
+        if not more or own == b"ftyp":
+            known[i] = (i, False)
             break
-        kinds.append(kind)
-        i += n
-    return i - at if len(kinds) > 1 and {b"moov", b"moof", b"mdat", b"meta"} & set(kinds) else 0
+        path.append((i, own in _MEDIA_BOXES))
+        i += more
+    end, media = known[i]
+    for i, own in reversed(path):
+        media = media or own
+        known[i] = (end, media)
+    return end - at if end > at + n and (media or kind in _MEDIA_BOXES) else 0
 
 
 def _pnm(d: bytes, at: int) -> int:
@@ -427,9 +464,10 @@ def payload_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     media_type and corrected come from the comparison of the declared type with
     what was found. n_magic counts the places in the payload where a magic
     number proposes a file, n_embedded the media that validators confirm there,
-    and embedded names them (type:offset:length).
+    and embedded names them (type:offset:length); carved has the SHA-256 of each,
+    cut from the payload.
     """
-    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, media_type string, corrected boolean, n_magic long, n_embedded long, embedded string, feature string"
+    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, media_type string, corrected boolean, n_magic long, n_embedded long, embedded string, carved string, feature string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = automaton()
@@ -446,12 +484,13 @@ def payload_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 hits = proposals(payload, machine)
                 inner = sniff(payload, machine, hits)
                 named = ",".join(f"{t}:{a}:{n}" for t, a, n in inner)
-                rows.append((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-PAD:]), len(stored), hashlib.sha256(stored).hexdigest(), kind, kind != declared, len(hits), len(inner), named, _feature(payload)))
-            columns = list(zip(*rows)) if rows else [()] * 12
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                carved = ",".join(hashlib.sha256(payload[a : a + n]).hexdigest() for _, a, n in inner)
+                rows.append((len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-PAD:]), len(stored), hashlib.sha256(stored).hexdigest(), kind, kind != declared, len(hits), len(inner), named, carved, _feature(payload)))
+            columns = list(zip(*rows)) if rows else [()] * 13
+            kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, t) for c, t in zip(columns, kinds)]],
-                names=[id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "media_type", "corrected", "n_magic", "n_embedded", "embedded", "feature"],
+                names=[id_col, "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "media_type", "corrected", "n_magic", "n_embedded", "embedded", "carved", "feature"],
             )
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)

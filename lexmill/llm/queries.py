@@ -43,12 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return payload_digest(table(spark, sf_dir, "documents")).drop("embedded")
+    return payload_digest(table(spark, sf_dir, "documents")).drop("embedded", "carved")
 
 
 def media_embedded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The media that every stored text holds, by type, offset and length. No SQL can say that, so that it stands beside op1."""
-    return payload_digest(table(spark, sf_dir, "documents")).select("doc_id", "payload_sha256", "n_embedded", "embedded")
+    """The media that every stored text holds, by type, offset, length and the checksum of what is carved. No SQL can say that, so that it stands beside op1."""
+    return payload_digest(table(spark, sf_dir, "documents")).select("doc_id", "payload_sha256", "n_embedded", "embedded", "carved")
 
 
 def packing_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,6 +93,7 @@ def test_embedded_media_are_returned(spark, tmp_path):
     for r in rows_of:  # the spans are where the media stand
         for kind, at, n in (x.split(":") for x in r["embedded"].split(",") if x):
             assert (texts[r["doc_id"]] or "").encode()[int(at) : int(at) + int(n)] == MEDIA[kind]
+        assert [x for x in r["carved"].split(",") if x] == [hashlib.sha256(MEDIA[x.split(":")[0]]).hexdigest() for x in r["embedded"].split(",") if x]
 
 
 def test_magic_and_embedded_media_as_in_sql(spark, tmp_path):
@@ -114,11 +115,16 @@ def test_magic_and_embedded_media_as_in_sql(spark, tmp_path):
     assert mine == other and sum(n for _, n in mine.values()) > 10
 
 
+#: A first chunk with its checksum.
+HEADER = b"\0\0\0\x0dIHDR" + b"\0" * 13 + struct.pack(">I", zlib.crc32(b"IHDR" + b"\0" * 13))
+
+
 def test_payloads_full_of_headers_take_few_passes():
     import time
 
     machine = media.automaton()
-    for part in (b"%PDF-1 ", b"PK\3\4PK\5\6", b"OggS\0\2" + b"\0" * 21, b"GIF89a\1\0\1\0\0\0\0!\xf9\5abcde", b"\xff\xd8\xff\xda\0\2", b"RIFF\0\1\0\0WAVE", b"\0\0\0\x10ftypabcd\0\0\0\0"):
+    for part in (b"%PDF-1 ", b"PK\3\4PK\5\6", b"OggS\0\2" + b"\0" * 21, b"GIF89a\1\0\1\0\0\0\0!\xf9\5abcde", b"\xff\xd8\xff\xda\0\2", b"RIFF\0\1\0\0WAVE", b"\0\0\0\x10ftypabcd\0\0\0\0",
+                 b"\xff\xd8\xff\xe0\0\2", b"\xff\xd8\xff\xe0\0\6ab", b"\xff\xd8\xff\xff", b"\xff\xd8\xff\xda\0\2\xff\0", b"\0\0\0\x0cftypmoov", b"fLaC\0\0\0\x22" + b"\0" * 34, b"\x89PNG\r\n\x1a\n" + HEADER):
         start = time.perf_counter()
         assert media.sniff(part * (1_000_000 // len(part)), machine) == []
         assert time.perf_counter() - start < 10, part
@@ -142,8 +148,10 @@ def brute_sniff(data):
 
 def test_what_validators_remember_changes_nothing():
     rng, machine = random.Random(15), media.automaton()
-    parts = [*MEDIA.values(), b"%PDF-1", b"startxref", b"%%EOF", b"GIF89a\1\0\1\0\0\0\0", b"!\xf9\1a\0", b";", b"OggS\0\2" + b"\0" * 21, b"OggS\0\4" + b"\0" * 21, b"PK\3\4", b"PK\5\6" + b"\0" * 18, b"x", b"\0"]
-    for _ in range(300):
+    parts = [*MEDIA.values(), b"%PDF-1", b"startxref", b"%%EOF", b"GIF89a\1\0\1\0\0\0\0", b"!\xf9\1a\0", b";", b"OggS\0\2" + b"\0" * 21, b"OggS\0\4" + b"\0" * 21, b"PK\3\4", b"PK\5\6" + b"\0" * 18, b"x", b"\0",
+             b"\xff\xd8\xff\xe0\0\4ab", b"\xff\xe0\0\4ab", b"\xff\xda\0\2", b"\xff\xd9", b"\xff\0", b"\xff\xd3", b"\xff\xff", b"\x89PNG\r\n\x1a\n", HEADER, b"\0\0\0\0IEND" + struct.pack(">I", zlib.crc32(b"IEND")),
+             b"\0\0\0\x10ftypisom1234", b"\0\0\0\x08moov", b"\0\0\0\x08free", b"fLaC\0\0\0\x22" + b"\0" * 34, b"\x84\0\0\2ab", b"\4\0\0\2ab", b"\xff\xf8"]
+    for _ in range(600):
         data = b"".join(rng.choice(parts) for _ in range(rng.randint(1, 10)))
         assert media.sniff(data, machine) == brute_sniff(data)
 
