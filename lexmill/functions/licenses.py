@@ -7,22 +7,20 @@ from pyspark.sql import functions as F
 
 from .text import SPACE, let, strip
 
-_BY = "Creative Commons - Attribution - https://creativecommons.org/licenses/by"
-_SA = "Creative Commons - Attribution Share-Alike - https://creativecommons.org/licenses/by-sa"
 #: Names of the licenses that documents may have.
 PERMISSIVE = {
     "PD": "Public Domain",
     "CC0": "Creative Commons Zero - Public Domain - https://creativecommons.org/publicdomain/zero/1.0/",
     "CC_PDM": "Creative Commons Public Domain Mark - https://creativecommons.org/publicdomain/mark/1.0/",
-    "CC_BY": f"{_BY}/4.0/",
-    "CC_BY_3": f"{_BY}/3.0/",
-    "CC_BY_2_5": f"{_BY}/2.5/",
-    "CC_BY_2": f"{_BY}/2.0/",
-    "CC_BY_SA": f"{_SA}/4.0/",
-    "CC_BY_SA_3": f"{_SA}/3.0/",
-    "CC_BY_SA_2_5": f"{_SA}/2.5/",
-    "CC_BY_SA_2_1": f"{_SA}/2.1/",
-    "CC_BY_SA_1": f"{_SA}/1.0/",
+    "CC_BY": "Creative Commons - Attribution - https://creativecommons.org/licenses/by/4.0/",
+    "CC_BY_3": "Creative Commons - Attribution - https://creativecommons.org/licenses/by/3.0/",
+    "CC_BY_2_5": "Creative Commons - Attribution - https://creativecommons.org/licenses/by/2.5/",
+    "CC_BY_2": "Creative Commons - Attribution - https://creativecommons.org/licenses/by/2.0/",
+    "CC_BY_SA": "Creative Commons - Attribution Share-Alike - https://creativecommons.org/licenses/by-sa/4.0/",
+    "CC_BY_SA_3": "Creative Commons - Attribution Share-Alike - https://creativecommons.org/licenses/by-sa/3.0/",
+    "CC_BY_SA_2_5": "Creative Commons - Attribution Share-Alike - https://creativecommons.org/licenses/by-sa/2.5/",
+    "CC_BY_SA_2_1": "Creative Commons - Attribution Share-Alike - https://creativecommons.org/licenses/by-sa/2.1/",
+    "CC_BY_SA_1": "Creative Commons - Attribution Share-Alike - https://creativecommons.org/licenses/by-sa/1.0/",
     "GFDL": "GNU Free Documentation License",
     "APACHE_2": "Apache 2 License - https://www.apache.org/licenses/LICENSE-2.0",
     "MIT": "MIT License",

@@ -22,8 +22,8 @@ from .grams import gram_rows, grams_of_batch, texts_of
 
 def keep_first(df: DataFrame, by: list[str], order: list) -> DataFrame:
     """The first row of each key, one of the null key too. Only keys and order are compared; rows move once."""
-    first = Window.partitionBy(*by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.select(F.struct("*").alias("row"), place.alias("place")).filter("place = 1").select("row.*")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

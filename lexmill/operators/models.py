@@ -1,100 +1,243 @@
-"""Default models of texts: language, quality and the like, by naive Bayes over words and their endings.
-
-What a class says about a feature is counted over all labelled texts, in one
-aggregation. A model keeps the features that most documents have, a number
-that is a parameter and bounds it, so that it fits into every task. It gives
-the probability of each class and can be a tagger for the filters.
+"""Models of texts and sentences: hashed words and runs of bytes, a softmax over classes, fitted by gradients that tasks sum up.
+
+Features are words and runs of 3 and of 5 bytes of the text in lower case, hashed
+into a number of slots that is set beforehand: none is dropped for being rare, and
+a model has one size whatever the corpus. They are made for whole batches in numpy.
+Training keeps every text's slots and weights in a table; each step is one pass over
+it, in which a task adds up its rows' gradients and a tree adds up the tasks', so
+that the driver gets one matrix of classes times slots.
+
+Defined cases: rows without a label are left out, without any there is no model
+(ValueError); null and empty texts have no features, and get the classes' shares;
+texts are read whole; rows that repeat count as often as they are there.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import SPACE, words
+from ..session import durable
 from . import spans as S
-from .taggers import register, register_sentence_model
+from .grams import mixed, texts_of, word_numbers, words_of
+from .taggers import Tagger, register
+
+#: Slots that features are hashed into, lengths of the runs of bytes, and bytes of texts that are read at once.
+SLOTS, RUNS, AT_ONCE = 1 << 16, (3, 5), 1 << 20
+#: Steps of the fit, their length for rows of length one, and what keeps weights small.
+STEPS, RATE, SHRINK = 40, 2.0, 1e-6
+#: Classes that a model may tell apart.
+CLASSES = 1000
+
+
+def _slots(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and slot of every feature."""
+    starts, ends = words_of(data, offsets)
+    texts = [np.searchsorted(offsets, starts, "right") - 1]
+    found = [word_numbers(data, starts, ends)]
+    owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    wide = data.astype(np.uint64)
+    for length in RUNS:
+        many = len(data) - length + 1
+        if many <= 0:
+            continue
+        run = np.full(many, length, np.uint64)
+        for k in range(length):
+            run = run * np.uint64(0x100000001B3) + wide[k : many + k]
+        inside = owner[:many] == owner[length - 1 :]
+        texts.append(owner[:many][inside])
+        found.append(mixed(run[inside]))
+    return np.concatenate(texts), (np.concatenate(found) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _parts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of some AT_ONCE bytes together."""
+    low = 0
+    while low < len(sizes):
+        high = low + max(1, int(np.searchsorted(np.cumsum(sizes[low:]), AT_ONCE, "right")))
+        yield low, high
+        low = high
+
+
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, slot and weight, 1 + log of the count, of the features of a column of strings, in order."""
+    data, offsets = texts_of(pc.utf8_lower(column.cast(pa.string())))
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for low, high in _parts(np.diff(offsets)):
+        if high == low + 1 and offsets[high] - offsets[low] > AT_ONCE:
+            # a long text in pieces, which share the bytes that runs need
+            counts = np.zeros(SLOTS, np.int64)
+            for a in range(offsets[low], offsets[high], AT_ONCE):
+                piece = data[a : min(a + AT_ONCE + max(RUNS) - 1, offsets[high])]
+                counts += np.bincount(_slots(piece, np.array([0, len(piece)]))[1], minlength=SLOTS)
+            slot = np.flatnonzero(counts)
+            out.append((np.full(len(slot), low), slot, counts[slot]))
+        else:
+            text, slot = _slots(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low])
+            key, counts = np.unique(text * SLOTS + slot, return_counts=True)
+            out.append((key // SLOTS + low, key % SLOTS, counts))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    text, slot, counts = (np.concatenate([o[k] for o in out]) for k in range(3))
+    return text, slot, 1 + np.log(counts)
+
+
+def _unit(text: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+    """Weights of rows of length one."""
+    length = np.sqrt(np.bincount(text, weight * weight, rows))
+    return weight / np.maximum(length, 1e-12)[text]
 
-#: Features that a model keeps, documents that a feature must be in, and what every count starts at.
-FEATURES, LEAST, PRIOR = 20_000, 2, 0.5
 
+@dataclass(frozen=True)
+class Model:
+    """Weights of each class by slot, with what every slot's weight is multiplied by, and the classes' own."""
 
-def features(text: Column) -> Column:
-    """Distinct words in lower case, and their last three characters after a hyphen."""
-    own = words(F.lower(F.coalesce(text, F.lit(""))))
-    return F.array_distinct(F.concat(own, F.transform(own, lambda w: F.concat(F.lit("-"), F.right(w, F.lit(3))))))
+    classes: tuple
+    weights: np.ndarray
+    rarity: np.ndarray
+    own: np.ndarray
 
+    def probabilities(self, texts: pa.Array) -> np.ndarray:
+        """A row per text, a column per class."""
+        text, slot, weight = features(texts)
+        value = _unit(text, weight * self.rarity[slot], len(texts))
+        scores = np.stack([np.bincount(text, value * w[slot], len(texts)) for w in self.weights], axis=1) + self.own
+        return _softmax(scores)
 
-def features_of(text: str) -> set[str]:
-    own = {w for w in re.split(f"{SPACE}+", text.lower()) if w}
-    return own | {"-" + w[-3:] for w in own}
 
+def _softmax(scores: np.ndarray) -> np.ndarray:
+    grown = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return grown / grown.sum(axis=1, keepdims=True)
 
-@dataclass(frozen=True)
-class Model:
-    """Log of the share of each class, and of the share of its documents that have a feature."""
 
-    classes: tuple
-    shares: tuple[float, ...]
-    weights: dict[str, tuple[float, ...]]
-
-    def probabilities(self, text: str | None) -> dict:
-        """Of each class; those of the classes' shares for a text without known features."""
-        total = list(self.shares)
-        for feature in features_of(text or ""):
-            for k, x in enumerate(self.weights.get(feature, ())):
-                total[k] += x
-        top = max(total)
-        grown = [math.exp(x - top) for x in total]
-        return {c: x / sum(grown) for c, x in zip(self.classes, grown)}
-
-
-def train(docs: DataFrame, label_col: str, text_col: str = "text", most: int = FEATURES) -> Model:
-    """Count and keep a model. Rows without a label are left out; without any there is no model (ValueError)."""
-    known = docs.filter(F.col(label_col).isNotNull()).select(F.col(label_col).alias("label"), F.col(text_col).alias("text"))
-    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
+def _summed(rows: DataFrame, partial, size: int) -> np.ndarray:
+    """Sum of arrays that partial makes of the batches of rows, over all tasks and in a tree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            total += partial(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sum"])
+
+    parts = rows.mapInArrow(run, "sum binary").rdd.map(lambda r: np.frombuffer(r["sum"]))
+    depth = max(2, math.ceil(math.log(max(2, parts.getNumPartitions()), 8)))
+    return parts.treeAggregate(np.zeros(size), lambda a, b: a + b, lambda a, b: a + b, depth)
+
+
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of the entries of a column of lists."""
+    sizes = np.diff(column.offsets.to_numpy())
+    return np.repeat(np.arange(len(column)), sizes), column.flatten().to_numpy(zero_copy_only=False)
+
+
+def train(docs: DataFrame, label_col: str, text_col: str = "text", steps: int = STEPS, balanced: bool = False) -> Model:
+    """Fit a model of the labelled rows; the classes are the labels in order. balanced: all classes weigh the same, however many rows they have."""
+    known = docs.filter(F.col(label_col).isNotNull()).select(F.col(label_col).alias("label"), F.col(text_col).cast("string").alias("text"))
+    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("label").cast("string")).limit(CLASSES + 1).collect()
+    classes = tuple(r["label"] for r in sizes)
+    if not classes:
         raise ValueError("no labelled rows")
-    classes = tuple(sorted(sizes, key=str))
-    counts = known.select("label", F.explode(features(F.col("text"))).alias("feature")).groupBy("feature").pivot("label", list(classes)).agg(F.count(F.lit(1)))
-    per_class = [F.coalesce(F.col(f"`{c}`"), F.lit(0)) for c in classes]
-    total = sum(per_class[1:], per_class[0])
-    rows = counts.select("feature", F.array(*per_class).alias("counts"), total.alias("total")).filter(F.col("total") >= LEAST).orderBy(F.desc("total"), "feature").limit(most).collect()
-    own = [sizes[c] for c in classes]
-    weights = {r["feature"]: tuple(math.log((n + PRIOR) / (size + 2 * PRIOR)) for n, size in zip(r["counts"], own)) for r in rows}
-    return Model(classes, tuple(math.log(n / sum(own)) for n in own), weights)
+    if len(classes) > CLASSES:
+        raise ValueError(f"more than {CLASSES} classes")
+    at = {c: k for k, c in enumerate(classes)}
+
+    def prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text, slot, weight = features(batch.column(1))
+            ends = pa.array(np.searchsorted(text, np.arange(len(batch) + 1)).astype(np.int32))
+            own = [pa.array([at[x] for x in batch.column(0).to_pylist()], pa.int32()), pa.ListArray.from_arrays(ends, pa.array(slot.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(weight.astype(np.float32)))]
+            yield pa.RecordBatch.from_arrays(own, names=["label", "slots", "weights"])
+
+    rows = durable(known.mapInArrow(prepared, "label int, slots array<int>, weights array<float>"))
+    counted = _summed(rows, lambda b: np.r_[np.bincount(_lists(b.column(1))[1], minlength=SLOTS), len(b)].astype(float), SLOTS + 1)
+    n = counted[-1]
+    rarity = np.log((1 + n) / (1 + counted[:-1])) + 1
+    many = len(classes)
+    share = np.array([n / (many * r["n"]) if balanced else 1.0 for r in sizes])
+
+    def gradient(now: np.ndarray):
+        weights, own = now[:, :SLOTS], now[:, SLOTS]
+
+        def of(batch: pa.RecordBatch) -> np.ndarray:
+            text, slot = _lists(batch.column(1))
+            value = _unit(text, _lists(batch.column(2))[1].astype(float) * rarity[slot], len(batch))
+            wrong = _softmax(np.stack([np.bincount(text, value * w[slot], len(batch)) for w in weights], axis=1) + own)
+            label = batch.column(0).to_numpy()
+            wrong[np.arange(len(batch)), label] -= 1
+            wrong *= share[label][:, None]
+            return np.stack([np.r_[np.bincount(slot, value * wrong[text, c], SLOTS), wrong[:, c].sum()] for c in range(many)]).ravel()
+
+        return of
+
+    # accelerated steps: each from a point beyond the last two
+    now, last = np.zeros((many, SLOTS + 1)), np.zeros((many, SLOTS + 1))
+    for k in range(steps):
+        ahead = now + (k - 1) / (k + 2) * (now - last)
+        slope = _summed(rows, gradient(ahead), many * (SLOTS + 1)).reshape(many, -1) / n
+        last, now = now, ahead - RATE * (slope + SHRINK * ahead)
+    return Model(classes, now[:, :SLOTS].astype(np.float32), rarity.astype(np.float32), now[:, SLOTS])
 
 
 def predicted(docs: DataFrame, model: Model, text_col: str = "text", out: str = "predicted") -> DataFrame:
     """Add the likeliest class as text, the first of equals, and ``<out>_score``, its probability."""
+    names = np.array([str(c) for c in model.classes], dtype=object)
 
     @F.pandas_udf("label string, score double")
     def run(texts: pd.Series) -> pd.DataFrame:
-        best = [max(model.probabilities(t).items(), key=lambda x: x[1]) for t in texts]
-        return pd.DataFrame({"label": [str(c) for c, _ in best], "score": [x for _, x in best]})
+        found = model.probabilities(pa.array(texts, pa.string()))
+        return pd.DataFrame({"label": names[found.argmax(axis=1)] if len(found) else [], "score": found.max(axis=1, initial=0)})
 
     own = run(F.col(text_col))
     return docs.withColumn(out, own["label"]).withColumn(f"{out}_score", own["score"])
 
 
-def register_class(name: str, model: Model, label) -> None:
+def class_tagger(model: Model, label) -> Tagger:
     """The probability of a class as a tagger of whole texts: ``english``, ``quality``."""
+    at = model.classes.index(label)
 
     def run(text: Column) -> Column:
         @F.pandas_udf("double")
         def score(texts: pd.Series) -> pd.Series:
-            return texts.map(lambda t: model.probabilities(t)[label])
+            return pd.Series(model.probabilities(pa.array(texts, pa.string()))[:, at])
 
         return S.whole(text, score(F.coalesce(text, F.lit(""))))
 
-    register(name, run)
+    return run
 
 
-def register_sentences(name: str, model: Model, label) -> None:
+#: A sentence ends at its marks or its line.
+SENTENCE = r"[^.!?\n]+[.!?\n]*"
+
+
+def sentence_tagger(model: Model, label) -> Tagger:
     """The probability of a class as a tagger of sentences: ``toxic_sentence``, ``nsfw_sentence``."""
-    register_sentence_model(name, lambda s: model.probabilities(s)[label])
+    at, sentence = model.classes.index(label), re.compile(SENTENCE)
+
+    def run(text: Column) -> Column:
+        @F.pandas_udf(S.SPANS)
+        def scored(texts: pd.Series) -> pd.Series:
+            found = [[(m.start(), m.end(), m[0]) for m in sentence.finditer(t or "")] for t in texts]
+            scores = iter(model.probabilities(pa.array([x[2] for own in found for x in own], pa.string()))[:, at].tolist())
+            return pd.Series([[{"start": a, "end": z, "score": next(scores)} for a, z, _ in own] for own in found], index=texts.index)
+
+        return scored(text)
+
+    return run
+
+
+def register_class(name: str, model: Model, label) -> None:
+    """For good; :func:`~.taggers.registered` holds for one query."""
+    register(name, class_tagger(model, label))
+
+
+def register_sentences(name: str, model: Model, label) -> None:
+    register(name, sentence_tagger(model, label))

@@ -61,8 +61,10 @@ def licensed_items(index: DataFrame, licenses: list[str]) -> DataFrame:
 
 def upsert(index: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     """Index rows with the value replaced by the new one, and the new keys."""
-    fresh = new.select(key, F.col(value).alias("_new"))
-    return index.join(fresh, key, "full").withColumn(value, F.coalesce("_new", value)).drop("_new")
+    old, fresh = index.select(F.col(key).alias("at"), F.struct("*").alias("row")), new.select(F.col(key).alias("at"), F.col(value).alias("new"))
+    both = old.join(fresh, "at", "full")
+    columns = {key: F.col("at"), value: F.coalesce(F.col("new"), F.col("row")[value])}
+    return both.select(*[columns.get(c, F.col("row")[c]).alias(c) for c in index.columns])
 
 
 def missing_by(split: DataFrame, index: DataFrame, id_col: str, by: str) -> DataFrame:
@@ -149,8 +151,8 @@ def latest_revision(revisions: Column, every_author: bool = True) -> Column:
 
 def best_by_rank(files: DataFrame, key: str, rank: Column, *ties) -> DataFrame:
     """The file of least rank for each key; files without a rank are no choice."""
-    first = Window.partitionBy(key).orderBy("_rank", *ties)
-    return files.withColumn("_rank", rank).filter(F.col("_rank").isNotNull()).withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn", "_rank")
+    place = F.row_number().over(Window.partitionBy(key).orderBy(rank, *ties))
+    return files.filter(rank.isNotNull()).select(F.struct("*").alias("row"), place.alias("place")).filter("place = 1").select("row.*")
 
 
 #: Text types in order of preference.

@@ -189,6 +189,28 @@ def language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.predicted(docs, model).select("doc_id", "lang", "held_out", "predicted", F.round("predicted_score", 6).alias("score"))
 
 
+@query()
+def language_model_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filter for English by a model's score, for this query alone, trained on four fifths of the documents."""
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    model = models.train(docs.filter("not held_out"), "lang")
+    with taggers.registered(english=models.class_tagger(model, "en")):
+        return mix(docs, recipe("q", english=True, duplicate=False)).select("doc_id", "lang", "held_out")
+
+
+@query()
+def toxic_model_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences that a model of toxic documents takes for likely toxic are cut, those of the held out documents too; removed counts their characters."""
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = docs.join(labels, "doc_id").filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    model = models.train(known, "toxic", balanced=True)
+    with taggers.registered(toxic_sentence=models.sentence_tagger(model, 1)):
+        spec = MixSpec("q", replace=(Replacement("toxic_sentence", "", 0.5),))
+        cut = mix(docs, spec).select("doc_id", F.col("text").alias("kept"))
+    return docs.select("doc_id", F.length("text").alias("size")).join(cut, "doc_id").select("doc_id", "kept", (F.col("size") - F.length("kept")).alias("removed"))
+
+
 @query()
 def gopher_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = taggers.gopher_repeats(read(spark, sf_dir, "documents"))

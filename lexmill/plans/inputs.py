@@ -57,6 +57,20 @@ def csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_table(spark, path)
 
 
+@query("SELECT url, html FROM pages WHERE url IS NOT NULL AND html IS NOT NULL")
+def web_archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web archives of all pages, compressed and not, each with records of requests between, read back record by record."""
+    path = scratch(spark, "archives")
+    record = lambda kind, body: F.concat(F.lit(f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Target-URI: "), "url", F.lit("\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body)
+    page = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"), "html")
+    both = F.concat(record("request", F.lit("GET / HTTP/1.1\r\n")), F.lit("\r\n\r\n"), record("response", page))
+    rows = read(spark, sf_dir, "pages").filter("url IS NOT NULL AND html IS NOT NULL").select("page_id", both.alias("value"))
+    for kind, half in (("gzip", 0), ("none", 1)):
+        part = rows.filter(F.pmod("page_id", F.lit(2)) == half).select("value")
+        part.write.option("lineSep", "\r\n\r\n").option("compression", kind).text(f"{path}/{kind}")
+    return I.read_web_archives(spark, f"{path}/*/part-*").select("url", "html")
+
+
 def _xml_files(rows: DataFrame, path: str, root: str) -> None:
     """Eight files with a root each, around rows of markup (value, k)."""
     whole = F.concat(F.lit(f"<{root}>"), F.array_join(F.collect_list("value"), ""), F.lit(f"</{root.split(' ')[0]}>"))
@@ -343,12 +357,12 @@ def duplicate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH w AS (SELECT doc_id, unnest({WORDS.replace("text", "lower(text)")}) AS word FROM documents), c AS (SELECT word, count(*)::DOUBLE AS n FROM w GROUP BY word), t AS (SELECT sum(n) AS total FROM c),
-  s AS (SELECT doc_id, avg(log2(c.n) - log2(total)) AS p FROM w JOIN c USING (word) CROSS JOIN t GROUP BY doc_id) SELECT d.doc_id FROM documents d LEFT JOIN s USING (doc_id) WHERE coalesce(s.p, 0) > -9""")
+  s AS (SELECT doc_id, avg(log2(c.n) - log2(total)) AS p FROM w JOIN c USING (word) CROSS JOIN t GROUP BY doc_id) SELECT d.doc_id FROM documents d LEFT JOIN s USING (doc_id) WHERE coalesce(s.p, 0) > -13""")
 def log_probability_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     counts = docs.select(F.explode(X.words(F.lower("text"))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
     scored = docs.join(taggers.mean_log_probability(docs, taggers.unigram_table(counts)), "doc_id").withColumn("logprob", S.whole(F.col("text"), F.col("logprob")))
-    return mix(scored, MixSpec("q", (Condition("attributes", "logprob", "<=", -9),))).select("doc_id")
+    return mix(scored, MixSpec("q", (Condition("attributes", "logprob", "<=", -13),))).select("doc_id")
 
 
 @query("""WITH s AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents) SELECT doc_id FROM s WHERE list_max(list_transform(ls, lambda x: length(x))) <= 1000 AND (length(text) - len(ls) + 1) / len(ls) <= 100

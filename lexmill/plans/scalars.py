@@ -64,9 +64,13 @@ def license_in_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_pages(spark, sf_dir).select("page_id", L.html_license(F.col("html")).alias("license"))
 
 
-@query("SELECT doc_id, regexp_matches(text, 'Apache License') AS stated FROM documents")
+_STATEMENTS = ", ".join("'" + x.replace("'", "''") + "'" for x in L.STATEMENTS)
+
+
+@query(f"""WITH r AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), e AS (SELECT doc_id, ls, greatest(len(ls) // 20, 150) AS n FROM r)
+  SELECT doc_id, len(list_filter([{_STATEMENTS}], lambda s: contains(array_to_string(ls[:n], chr(10)) || chr(10) || array_to_string(ls[greatest(len(ls) - n + 1, 1):], chr(10)), s))) > 0 AS stated FROM e""")
 def license_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").select("doc_id", L.states_license(F.col("text"), ("Apache License",), 1).alias("stated"))
+    return read(spark, sf_dir, "documents").select("doc_id", L.states_license(F.col("text")).alias("stated"))
 
 
 APPROVED = [(1, []), (2, ["MIT"]), (3, ["MIT", "X"]), (4, None), (5, ["Apache-2.0", "MIT"]), (6, ["MIT", None])]
@@ -130,20 +134,20 @@ def url_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", U.netloc(u).alias("netloc"), U.path(u).alias("path"), U.file_name(u).alias("file"), U.base_name(u).alias("base"))
 
 
-WIKIS = [(1, "wiki-car_collectionfandomcom", "wiki-ca/r_/wiki-car_collectionfandomcom"), (2, "abcdef", "ab/cd/abcdef")]
-
-
-@cases(WIKIS, f"SELECT k, p AS folder FROM (VALUES {values(WIKIS)}) t(k, n, p)")
+@query("""WITH h AS (SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) AS n FROM pages), p AS (SELECT page_id, n, CASE WHEN page_id % 2 = 0 THEN 'wiki-' ELSE '' END AS lead FROM h)
+  SELECT page_id, lead || substr(n, 1, 2) || '/' || substr(n, 3, 2) || '/' || lead || n AS folder FROM p""")
 def nested_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return literal(spark, sf_dir, WIKIS, "k long, n string, p string").select("k", U.nested_folder(F.col("n")).alias("folder"))
+    """Folders of the pages' hosts, every second one as a wiki's name."""
+    name = F.concat(F.when(F.col("page_id") % 2 == 0, "wiki-").otherwise(""), U.netloc(F.col("url")))
+    return read(spark, sf_dir, "pages").select("page_id", U.nested_folder(name).alias("folder"))
 
 
-ROUTES = [(1, "http://car.fandom.com/wiki", "fandom"), (2, "https://en.wikipedia.org/w", "wikimedia"), (3, "http://x.org", "archive"), (4, None, "archive")]
-
-
-@cases(ROUTES, f"SELECT k, r AS route FROM (VALUES {values(ROUTES)}) t(k, u, r)")
+@query("""WITH h AS (SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) AS host FROM pages)
+  SELECT page_id, CASE WHEN ends_with(host, '.com') THEN 'fandom' WHEN ends_with(host, '.org') THEN 'wikimedia' ELSE 'archive' END AS route FROM h""")
 def crawl_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return literal(spark, sf_dir, ROUTES, "k long, u string, r string").select("k", U.crawl_route(F.col("u")).alias("route"))
+    """Routes of the pages' urls, with hosts of one domain taken for a farm and of another for a wiki with dumps."""
+    url = F.replace(F.replace("url", F.lit("example.com"), F.lit("fandom.com")), F.lit("example.org"), F.lit("Wikipedia.org"))
+    return read(spark, sf_dir, "pages").select("page_id", U.crawl_route(url).alias("route"))
 
 
 DUMPS = ("a%s-history.xml.7z", "a%s.zip", "wiki-b%s-20200101-wikidump.7z", "b%s-20190101-wikidump.7z", "notes%s.txt", "d%s.xml.gz", "d%s-pages.xml")
@@ -177,13 +181,14 @@ def identifier_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", dates.from_identifier(F.col("n")).cast("string").alias("day"), dates.version_parts(F.col("v")).alias("p")).select("k", "day", "p.*")
 
 
-CHATS = [(1, "[10:00] <ubottu> hi\n[10:01] <al> yo\n"), (2, "=== bob joined\n[10:02] <bo> a\n[10:03]  * cy waves\n"), (3, "[10:04] <kubot> only\n"), (4, "[10:05] <tg> [telegram] <dee>: hello\n")]
-
-
-@cases(CHATS, "SELECT * FROM (VALUES (1, '[10:01] <al> yo', ['al']), (2, '[10:02] <bo> a' || chr(10) || '[10:03]  * cy waves', ['bo', 'cy']), (4, '[10:05] <dee> hello', ['dee'])) t(k, text, authors)")
+@query("""SELECT conv_id, turn, '[10:01] <' || role || '> ' || trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g')) AS text, [role] AS authors FROM conversations WHERE text IS NOT NULL AND role IS NOT NULL""")
 def chat_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = literal(spark, sf_dir, CHATS, "k long, t string").withColumn("text", X.clean_chat(F.col("t"))).filter("text <> ''")
-    return rows.select("k", "text", X.chat_authors(F.col("text")).alias("authors"))
+    """Every turn of the conversations as it would stand in a chat's log, between announcements, bots and relays."""
+    said = F.trim(F.regexp_replace("text", X.SPACE + "+", " "))
+    line = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("[10:01] <"), "role", F.lit("> "), said)).otherwise(F.concat(F.lit("[10:01] <tg> [telegram] <"), "role", F.lit(">: "), said))
+    log = F.concat(F.lit("=== joined\n[10:00] <ubottu> hi\n"), line, F.lit("\n[10:02] <kubot> bye"))
+    rows = read(spark, sf_dir, "conversations").filter("text IS NOT NULL AND role IS NOT NULL").select("conv_id", "turn", X.clean_chat(log).alias("text"))
+    return rows.select("conv_id", "turn", "text", X.chat_authors(F.col("text")).alias("authors"))
 
 
 @query(f"""SELECT doc_id, array_to_string(list_filter(string_split(text, chr(10)), lambda x: x = '' OR starts_with(x, '\\') OR len(list_filter(string_split_regex(x, '{WS}+'), lambda w: w <> '')) > 1), chr(10)) AS text FROM documents""")
@@ -202,12 +207,15 @@ def section_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", F.explode(X.sections(F.col("text"), "\n")).alias("s")).select("doc_id", "s.section", "s.text")
 
 
-PATENTS = [(1, "t", None, "d", None), (2, "t", "a", None, "c"), (3, "t", None, None, None)]
-
-
-@cases(PATENTS, "SELECT * FROM (VALUES (1, 't' || repeat(chr(10), 4) || 'd' || repeat(chr(10), 2)), (2, 't' || repeat(chr(10), 2) || 'ABSTRACT' || repeat(chr(10), 2) || 'a' || repeat(chr(10), 4) || 'c')) t(k, text)")
+@query("""WITH p AS (SELECT doc_id, source AS title, CASE WHEN lang = 'en' THEN text END AS abstract, CASE WHEN source < 'src10' THEN text END AS description, CASE WHEN lang = 'fr' THEN upper(source) END AS claims FROM documents)
+  SELECT doc_id, title || chr(10) || chr(10) || coalesce('ABSTRACT' || chr(10) || chr(10) || abstract, '') || chr(10) || chr(10) || coalesce(description, '') || chr(10) || chr(10) || coalesce(claims, '') AS text FROM p WHERE coalesce(abstract, description, claims) IS NOT NULL""")
 def patent_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.patent_text(literal(spark, sf_dir, PATENTS, "k long, title string, abstract string, description string, claims string")).select("k", "text")
+    """Documents as patents, of which some lack parts and some all."""
+    part = lambda when, what: F.when(when, what)
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("title"), part(F.col("lang") == "en", F.col("text")).alias("abstract"), part(F.col("source") < "src10", F.col("text")).alias("description"), part(F.col("lang") == "fr", F.upper("source")).alias("claims")
+    )
+    return R.patent_text(docs).select("doc_id", "text")
 
 
 @query("SELECT doc_id, regexp_replace('<p>' || text || '</p>', '<.+?>', '', 'g') AS text FROM documents WHERE doc_id % 2 = 0 OR lang = 'en'")
@@ -258,29 +266,32 @@ def template_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.explode(markup.template_names(F.col("t"))).alias("template")).groupBy("template").agg(F.count(F.lit(1)).alias("n"))
 
 
-BYLINES = [(1, "By Ann Lee"), (2, "Written by Bo  Wu Contributor"), (3, "Authors Cy\nEditor"), (4, "Dr A, Foo University; Dr B, Bar University")]
-
-
-@cases(BYLINES, "SELECT * FROM (VALUES (1, 'Ann Lee'), (2, 'Bo Wu'), (3, 'Cy'), (4, 'Dr A, Dr B')) t(k, author)")
+@query("""SELECT client_id, CASE client_id % 4 WHEN 3 THEN trim(regexp_replace(name, '\\s+', ' ', 'g')) || ', ' || upper(city) ELSE trim(regexp_replace(name, '\\s+', ' ', 'g')) END AS author FROM clients WHERE name IS NOT NULL AND city IS NOT NULL""")
 def author_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return literal(spark, sf_dir, BYLINES, "k long, t string").select("k", X.clean_author(F.col("t")).alias("author"))
+    """Clients' names as bylines: with a lead-in and a role, with a title below, or as scholars of two universities."""
+    name, city = F.col("name"), F.col("city")
+    kinds = [F.concat(F.lit("By "), name), F.concat(F.lit("Written by  "), name, F.lit(" Contributor")), F.concat(F.lit("Authors "), name, F.lit("\nEditor\tof "), city), F.concat(name, F.lit(", Foo University; "), F.upper(city), F.lit(", Bar University"))]
+    clients = read(spark, sf_dir, "clients").filter("name IS NOT NULL AND city IS NOT NULL")
+    return clients.select("client_id", X.clean_author(F.element_at(F.array(*kinds), (F.col("client_id") % 4 + 1).cast("int"))).alias("author"))
 
 
-BOOKS = [(1, "junk\n*** START OF THE PROJECT GUTENBERG EBOOK X ***\n body \n*** END OF THE PROJECT GUTENBERG EBOOK X ***\nmore"), (2, "no marks")]
-
-
-@cases(BOOKS, "SELECT * FROM (VALUES (1, 'body'), (2, 'no marks')) t(k, text)")
+@query(f"SELECT doc_id, regexp_replace(text, '^{WS}+|{WS}+$', '', 'g') AS text FROM documents")
 def book_body(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return literal(spark, sf_dir, BOOKS, "k long, t string").select("k", X.strip_book(F.col("t")).alias("text"))
-
-
-PROPOSALS = [(1, "PEP: 1\nAuthor: Bo Wu <b@x>,\n        Al Li\nStatus: Final\nCreated: 05-Jan-2001\n\nsee :pep:`8`"), (2, "no fields")]
+    """Documents as e-books between the lines that start and end them; every third is bare."""
+    framed = F.concat(F.lit("junk\n*** START OF THE PROJECT GUTENBERG EBOOK "), "source", F.lit(" ***\n\n"), "text", F.lit("\n*** END OF THE PROJECT GUTENBERG EBOOK ***\nmore"))
+    return read(spark, sf_dir, "documents").select("doc_id", X.strip_book(F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(framed)).alias("text"))
 
 
-@cases(PROPOSALS, "SELECT * FROM (VALUES (1, ['Al Li', 'Bo Wu'], '2001-01-05', true), (2, []::VARCHAR[], NULL, false)) t(k, authors, created, linked)")
+@query("""SELECT doc_id, list_sort([source || ' Wu', lang]) AS authors, CASE WHEN doc_id % 5 > 0 THEN '2001-01-' || lpad((doc_id % 28 + 1)::VARCHAR, 2, '0') END AS created, 'see PEP 8' || chr(10) || text AS body FROM documents""")
 def proposal_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as proposals with a head; every fifth without a date."""
+    day = F.lpad((F.col("doc_id") % 28 + 1).cast("string"), 2, "0")
+    created = F.when(F.col("doc_id") % 5 > 0, F.concat(F.lit("Created: "), day, F.lit("-Jan-2001\n"))).otherwise("")
+    head = F.concat(F.lit("PEP: 1\nAuthor: "), "source", F.lit(" Wu <b@x>,\n        "), "lang", F.lit("\nStatus: Final\n"), created, F.lit("\n"))
     t = F.col("t")
-    return literal(spark, sf_dir, PROPOSALS, "k long, t string").select("k", X.proposal_authors(t).alias("authors"), dates.day_month_year(X.proposal_created(t)).cast("string").alias("created"), X.proposal_links(t).contains("PEP 8").alias("linked"))
+    rows = read(spark, sf_dir, "documents").select("doc_id", F.concat(head, F.lit("see :pep:`8`\n"), "text").alias("t"))
+    body = F.substr(X.proposal_links(t), F.instr(X.proposal_links(t), "see PEP"))
+    return rows.select("doc_id", X.proposal_authors(t).alias("authors"), dates.day_month_year(X.proposal_created(t)).cast("string").alias("created"), body.alias("body"))
 
 
 #: In RE2, without looking ahead: words as they are, and of white space a run of two or more, one whose last is no space, and one at the end.

@@ -9,7 +9,8 @@ import xml.etree.ElementTree as ET
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import licenses as L
@@ -131,6 +132,56 @@ def archive_pages(files: DataFrame) -> DataFrame:
     return files.select("file", "content").mapInPandas(run, "file string, url string, html string")
 
 
+#: What is between two records of a web archive, but for the last digit of the version.
+_BETWEEN = "\r\n\r\nWARC/1."
+
+
+def read_web_archives(spark: SparkSession, path: str) -> DataFrame:
+    """HTML responses of web archives of any size, compressed or not: file, url, html.
+
+    Spark reads the records as lines that end where the next one starts, plain files
+    by byte ranges and compressed ones as streams, so that no more than a record is
+    held. Where a page holds such an end itself, records tell by their length that
+    they go on. Records that are cut short are given as far as they came.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, parts, need = None, [], 0
+
+        def record() -> list[tuple[str, str, str]]:
+            head, _, body = b"".join(parts).partition(b"\r\n\r\n")
+            fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("latin-1").split("\r\n"))}
+            if fields.get("warc-type") != "response":
+                return []
+            size = fields.get("content-length", "")
+            http, _, page = (body[: int(size)] if size.isdigit() else body).partition(b"\r\n\r\n")
+            if not re.search(rb"(?im)^content-type:\s*(text/html|application/xhtml)", http):
+                return []
+            return [(file, fields.get("warc-target-uri", "").strip("<>"), page.decode("utf-8", "replace"))]
+
+        for batch in batches:
+            rows = []
+            for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if parts and name == file and need > 0:
+                    parts += [_BETWEEN.encode(), raw]
+                    need -= len(_BETWEEN) + len(raw)
+                    continue
+                rows += record() if parts else []
+                head, _, body = raw.partition(b"\r\n\r\n")
+                size = re.search(rb"(?im)^content-length:\s*(\d+)", head)
+                file, parts, need = name, [raw], int(size[1]) - len(body) if size else 0
+            yield _page_batch(rows)
+        if parts:
+            yield _page_batch(record())
+
+    rows = spark.read.option("lineSep", _BETWEEN).text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").cast("binary").alias("record"))
+    return rows.mapInArrow(run, "file string, url string, html string")
+
+
+def _page_batch(rows: list[tuple[str, str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(3)], names=["file", "url", "html"])
+
+
 def licensed_pages(pages: DataFrame) -> DataFrame:
     """The first page of each file and URL that links an open license, with that link."""
     from ..operators.dedupe import keep_first

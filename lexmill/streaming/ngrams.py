@@ -33,11 +33,9 @@ BUCKETS = 256
 
 
 def judged(rows: pd.DataFrame, known: np.ndarray) -> pd.DataFrame:
-    """id, n_ngrams and met of a bucket's rows: an n-gram was met if it is known, or a lower id of the batch has it."""
-    held = rows["gram"].notna()
-    least = rows.groupby("gram")["id"].transform("min")
-    grams = rows["gram"].fillna(0).astype("int64").to_numpy()
-    seen = held & (np.isin(grams, known) | (rows["id"] > least).fillna(False))
+    """id, n_ngrams and met of a bucket's rows: an n-gram was met if it is known, or a lower id of the batch has it. Rows that hold none carry totals."""
+    least = rows[rows["held"]].groupby("gram")["id"].transform("min")
+    seen = rows["held"] & (np.isin(rows["gram"].to_numpy(), known) | (rows["id"] > least.reindex(rows.index, fill_value=rows["id"].max())))
     met = rows["met"] + rows["many"].where(seen, 0)
     return rows.assign(met=met)[["id", "n_ngrams", "met"]].groupby("id", as_index=False).sum()
 
@@ -53,7 +51,7 @@ class MetGrams(StatefulProcessor):
         self.state = handle.getValueState("met", schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows))
+        batch = pd.concat(list(rows), ignore_index=True)
         now = int(batch["now"].iloc[0])
         grams, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if self.state.exists():
@@ -62,7 +60,7 @@ class MetGrams(StatefulProcessor):
             alive = times > now - self.live_ms
             grams, times = grams[alive], times[alive]
         found = judged(batch, grams)
-        own = np.unique(batch["gram"].dropna().astype("int64").to_numpy())
+        own = np.unique(batch.loc[batch["held"], "gram"].to_numpy())
         if len(own):
             old = ~np.isin(grams, own)
             both, when = np.r_[grams[old], own], np.r_[times[old], np.full(len(own), now, np.int64)]
@@ -82,7 +80,9 @@ def ngram_overlap_stream(docs: DataFrame, target: str, checkpoint: str, n: int =
     bucket = F.pmod(F.xxhash64(F.coalesce("gram", F.xxhash64("id"))), F.lit(buckets)).cast("int")
     kind = docs.schema[id_col].dataType
     out = T.StructType([T.StructField("id", kind), T.StructField("n_ngrams", T.LongType()), T.StructField("met", T.LongType())])
-    keyed = rows.select(bucket.alias("bucket"), "id", "gram", "many", "n_ngrams", "met", F.unix_millis(F.current_timestamp()).alias("now"))
+    # no nulls: pandas would make floats of the numbers, which can't hold them
+    gram = F.coalesce("gram", F.lit(0).cast("long")).alias("gram")
+    keyed = rows.select(bucket.alias("bucket"), "id", gram, F.col("gram").isNotNull().alias("held"), "many", "n_ngrams", "met", F.unix_millis(F.current_timestamp()).alias("now"))
     judged_rows = keyed.groupBy("bucket").transformWithStateInPandas(MetGrams(live_ms), out, "append", "none")
 
     def write(batch: DataFrame, number: int) -> None:

@@ -193,7 +193,7 @@ def test_repeated_passages_go_from_the_tables(spark, sf_dir):
 
 
 def test_batches_of_a_stream_are_judged_by_state_and_order():
-    rows = pd.DataFrame({"id": [5, 7, 7, 9], "gram": [1, 1, 2, None], "many": [2, 1, 3, 0], "n_ngrams": [2, 4, 0, 6], "met": [0, 1, 0, 6]})
+    rows = pd.DataFrame({"id": [5, 7, 7, 9], "gram": [1, 1, 2, 0], "held": [True, True, True, False], "many": [2, 1, 3, 0], "n_ngrams": [2, 4, 0, 6], "met": [0, 1, 0, 6]})
     got = judged(rows, np.array([2])).set_index("id")
     assert got["n_ngrams"].to_dict() == {5: 2, 7: 4, 9: 6} and got["met"].to_dict() == {5: 0, 7: 5, 9: 6}
 

@@ -152,3 +152,13 @@ def test_numbers_follow_the_order_over_many_tasks(spark):
 def test_budget_of_names_that_clash(spark):
     df = spark.createDataFrame([(k, 2, 1, 1) for k in range(10)], "b long, n long, _size long, row long")
     assert sorted(r["b"] for r in R.within_budget(df, "b", "n", 5).collect()) == [0, 1, 2] and R.within_budget(df, "b", "n", 5).columns == df.columns
+
+
+def test_columns_of_any_name_pass_through(spark):
+    from lexmill.operators import dedupe
+
+    df = spark.createDataFrame([(1, "a", 3, 1), (1, "b", 2, 2), (2, "c", 1, 3)], "k int, v string, _rn int, place int")
+    assert sorted(tuple(r) for r in dedupe.keep_first(df, ["k"], ["_rn"]).collect()) == [(1, "b", 2, 2), (2, "c", 1, 3)]
+    assert sorted(tuple(r) for r in R.best_by_rank(df, "k", F.col("place"), "v").collect()) == [(1, "a", 3, 1), (2, "c", 1, 3)]
+    index = spark.createDataFrame([(1, "a", 9), (2, "b", 9)], "k int, v string, _new int")
+    assert sorted(tuple(r)[:2] for r in R.upsert(index, spark.createDataFrame([(2, "x"), (3, "y")], "k int, v string"), "k", "v").collect()) == [(1, "a"), (2, "x"), (3, "y")]

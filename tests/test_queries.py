@@ -7,6 +7,7 @@ import html
 import math
 import re
 import statistics
+import zlib
 from collections import Counter
 
 import duckdb
@@ -15,7 +16,7 @@ from test_operators import brute_chunks
 
 from lexmill import plans
 
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clients".split()
 
 
 @pytest.fixture(scope="module")
@@ -52,7 +53,7 @@ def test_same_as_sql(name, spark, sf_dir, duck):
 
 # queries that SQL can't express, against plain statements of their rules
 
-WITHOUT_SQL = {"language_model", "gopher_filter", "longest_repetition", "paragraph_chunk", "paragraph_reflow", "html_text", "html_fields", "encode_decode", "repeated_passages_removed"}
+WITHOUT_SQL = {"language_model", "gopher_filter", "longest_repetition", "paragraph_chunk", "paragraph_reflow", "html_text", "html_fields", "encode_decode", "repeated_passages_removed", "language_model_filter", "toxic_model_sentences"}
 
 
 def test_every_query_has_sql_or_a_test_here():
@@ -72,6 +73,25 @@ def test_language_model(spark, sf_dir):
     assert len(held) > 20 and sum(r["predicted"] == r["lang"] for r in held) >= 0.95 * len(held)
 
 
+def test_filters_by_a_model(spark, sf_dir, duck):
+    kept = plans.queries()["language_model_filter"](spark, sf_dir).collect()
+    lang = table(duck, "documents", "doc_id", "lang")
+    held = {i for i in lang if zlib.crc32(str(i).encode()) % 5 == 0}
+    got = {r["doc_id"] for r in kept}
+    assert sum((i in got) == (lang[i] == "en") for i in held) >= 0.95 * len(held)
+    from lexmill.operators import taggers
+
+    assert "english" not in taggers.names()
+
+
+def test_toxic_sentences_by_a_model(spark, sf_dir, duck):
+    texts, toxic = table(duck, "documents", "doc_id", "text"), table(duck, "labels", "doc_id", "toxic")
+    rows = {r["doc_id"]: r for r in plans.queries()["toxic_model_sentences"](spark, sf_dir).collect()}
+    assert set(rows) == set(texts) and all(len(texts[i]) - len(r["kept"]) == r["removed"] for i, r in rows.items())
+    share = lambda kind: statistics.mean(rows[i]["removed"] / max(1, len(texts[i])) for i, t in toxic.items() if t == kind)
+    assert share(1) > 0.2 > 0.05 > share(0)
+
+
 def covered(own, n):
     """Characters of the words that are in an n-gram that occurs twice."""
     grams = Counter(tuple(own[k : k + n]) for k in range(len(own) - n + 1))
