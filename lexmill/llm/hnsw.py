@@ -41,6 +41,8 @@ from .staging import cleared, kept, spread_join, staged
 LOG = logging.getLogger(__name__)
 #: Classes to a shard, and shards at least; links per node, twice as many in the lowest layer.
 SHARD_CLASSES, SHARDS, LINKS = 200_000, 6, 12
+#: Bytes of a shard's vectors, so that long ones go into more shards.
+SHARD_BYTES = 128 << 20
 #: Beams while building and at first while searching; queries in lock step.
 BUILD_BEAM, BEAM, BLOCK = 40, 48, 512
 #: Planted queries of an audit, sampled real ones, and the mean recall that it must show.
@@ -373,8 +375,8 @@ def audited_near_vectors(
         rows = staged(rows.withColumn("good", good), "vectors")
         grouped = rows.filter("good").groupBy("vector").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("many"))
         classes = staged(grouped.withColumn("uid", F.monotonically_increasing_id()).withColumn("size", F.size("vector")), "classes")
-        count = classes.count()
-        n = max(shards, -(-count // shard_classes))
+        count, entries = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+        n = max(shards, -(-count // shard_classes), -(-8 * entries // SHARD_BYTES))
         shard = F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
         index = classes.select("size", shard.alias("shard"), F.lit(0).alias("role"), "uid", "many", "vector")
         sampled = F.pmod(F.xxhash64("uid", F.lit(17)), F.lit(max(1, count // SAMPLED))) == 0
