@@ -43,8 +43,9 @@ BESIDE = frozenset("nav aside footer menu dialog search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Words of a class or id that name what is no part of an article.
 MARKS = frozenset(
-    "ad ads advert adverts advertisement advertisements advertising adsense alert banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter "
-    "notice notices overlay pager pagination popup promo promotion recommendation recommendations recommended related search share sharing sidebar signup skip social sponsor sponsored subscribe subscription teaser teasers toolbar topbar widget widgets".split()
+    "ad ads adsbygoogle advert adverts advertisement advertisements advertising adsense alert banner breadcrumb breadcrumbs comment commentlist comments consent cookie cookiebanner cookiebar cookies disclaimer discussion disqus footer gdpr login "
+    "masthead mainnav menu menubar modal nav navbar navigation newsletter notice notices notification notifications overlay pager pagination popup promo promotion recommendation recommendations recommended related replies respond search share sharing "
+    "sidebar sidenav signup skip social sponsor sponsored submenu subnav subscribe subscription teaser teasers toolbar topbar topnav widget widgets".split()
 )
 HEADER_NAMES = frozenset("header site-header page-header global-header main-header top-header".split())
 #: Marks by which an article is none: a comment, a teaser.
@@ -249,6 +250,8 @@ class Places:
     holds_article: list[bool]
     in_article: list[bool]
     article: list[bool]
+    #: The outermost article that an element is in, or the page.
+    home: list[int]
 
 
 def places(t: Tree) -> Places:
@@ -265,10 +268,12 @@ def places(t: Tree) -> Places:
     for i in range(n - 1, 0, -1):
         if holds[i]:
             holds[t.parent[i]] = True
-    inside = [False] * n
+    inside, home = [False] * n, [0] * n
     for i in range(1, n):
-        inside[i] = inside[t.parent[i]] or article[i]
-    return Places(holds, inside, article)
+        up = t.parent[i]
+        inside[i] = inside[up] or article[i]
+        home[i] = home[up] or (i if article[i] else 0)
+    return Places(holds, inside, article, home)
 
 
 _NONE: frozenset[str] = frozenset()
@@ -297,7 +302,9 @@ def _beside(t: Tree, p: Places, i: int) -> bool:
         return False
     if tag in BESIDE or t.role.get(i) in ROLES or tag == "header" and not p.in_article[i]:
         return True
-    if tag in ("html", "body") or 2 * t.size[i] > t.size[0]:
+    # a name tells nothing of what holds nearly all of an article, or of a page without one most of it: that is no part beside it
+    whole = t.size[p.home[i]]
+    if tag in ("html", "body") or (10 * t.size[i] > 9 * whole if p.home[i] or marks & NO_ARTICLE else 2 * t.size[i] > whole):
         return False
     return tag == "form" or bool(marks & MARKS) or tag not in HEADINGS and bool(marks & HEADER_NAMES) and not p.in_article[i]
 

@@ -227,6 +227,10 @@ def test_references_and_optional_tags():
     assert main_text("<p title='a>b' data-x=\"<p>\">x</p ><P CLASS=Lead>y") == "x\n\ny"
     assert main_text("<textarea><p>a</textarea><svg><path/><text>z</text></svg><iframe><p>b</iframe>x<p>cut <a href='") == "x\n\ncut"
     assert main_text("<form><p>all of the page</form>") == "all of the page"
+    talk = "<p>a long comment, longer than the text</p>" * 3
+    assert main_text(f"<article><p>short text of a page, in one line</p><section id=comments>{talk}</section></article>") == "short text of a page, in one line"
+    assert main_text(f"<div><p>short text of a page, in one line</p></div><div id=comments>{talk}</div>") == "short text of a page, in one line"
+    assert main_text("<article><div class='post-widget'><p>whole</p><p>text</p></div></article>") == "whole\n\ntext"
     assert main_text("<article class=comment>c</article><article><p>the article is this one</article>") == "the article is this one"
 
 
