@@ -132,8 +132,9 @@ def archive_pages(files: DataFrame) -> DataFrame:
     return files.select("file", "content").mapInPandas(run, "file string, url string, html string")
 
 
-#: What is between two records of a web archive, but for the last digit of the version.
-_BETWEEN = "\r\n\r\nWARC/1."
+#: The end of what is between two records of a web archive, but for the last digit of the version, and what stands before it.
+#: No character of it is its first: Hadoop's reader misses ends that overlap with what looks like their start where its buffer ends.
+_BETWEEN, _BLANK = "\nWARC/1.", b"\r\n\r"
 
 
 def read_web_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -142,7 +143,8 @@ def read_web_archives(spark: SparkSession, path: str) -> DataFrame:
     Spark reads the records as lines that end where the next one starts, plain files
     by byte ranges and compressed ones as streams, so that no more than a record is
     held. Where a page holds such an end itself, records tell by their length that
-    they go on. Records that are cut short are given as far as they came.
+    they go on, and those without one end at an empty line. Records that are cut short
+    are given as far as they came.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,7 @@ def read_web_archives(spark: SparkSession, path: str) -> DataFrame:
             if fields.get("warc-type") != "response":
                 return []
             size = fields.get("content-length", "")
-            http, _, page = (body[: int(size)] if size.isdigit() else body).partition(b"\r\n\r\n")
+            http, _, page = (body[: int(size)] if size.isdigit() else body.removesuffix(_BLANK)).partition(b"\r\n\r\n")
             if not re.search(rb"(?im)^content-type:\s*(text/html|application/xhtml)", http):
                 return []
             return [(file, fields.get("warc-target-uri", "").strip("<>"), page.decode("utf-8", "replace"))]
@@ -162,14 +164,15 @@ def read_web_archives(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             rows = []
             for name, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if parts and name == file and need > 0:
+                blank = len(_BLANK) if parts and parts[-1].endswith(_BLANK) else 0
+                if parts and name == file and (need + blank > 0 if need is not None else not blank):
                     parts += [_BETWEEN.encode(), raw]
-                    need -= len(_BETWEEN) + len(raw)
+                    need = None if need is None else need - len(_BETWEEN) - len(raw)
                     continue
                 rows += record() if parts else []
                 head, _, body = raw.partition(b"\r\n\r\n")
                 size = re.search(rb"(?im)^content-length:\s*(\d+)", head)
-                file, parts, need = name, [raw], int(size[1]) - len(body) if size else 0
+                file, parts, need = name, [raw], int(size[1]) - len(body) if size else None
             yield _page_batch(rows)
         if parts:
             yield _page_batch(record())
