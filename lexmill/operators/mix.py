@@ -143,6 +143,17 @@ def mix(docs: DataFrame, spec: MixSpec, text_col: str = "text", attributes_col:
     return kept
 
 
+#: Kinds of personal data by the letters that recipes use.
+PII_KINDS = {"E": "EMAIL_ADDRESS", "P": "PHONE_NUMBER", "I": "IP_ADDRESS"}
+
+
+def redacted(docs: DataFrame, kinds: str, text_col: str = "text") -> DataFrame:
+    """Replace personal data kind by kind, each on the text that the last one left: where kinds overlap, the first one given holds."""
+    for k in kinds:
+        docs = mix(docs, MixSpec(k, replace=(Replacement(f"pii_{PII_KINDS[k]}", f"<{PII_KINDS[k]}>", 0.1),)), text_col)
+    return docs
+
+
 def _at_most(key: str, value: float) -> Condition:
     return Condition("attributes", key, "<=", value)
 
@@ -159,8 +170,7 @@ def recipe(name: str, english: bool = False, chars: int | None = None, tokens: i
         + ([_at_most(LOGPROB, -20)] if logprob else []) + ([_at_most(QUALITY, 0.0001)] if quality else []) + (list(_CODE) if code else []) + list(more)
         + ([Condition("attributes", DUPLICATE, ">=", 0.9)] if duplicate else []) + ([Condition("attributes", "duplicate_documents", ">=", 1.0)] if exact else [])
     )
-    kinds = {"E": "EMAIL_ADDRESS", "P": "PHONE_NUMBER", "I": "IP_ADDRESS"}
-    replaced = [Replacement(x, "", 0.1) for x in (("toxic_sentence", "nsfw_sentence") if toxic else ())] + [Replacement(f"pii_{kinds[k]}", f"<{kinds[k]}>", 0.1) for k in pii]
+    replaced = [Replacement(x, "", 0.1) for x in (("toxic_sentence", "nsfw_sentence") if toxic else ())] + [Replacement(f"pii_{PII_KINDS[k]}", f"<{PII_KINDS[k]}>", 0.1) for k in pii]
     return MixSpec(name, tuple(rules), replace=(*replaced, *(Replacement(x, "", 0.1) for x in lines), *edits))
 
 
