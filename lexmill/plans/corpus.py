@@ -260,8 +260,8 @@ def mix_and_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_filter_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: tag, filter, redact and size by source; one shuffle, of partial sums."""
-    kept = mix(documents(spark, sf_dir), recipe("q", english=True, chars=100, tokens=20, duplicate=False, pii="EPI"))
-    return R.size_stats(kept, ["source"])
+    kept = mix(documents(spark, sf_dir), recipe("q", english=True, chars=100, tokens=20, duplicate=False))
+    return R.size_stats(redacted(kept, "EPI"), ["source"])
 
 
 query(f"""WITH m AS (SELECT source, regexp_replace(regexp_replace(regexp_replace(text, '{taggers.PII["EMAIL_ADDRESS"]}', '<EMAIL_ADDRESS>', 'g'), '{taggers.PII["PHONE_NUMBER"]}', '<PHONE_NUMBER>', 'g'), '{taggers.PII["IP_ADDRESS"]}', '<IP_ADDRESS>', 'g') AS text
