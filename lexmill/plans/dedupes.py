@@ -10,7 +10,7 @@ from .corpus import WORDS, read
 from ..functions import text as X
 from ..operators import dedupe, spans as S, taggers
 from ..operators.bloom import BloomSpec, BloomState
-from ..operators.mix import MixSpec, Replacement, mix, recipe
+from ..operators.mix import MixSpec, Replacement, mix, recipe, redacted
 from ..session import scratch
 
 
@@ -43,7 +43,7 @@ def dedupe_and_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flow of a corpus: overlap of 20-grams as an attribute, then a recipe that drops duplicates and short texts and redacts the rest."""
     docs = read(spark, sf_dir, "documents")
     tagged = dedupe.with_overlap(docs, dedupe.ngram_overlap(docs, 20))
-    return mix(tagged, recipe("q", chars=100, tokens=20, pii="EPI")).select("doc_id", "text")
+    return redacted(mix(tagged, recipe("q", chars=100, tokens=20)), "EPI").select("doc_id", "text")
 
 
 @query(f"""WITH p AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS paragraph FROM documents), g AS ({_grams(20, "p", "doc_id, paragraph")}),
