@@ -16,8 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes that are hashed at once, and n-grams that a task holds before it combines and sends them.
-SLICE, HELD = 1 << 20, 1 << 21
+#: Bytes that are hashed at once, bytes of texts whose n-grams are made at once, and n-grams that a task holds before it combines and sends them.
+SLICE, TEXTS, HELD = 1 << 20, 1 << 20, 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -77,6 +77,16 @@ def gram_numbers(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(found)
 
 
+def slices_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows of some TEXTS bytes of text (the second column) together, and at least one."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < len(batch):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + TEXTS, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def grams_of_batch(column: pa.Array, n: int, by_line: bool) -> tuple[np.ndarray, ...]:
     """n-grams in the order of the texts: text, line (0 unless by_line), number, and the first byte and the end of each within its text."""
     data, offsets = texts_of(column)
@@ -166,11 +176,12 @@ def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc
         for batch in batches:
             if not len(batch):
                 continue
-            found = grams_of_batch(batch.column(1), n, by_line)[:3]
-            held.append((batch.column(0), found))
-            size += len(found[0])
-            if size >= HELD:
-                yield from flush()
+            for part in slices_of(batch):
+                found = grams_of_batch(part.column(1), n, by_line)[:3]
+                held.append((part.column(0), found))
+                size += len(found[0])
+                if size >= HELD:
+                    yield from flush()
         yield from flush()
 
     kind = docs.schema[id_col].dataType.simpleString()
