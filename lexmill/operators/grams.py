@@ -77,9 +77,11 @@ def gram_numbers(words: np.ndarray, n: int) -> np.ndarray:
     return mixed(found)
 
 
-def slices_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows of some TEXTS bytes of text (the second column) together, and at least one."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+def slices_of(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """Rows of some TEXTS bytes of a column of strings, or of numbers of four bytes in lists, and at least one."""
+    own = batch.column(column)
+    sizes = pc.multiply(pc.list_value_length(own), 4) if pa.types.is_list(own.type) else pc.binary_length(own)
+    ends = np.cumsum(pc.fill_null(sizes, 0).to_numpy(zero_copy_only=False).astype(np.int64))
     low = 0
     while low < len(batch):
         high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + TEXTS, "right")))

@@ -6,11 +6,13 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import pretokens
+from .grams import slices_of
 
 #: Special tokens and their ids.
 SPECIAL = {"<pad>": 0, "<unk>": 1, "<|begin_of_text|>": 2, "<|end_of_text|>": 3}
@@ -28,36 +30,44 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def encoded(docs: DataFrame, path: str, bos: int | None = None, eos: int | None = None, text_col: str = "text") -> DataFrame:
-    """Add ids and offsets (start and end of each token in code points), with the given first and last ids."""
+def encoded(docs: DataFrame, path: str, bos: int | None = None, eos: int | None = None, text_col: str = "text", offsets: bool = True) -> DataFrame:
+    """Add ids and, unless they aren't wanted, offsets (start and end of each token in code points), with the given first and last ids. Texts are encoded in slices of a batch."""
     rest = docs.drop("ids", "offsets")
+    at = rest.columns.index(text_col)
+    lead, tail = ([bos] if bos is not None else []), ([eos] if eos is not None else [])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        for pdf in batches:
-            found = tokenizer.encode_batch(pdf[text_col].fillna("").tolist(), add_special_tokens=False)
-            lead, tail = ([bos] if bos is not None else []), ([eos] if eos is not None else [])
-            size = [len(t) for t in pdf[text_col].fillna("")]
-            yield pdf.assign(
-                ids=[[*lead, *e.ids, *tail] for e in found],
-                offsets=[[*({"start": 0, "end": 0} for _ in lead), *({"start": a, "end": z} for a, z in e.offsets), *({"start": n, "end": n} for _ in tail)] for e, n in zip(found, size)],
-            )
+        for batch in batches:
+            for part in slices_of(batch, at):
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                found = tokenizer.encode_batch(texts, add_special_tokens=False)
+                ends = pa.array(np.cumsum([0, *(len(e) + len(lead) + len(tail) for e in found)]), pa.int32())
+                ids = np.concatenate([np.array([*lead, *e.ids, *tail], np.int32) for e in found])
+                out = [pa.ListArray.from_arrays(ends, pa.array(ids))]
+                if offsets:
+                    places = np.concatenate([np.array([*((0, 0) for _ in lead), *e.offsets, *((len(t), len(t)) for _ in tail)], np.int32).reshape(-1, 2) for e, t in zip(found, texts)])
+                    out.append(pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays([pa.array(places[:, 0]), pa.array(places[:, 1])], names=["start", "end"])))
+                yield pa.RecordBatch.from_arrays([*part.columns, *out], names=[*part.schema.names, "ids", *(["offsets"] if offsets else [])])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
-    return rest.mapInPandas(run, f"{fields}, ids array<int>, offsets array<struct<start:int,end:int>>")
+    return rest.mapInArrow(run, f"{fields}, ids array<int>" + (", offsets array<struct<start:int,end:int>>" if offsets else ""))
 
 
 def decoded(rows: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """Add decoded, the text of the ids, special tokens left out."""
     rest = rows.drop("decoded")
+    at = rest.columns.index(ids_col)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(path)
-        for pdf in batches:
-            yield pdf.assign(decoded=tokenizer.decode_batch([list(map(int, x)) if x is not None else [] for x in pdf[ids_col]]))
+        for batch in batches:
+            for part in slices_of(batch, at):
+                texts = tokenizer.decode_batch([x or [] for x in part.column(at).to_pylist()])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
-    return rest.mapInPandas(run, f"{fields}, decoded string")
+    return rest.mapInArrow(run, f"{fields}, decoded string")
 
 
 def byte_characters() -> dict[str, int]:

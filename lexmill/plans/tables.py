@@ -265,5 +265,5 @@ def encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    rows = tokenize.decoded(tokenize.encoded(read(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    rows = tokenize.decoded(tokenize.encoded(read(spark, sf_dir, "documents").select("doc_id", "text"), path, offsets=False), path)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("same"))
