@@ -59,17 +59,17 @@ def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
   f AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY gram) < doc_id AS seen FROM g)
   SELECT doc_id, count(*) AS n_ngrams, round(avg(seen::INT), 9) AS overlap FROM f GROUP BY doc_id""")
 def stream_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents in order of their ids, in four batches; the stream is stopped after two of them and started again."""
+    """The documents in order of their ids, in four batches; the stream is stopped after each of them and started again."""
     source, target, state = scratch(spark, "batches"), scratch(spark, "overlap"), scratch(spark, "state")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     cuts = [int(x) for x in docs.agg(F.percentile("doc_id", [0.25, 0.5, 0.75])).first()[0]]
     bounds = [None, *cuts, None]
-    for half in ((0, 1), (2, 3)):
-        for k in half:
-            low, high = bounds[k], bounds[k + 1]
-            part = docs.filter((F.lit(low is None) | (F.col("doc_id") > low)) & (F.lit(high is None) | (F.col("doc_id") <= high)))
-            part.coalesce(1).write.parquet(f"{source}/part={k}")
-        rows = streaming.watch(spark, f"{source}/*", docs.schema, "parquet", files_per_trigger=1)
-        ngram_overlap_stream(rows, target, state, 10, buckets=32).awaitTermination()
+    for k in range(4):
+        low, high = bounds[k], bounds[k + 1]
+        part = docs.filter((F.lit(low is None) | (F.col("doc_id") > low)) & (F.lit(high is None) | (F.col("doc_id") <= high)))
+        part.write.parquet(f"{source}/part={k}")
+        # all files that are there are one batch, which as many tasks read
+        rows = streaming.watch(spark, f"{source}/*", docs.schema, "parquet", files_per_trigger=1 << 30)
+        ngram_overlap_stream(rows, target, state, 10).awaitTermination()
     found = spark.read.schema("doc_id long, n_ngrams long, overlap double").parquet(target)
     return found.select("doc_id", "n_ngrams", F.round("overlap", 9).alias("overlap"))

@@ -34,10 +34,22 @@ BUCKETS = 256
 
 def judged(rows: pd.DataFrame, known: np.ndarray) -> pd.DataFrame:
     """id, n_ngrams and met of a bucket's rows: an n-gram was met if it is known, or a lower id of the batch has it. Rows that hold none carry totals."""
-    least = rows[rows["held"]].groupby("gram")["id"].transform("min")
-    seen = rows["held"] & (np.isin(rows["gram"].to_numpy(), known) | (rows["id"] > least.reindex(rows.index, fill_value=rows["id"].max())))
-    met = rows["met"] + rows["many"].where(seen, 0)
-    return rows.assign(met=met)[["id", "n_ngrams", "met"]].groupby("id", as_index=False).sum()
+    ids, names = pd.factorize(rows["id"], sort=True)
+    at = np.flatnonzero(rows["held"].to_numpy())
+    gram, own = rows["gram"].to_numpy()[at], ids[at]
+    order = np.lexsort((own, gram))
+    ordered = gram[order]
+    head = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(at) else at
+    seen = np.zeros(len(at), bool)
+    seen[order] = own[order] > np.repeat(own[order][head], np.diff(np.r_[head, len(at)]))
+    if len(known):  # in order
+        seen |= known[np.minimum(np.searchsorted(known, gram), len(known) - 1)] == gram
+    met = rows["met"].to_numpy().copy()
+    met[at] += rows["many"].to_numpy()[at] * seen
+    sums = [np.zeros(len(names), np.int64) for _ in range(2)]
+    for total, values in zip(sums, (rows["n_ngrams"].to_numpy(), met), strict=True):
+        np.add.at(total, ids, values)
+    return pd.DataFrame({"id": names, "n_ngrams": sums[0], "met": sums[1]})
 
 
 class MetGrams(StatefulProcessor):
