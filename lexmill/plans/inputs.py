@@ -141,7 +141,7 @@ def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _archive(members: dict[str, str]) -> bytes:
     out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w:gz") as tar:
+    with tarfile.open(fileobj=out, mode="w:gz", compresslevel=1) as tar:
         for name, text in members.items():
             raw = text.encode()
             info = tarfile.TarInfo(name)

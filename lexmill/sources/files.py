@@ -69,11 +69,16 @@ def read_nested_pages(spark: SparkSession, path: str, rows: str = "results", sch
     return pages.select(F.explode(rows).alias("_row")).select("_row.*")
 
 
+#: Bytes of unpacked members that are given at once.
+MEMBERS = 4 << 20
+
+
 def archive_members(files: DataFrame, suffix: str = "", only: int | None = None) -> DataFrame:
     """A row per regular member of tar archives (of any compression): file, member, content. only: archives with another number of matching members give none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            found, size = [], 0
             for file, content in zip(pdf["file"], pdf["content"]):
                 rows = []
                 try:
@@ -84,7 +89,12 @@ def archive_members(files: DataFrame, suffix: str = "", only: int | None = None)
                 except tarfile.ReadError:
                     continue
                 if only is None or len(rows) == only:
-                    yield pd.DataFrame(rows, columns=["file", "member", "content"])
+                    found += rows
+                    size += sum(len(r[2]) for r in rows)
+                if size > MEMBERS:
+                    yield pd.DataFrame(found, columns=["file", "member", "content"])
+                    found, size = [], 0
+            yield pd.DataFrame(found, columns=["file", "member", "content"])
 
     return files.select("file", "content").mapInPandas(run, "file string, member string, content binary")
 
@@ -99,8 +109,8 @@ def interpolated(members: DataFrame) -> DataFrame:
 
     call = re.compile(r"\\(?:input|include)\s*\{([^}]+)\}")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = {m.rsplit("/", 1)[-1].removesuffix(".tex"): t or "" for m, t in zip(pdf["member"], pdf["text"])}
+    def whole(members: list) -> list[tuple[str, str]]:
+        texts = {m["member"].rsplit("/", 1)[-1].removesuffix(".tex"): m["text"] or "" for m in members}
         used: set[str] = set()
 
         def fill(text: str, above: tuple[str, ...]) -> str:
@@ -114,10 +124,15 @@ def interpolated(members: DataFrame) -> DataFrame:
             return call.sub(put, text)
 
         done = {n: fill(t, (n,)) for n, t in sorted(texts.items()) if r"\begin{document}" in t}
-        rows = [(pdf["article"].iloc[0], n, t) for n, t in done.items() if n not in used]
-        return pd.DataFrame(rows, columns=["article", "member", "text"])
+        return [(n, t) for n, t in done.items() if n not in used]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(article, n, t) for article, own in zip(pdf["article"], pdf["members"]) for n, t in whole(own)]
+            yield pd.DataFrame(rows, columns=["article", "member", "text"])
 
-    return members.groupBy("article").applyInPandas(run, "article string, member string, text string")
+    groups = members.groupBy("article").agg(F.collect_list(F.struct("member", "text")).alias("members"))
+    return groups.mapInPandas(run, "article string, member string, text string")
 
 
 def tex_body(text: Column) -> Column:
