@@ -71,10 +71,16 @@ def web_archive_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.read_web_archives(spark, f"{path}/*/part-*").select("url", "html")
 
 
+#: Bytes of markup in a file, on average.
+XML_BYTES = 8 << 20
+
+
 def _xml_files(rows: DataFrame, path: str, root: str) -> None:
-    """Eight files with a root each, around rows of markup (value, k)."""
+    """Files with a root each, around rows of markup (value, k): eight, or as many as keep them at some XML_BYTES."""
+    size = rows.agg(F.sum(F.octet_length("value"))).first()[0] or 0
     whole = F.concat(F.lit(f"<{root}>"), F.array_join(F.collect_list("value"), ""), F.lit(f"</{root.split(' ')[0]}>"))
-    rows.groupBy(F.pmod("k", F.lit(8)).alias("file")).agg(whole.alias("value")).write.partitionBy("file").text(path)
+    file = F.pmod(F.xxhash64("k"), F.lit(max(8, -(-size // XML_BYTES))))
+    rows.groupBy(file.alias("file")).agg(whole.alias("value")).write.partitionBy("file").text(path)
 
 
 def _markup(value: Column) -> Column:
