@@ -10,6 +10,7 @@ from .corpus import WORDS, read
 from ..functions import text as X
 from ..operators import dedupe, spans as S, taggers
 from ..operators.bloom import BloomSpec, BloomState
+from ..operators.grams import gram_rows
 from ..operators.mix import MixSpec, Replacement, mix, recipe, redacted
 from ..session import scratch
 
@@ -27,7 +28,7 @@ def bloom_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     items = docs.agg(F.sum(X.word_count(F.col("text")))).first()[0] or 1
     state = BloomState(spark, scratch(spark, "bloom"), BloomSpec(items, 0.001))
-    dedupe.bloom_overlap(docs.filter("lang = 'en'"), state, 5)
+    state.add(gram_rows(docs.filter("lang = 'en'"), 5))  # of the first run nothing else is asked
     found = dedupe.bloom_overlap(docs.filter("lang <> 'en'"), state, 5, read_only=True)
     return found.select("doc_id", "n_ngrams", (F.col("overlap") >= 0.5).alias("duplicate"))
 
