@@ -150,14 +150,21 @@ def paragraph_overlap(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text
     return _overlap(rows, [id_col, "paragraph"]).drop("n_ngrams")
 
 
+def _met_grams(rows: DataFrame) -> DataFrame:
+    """Id and the n-grams that a lower id has too. What is shuffled is an id and a number for each n-gram, and lists of those that tasks know to be met."""
+    here = F.struct("id")
+    least = F.min(F.when(F.col("met").isNull(), here)).over(Window.partitionBy("gram"))
+    seen = rows.withColumn("seen", F.col("met").isNotNull() | F.coalesce(least < here, F.lit(False))).filter("seen")
+    return seen.groupBy("id").agg(F.flatten(F.collect_list(F.coalesce("met", F.array("gram")))).alias("grams"))  # a document's own n-grams at most
+
+
 def overlap_spans(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Id and spans: what of a text is covered by n-grams that an earlier document holds, overlapping ones as one span.
 
     The n-grams are found as in :func:`ngram_overlap`; documents that have any are
     read again, and mark the places of theirs. Documents without are not returned.
     """
-    met = _seen(gram_rows(docs, n, False, id_col, text_col, all_rows=True)).filter(F.col("seen") | F.col("is_met"))
-    own = met.groupBy("id").agg(F.collect_set("gram").alias("grams"))  # a document's own n-grams at most
+    own = _met_grams(gram_rows(docs, n, False, id_col, text_col, all_rows=True))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(own, "id")
     kind = docs.schema[id_col].dataType.simpleString()
 

@@ -106,7 +106,7 @@ def grams_of_batch(column: pa.Array, n: int, by_line: bool) -> tuple[np.ndarray,
     return own, line[kept], numbers[kept], starts[kept] - offsets[own], ends[kept + n - 1] - offsets[own]
 
 
-def _combined(ids: pa.Array, text: np.ndarray, line: np.ndarray, gram: np.ndarray, all_rows: bool) -> list[pa.Array]:
+def _combined(ids: pa.Array, text: np.ndarray, line: np.ndarray, gram: np.ndarray) -> list[pa.Array]:
     """What a task knows of some texts: see :func:`gram_rows`."""
     rank = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
     unit = rank[text] * (int(line.max(initial=0)) + 1) + line
@@ -124,7 +124,7 @@ def _combined(ids: pa.Array, text: np.ndarray, line: np.ndarray, gram: np.ndarra
     units, first, back = np.unique(place, return_index=True, return_inverse=True)
     total = np.bincount(back, many, len(units)).astype(np.int64)
     seen = np.bincount(back, many * met, len(units)).astype(np.int64)
-    sent = np.ones(len(g), bool) if all_rows else ~met
+    sent = ~met
     # totals travel with the first n-gram of the unit that is sent, or on their own
     carrier = np.full(len(units), len(g))
     np.minimum.at(carrier, back[sent], np.flatnonzero(sent))
@@ -147,6 +147,24 @@ def _combined(ids: pa.Array, text: np.ndarray, line: np.ndarray, gram: np.ndarra
     ]
 
 
+def _parted(ids: pa.Array, text: np.ndarray, line: np.ndarray, gram: np.ndarray) -> list[pa.Array]:
+    """What a task knows of some texts, with all that they have met: see :func:`gram_rows`."""
+    unit = pc.rank(ids, sort_keys="ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)[text]
+    order = np.lexsort((text, unit, gram))
+    g, u, t = gram[order], unit[order], text[order]
+    at = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (t[1:] != t[:-1])])
+    g, u, t = g[at], u[at], t[at]
+    head = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    met = u > np.repeat(u[head], np.diff(np.r_[head, len(g)]))
+    own = np.flatnonzero(met)[np.argsort(t[met], kind="stable")]
+    first = np.flatnonzero(np.r_[True, t[own][1:] != t[own][:-1]]) if len(own) else own
+    place = mixed(np.add.reduceat(g[own], first) + t[own][first].astype(np.uint64)) if len(own) else g[:0]
+    sent = np.flatnonzero(~met)[np.argsort(t[~met], kind="stable")]  # by text, so that ids compress
+    ends = pa.array([*([None] * len(sent)), *first.tolist(), len(own)], pa.int32())
+    lists = pa.ListArray.from_arrays(ends, pa.array(g[own].view(np.int64)))
+    return [ids.take(pa.array(np.r_[t[sent], t[own][first]])), pa.array(np.r_[g[sent], place].view(np.int64)), lists]
+
+
 def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc_id", text_col: str = "text", all_rows: bool = False) -> DataFrame:
     """n-grams of each text, or of each of its lines, combined in the tasks.
 
@@ -155,10 +173,12 @@ def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc
     the others have surely met it before; how often they have is in ``met``, with the
     unit's number of n-grams in ``n_ngrams``, both once for each unit (0 elsewhere; a
     row of their own, without a gram, if need be). An n-gram that many units have thus
-    leaves a task once for some HELD n-grams. all_rows: the others are sent as well,
-    with ``is_met``.
+    leaves a task once for some HELD n-grams. all_rows: no totals, but id, gram and
+    met, which is null; what a text has met in the task is one more row, the n-grams
+    as ``met``, with any number for ``gram``.
     """
-    names = ["id", "line", "gram", "many", "n_ngrams", "met", "is_met"]
+    names = ["id", "gram", "met"] if all_rows else ["id", "line", "gram", "many", "n_ngrams", "met", "is_met"]
+    made = _parted if all_rows else _combined
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[pa.Array, tuple[np.ndarray, ...]]] = []
@@ -171,7 +191,7 @@ def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc
                 shift = np.cumsum([0, *(len(x) for x, _ in held[:-1])])
                 text = np.concatenate([own[0] + s for (_, own), s in zip(held, shift, strict=True)])
                 line, gram = (np.concatenate([own[c] for _, own in held]) for c in (1, 2))
-                yield from pa.Table.from_arrays(_combined(ids, text, line, gram, all_rows), names=names).to_batches(max_chunksize=100_000)
+                yield from pa.Table.from_arrays(made(ids, text, line, gram), names=names).to_batches(max_chunksize=100_000)
             held.clear()
             size = 0
 
@@ -188,4 +208,6 @@ def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    if all_rows:
+        return rows.mapInArrow(run, f"id {kind}, gram long, met array<long>")
     return rows.mapInArrow(run, f"id {kind}, line int, gram long, many long, n_ngrams long, met long, is_met boolean")
