@@ -2,9 +2,14 @@
 
 Equal vectors form one class. The classes are dealt over shards, as large as a
 task's memory allows; a task builds the graph of a shard, layer by layer from
-the sparsest, and streams all queries through it, many in lock step. A query's
-beam is widened until its worst member lies below the threshold, so that groups
-of any size are found whole.
+the sparsest, and streams queries through it, many in lock step. Where there are
+more cores than shards, several tasks build the same graph and share its queries.
+
+A node hangs below the nearest nodes of the layer above. A beam of queries goes
+down the layers: the children of a node meet all the queries that have it in
+their beam in one product of matrices. What they reach in the lowest layer is
+where a beam along its links starts. A query's beam is widened until its worst
+member lies below the threshold, so that groups of any size are found whole.
 
 Before any query is answered, the shard's beam is audited against all its
 vectors and widened until the audit passes; a beam as wide as the shard is
@@ -41,10 +46,14 @@ from .staging import cleared, kept, spread_join, staged
 LOG = logging.getLogger(__name__)
 #: Classes to a shard, and shards at least; links per node, twice as many in the lowest layer.
 SHARD_CLASSES, SHARDS, LINKS = 200_000, 6, 12
+#: Nodes that one hangs below, and those of the top layer at most; queries at least for each of several tasks that ask one shard.
+HANG, TOP, PART = 4, 1024, 20_000
 #: Bytes of a shard's vectors, so that long ones go into more shards.
 SHARD_BYTES = 128 << 20
 #: Beams while building and at first while searching; queries in lock step.
-BUILD_BEAM, BEAM, BLOCK = 40, 48, 512
+BUILD_BEAM, BEAM, BLOCK = 40, 16, 512
+#: All cosines of a query are taken where a beam would be as wide as one in so many of the nodes; pairs that are verified at once.
+GATHER, SURE = 720, 1 << 18
 #: Planted queries of an audit, sampled real ones, and the mean recall that it must show.
 PLANTED, SAMPLED, RECALL = 256, 512, 0.999
 MARGIN = 1e-5  # of single precision
@@ -60,42 +69,91 @@ def _best(sims: np.ndarray, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
 
 
 class Graph:
-    """Vectors of length one, and for every layer the neighbours of its nodes (-1: none)."""
+    """Vectors of length one in layers, the sparsest first: a node hangs below the HANG nearest of the layer above, and those of the lowest have neighbours (-1: none)."""
 
     def __init__(self, vectors: np.ndarray, seed: int = 7) -> None:
         self.x = np.ascontiguousarray(vectors, np.float32)
         n = len(vectors)
-        rng = np.random.Generator(np.random.PCG64(seed))
-        levels = np.minimum(np.floor(-np.log(1 - rng.random(n)) / np.log(LINKS)).astype(int), 8) if n else np.empty(0, int)
-        order = np.argsort(-levels, kind="stable")
-        self.layers: list[np.ndarray] = []
-        for level in range(int(levels.max()) if n else -1, -1, -1):
-            nodes = order[: int((levels >= level).sum())]
-            done = len(nodes) if level == (levels.max() if n else 0) else int((levels > level).sum())
-            self._build(nodes, 0 if not self.layers else done, LINKS * (2 if level == 0 else 1))
-
-    def _build(self, nodes: np.ndarray, above: int, width: int) -> None:
-        """Add a layer. The first ``above`` nodes are those of the layer over it and lead the others in."""
-        links = np.full((len(self.x), width), -1, np.int32)
-        upper = list(self.layers)
-        self.layers.append(links)
-        at = 0
-        while at < len(nodes):
-            batch = nodes[at : at + min(BLOCK, max(64, at))]
-            own = self.x[batch] @ self.x[batch].T
-            np.fill_diagonal(own, -2)
-            sims, ids = _best(own, np.broadcast_to(batch.astype(np.int32), own.shape), min(BUILD_BEAM, max(1, len(batch) - 1)))
-            if at:
-                entry = self._descend(self.x[batch], upper) if upper and at >= above else np.broadcast_to(nodes[:1].astype(np.int32), (len(batch), 1))
-                entry = np.where(np.isin(entry, nodes[:at]), entry, nodes[0])
-                more, who = self._beam(self.x[batch], entry, links, BUILD_BEAM)
-                sims, ids = np.concatenate([sims, more], 1), np.concatenate([ids, who], 1)
-                sims, ids = _best(sims, ids, BUILD_BEAM)
-            if len(batch) > 1 or at:
-                chosen = self._diverse(sims, ids, width)
-                links[batch] = chosen
-                self._back(links, batch, chosen, width)
-            at += len(batch)
+        order = np.random.Generator(np.random.PCG64(seed)).permutation(n)
+        sizes = [n]
+        while sizes[-1] > TOP or len(sizes) == 1:
+            sizes.append(max(1, sizes[-1] // LINKS))
+        #: The nodes of the top layer, and for every layer below it where the children of each node start, and the children.
+        self.top, self.below = order[: sizes[-1]], []
+        for size in reversed(sizes[:-1]):
+            self._hang(order[:size])
+        self.links = np.full((n, 2 * LINKS), -1, np.int32)
+        self._join()
+
+    def _hang(self, nodes: np.ndarray) -> None:
+        """Add a layer below the others."""
+        parents = []
+        many = self.many(2 * HANG)
+        for k in range(0, len(nodes), many):
+            own = nodes[k : k + many]
+            found = self._descend(self.x[own], 2 * HANG)[1][:, :HANG]
+            child, c = np.nonzero(found >= 0)
+            parents.append((found[child, c], own[child]))
+        parent, child = (np.concatenate(c) for c in zip(*parents))
+        by = np.argsort(parent, kind="stable")
+        self.below.append((np.searchsorted(parent[by], np.arange(len(self.x) + 1)), child[by]))
+
+    def _join(self) -> None:
+        """Neighbours in the lowest layer: of the nearest that the layers lead to, then links the other way."""
+        nodes, many = np.arange(len(self.x)), self.many(BUILD_BEAM)
+        for k in range(0, len(nodes), many):
+            own = nodes[k : k + many]
+            sims, ids = self._descend(self.x[own], BUILD_BEAM)[:2]
+            sims = np.where(ids == own[:, None], -2, sims)
+            for j in range(0, len(own), BLOCK):
+                near, who = _best(sims[j : j + BLOCK], ids[j : j + BLOCK], BUILD_BEAM)
+                self.links[own[j : j + BLOCK]] = self._diverse(near, who, self.links.shape[1])
+        self._back()
+
+    def many(self, width: int) -> int:
+        """Queries that are led down together, so that they share the children that they open; fewer where beams are wide or vectors long."""
+        return max(1, min((1 << 17) // width, (8 << 20) // max(1, self.x.shape[1])))
+
+    def _open(self, queries: np.ndarray, parents: np.ndarray, layer: tuple, least: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Query, node and similarity of the children of each query's parents that are at its ``least`` or above, each once, by query and in falling order; a parent's children meet all its queries at once."""
+        starts, children = layer
+        q, c = np.nonzero(parents >= 0)
+        by = np.argsort(parents[q, c], kind="stable")
+        q = q[by]
+        heads, first = np.unique(parents[q, c[by]], return_index=True)
+        found = []
+        for parent, a, z in zip(heads, first, [*first[1:], len(q)]):
+            own, nodes = q[a:z], children[starts[parent] : starts[parent + 1]]
+            sims = queries[own] @ self.x[nodes].T
+            at = np.flatnonzero(sims >= least[own][:, None])
+            found.append((own[at // len(nodes)], nodes[at % len(nodes)], sims.ravel()[at]))
+        who, node, sims = (np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32))
+        _, first = np.unique(who * len(self.x) + node, return_index=True)
+        who, node, sims = who[first], node[first], sims[first]
+        by = np.lexsort((-sims, who))
+        return who[by], node[by], sims[by]
+
+    def _descend(self, queries: np.ndarray, width: int, threshold: float = 2.0) -> tuple[np.ndarray, ...]:
+        """Similarity and id of the ``width`` best nodes of the lowest layer so far that the layers lead to, in falling order (-2 and -1: none); and query and node of all that are met at ``threshold`` or above."""
+        m = len(queries)
+        sims, ids = np.empty((m, min(width, len(self.top))), np.float32), np.empty((m, min(width, len(self.top))), np.int64)
+        for k in range(0, m, BLOCK):
+            near = queries[k : k + BLOCK] @ self.x[self.top].T
+            sims[k : k + BLOCK], at = _best(near, np.broadcast_to(np.arange(len(self.top)), near.shape), width)
+            ids[k : k + BLOCK] = self.top[at]
+        who = node = np.empty(0, np.int64)
+        for depth, layer in enumerate(self.below):
+            # a node is its own child, so that those of the last layer are among the found
+            least = sims[:, min(sims.shape[1], -(-width // 4)) - 1]
+            last = depth == len(self.below) - 1
+            q, n, near = self._open(queries, ids, layer, np.minimum(least, threshold) if last else least)
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            kept = place < width
+            sims, ids = np.full((m, width), -2.0, np.float32), np.full((m, width), -1, np.int64)
+            sims[q[kept], place[kept]], ids[q[kept], place[kept]] = near[kept], n[kept]
+            if last:
+                who, node = q[near >= threshold], n[near >= threshold]
+        return sims, ids, who, node
 
     def _diverse(self, sims: np.ndarray, ids: np.ndarray, width: int) -> np.ndarray:
         """Of candidates in falling order, those nearer to the node than to any chosen one; then the nearest others."""
@@ -113,25 +171,28 @@ class Graph:
         out = np.where(np.take_along_axis(valid, first, 1), np.take_along_axis(ids, first, 1), -1)
         return np.pad(out, ((0, 0), (0, width - out.shape[1])), constant_values=-1).astype(np.int32)
 
-    def _back(self, links: np.ndarray, batch: np.ndarray, chosen: np.ndarray, width: int) -> None:
-        """Links the other way; full lists are chosen anew."""
-        source, target = np.repeat(batch, width), chosen.ravel()
-        source, target = source[target >= 0], target[target >= 0]
-        sims = np.einsum("ij,ij->i", self.x[source], self.x[target])
-        order = np.lexsort((-sims, target))
-        source, target = source[order], target[order]
-        nodes, first, counts = np.unique(target, return_index=True, return_counts=True)
-        added = np.full((len(nodes), width), -1, np.int32)
-        within = np.arange(len(target)) - np.repeat(first, counts)
-        keep = within < width
-        added[np.repeat(np.arange(len(nodes)), counts)[keep], within[keep]] = source[keep]
-        for k in range(0, len(nodes), BLOCK):
-            part = nodes[k : k + BLOCK]
-            ids = np.concatenate([links[part], added[k : k + BLOCK]], 1)
+    def _back(self) -> None:
+        """Links the other way; lists are chosen anew from both."""
+        links, width = self.links.copy(), self.links.shape[1]
+        source, at = np.nonzero(links >= 0)
+        target = links[source, at]
+        by = np.argsort(target, kind="stable")
+        source, starts = source[by], np.searchsorted(target[by], np.arange(len(links) + 1))
+        for k in range(0, len(links), BLOCK):
+            part = np.arange(k, min(k + BLOCK, len(links)))
+            counts = np.diff(starts[k : k + len(part) + 1])
+            own = source[starts[k] : starts[k + len(part)]]
+            row = np.repeat(np.arange(len(part)), counts)
+            near = np.einsum("ij,ij->i", self.x[part[row]], self.x[own])
+            by = np.lexsort((-near, row))
+            place = np.arange(len(own)) - np.repeat(starts[k : k + len(part)] - starts[k], counts)
+            kept = place < width
+            added = np.full((len(part), width), -1, np.int32)
+            added[row[kept], place[kept]] = own[by][kept]
+            ids = np.concatenate([links[part], added], 1)
             ids = np.where(self._repeated(ids), -1, ids)
             sims = np.where(ids >= 0, np.einsum("ij,ikj->ik", self.x[part], self.x[np.maximum(ids, 0)]), -2)
-            sims, ids = _best(sims, ids, ids.shape[1])
-            links[part] = self._diverse(sims, ids, width)
+            self.links[part] = self._diverse(*_best(sims, ids, ids.shape[1]), width)
 
     @staticmethod
     def _repeated(ids: np.ndarray) -> np.ndarray:
@@ -142,18 +203,7 @@ class Graph:
         np.put_along_axis(again, order, np.concatenate([np.zeros((len(ids), 1), bool), inside[:, 1:] == inside[:, :-1]], 1), 1)
         return again
 
-    def _descend(self, queries: np.ndarray, layers: list[np.ndarray]) -> np.ndarray:
-        """The nearest nodes that the layers lead to."""
-        entry = None
-        for links in layers:
-            if entry is None:
-                top = np.flatnonzero(links[:, 0] >= 0)
-                top = top if len(top) else np.zeros(1, int)
-                entry = np.broadcast_to(top[:1].astype(np.int32), (len(queries), 1))
-            entry = self._beam(queries, entry, links, 4)[1]
-        return np.maximum(entry, 0)
-
-    def _beam(self, queries: np.ndarray, entry: np.ndarray, links: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    def _beam(self, queries: np.ndarray, entry: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Similarity and id of the ``width`` best nodes that a beam from ``entry`` finds, in falling order (-2 and -1: none)."""
         m, n = len(queries), len(self.x)
         sims, ids = np.full((m, width), -2.0, np.float32), np.full((m, width), -1, np.int32)
@@ -174,7 +224,7 @@ class Graph:
                 live, picks, use = live[some], picks[some], use[some]
                 if not len(live):
                     break
-                around = np.where(use[:, :, None], links[np.maximum(ids[live[:, None], picks], 0)], -1)
+                around = np.where(use[:, :, None], self.links[np.maximum(ids[live[:, None], picks], 0)], -1)
                 new = around.reshape(len(live), -1)
             first = False
             fresh = (new >= 0) & ~seen[live[:, None], np.maximum(new, 0)]
@@ -202,34 +252,48 @@ class Graph:
         return max(1, 30_000_000 // max(1, len(self.x)))
 
     def dense(self, queries: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-        """Query and node of every pair at ``threshold`` or above, by all cosines."""
-        starts = range(0, len(queries), self.step())
-        found = [np.nonzero(queries[k : k + self.step()] @ self.x.T >= threshold) for k in starts]
-        return tuple(np.concatenate([np.empty(0, np.int64), *x]) for x in ([k + q for k, (q, _) in zip(starts, found)], [n for _, n in found]))
-
-    def within(self, queries: np.ndarray, threshold: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """Query and node of every pair found at ``threshold`` or above; beams widen while their worst member is, in the end to the whole shard."""
-        found_q, found_n = [], []
-        rest, widened = np.arange(len(queries)), False
+        """Query and node of every pair at ``threshold`` or above, by all cosines, in blocks that a processor's cache holds."""
+        found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+        for k in range(0, len(queries), BLOCK):
+            for j in range(0, len(self.x), 8 * BLOCK):
+                near = queries[k : k + BLOCK] @ self.x[j : j + 8 * BLOCK].T >= threshold
+                if near.any():
+                    q, n = np.nonzero(near)
+                    found.append((k + q, j + n))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def pieces(self, queries: np.ndarray, threshold: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Query and node of every pair found at ``threshold`` or above, those of some queries at a time; beams widen while their worst member is, in the end to the whole shard."""
+        rest, widened, size = np.arange(len(queries)), False, len(self.x)
         while len(rest):
-            if width * (4 if widened else 1) >= len(self.x):
-                q, n = self.dense(queries[rest], threshold)
-                found_q.append(rest[q])
-                found_n.append(n)
-                break
-            again = []
-            most = max(1, min(BLOCK, 60_000_000 // max(len(self.x), 40 * width)))
-            for k in range(0, len(rest), most):
-                part = rest[k : k + most]
-                sims, ids = self._beam(queries[part], self._descend(queries[part], self.layers[:-1]) if len(self.layers) > 1 else np.zeros((len(part), 1), np.int32), self.layers[-1], width)
-                full = sims[:, -1] >= threshold
-                again.append(part[full])
-                q, c = np.nonzero((sims >= threshold) & ~full[:, None])
-                found_q.append(part[q])
-                found_n.append(ids[q, c])
+            # so wide a beam gathers so many nodes that all cosines, which need no gathering, take less time
+            if width >= size or (widened and GATHER * width >= size):
+                most = max(16, min(BLOCK, 8_000_000 // size))
+                for k in range(0, len(rest), most):
+                    q, n = self.dense(queries[rest[k : k + most]], threshold)
+                    yield rest[k + q], n
+                return
+            again, many = [], self.many(width)
+            most = max(1, min(BLOCK, 60_000_000 // max(size, 40 * width)))
+            for k in range(0, len(rest), many):
+                own = queries[rest[k : k + many]]
+                _, entry, q, n = self._descend(own, width, threshold)
+                full, pairs = np.zeros(len(own), bool), [q * size + n]
+                for j in range(0, len(own), most):
+                    sims, ids = self._beam(own[j : j + most], entry[j : j + most], width)
+                    full[j : j + most] = sims[:, -1] >= threshold
+                    q, c = np.nonzero(sims >= threshold)
+                    pairs.append((j + q) * size + ids[q, c])
+                q, n = np.divmod(np.unique(np.concatenate(pairs)), size)
+                yield rest[k + q[~full[q]]], n[~full[q]]
+                again.append(rest[k + np.flatnonzero(full)])
             rest, widened = np.concatenate(again), True
             width *= 4
-        return tuple(np.concatenate(x).astype(np.int64) if x else np.empty(0, np.int64) for x in (found_q, found_n))
+
+    def within(self, queries: np.ndarray, threshold: float, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """All :meth:`pieces` at once."""
+        none = np.empty(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip((none, none), *self.pieces(queries, threshold, width)))
 
     def planted(self, threshold: float, seed: int = 11) -> np.ndarray:
         """Queries at a cosine just above the threshold from vectors of the shard."""
@@ -291,13 +355,14 @@ class Forest:
 FOUND = ("kind", "a", "b", "recall", "queries")
 
 
-def _search(threshold: float, beam: int):
-    """Over rows in order of (size, shard, role): a shard's vectors (0), a sample of the queries (1), then all of them (2)."""
+def _search(threshold: float, beam: int, parts: int):
+    """Over rows in order of (size, task, role): a shard's vectors (0), a sample of the queries (1), then those of all that fall to this one of the shard's ``parts`` tasks (2)."""
 
     class Shard:
         def __init__(self) -> None:
             self.uids, self.many, self.vectors, self.sample, self.sampled = [], [], [], [], []
             self.graph: Graph | None = None
+            self.asked: list[tuple[np.ndarray, np.ndarray]] = []
 
         def ready(self) -> tuple:
             """Build the graph and audit its beam."""
@@ -316,19 +381,29 @@ def _search(threshold: float, beam: int):
             at = self.order[np.minimum(np.searchsorted(self.uids, uids, sorter=self.order), len(self.uids) - 1)]
             return np.where(self.uids[at] == uids, at, -1)
 
-        def answer(self, uids: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
-            q, n = self.graph.within(x.astype(np.float32), threshold - MARGIN, self.width)
+        def answer(self) -> Iterator[tuple]:
+            """What the queries find that have been put by."""
+            if not self.asked:
+                return
+            uids, x = (np.concatenate(c) for c in zip(*self.asked))
+            self.asked = []
             own = self.nodes(uids)
-            sure = (np.einsum("ij,ij->i", x[q], self.vectors[n]) >= threshold) & (n != own[q])
-            q, n = q[sure], n[sure]
-            order = np.argsort(q, kind="stable")
-            q, n = q[order], n[order]
-            heads = np.flatnonzero(np.diff(q, prepend=-1))
-            for h, t in zip(heads, [*heads[1:], len(q)]):
-                uid = int(uids[q[h]])
-                yield 1, uid, int(self.many[n[h:t]].sum()), None, None
-                for a, b in self.forest.join(uid, n[h:t]):
-                    yield 0, a, b, None, None
+            for q, n in self.graph.pieces(x.astype(np.float32), threshold - MARGIN, self.width):
+                sure = np.concatenate([np.einsum("ij,ij->i", x[q[k : k + SURE]], self.vectors[n[k : k + SURE]]) >= threshold for k in range(0, len(q), SURE)] or [np.empty(0, bool)]) & (n != own[q])
+                q, n = q[sure], n[sure]
+                order = np.argsort(q, kind="stable")
+                q, n = q[order], n[order]
+                heads = np.flatnonzero(np.diff(q, prepend=-1))
+                for h, t in zip(heads, [*heads[1:], len(q)]):
+                    uid = int(uids[q[h]])
+                    yield 1, uid, int(self.many[n[h:t]].sum()), None, None
+                    for a, b in self.forest.join(uid, n[h:t]):
+                        yield 0, a, b, None, None
+
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*found)) if found else [()] * 5
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=list(FOUND))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, shard = None, Shard()
@@ -341,6 +416,7 @@ def _search(threshold: float, beam: int):
             for a, z in zip([0, *cuts], [*cuts, batch.num_rows]):
                 part = batch.slice(a, z - a)
                 if key != tuple(codes[a][:2]):
+                    found += shard.answer()
                     key, shard = tuple(codes[a][:2]), Shard()
                 role, own, x = codes[a][2], part.column(3).to_numpy(), unit(matrix(part.column(5)))
                 if role == 0:
@@ -353,12 +429,13 @@ def _search(threshold: float, beam: int):
                 elif len(shard.vectors):
                     if shard.graph is None:
                         width, recall, telling = shard.ready()
-                        found.append((2, int(key[1]), width, recall, telling))
-                    for k in range(0, len(own), 2 * BLOCK):
-                        found += shard.answer(own[k : k + 2 * BLOCK], x[k : k + 2 * BLOCK])
-            columns = list(zip(*found)) if found else [()] * 5
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=list(FOUND))
+                        if key[1] % parts == 0:  # the others have the same graph and audit
+                            found.append((2, int(key[1]) // parts, width, recall, telling))
+                    shard.asked.append((own, x))
+                    if sum(len(own) for own, _ in shard.asked) >= shard.graph.many(shard.width):
+                        found += shard.answer()
+            yield rows(found)
+        yield rows([*shard.answer()])
 
     return run
 
@@ -378,12 +455,16 @@ def audited_near_vectors(
         count, entries = classes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
         n = max(shards, -(-count // shard_classes), -(-8 * entries // SHARD_BYTES))
         shard = F.pmod(F.xxhash64("uid"), F.lit(n)).cast("int")
-        index = classes.select("size", shard.alias("shard"), F.lit(0).alias("role"), "uid", "many", "vector")
         sampled = F.pmod(F.xxhash64("uid", F.lit(17)), F.lit(max(1, count // SAMPLED))) == 0
-        roles = F.explode(F.when(sampled, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2))))
-        asked = classes.select("size", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("shard"), "uid", "many", "vector").select("size", "shard", roles.alias("role"), "uid", "many", "vector")
-        dealt = index.union(asked).repartitionById(n, F.col("shard")).sortWithinPartitions("size", "shard", "role", "uid")
-        found = staged(dealt.mapInArrow(_search(threshold, beam), "kind int, a long, b long, recall double, queries long"), "found")
+        # where there are more cores than shards, the queries of a shard are dealt over tasks that each build its graph
+        parts = max(1, min(-(-vectors.sparkSession.sparkContext.defaultParallelism // n), count // PART))
+        own_part = F.pmod(F.xxhash64("uid", F.lit(3)), F.lit(parts)).cast("int")
+        every = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: F.struct((k * parts + own_part).alias("task"), F.lit(2).alias("role")))
+        first = F.transform(F.sequence(F.lit(0), F.lit(n * parts - 1)), lambda k: F.struct(k.alias("task"), F.lit(1).alias("role")))
+        held = classes.select("size", F.explode(F.sequence(shard * parts, shard * parts + (parts - 1))).alias("task"), F.lit(0).alias("role"), "uid", "many", "vector")
+        asked = classes.select("size", F.inline(F.when(sampled, F.concat(first, every)).otherwise(every)), "uid", "many", "vector")
+        dealt = held.union(asked).repartitionById(n * parts, F.col("task")).sortWithinPartitions("size", "task", "role", "uid")
+        found = staged(dealt.mapInArrow(_search(threshold, beam, parts), "kind int, a long, b long, recall double, queries long"), "found")
         audits.append(kept(found.filter("kind = 2").select(F.col("a").cast("int").alias("shard"), F.col("b").alias("beam"), "recall", "queries"), "audits"))
         counts = found.filter("kind = 1").groupBy(F.col("a").alias("uid")).agg(F.sum("b").alias("found"))
         labels = components(found.filter("kind = 0").select("a", "b")).withColumnRenamed("node", "uid")
