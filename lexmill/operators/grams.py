@@ -8,7 +8,7 @@ that a long text or a long word needs no more room than its bytes and words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -165,7 +165,7 @@ def _parted(ids: pa.Array, text: np.ndarray, line: np.ndarray, gram: np.ndarray)
     return [ids.take(pa.array(np.r_[t[sent], t[own][first]])), pa.array(np.r_[g[sent], place].view(np.int64)), lists]
 
 
-def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc_id", text_col: str = "text", all_rows: bool = False) -> DataFrame:
+def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc_id", text_col: str = "text", all_rows: bool = False, then: tuple[Callable, str] | None = None) -> DataFrame:
     """n-grams of each text, or of each of its lines, combined in the tasks.
 
     Columns: id, line, gram, many (how often the unit has it), n_ngrams, met and
@@ -175,7 +175,8 @@ def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc
     row of their own, without a gram, if need be). An n-gram that many units have thus
     leaves a task once for some HELD n-grams. all_rows: no totals, but id, gram and
     met, which is null; what a text has met in the task is one more row, the n-grams
-    as ``met``, with any number for ``gram``.
+    as ``met``, with any number for ``gram``. then: what the tasks make of these batches
+    before they leave Python, and its schema.
     """
     names = ["id", "gram", "met"] if all_rows else ["id", "line", "gram", "many", "n_ngrams", "met", "is_met"]
     made = _parted if all_rows else _combined
@@ -208,6 +209,8 @@ def gram_rows(docs: DataFrame, n: int, by_line: bool = False, id_col: str = "doc
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    if all_rows:
-        return rows.mapInArrow(run, f"id {kind}, gram long, met array<long>")
-    return rows.mapInArrow(run, f"id {kind}, line int, gram long, many long, n_ngrams long, met long, is_met boolean")
+    own = f"id {kind}, gram long, met array<long>" if all_rows else f"id {kind}, line int, gram long, many long, n_ngrams long, met long, is_met boolean"
+    if then:
+        last, schema = then
+        return rows.mapInArrow(lambda batches: last(run(batches)), schema)
+    return rows.mapInArrow(run, own)

@@ -10,7 +10,7 @@ from .corpus import WORDS
 from .. import streaming
 from ..operators.mix import Replacement, recipe
 from ..session import scratch
-from ..streaming.ngrams import ngram_overlap_stream
+from ..streaming.ngrams import buckets_for, ngram_overlap_stream
 
 
 def stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,12 +64,13 @@ def stream_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     cuts = [int(x) for x in docs.agg(F.percentile("doc_id", [0.25, 0.5, 0.75])).first()[0]]
     bounds = [None, *cuts, None]
+    size = spark.read.format("binaryFile").load(f"{sf_dir}/documents.parquet").agg(F.sum("length")).first()[0]
     for k in range(4):
         low, high = bounds[k], bounds[k + 1]
         part = docs.filter((F.lit(low is None) | (F.col("doc_id") > low)) & (F.lit(high is None) | (F.col("doc_id") <= high)))
         part.write.parquet(f"{source}/part={k}")
         # all files that are there are one batch, which as many tasks read
         rows = streaming.watch(spark, f"{source}/*", docs.schema, "parquet", files_per_trigger=1 << 30)
-        ngram_overlap_stream(rows, target, state, 10).awaitTermination()
+        ngram_overlap_stream(rows, target, state, 10, buckets=buckets_for(size or 0)).awaitTermination()
     found = spark.read.schema("doc_id long, n_ngrams long, overlap double").parquet(target)
     return found.select("doc_id", "n_ngrams", F.round("overlap", 9).alias("overlap"))

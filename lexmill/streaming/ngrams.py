@@ -1,13 +1,18 @@
 """n-grams of a stream of documents, with those of earlier batches in a keyed state that forgets.
 
 Each batch is combined in its tasks as a table is (:func:`~..operators.grams.gram_rows`);
-what is left goes to buckets of n-grams. A bucket's state is two packed arrays, its
-n-grams in order and when each was last met, which one read and one write per batch
-move. N-grams that were not met for the time to live are forgotten when their bucket
-is touched next; time is that of the batch, which is the same when it is done again.
-A batch rewrites the buckets it touches: the number of buckets and the time to live
-bound what that is. (Spark's own time to live would need processing time, with which a
-stream over what is available now never ends.)
+what is left goes to buckets of n-grams, packed: Spark hands rows to a processor one by
+one in Python, so that a task sends one row for all that it has for a bucket. A bucket's state is a list of runs, each the
+n-grams of a batch in order and when they were met, packed. A batch reads the runs one
+by one and adds its own; what it had before is not written again. Where many short runs
+have come together, they are merged. N-grams that were not met for the time to live are
+forgotten when their bucket is touched next; time is that of the batch, which is the
+same when it is done again. (Spark's own time to live would need processing time, with
+which a stream over what is available now never ends.)
+
+A task holds the rows that one batch has for a bucket, and a run, so that the number of
+buckets must follow the size of batches (:func:`buckets_for`). The stores of all tasks
+of an executor share one bounded cache.
 
 Defined cases: documents of fewer words, or without an id, have no row; an id that
 comes again in a later batch is judged anew, and has met its own n-grams; a batch that
@@ -16,20 +21,34 @@ is done again after a failure has the state from before it, and replaces its row
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators.grams import gram_rows
 
-PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
-BUCKETS = 256
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # a store that stays open keeps some 10 MB outside the heap, and a stream that starts again has others
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
+#: Buckets at least, and bytes of Parquet files for each, some 500,000 n-grams.
+BUCKETS, BUCKET_BYTES = 256, 1 << 21
+#: Short runs of a bucket that are merged, and n-grams from which a run is not short.
+RUNS, RUN = 8, 1 << 18
+
+
+def buckets_for(size: int) -> int:
+    """Buckets for a stream whose batches together are Parquet files of so many bytes."""
+    return max(BUCKETS, -(-size // BUCKET_BYTES))
 
 
 def judged(rows: pd.DataFrame, known: np.ndarray) -> pd.DataFrame:
@@ -52,32 +71,97 @@ def judged(rows: pd.DataFrame, known: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"id": names, "n_ngrams": sums[0], "met": sums[1]})
 
 
+def merged(runs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of runs in order, and when each was last met."""
+    grams, times = np.concatenate([g for g, _ in runs]), np.concatenate([np.broadcast_to(t, g.shape) for g, t in runs])
+    by = np.lexsort((times, grams))
+    grams, times = grams[by], times[by]
+    kept = np.r_[grams[1:] != grams[:-1], True]
+    return grams[kept], times[kept]
+
+
+#: Rows of n-grams that a task puts by before it packs and sends them.
+SENT = 1 << 18
+#: What of the rows of n-grams is packed; rows without an n-gram carry totals.
+PACKED = ("id", "gram", "many", "n_ngrams", "met")
+
+
+def packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of n-grams as a row for each bucket and some SENT of them; totals without an n-gram may go to any bucket."""
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        held.clear()
+        own = np.where(rows["gram"].is_valid().to_numpy(), rows["gram"].fill_null(0).to_numpy().view(np.uint64), np.arange(len(rows), dtype=np.uint64))
+        bucket = (own % np.uint64(buckets)).astype(np.int32)
+        by = np.argsort(bucket, kind="stable")
+        batch, bucket = rows.take(pa.array(by)).combine_chunks().to_batches()[0], bucket[by]
+        del rows, own, by
+        heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+        payloads = [batch.slice(a, z - a).serialize().to_pybytes() for a, z in zip(heads, [*heads[1:], len(bucket)])]
+        yield from pa.Table.from_arrays([pa.array(bucket[heads]), pa.array(payloads, pa.binary())], names=["bucket", "rows"]).to_batches(max_chunksize=1000)
+
+    many = 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch.select(list(PACKED)))
+            many += len(batch)
+        if many >= SENT:
+            yield from flush()
+            many = 0
+    yield from flush()
+
+
+def unpacked(payloads: Iterable[bytes], schema: pa.Schema) -> pd.DataFrame:
+    """The rows of one bucket, with ``held``: whether a row has an n-gram."""
+    rows = pa.Table.from_batches([pa.ipc.read_record_batch(pa.py_buffer(bytes(x)), schema) for x in payloads])
+    held = rows["gram"].is_valid()
+    gram = rows["gram"].fill_null(0)  # no nulls: pandas would make floats of the numbers, which can't hold them
+    return rows.set_column(1, "gram", gram).append_column("held", held).to_pandas()
+
+
 class MetGrams(StatefulProcessor):
     """Judge the n-grams of a bucket, and remember them."""
 
-    def __init__(self, live_ms: int):
-        self.live_ms = live_ms
+    def __init__(self, live_ms: int, schema: pa.Schema):
+        self.live_ms, self.schema = live_ms, schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = T.StructType([T.StructField("grams", T.BinaryType()), T.StructField("times", T.BinaryType())])
-        self.state = handle.getValueState("met", schema)
+        self.state = handle.getMapState("runs", T.StructType([T.StructField("run", T.IntegerType())]), schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        now = int(batch["now"].iloc[0])
-        grams, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if self.state.exists():
-            packed = self.state.get()
-            grams, times = np.frombuffer(packed[0], np.int64), np.frombuffer(packed[1], np.int64)
-            alive = times > now - self.live_ms
-            grams, times = grams[alive], times[alive]
-        found = judged(batch, grams)
-        own = np.unique(batch.loc[batch["held"], "gram"].to_numpy())
+        payloads: list[bytes] = []
+        for part in rows:
+            payloads += part["rows"].tolist()
+            now = int(part["now"].iloc[0])
+        batch = unpacked(payloads, self.schema)
+        own = np.unique(batch["gram"].to_numpy()[batch["held"].to_numpy()])
+        met, short, last = np.zeros(len(own), bool), [], -1
+        for (run,) in sorted(self.state.keys()):
+            last = run
+            grams, times = (np.frombuffer(x, np.int64) for x in self.state.getValue((run,)))
+            alive = np.flatnonzero(np.broadcast_to(times, grams.shape) > now - self.live_ms)  # a run of one batch has one time
+            if not len(alive):
+                self.state.removeKey((run,))
+                continue
+            if len(alive) < len(grams):
+                grams, times = grams[alive], times[alive]
+            if len(own):
+                met |= grams[np.minimum(np.searchsorted(grams, own), len(grams) - 1)] == own
+            if len(grams) < RUN:
+                short.append((run, grams, times))
+        found = judged(batch, own[met])
         if len(own):
-            old = ~np.isin(grams, own)
-            both, when = np.r_[grams[old], own], np.r_[times[old], np.full(len(own), now, np.int64)]
-            order = np.argsort(both, kind="stable")
-            self.state.update((both[order].tobytes(), when[order].tobytes()))
+            times = np.array([now])
+            if len(short) >= RUNS:
+                own, times = merged([*((g, t) for _, g, t in short), (own, times)])
+                for run, _, _ in short:
+                    self.state.removeKey((run,))
+            self.state.updateValue((last + 1,), (own.tobytes(), times.tobytes()))
         yield found
 
     def close(self) -> None:
@@ -88,35 +172,35 @@ def ngram_overlap_stream(docs: DataFrame, target: str, checkpoint: str, n: int =
     """Write id, n_ngrams and overlap of each batch's documents to a folder of ``target``: the share of n-grams that an earlier batch holds, or a lower id of the same one."""
     spark = docs.sparkSession
     live_ms = int(pd.Timedelta(live).total_seconds() * 1000)
-    rows = gram_rows(docs.filter(F.col(id_col).isNotNull()), n, False, id_col, text_col)
-    bucket = F.pmod(F.xxhash64(F.coalesce("gram", F.xxhash64("id"))), F.lit(buckets)).cast("int")
     kind = docs.schema[id_col].dataType
     out = T.StructType([T.StructField("id", kind), T.StructField("n_ngrams", T.LongType()), T.StructField("met", T.LongType())])
-    # no nulls: pandas would make floats of the numbers, which can't hold them
-    gram = F.coalesce("gram", F.lit(0).cast("long")).alias("gram")
-    keyed = rows.select(bucket.alias("bucket"), "id", gram, F.col("gram").isNotNull().alias("held"), "many", "n_ngrams", "met", F.unix_millis(F.current_timestamp()).alias("now"))
-    judged_rows = keyed.groupBy("bucket").transformWithStateInPandas(MetGrams(live_ms), out, "append", "none")
+    schema = pa.schema([("id", to_arrow_type(kind)), *((c, pa.int64()) for c in PACKED[1:])])
+    rows = gram_rows(docs.filter(F.col(id_col).isNotNull()), n, False, id_col, text_col, then=(lambda batches: packed(batches, buckets), "bucket int, rows binary"))
+    keyed = rows.withColumn("now", F.unix_millis(F.current_timestamp()))
+    judged_rows = keyed.groupBy("bucket").transformWithStateInPandas(MetGrams(live_ms, schema), out, "append", "none")
 
     def write(batch: DataFrame, number: int) -> None:
         totals = batch.groupBy("id").agg(F.sum("n_ngrams").alias("n_ngrams"), F.sum("met").alias("met"))
         totals.select(F.col("id").alias(id_col), "n_ngrams", (F.col("met") / F.col("n_ngrams")).alias("overlap")).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    with _provider(spark):
+    with _store(spark):
         return judged_rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
-class _provider:
+class _store:
     """The state store that such states need, for the queries started inside."""
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
 
     def __enter__(self) -> None:
-        self.before = self.spark.conf.get(_PROVIDER_KEY, None)
-        self.spark.conf.set(_PROVIDER_KEY, PROVIDER)
+        self.before = {k: self.spark.conf.get(k, None) for k in STORE}
+        for k, v in STORE.items():
+            self.spark.conf.set(k, v)
 
     def __exit__(self, *_) -> None:
-        if self.before is None:
-            self.spark.conf.unset(_PROVIDER_KEY)
-        else:
-            self.spark.conf.set(_PROVIDER_KEY, self.before)
+        for k, v in self.before.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
